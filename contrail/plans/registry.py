@@ -499,3 +499,375 @@ SELECT status, count(*) AS status_count FROM flights GROUP BY status ORDER BY st
                                "flights"))
 def q_dq_status_counts(spark, d):
     return checks.dq_status_counts(flights(spark, d))
+
+
+# -------------------------------------------- §2.9 real-time merge and reports
+
+def _source_parts(spark, d):
+    """The position feed split by source, each missing a different column,
+    as three extracts would deliver them."""
+    p = positions(spark, d)
+    return [p.filter(F.col("data_source") == "opensky").drop("airline"),
+            p.filter(F.col("data_source") == "aviationstack").drop("on_ground"),
+            p.filter(F.col("data_source") == "airlabs").drop("aircraft_type")]
+
+
+@query("merge_sources", sql("""
+SELECT seq, icao24, callsign, origin_country, latitude, longitude, altitude, speed, heading,
+       CASE WHEN data_source = 'aviationstack' THEN NULL ELSE on_ground END AS on_ground,
+       CASE WHEN data_source = 'opensky' THEN NULL ELSE airline END AS airline,
+       CASE WHEN data_source = 'airlabs' THEN NULL ELSE aircraft_type END AS aircraft_type,
+       data_source, extraction_time,
+       CASE data_source WHEN 'opensky' THEN 0 WHEN 'aviationstack' THEN 1 WHEN 'airlabs' THEN 2 ELSE 3 END
+         AS source_rank
+FROM positions""", "positions"))
+def q_merge_sources(spark, d):
+    return merge.merge_sources(_source_parts(spark, d))
+
+
+@query("dedupe_first", sql(f"SELECT {HISTORY_COLS} FROM snap", "snap"))
+def q_dedupe_first(spark, d):
+    return snapshot(spark, d)
+
+
+@query("rank_by_quality", sql("""
+SELECT icao24, data_quality_score, extraction_time FROM snap
+ORDER BY data_quality_score DESC, extraction_time DESC, icao24""", "snap"))
+def q_rank_by_quality(spark, d):
+    return merge.rank_by_quality(snapshot(spark, d)).select("icao24", "data_quality_score", "extraction_time")
+
+
+@query("realtime_summary", sql(f"""
+SELECT count(*) AS total_flights,
+       count(DISTINCT origin_country) + max(CAST(origin_country IS NULL AS INTEGER)) AS countries,
+       count(DISTINCT airline) AS airlines, count(DISTINCT aircraft_type) AS aircraft_types,
+       {r6('avg(data_quality_score)')} AS avg_quality_score,
+       count(*) FILTER (WHERE data_quality_score >= 80) AS high_quality_flights,
+       count(*) FILTER (WHERE has_position) AS with_position,
+       count(*) FILTER (WHERE has_speed) AS with_speed,
+       count(*) FILTER (WHERE has_altitude) AS with_altitude
+FROM snap""", "snap"))
+def q_realtime_summary(spark, d):
+    return rounded(realtime.realtime_summary(snapshot(spark, d)), "avg_quality_score")
+
+
+@query("rt_global_overview", sql("""
+SELECT count(*) AS total_flights,
+       count(DISTINCT origin_country) + max(CAST(origin_country IS NULL AS INTEGER)) AS countries_active,
+       count(DISTINCT airline) + max(CAST(airline IS NULL AS INTEGER)) AS airlines_active,
+       count(*) FILTER (WHERE data_source = 'opensky') AS flights_opensky,
+       count(*) FILTER (WHERE data_source = 'aviationstack') AS flights_aviationstack,
+       count(*) FILTER (WHERE data_source = 'airlabs') AS flights_airlabs
+FROM snap""", "snap"))
+def q_rt_global_overview(spark, d):
+    return realtime.rt_global_overview(snapshot(spark, d))
+
+
+@query("rt_region_distribution", sql("""
+SELECT region, count(*) AS flight_count FROM snap WHERE region IS NOT NULL GROUP BY region
+ORDER BY flight_count DESC, region""", "snap"))
+def q_rt_region_distribution(spark, d):
+    return realtime.rt_region_distribution(snapshot(spark, d))
+
+
+@query("rt_altitude_stats", sql(f"""
+SELECT {r6('avg(altitude)')} AS avg_altitude, max(altitude) AS max_altitude,
+       count(*) FILTER (WHERE altitude > 30000) AS flights_above_30k FROM snap""", "snap"))
+def q_rt_altitude_stats(spark, d):
+    return rounded(realtime.rt_altitude_stats(snapshot(spark, d)), "avg_altitude")
+
+
+@query("rt_speed_stats", sql(f"""
+SELECT {r6('avg(speed)')} AS avg_speed, max(speed) AS max_speed,
+       count(*) FILTER (WHERE speed > 343) AS supersonic_flights FROM snap""", "snap"))
+def q_rt_speed_stats(spark, d):
+    return rounded(realtime.rt_speed_stats(snapshot(spark, d)), "avg_speed")
+
+
+@query("rt_quality_stats", sql(f"""
+SELECT {r6('avg(data_quality_score)')} AS avg_quality_score,
+       {r6("CAST(count(*) FILTER (WHERE data_quality_score >= 80) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE)")}
+         AS high_quality_percentage
+FROM snap""", "snap"))
+def q_rt_quality_stats(spark, d):
+    return rounded(realtime.rt_quality_stats(snapshot(spark, d)), "avg_quality_score",
+                   "high_quality_percentage")
+
+
+@query("rt_top_airlines", sql("""
+SELECT airline, count(*) AS flight_count FROM snap WHERE airline IS NOT NULL GROUP BY airline
+ORDER BY flight_count DESC, airline LIMIT 10""", "snap"))
+def q_rt_top_airlines(spark, d):
+    return realtime.rt_top_airlines(snapshot(spark, d))
+
+
+@query("rt_top_countries", sql("""
+SELECT origin_country, count(*) AS flight_count FROM snap WHERE origin_country IS NOT NULL
+GROUP BY origin_country ORDER BY flight_count DESC, origin_country LIMIT 10""", "snap"))
+def q_rt_top_countries(spark, d):
+    return realtime.rt_top_countries(snapshot(spark, d))
+
+
+@query("source_extract_stats", sql("""
+SELECT data_source, count(*) AS flights,
+       count(DISTINCT origin_country) + max(CAST(origin_country IS NULL AS INTEGER)) AS countries
+FROM positions
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND (data_source <> 'opensky' OR icao24 IS NOT NULL)
+  AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
+GROUP BY data_source""", "positions"))
+def q_source_extract_stats(spark, d):
+    return realtime.source_extract_stats(positions(spark, d))
+
+
+@query("source_last_update", sql(f"""
+SELECT data_source, count(*) AS flights, {r6('avg(data_quality_score)')} AS avg_quality,
+       max(extraction_time) AS last_update FROM rt GROUP BY data_source""", "rt"))
+def q_source_last_update(spark, d):
+    return rounded(realtime.source_last_update(history(spark, d)), "avg_quality")
+
+
+@query("latest_flights", sql("""
+SELECT callsign, origin_country, region, data_source, extraction_time FROM rt
+ORDER BY extraction_time DESC, seq DESC LIMIT 10""", "rt"))
+def q_latest_flights(spark, d):
+    return realtime.latest_flights(history(spark, d))
+
+
+@query("load_metadata", sql(f"""
+SELECT 'realtime_global_flights' AS table_name, count(*) AS record_count,
+       TIMESTAMP '2025-07-12 13:42:58' AS last_updated, {r6('avg(data_quality_score)')} AS data_quality_avg
+FROM snap""", "snap"))
+def q_load_metadata(spark, d):
+    meta = realtime.load_metadata(snapshot(spark, d), run_ts=RUN_TS)
+    return rounded(meta.drop("data_sources"), "data_quality_avg")
+
+
+# ------------------------------------------------------------- §2.10 live views
+
+AS_OF_SQL = "(SELECT max(extraction_time) FROM rt)"
+
+
+def _live(spark, d):
+    hist = history(spark, d)
+    return hist, live.resolve_as_of(hist)
+
+
+def _trail(minutes: int) -> str:
+    return f"extraction_time >= {AS_OF_SQL} - INTERVAL {minutes} MINUTE"
+
+
+@query("live_flights", sql(f"""
+SELECT {', '.join(live.LIVE_COLUMNS)} FROM rt
+WHERE {_trail(60)} AND latitude IS NOT NULL AND longitude IS NOT NULL
+ORDER BY extraction_time DESC, seq DESC LIMIT 1000""", "rt"))
+def q_live_flights(spark, d):
+    hist, as_of = _live(spark, d)
+    return live.live_flights(hist, as_of)
+
+
+@query("regional_stats", sql(f"""
+SELECT region, count(*) AS flight_count, {r6('avg(altitude)')} AS avg_altitude,
+       {r6('avg(speed)')} AS avg_speed, {r6('avg(data_quality_score)')} AS avg_quality,
+       count(DISTINCT origin_country) AS countries, count(DISTINCT airline) AS airlines
+FROM rt WHERE {_trail(60)} GROUP BY region ORDER BY flight_count DESC, region""", "rt"))
+def q_regional_stats(spark, d):
+    hist, as_of = _live(spark, d)
+    return rounded(live.regional_stats(hist, as_of), "avg_altitude", "avg_speed", "avg_quality")
+
+
+@query("flight_map", sql(f"""
+SELECT latitude AS lat, longitude AS lon,
+       CASE WHEN callsign IS NULL OR callsign = '' THEN 'Unknown' ELSE callsign END AS callsign,
+       coalesce(altitude, 0.0) AS altitude, coalesce(speed, 0.0) AS speed,
+       CASE WHEN airline IS NULL OR airline = '' THEN 'Unknown' ELSE airline END AS airline,
+       CASE WHEN origin_country IS NULL OR origin_country = '' THEN 'Unknown' ELSE origin_country END AS country,
+       CASE WHEN region IS NULL OR region = '' THEN 'Unknown' ELSE region END AS region,
+       CASE WHEN data_source IS NULL OR data_source = '' THEN 'Unknown' ELSE data_source END AS source
+FROM (SELECT * FROM rt WHERE {_trail(30)} AND latitude IS NOT NULL AND longitude IS NOT NULL
+        AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
+      ORDER BY extraction_time DESC, seq DESC LIMIT 2000)""", "rt"))
+def q_flight_map(spark, d):
+    hist, as_of = _live(spark, d)
+    return live.flight_map(hist, as_of)
+
+
+@query("source_quality", sql(f"""
+SELECT data_source, count(*) AS total_flights, {r6('avg(data_quality_score)')} AS avg_quality,
+       count(*) FILTER (WHERE has_position) AS with_position, count(*) FILTER (WHERE has_speed) AS with_speed,
+       count(*) FILTER (WHERE has_altitude) AS with_altitude,
+       count(*) FILTER (WHERE data_quality_score >= 80) AS high_quality
+FROM rt WHERE {_trail(60)} GROUP BY data_source ORDER BY total_flights DESC, data_source""", "rt"))
+def q_source_quality(spark, d):
+    hist, as_of = _live(spark, d)
+    return rounded(live.source_quality(hist, as_of), "avg_quality")
+
+
+@query("live_metrics", sql(f"""
+SELECT count(*) AS total_flights, count(DISTINCT origin_country) AS countries,
+       count(DISTINCT airline) AS airlines, count(DISTINCT aircraft_type) AS aircraft_types,
+       {r6('avg(altitude)')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed, max(speed) AS max_speed,
+       {r6('avg(data_quality_score)')} AS avg_quality
+FROM rt WHERE {_trail(30)}""", "rt"))
+def q_live_metrics(spark, d):
+    hist, as_of = _live(spark, d)
+    return rounded(live.live_metrics(hist, as_of), "avg_altitude", "avg_speed", "avg_quality")
+
+
+@query("altitude_distribution", sql(f"""
+SELECT {ALT_BAND_SQL} AS altitude_range, count(*) AS count FROM rt
+WHERE {_trail(30)} AND altitude IS NOT NULL GROUP BY 1 ORDER BY count DESC, altitude_range""", "rt"))
+def q_altitude_distribution(spark, d):
+    hist, as_of = _live(spark, d)
+    return live.altitude_distribution(hist, as_of)
+
+
+# ------------------------------------------------- §2.11 features and anomalies
+
+FEATURE_COLS = ", ".join(ml.FEATURE_COLUMNS)
+
+
+@query("ml_features", sql(f"SELECT {FEATURE_COLS} FROM features", "features"))
+def q_ml_features(spark, d):
+    return ml.ml_features(flights(spark, d))
+
+
+@query("feature_summary", sql(f"""
+SELECT count(*) AS total_records, {r6('avg(is_delayed)')} AS delay_rate,
+       count(DISTINCT airline) AS airlines_count, count(DISTINCT route) AS routes_count FROM features""",
+                              "features"))
+def q_feature_summary(spark, d):
+    return rounded(ml.feature_summary(ml.ml_features(flights(spark, d))), "delay_rate")
+
+
+_ENC = ", ".join(
+    f"CAST(dense_rank() OVER (ORDER BY coalesce(CAST({c} AS VARCHAR), 'nan')) - 1 AS INTEGER) AS {c}"
+    for c in ml.CATEGORICAL)
+_PLAIN = ", ".join(c for c in ml.FEATURE_COLUMNS if c not in ml.CATEGORICAL)
+
+
+@query("encode_labels", sql(f"SELECT {_PLAIN}, {_ENC} FROM features", "features"))
+def q_encode_labels(spark, d):
+    return ml.encode_labels(ml.ml_features(flights(spark, d)))
+
+
+def _recent_sql(lookback_days: int | None) -> str:
+    where = ("scheduled_departure IS NOT NULL" if lookback_days is None else
+             "scheduled_departure >= CAST((SELECT CAST(max(scheduled_departure) AS DATE) FROM flights) AS TIMESTAMP)"
+             f" - INTERVAL {lookback_days} DAY")
+    return f"""SELECT flight_number, airline, origin_airport, destination_airport, flight_duration_minutes, status,
+       scheduled_departure, CAST(hour(scheduled_departure) AS INTEGER) AS departure_hour
+FROM flights WHERE {where}"""
+
+
+def _duration_sql(lookback):
+    return sql(f"""
+SELECT 'duration_anomaly' AS type, flight_number, airline, origin_airport || ' -> ' || destination_airport AS route,
+       flight_duration_minutes AS actual_duration, {r6('avg_duration')} AS expected_duration,
+       {r6('deviation')} AS deviation, CASE WHEN deviation > 3 THEN 'high' ELSE 'medium' END AS severity
+FROM (SELECT r.*, s.avg_duration,
+             abs(r.flight_duration_minutes - s.avg_duration) / nullif(coalesce(s.std_duration, 1.0), 0.0) AS deviation
+      FROM recent r LEFT JOIN (
+        SELECT origin_airport, destination_airport, avg(flight_duration_minutes) AS avg_duration,
+               stddev_samp(flight_duration_minutes) AS std_duration
+        FROM recent GROUP BY 1, 2) s USING (origin_airport, destination_airport))
+WHERE deviation > 2""", "flights", local=(("recent", _recent_sql(lookback)),))
+
+
+def _recent(spark, d, lookback_days: int | None = 7):
+    f = flights(spark, d)
+    as_of = None
+    if lookback_days is not None:
+        as_of = f.agg(F.max("scheduled_departure").cast("date")).first()[0]
+    return anomalies.recent_flights(f, as_of, lookback_days)
+
+
+@query("duration_anomalies", _duration_sql(7))
+def q_duration_anomalies(spark, d):
+    return rounded(anomalies.duration_anomalies(_recent(spark, d, 7)), "expected_duration", "deviation")
+
+
+@query("duration_anomalies_all_dates", _duration_sql(None))
+def q_duration_anomalies_all(spark, d):
+    return rounded(anomalies.duration_anomalies(_recent(spark, d, None)), "expected_duration", "deviation")
+
+
+def _scheduling_sql(lookback):
+    return sql("""
+SELECT 'scheduling_anomaly' AS type, flight_number, airline,
+       origin_airport || ' -> ' || destination_airport AS route, departure_hour, 'low' AS severity
+FROM recent WHERE departure_hour IN (
+  SELECT departure_hour FROM hc WHERE n < (SELECT quantile_cont(CAST(n AS DOUBLE), 0.1) FROM hc))""",
+               "flights", local=(("recent", _recent_sql(lookback)),
+                                 ("hc", "SELECT departure_hour, count(*) AS n FROM recent "
+                                        "WHERE departure_hour IS NOT NULL GROUP BY 1")))
+
+
+@query("scheduling_anomalies", _scheduling_sql(7))
+def q_scheduling_anomalies(spark, d):
+    return anomalies.scheduling_anomalies(_recent(spark, d, 7))
+
+
+@query("scheduling_anomalies_all_dates", _scheduling_sql(None))
+def q_scheduling_anomalies_all(spark, d):
+    return anomalies.scheduling_anomalies(_recent(spark, d, None))
+
+
+def _performance_sql(lookback, share):
+    return sql(f"""
+SELECT 'performance_anomaly' AS type, airline, {r6('delay_rate')} AS delay_rate,
+       CASE WHEN delay_rate > 0.5 THEN 'high' ELSE 'medium' END AS severity
+FROM (SELECT airline, avg(CAST(status IN ('Delayed', 'Cancelled') AS DOUBLE)) AS delay_rate
+      FROM recent GROUP BY airline)
+WHERE delay_rate > {share}""", "flights", local=(("recent", _recent_sql(lookback)),))
+
+
+@query("performance_anomalies", _performance_sql(7, 0.3))
+def q_performance_anomalies(spark, d):
+    return rounded(anomalies.performance_anomalies(_recent(spark, d, 7)), "delay_rate")
+
+
+@query("performance_anomalies_share_066", _performance_sql(None, 0.66))
+def q_performance_anomalies_066(spark, d):
+    return rounded(anomalies.performance_anomalies(_recent(spark, d, None), share=0.66), "delay_rate")
+
+
+def _all_anomalies_sql(lookback):
+    dur = _duration_sql(lookback).split("\n", 1)
+    return f"""
+SELECT 'duration_anomaly' AS type, flight_number, airline, route, actual_duration, expected_duration, deviation,
+       CAST(NULL AS INTEGER) AS departure_hour, CAST(NULL AS DOUBLE) AS delay_rate, severity
+FROM ({_inner(_duration_sql(lookback))})
+UNION ALL
+SELECT 'scheduling_anomaly', flight_number, airline, route, NULL, NULL, NULL, departure_hour, NULL, severity
+FROM ({_inner(_scheduling_sql(lookback))})
+UNION ALL
+SELECT 'performance_anomaly', NULL, airline, NULL, NULL, NULL, NULL, NULL, delay_rate, severity
+FROM ({_inner(_performance_sql(lookback, 0.3))})""" if dur else ""
+
+
+def _inner(text: str) -> str:
+    # the oracle texts are self-contained WITH queries; DuckDB accepts them as subqueries
+    return text
+
+
+@query("anomaly_report", f"""
+SELECT t.type, coalesce(c.anomaly_count, 0) AS anomaly_count,
+       (SELECT count(*) FROM ({_all_anomalies_sql(7)})) AS total_anomalies
+FROM (VALUES ('duration_anomaly', 0), ('scheduling_anomaly', 1), ('performance_anomaly', 2)) t(type, type_rank)
+LEFT JOIN (SELECT type, count(*) AS anomaly_count FROM ({_all_anomalies_sql(7)}) GROUP BY type) c
+  ON t.type = c.type""")
+def q_anomaly_report(spark, d):
+    return anomalies.anomaly_report(_recent(spark, d, 7))
+
+
+@query("anomaly_list", f"""
+SELECT type, flight_number, airline, route, actual_duration, expected_duration, deviation, departure_hour,
+       delay_rate, severity
+FROM ({_all_anomalies_sql(7)})
+ORDER BY CASE type WHEN 'duration_anomaly' THEN 0 WHEN 'scheduling_anomaly' THEN 1 ELSE 2 END,
+         deviation DESC NULLS LAST, flight_number, airline, route, departure_hour, actual_duration, delay_rate
+LIMIT 20""")
+def q_anomaly_list(spark, d):
+    recent = _recent(spark, d, 7)
+    out = anomalies.anomaly_list(recent)
+    return rounded(out, "expected_duration", "deviation", "delay_rate")
