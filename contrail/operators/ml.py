@@ -73,18 +73,23 @@ def encode_labels(features: DataFrame, model=None, cols=CATEGORICAL) -> DataFram
 
 
 def stratified_split(df: DataFrame, label: str = LABEL, train_fraction: float = 0.8, seed: int = 42,
-                     buckets: int = 1 << 16, split_col: str = "split") -> DataFrame:
+                     buckets: int = 1 << 16, split_col: str = "split", materialize: bool = True) -> DataFrame:
     """Exact stratified split: per label, round(train_fraction * n) rows go to
     'train', chosen by a seeded row hash; the rest go to 'test'.
 
     No global sort and no single-partition window over the data: rows are
     hashed into ``buckets``; the per-(label, bucket) counts (at most
     labels x buckets rows) give each label's boundary bucket, and only that
-    one bucket (~n / buckets rows) is ranked row by row.
+    one bucket (~n / buckets rows) is ranked row by row. The input is read
+    three times (counts, boundary rows, the rest), so by default the hashed
+    rows are materialised once with a reliable checkpoint in the shared
+    checkpoint dir (which also survives executor loss).
     """
     cols = df.columns
     h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
     hashed = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
+    if materialize:
+        hashed = hashed.checkpoint(eager=True)
     counts = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = counts.withColumn("_cum", F.sum("_n").over(w))
@@ -107,7 +112,7 @@ def stratified_split(df: DataFrame, label: str = LABEL, train_fraction: float =
     return inner.unionByName(outer).select(*cols, split_col)
 
 
-def delay_pipeline(num_trees: int = 100, max_depth: int = 10, seed: int = 42,
+def delay_pipeline(num_trees: int = 100, max_depth: int = 8, seed: int = 42,
                    features=FEATURES, cols=CATEGORICAL) -> Pipeline:
     """Encoders -> numeric codes -> assembler -> random forest.
 
@@ -122,7 +127,8 @@ def delay_pipeline(num_trees: int = 100, max_depth: int = 10, seed: int = 42,
     inputs = [f"{c}__num" if c in cols else c for c in features]
     asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
-                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt")
+                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
+                                maxMemoryInMB=1024, cacheNodeIds=True)
     return Pipeline(stages=[idx, strip, asm, rf])
 
 
@@ -143,8 +149,9 @@ def score_delays(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 def feature_importance(model: PipelineModel, features=FEATURES) -> DataFrame:
     """(feature, importance, rank): a 9-row frame from the model metadata."""
+    from pyspark.sql import SparkSession
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    spark = model.stages[0]._java_obj and __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     rows = sorted(zip(features, imp), key=lambda kv: (-kv[1], kv[0]))
     return spark.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(rows)],
                                  "feature string, importance double, rank int")

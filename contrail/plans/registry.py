@@ -871,3 +871,315 @@ def q_anomaly_list(spark, d):
     recent = _recent(spark, d, 7)
     out = anomalies.anomaly_list(recent)
     return rounded(out, "expected_duration", "deviation", "delay_rate")
+
+
+# ------------------------------------------------------ §2.11 delay classifier
+
+_MODELS: dict = {}
+
+
+def _features(spark, d):
+    return ml.ml_features(flights(spark, d))
+
+
+def _split(spark, d):
+    return ml.stratified_split(_features(spark, d))
+
+
+def _trained(spark, d):
+    """Fit once per session and data dir; later keys reuse the fitted model.
+
+    The split frame is checkpointed (reliable checkpoint in the shared dir)
+    so train and test are cut from one materialised assignment.
+    """
+    k = (id(spark.sparkContext), d)
+    if k not in _MODELS:
+        split = _split(spark, d)
+        train = split.filter(F.col("split") == "train").drop("split")
+        test = split.filter(F.col("split") == "test").drop("split")
+        model = ml.train_delay_model(train)
+        _MODELS[k] = (model, train.count(), test)
+    return _MODELS[k]
+
+
+@query("stratified_split")
+def q_stratified_split(spark, d):
+    return _split(spark, d)
+
+
+@query("stratified_split_counts", sql("""
+SELECT is_delayed, 'train' AS split, CAST(floor(n * 0.8 + 0.5) AS BIGINT) AS n FROM by_label
+UNION ALL
+SELECT is_delayed, 'test' AS split, n - CAST(floor(n * 0.8 + 0.5) AS BIGINT) AS n FROM by_label""", "features",
+    local=(("by_label", "SELECT is_delayed, count(*) AS n FROM features GROUP BY 1"),)))
+def q_stratified_split_counts(spark, d):
+    return _split(spark, d).groupBy(ml.LABEL, "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("train_delay_model")
+def q_train_delay_model(spark, d):
+    model, _n, _test = _trained(spark, d)
+    return ml.feature_importance(model)
+
+
+@query("score_delays")
+def q_score_delays(spark, d):
+    model, _n, test = _trained(spark, d)
+    return ml.score_delays(model, test).select(*ml.FEATURE_COLUMNS, "prediction", "probability")
+
+
+@query("model_metrics")
+def q_model_metrics(spark, d):
+    model, n_train, test = _trained(spark, d)
+    return ml.model_metrics(ml.score_delays(model, test), n_train, model)
+
+
+@query("save_model")
+def q_save_model(spark, d):
+    from pyspark.ml import PipelineModel
+
+    from contrail.session import scratch_path
+    model, _n, _test = _trained(spark, d)
+    path = ml.save_model(model, scratch_path(spark, "delay_model"))
+    return ml.feature_importance(PipelineModel.load(path))
+
+
+@query("insight_rules")
+def q_insight_rules(spark, d):
+    model, n_train, test = _trained(spark, d)
+    metrics = ml.model_metrics(ml.score_delays(model, test), n_train, model)
+    report = anomalies.anomaly_report(_recent(spark, d, 7))
+    long = (metrics.select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
+            .unionByName(report.select(F.col("type").alias("metric"), F.col("anomaly_count").cast("double").alias("value")))
+            .unionByName(report.limit(1).select(F.lit("total_anomalies").alias("metric"),
+                                                F.col("total_anomalies").cast("double").alias("value"))))
+    top = metrics.select(F.col("top_feature").alias("feature"))
+    return anomalies.insight_rules(long, top)
+
+
+# ------------------------------------------------------ §2.1 sources (round trips)
+
+def _scratch(spark, name):
+    from contrail.session import scratch_path
+    return scratch_path(spark, name)
+
+
+def _epoch_s(c):
+    return F.unix_timestamp(F.col(c).cast("timestamp"))
+
+
+@query("ingest_state_vectors", sql("""
+SELECT icao24, callsign, origin_country, t AS time_position, t AS last_contact, longitude, latitude,
+       altitude AS baro_altitude, on_ground, speed AS velocity, heading AS true_track,
+       CAST(NULL AS DOUBLE) AS vertical_rate, CAST(NULL AS VARCHAR) AS sensors, altitude AS geo_altitude,
+       CAST(NULL AS VARCHAR) AS squawk, false AS spi, 0 AS position_source, data_timestamp,
+       TIMESTAMP '2025-07-12 13:42:58' AS extraction_time, 'opensky' AS data_source
+FROM (SELECT *, CAST(floor(epoch(extraction_time)) AS BIGINT) AS t,
+             max(CAST(floor(epoch(extraction_time)) AS BIGINT)) OVER (PARTITION BY seq // 1000) AS data_timestamp
+      FROM positions WHERE data_source = 'opensky')
+WHERE seq % 10 <> 4""", "positions"))
+def q_ingest_state_vectors(spark, d):
+    from contrail.sources import landing, landing_writers as lw
+    p = positions(spark, d).filter(F.col("data_source") == "opensky")
+    st = p.select("seq", "icao24", "callsign", "origin_country",
+                  _epoch_s("extraction_time").alias("time_position"),
+                  _epoch_s("extraction_time").alias("last_contact"), "longitude", "latitude",
+                  F.col("altitude").alias("baro_altitude"), "on_ground", F.col("speed").alias("velocity"),
+                  F.col("heading").alias("true_track"), F.lit(None).cast("double").alias("vertical_rate"),
+                  F.lit(None).cast("string").alias("sensors"), F.col("altitude").alias("geo_altitude"),
+                  F.lit(None).cast("string").alias("squawk"), F.lit(False).alias("spi"),
+                  F.lit(0).alias("position_source"))
+    full = lw.state_vector_json(st)
+    # vary the slot count as live feeds do: 18 slots (cut to 17) and 16 slots (dropped)
+    state = (F.when(F.col("seq") % 10 == 2, F.regexp_replace("_full", r"\]$", ',"extra"]'))
+             .when(F.col("seq") % 10 == 4, F.regexp_replace("_full", r",[^,]*\]$", "]"))
+             .otherwise(F.col("_full")))
+    docs = st.withColumn("_full", full).withColumn("state_json", state)
+    path = lw.write_state_vector_snapshots(docs, _scratch(spark, "landing-opensky"))
+    return landing.ingest_state_vectors(spark, path, run_ts=RUN_TS)
+
+
+@query("ingest_nested_live", sql(f"""
+SELECT icao24, coalesce(callsign, '') AS callsign, coalesce(origin_country, '') AS origin_country,
+       latitude, longitude, altitude, speed, heading, '' AS departure_airport, '' AS arrival_airport,
+       coalesce(airline, '') AS airline, coalesce(aircraft_type, '') AS aircraft_type, 'active' AS flight_status,
+       'aviationstack' AS data_source, TIMESTAMP '2025-07-12 13:42:58' AS extraction_time,
+       {_region_sql()} AS region
+FROM positions
+WHERE data_source = 'aviationstack' AND seq % 10 <> 5
+  AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180""", "positions"))
+def q_ingest_nested_live(spark, d):
+    from contrail.sources import landing, landing_writers as lw
+    p = positions(spark, d).filter(F.col("data_source") == "aviationstack")
+    live_obj = F.when(F.col("seq") % 10 == 5, F.lit(None)).otherwise(F.struct(
+        F.col("latitude").alias("latitude"), F.col("longitude").alias("longitude"),
+        F.col("altitude").alias("altitude"), F.col("speed").alias("speed_horizontal"),
+        F.col("heading").alias("direction")))
+    rec = p.select("seq",
+                   F.struct(F.col("icao24").alias("icao"), F.col("callsign").alias("iata")).alias("flight"),
+                   F.struct(F.col("origin_country").alias("country")).alias("departure"),
+                   F.struct(F.lit(None).cast("string").alias("iata")).alias("arrival"),
+                   F.struct(F.col("airline").alias("iata")).alias("airline"),
+                   F.struct(F.col("aircraft_type").alias("iata")).alias("aircraft"),
+                   live_obj.alias("live"), F.lit("active").alias("flight_status"))
+    path = lw.write_documents(rec, _scratch(spark, "landing-aviationstack"), "data")
+    return landing.ingest_nested_live(spark, path, run_ts=RUN_TS)
+
+
+@query("ingest_flat_live", sql(f"""
+SELECT icao24, coalesce(callsign, '') AS callsign, coalesce(origin_country, '') AS origin_country,
+       latitude, longitude, altitude, speed, heading, CAST(NULL AS DOUBLE) AS vertical_speed,
+       '' AS departure_airport, '' AS arrival_airport, coalesce(airline, '') AS airline,
+       coalesce(aircraft_type, '') AS aircraft_type, 'R-' || icao24 AS registration, '' AS squawk,
+       'airlabs' AS data_source, TIMESTAMP '2025-07-12 13:42:58' AS extraction_time,
+       CAST(floor(epoch(extraction_time)) AS BIGINT) AS updated_timestamp, {_region_sql()} AS region
+FROM positions
+WHERE data_source = 'airlabs' AND seq % 10 <> 6
+  AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180""", "positions"))
+def q_ingest_flat_live(spark, d):
+    from contrail.sources import landing, landing_writers as lw
+    p = positions(spark, d).filter(F.col("data_source") == "airlabs")
+    rec = p.select("seq", F.col("icao24").alias("hex"), F.col("callsign").alias("flight_iata"),
+                   F.col("origin_country").alias("flag"),
+                   F.when(F.col("seq") % 10 == 6, F.lit(None)).otherwise(F.col("latitude")).alias("lat"),
+                   F.col("longitude").alias("lng"), F.col("altitude").alias("alt"), "speed",
+                   F.col("heading").alias("dir"), F.col("airline").alias("airline_iata"),
+                   F.col("aircraft_type").alias("aircraft_icao"),
+                   F.concat(F.lit("R-"), F.col("icao24")).alias("reg_number"),
+                   _epoch_s("extraction_time").alias("updated"))
+    path = lw.write_documents(rec, _scratch(spark, "landing-airlabs"), "response")
+    return landing.ingest_flat_live(spark, path, run_ts=RUN_TS)
+
+
+def _csv_schema():
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(c, T.StringType()) for c in (
+        "flight_number", "airline", "origin_airport", "destination_airport", "scheduled_departure",
+        "scheduled_arrival", "aircraft_type", "status", "gate", "note")])
+
+
+@query("read_csv_lenient", sql("""
+SELECT flight_number, airline, origin_airport, destination_airport,
+       strftime(scheduled_departure, '%Y-%m-%d %H:%M:%S.%f') AS scheduled_departure,
+       strftime(scheduled_arrival, '%Y-%m-%d %H:%M:%S.%f') AS scheduled_arrival, aircraft_type, status, gate,
+       CASE WHEN gate LIKE '%3' THEN NULL ELSE status || ', ' || aircraft_type END AS note
+FROM flights WHERE gate NOT LIKE '%7'""", "flights"))
+def q_read_csv_lenient(spark, d):
+    from contrail.sources import landing, landing_writers as lw
+    f = flights(spark, d)
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    base = [F.col("flight_number"), F.col("airline"), F.col("origin_airport"), F.col("destination_airport"),
+            F.date_format("scheduled_departure", fmt), F.date_format("scheduled_arrival", fmt),
+            F.col("aircraft_type"), F.col("status"), F.col("gate")]
+    note = F.concat(F.col("status"), F.lit(", "), F.col("aircraft_type"))
+    line = (F.when(F.col("gate").endswith("7"), lw.csv_line(*base, note, F.lit("surplus")))
+            .when(F.col("gate").endswith("3"), lw.csv_line(*base))
+            .otherwise(lw.csv_line(*base, note)))
+    path = _scratch(spark, "landing-schedule-csv")
+    f.select(line.alias("value")).write.text(path)
+    return landing.read_csv_lenient(spark, path, _csv_schema())
+
+
+@query("read_or_empty", sql(f"SELECT {POSITION_COLS} FROM positions", "positions"))
+def q_read_or_empty(spark, d):
+    from contrail.sources import landing
+    p = positions(spark, d)
+    path = _scratch(spark, "stage-positions")
+    p.write.parquet(path)
+    present = landing.read_or_empty(spark, path, p.schema)
+    missing = landing.read_or_empty(spark, path + "-never-written", p.schema)
+    return present.unionByName(missing)
+
+
+@query("airport_dimension", sql("""
+SELECT code, name, city, country, latitude, longitude, DATE '2025-07-13' AS extraction_date FROM airports""",
+                                "airports"))
+def q_airport_dimension(spark, d):
+    from contrail.sources import landing
+    path = _scratch(spark, "landing-airports")
+    airports(spark, d).drop("extraction_date").write.option("header", True).csv(path)
+    return landing.airport_dimension(spark, path, _dt.date(2025, 7, 13))
+
+
+@query("read_report_json", sql(f"""
+SELECT origin_airport, destination_airport, flight_count, airline_count, avg_duration_minutes
+FROM ({ROUTE_TRAFFIC_SQL})""", "flights"))
+def q_read_report_json(spark, d):
+    from contrail.sources import landing, sinks
+    report = reports.route_traffic_report(rounded(flights(spark, d), "flight_duration_minutes")
+                                          if False else flights(spark, d), as_of=RUN_TS)
+    path = sinks.write_report_json(report, _scratch(spark, "report-airport-traffic"))
+    back = landing.read_report_json(spark, path, report.schema)
+    out = back.select(F.explode("top_routes").alias("r")).select("r.*")
+    return rounded(out, "avg_duration_minutes")
+
+
+# ------------------------------------------------------------------ §2.2 sinks
+
+@query("write_csv_export", sql("""
+SELECT flight_number, airline, origin_airport, destination_airport, scheduled_departure, status,
+       flight_duration_minutes FROM flights""", "flights"))
+def q_write_csv_export(spark, d):
+    from pyspark.sql import types as T
+
+    from contrail.sources import sinks
+    cols = ["flight_number", "airline", "origin_airport", "destination_airport", "scheduled_departure",
+            "status", "flight_duration_minutes"]
+    f = flights(spark, d).select(*cols)
+    path = _scratch(spark, "export-flights")
+    sinks.write_csv_export(f, path)
+    schema = T.StructType([T.StructField(c.name, c.dataType) for c in f.schema.fields])
+    return (spark.read.schema(schema).option("header", True).option("timestampNTZFormat", sinks.TS_FORMAT)
+            .csv(path))
+
+
+@query("load_replace", sql(f"SELECT {HISTORY_COLS} FROM snap", "snap"))
+def q_load_replace(spark, d):
+    from contrail.sources import sinks
+    name = "rt_snapshot_" + _scratch(spark, "t").rsplit("-", 1)[1]
+    status = sinks.load_replace(snapshot(spark, d), name, _scratch(spark, "table-rt-snapshot"))
+    sinks.raise_on_failures(status)
+    return spark.table(name)
+
+
+@query("declare_tables", sql("""
+SELECT icao24, callsign, origin_country, latitude, longitude, altitude, speed, heading, vertical_speed,
+       departure_airport, arrival_airport, airline, aircraft_type, registration, squawk, flight_status,
+       data_source, extraction_time, region, is_airborne, has_position, has_speed, has_altitude,
+       data_quality_score FROM snap""", "snap"))
+def q_declare_tables(spark, d):
+    from contrail.sources import sinks
+    suffix = _scratch(spark, "t").rsplit("-", 1)[1]
+    rt_name, meta_name = f"realtime_global_flights_{suffix}", f"realtime_flight_metadata_{suffix}"
+    sinks.declare_tables(spark, {
+        rt_name: (sinks.REALTIME_DDL, _scratch(spark, "table-realtime")),
+        meta_name: (sinks.METADATA_DDL, _scratch(spark, "table-metadata"))})
+    snap = snapshot(spark, d)
+    sinks.insert_replace(snap, rt_name)
+    sinks.insert_replace(realtime.load_metadata(snap, run_ts=RUN_TS), meta_name)
+    return spark.table(rt_name)
+
+
+@query("write_report_json")
+def q_write_report_json(spark, d):
+    from contrail.sources import sinks
+    report = reports.route_traffic_report(flights(spark, d), as_of=RUN_TS)
+    path = sinks.write_report_json(report, _scratch(spark, "report"))
+    return spark.read.schema(report.schema).json(path)
+
+
+@query("export_all", sql("""
+SELECT 'scheduled_flights' AS table_name, count(*) AS rows_exported FROM flights
+UNION ALL SELECT 'airports', count(*) FROM airports
+UNION ALL SELECT 'realtime_flights', count(*) FROM rt""", "flights", "airports", "rt"))
+def q_export_all(spark, d):
+    from contrail.sources import sinks
+    tables = {"scheduled_flights": flights(spark, d), "airports": airports(spark, d),
+              "realtime_flights": history(spark, d)}
+    paths = sinks.export_all(tables, _scratch(spark, "export"))
+    out = None
+    for name, path in paths.items():
+        one = (spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("rows_exported"))
+               .select(F.lit(name).alias("table_name"), "rows_exported"))
+        out = one if out is None else out.unionByName(one)
+    return out
