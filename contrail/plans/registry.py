@@ -1183,3 +1183,70 @@ def q_export_all(spark, d):
                .select(F.lit(name).alias("table_name"), "rows_exported"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# -------------------------------------------------------------- §2.14 streams
+
+def _landing(spark, d):
+    from contrail.streaming import positions as sp
+    return sp.write_landing(positions(spark, d), _scratch(spark, "landing-positions"))
+
+
+@query("stream_positions", sql(f"SELECT {HISTORY_COLS} FROM rt", "rt"))
+def q_stream_positions(spark, d):
+    from contrail.streaming import positions as sp
+    sink = _scratch(spark, "stream-history")
+    sp.stream_positions(spark, _landing(spark, d), sink, _scratch(spark, "ckpt-history"))
+    return spark.read.schema(realtime.history(positions(spark, d)).schema).parquet(sink)
+
+
+@query("stream_dedupe", sql("""
+SELECT DISTINCT icao24, time_bucket(INTERVAL 15 MINUTE, extraction_time) AS snapshot_start FROM rt""", "rt"))
+def q_stream_dedupe(spark, d):
+    from contrail.streaming import positions as sp
+    sink = _scratch(spark, "stream-dedupe")
+    stream = realtime.history(sp.read_stream(spark, _landing(spark, d)))
+    out = sp.stream_dedupe(stream).select("icao24", F.col("snapshot_start").cast("timestamp_ntz")
+                                          .alias("snapshot_start"))
+    w = (out.writeStream.format("parquet").outputMode("append").option("path", sink)
+         .option("checkpointLocation", _scratch(spark, "ckpt-dedupe")))
+    sp.run_available_now(w)
+    return spark.read.parquet(sink)
+
+
+@query("stream_snapshot", sql(f"""
+SELECT {HISTORY_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY extraction_time DESC, seq DESC) AS _rn FROM rt)
+WHERE _rn = 1""", "rt"))
+def q_stream_snapshot(spark, d):
+    from contrail.streaming import positions as sp
+    base = _scratch(spark, "table-latest")
+    sp.stream_snapshot(spark, _landing(spark, d), base, _scratch(spark, "ckpt-latest"))
+    return sp.read_latest_version(spark, base).select(*realtime.HISTORY_COLUMNS)
+
+
+@query("stream_region_windows", sql(f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, region, count(*) AS flight_count,
+       {r6('avg(altitude)')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed,
+       {r6('avg(data_quality_score)')} AS avg_quality
+FROM (SELECT rt.*, time_bucket(INTERVAL 15 MINUTE, extraction_time) - s.k * INTERVAL 15 MINUTE AS window_start
+      FROM rt, (VALUES (0), (1), (2), (3)) s(k))
+GROUP BY window_start, region""", "rt"))
+def q_stream_region_windows(spark, d):
+    from contrail.streaming import positions as sp
+    base = _scratch(spark, "table-region-windows")
+    sp.stream_region_windows(spark, _landing(spark, d), base, _scratch(spark, "ckpt-region-windows"))
+    return rounded(sp.read_latest_version(spark, base), "avg_altitude", "avg_speed", "avg_quality")
+
+
+@query("feed_alerts", sql(f"""
+SELECT data_source, 'low_quality' AS alert, {r6('avg_quality')} AS value FROM lu WHERE avg_quality < 70
+UNION ALL
+SELECT data_source, 'stale', CAST(epoch({AS_OF_SQL}) - epoch(last_update) AS DOUBLE) FROM lu
+WHERE last_update < {AS_OF_SQL} - INTERVAL 30 MINUTE""", "rt", local=(
+    ("lu", "SELECT data_source, avg(data_quality_score) AS avg_quality, max(extraction_time) AS last_update "
+           "FROM rt GROUP BY data_source"),)))
+def q_feed_alerts(spark, d):
+    from contrail.streaming import positions as sp
+    hist, as_of = _live(spark, d)
+    return rounded(sp.feed_alerts(realtime.source_last_update(hist), as_of), "value")
