@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from contrail.functions import scoring
 from contrail.functions.scoring import pct_half_up_sql
 from contrail.operators import anomalies, checks, cleaning, live, merge, ml, realtime, reports
+from contrail.plans import warehouse
 from contrail.plans.oracle import clean_sql, r6, sql
 from contrail.sources import testdata
 
@@ -44,7 +45,8 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
 # ---------------------------------------------------------------- views
 
 def flights(spark, d):
-    return testdata.flights(spark, d)
+    """The scheduled-flights stage table (built once per session)."""
+    return warehouse.scheduled_flights(spark, d)
 
 
 def positions(spark, d):
@@ -52,15 +54,15 @@ def positions(spark, d):
 
 
 def airports(spark, d):
-    return testdata.airports(spark, d)
+    return warehouse.airports(spark, d)
 
 
 def history(spark, d):
-    return realtime.history(testdata.positions(spark, d))
+    return warehouse.realtime_history(spark, d)
 
 
 def snapshot(spark, d):
-    return realtime.snapshot(history(spark, d))
+    return warehouse.realtime_snapshot(spark, d)
 
 
 FLIGHT_COLS = ("flight_number, airline, origin_airport, destination_airport, scheduled_departure, "
@@ -76,6 +78,12 @@ def q_scan_table(spark, d):
     return flights(spark, d)
 
 
+@query("flight_etl", sql(f"SELECT {FLIGHT_COLS} FROM flights", "flights"))
+def q_flight_etl(spark, d):
+    """The extract-and-join job itself, straight from the driver tables."""
+    return testdata.flights(spark, d)
+
+
 @query("scan_positions", sql(f"SELECT {POSITION_COLS} FROM positions", "positions"))
 def q_scan_positions(spark, d):
     return positions(spark, d)
