@@ -112,7 +112,7 @@ def stratified_split(df: DataFrame, label: str = LABEL, train_fraction: float =
     return inner.unionByName(outer).select(*cols, split_col)
 
 
-def delay_pipeline(num_trees: int = 100, max_depth: int = 8, seed: int = 42,
+def delay_pipeline(num_trees: int = 100, max_depth: int = 6, seed: int = 42,
                    features=FEATURES, cols=CATEGORICAL) -> Pipeline:
     """Encoders -> numeric codes -> assembler -> random forest.
 

@@ -1195,9 +1195,16 @@ def q_export_all(spark, d):
 
 # -------------------------------------------------------------- §2.14 streams
 
+_LANDING: dict = {}
+
+
 def _landing(spark, d):
+    """The position feed as a landing zone of JSON files, written once per session."""
     from contrail.streaming import positions as sp
-    return sp.write_landing(positions(spark, d), _scratch(spark, "landing-positions"))
+    k = (spark.sparkContext.applicationId, d)
+    if k not in _LANDING:
+        _LANDING[k] = sp.write_landing(positions(spark, d), _scratch(spark, "landing-positions"), files=4)
+    return _LANDING[k]
 
 
 @query("stream_positions", sql(f"SELECT {HISTORY_COLS} FROM rt", "rt"))
@@ -1229,7 +1236,7 @@ WHERE _rn = 1""", "rt"))
 def q_stream_snapshot(spark, d):
     from contrail.streaming import positions as sp
     base = _scratch(spark, "table-latest")
-    sp.stream_snapshot(spark, _landing(spark, d), base, _scratch(spark, "ckpt-latest"))
+    sp.stream_snapshot(spark, _landing(spark, d), base, _scratch(spark, "ckpt-latest"), max_files_per_trigger=2)
     return sp.read_latest_version(spark, base).select(*realtime.HISTORY_COLUMNS)
 
 
