@@ -1257,7 +1257,7 @@ def q_stream_region_windows(spark, d):
 @query("feed_alerts", sql(f"""
 SELECT data_source, 'low_quality' AS alert, {r6('avg_quality')} AS value FROM lu WHERE avg_quality < 70
 UNION ALL
-SELECT data_source, 'stale', CAST(epoch({AS_OF_SQL}) - epoch(last_update) AS DOUBLE) FROM lu
+SELECT data_source, 'stale', {r6(f"CAST(epoch_us({AS_OF_SQL}) - epoch_us(last_update) AS DOUBLE) / 1000000.0")} FROM lu
 WHERE last_update < {AS_OF_SQL} - INTERVAL 30 MINUTE""", "rt", local=(
     ("lu", "SELECT data_source, avg(data_quality_score) AS avg_quality, max(extraction_time) AS last_update "
            "FROM rt GROUP BY data_source"),)))

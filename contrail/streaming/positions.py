@@ -178,6 +178,6 @@ def feed_alerts(last_update: DataFrame, as_of, min_quality: float = 70.0,
            .select("data_source", F.lit("low_quality").alias("alert"), F.col("avg_quality").alias("value")))
     stale = (last_update.filter(F.col("last_update") < lo)
              .select("data_source", F.lit("stale").alias("alert"),
-                     (F.unix_timestamp(F.lit(as_of).cast("timestamp"))
-                      - F.unix_timestamp(F.col("last_update").cast("timestamp"))).cast("double").alias("value")))
+                     ((F.unix_micros(F.lit(as_of).cast("timestamp"))
+                       - F.unix_micros(F.col("last_update").cast("timestamp"))) / 1e6).alias("value")))
     return low.unionByName(stale)
