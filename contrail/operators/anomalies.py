@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import timefns
+from contrail.functions.numeric import exact_avg
 
 DELAY_STATUSES = ("Delayed", "Cancelled")
 # Fixed values that must equal the reference.
@@ -45,13 +46,27 @@ def _route_display() -> F.Column:
     return F.concat(F.col("origin_airport"), F.lit(" -> "), F.col("destination_airport"))
 
 
+def route_stats(flights: DataFrame) -> DataFrame:
+    """Per (origin, destination): mean and sample std of the duration."""
+    return (flights.groupBy("origin_airport", "destination_airport")
+            .agg(exact_avg("flight_duration_minutes").alias("avg_duration"),
+                 F.stddev_samp("flight_duration_minutes").alias("std_duration")))
+
+
+def attach_route_stats(flights: DataFrame) -> DataFrame:
+    """Left join of each flight to its route's mean / std.
+
+    A grouped aggregate (partial aggregation, skew-safe) joined back on the
+    route key; Spark broadcasts the statistics when their measured size is
+    under the threshold and sort-merges (with AQE skew splits) otherwise.
+    """
+    return flights.join(route_stats(flights), ["origin_airport", "destination_airport"], "left")
+
+
 def duration_anomalies(recent: DataFrame, z: float = Z_THRESHOLD, z_high: float = Z_HIGH) -> DataFrame:
     """|duration - route mean| / route sample std > z (one-flight route: std 1;
     constant route: std 0 -> undefined -> not flagged)."""
-    stats = (recent.groupBy("origin_airport", "destination_airport")
-             .agg(F.avg("flight_duration_minutes").alias("avg_duration"),
-                  F.stddev_samp("flight_duration_minutes").alias("std_duration")))
-    j = recent.join(stats, ["origin_airport", "destination_airport"], "left")
+    j = attach_route_stats(recent)
     std = F.coalesce(F.col("std_duration"), F.lit(1.0))
     zc = F.abs(F.col("flight_duration_minutes") - F.col("avg_duration")) / F.nullif(std, F.lit(0.0))
     j = j.withColumn("deviation", zc).filter(F.col("deviation") > z)
@@ -74,9 +89,15 @@ def rare_hours(recent: DataFrame, q: float = RARE_HOUR_QUANTILE) -> DataFrame:
     return counts.join(F.broadcast(cut), F.col("n") < F.col("cut")).select("departure_hour", "n")
 
 
-def scheduling_anomalies(recent: DataFrame, q: float = RARE_HOUR_QUANTILE) -> DataFrame:
+def flag_unusual_hours(recent: DataFrame, q: float = RARE_HOUR_QUANTILE) -> DataFrame:
+    """Flights departing in a rare hour: a semi-join with the (<= 24-row,
+    so explicitly broadcast) set of rare hours."""
     rare = rare_hours(recent, q)
-    hits = recent.join(F.broadcast(rare.select("departure_hour")), "departure_hour", "left_semi")
+    return recent.join(F.broadcast(rare.select("departure_hour")), "departure_hour", "left_semi")
+
+
+def scheduling_anomalies(recent: DataFrame, q: float = RARE_HOUR_QUANTILE) -> DataFrame:
+    hits = flag_unusual_hours(recent, q)
     return hits.select(F.lit("scheduling_anomaly").alias("type"), "flight_number", "airline",
                        _route_display().alias("route"), "departure_hour",
                        F.lit("low").alias("severity"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import geo, scoring
+from contrail.functions.numeric import exact_avg
 from contrail.operators import cleaning
 from contrail.operators.realtime import HIGH_QUALITY_SCORE
 
@@ -43,7 +44,7 @@ def live_flights(hist: DataFrame, as_of, minutes: int = 60, n: int = 1000) -> Da
 def regional_stats(hist: DataFrame, as_of, minutes: int = 60) -> DataFrame:
     return (trailing(hist, as_of, minutes).groupBy("region")
             .agg(F.count(F.lit(1)).alias("flight_count"),
-                 F.avg("altitude").alias("avg_altitude"),
+                 exact_avg("altitude").alias("avg_altitude"),
                  F.avg("speed").alias("avg_speed"),
                  F.avg("data_quality_score").alias("avg_quality"),
                  F.countDistinct("origin_country").cast("long").alias("countries"),
@@ -77,7 +78,7 @@ def live_metrics(hist: DataFrame, as_of, minutes: int = 30) -> DataFrame:
         F.countDistinct("origin_country").cast("long").alias("countries"),
         F.countDistinct("airline").cast("long").alias("airlines"),
         F.countDistinct("aircraft_type").cast("long").alias("aircraft_types"),
-        F.avg("altitude").alias("avg_altitude"),
+        exact_avg("altitude").alias("avg_altitude"),
         F.avg("speed").alias("avg_speed"),
         F.max("speed").alias("max_speed"),
         F.avg("data_quality_score").alias("avg_quality"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import geo
+from contrail.functions.numeric import exact_avg
 from contrail.operators import cleaning
 from contrail.operators.merge import SOURCE_ORDER, dedupe_first, source_rank
 
@@ -91,7 +92,7 @@ def rt_region_distribution(snap: DataFrame) -> DataFrame:
 
 
 def rt_altitude_stats(snap: DataFrame, threshold: float = HIGH_ALTITUDE) -> DataFrame:
-    return snap.agg(F.avg("altitude").alias("avg_altitude"),
+    return snap.agg(exact_avg("altitude").alias("avg_altitude"),
                     F.max("altitude").alias("max_altitude"),
                     F.count_if(F.col("altitude") > threshold).alias("flights_above_30k"))
 

@@ -3,7 +3,9 @@
 Every report is one aggregate (partial aggregation before the shuffle, so a
 hot airline or route costs one row per map task). Top-k outputs use
 ``orderBy().limit()`` which plans as TakeOrderedAndProject: no global sort.
-Every ORDER BY carries key columns so ties are deterministic.
+Every ORDER BY carries key columns so ties are deterministic. Averages of
+fractional quantities are ``exact_avg`` (6 decimals, independent of the
+partitioning).
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import scoring, timefns
+from contrail.functions.numeric import exact_avg
 
 ON_TIME, DELAYED, CANCELLED = "On Time", "Delayed", "Cancelled"
 
@@ -20,7 +23,7 @@ def route_traffic(flights: DataFrame, n: int | None = 20) -> DataFrame:
     out = (flights.groupBy("origin_airport", "destination_airport")
            .agg(F.count(F.lit(1)).alias("flight_count"),
                 F.countDistinct("airline").cast("long").alias("airline_count"),
-                F.avg("flight_duration_minutes").alias("avg_duration_minutes"))
+                exact_avg("flight_duration_minutes").alias("avg_duration_minutes"))
            .orderBy(F.col("flight_count").desc(), "origin_airport", "destination_airport"))
     return out.limit(n) if n else out
 
@@ -50,7 +53,7 @@ def airline_performance(flights: DataFrame) -> DataFrame:
                 F.count_if(F.col("status") == ON_TIME).alias("on_time_flights"),
                 F.count_if(F.col("status") == DELAYED).alias("delayed_flights"),
                 F.count_if(F.col("status") == CANCELLED).alias("cancelled_flights"),
-                F.avg("flight_duration_minutes").alias("avg_flight_duration"),
+                exact_avg("flight_duration_minutes").alias("avg_flight_duration"),
                 F.countDistinct("origin_airport").cast("long").alias("airports_served")))
     return (agg.select(
         "airline", "total_flights", "on_time_flights", "delayed_flights", "cancelled_flights",
@@ -78,7 +81,7 @@ def hourly_patterns(flights: DataFrame) -> DataFrame:
     return (flights.filter(F.col("scheduled_departure").isNotNull())
             .groupBy(timefns.departure_hour("scheduled_departure").alias("departure_hour"))
             .agg(F.count(F.lit(1)).alias("flight_count"),
-                 F.avg("flight_duration_minutes").alias("avg_duration"),
+                 exact_avg("flight_duration_minutes").alias("avg_duration"),
                  F.countDistinct("airline").cast("long").alias("airlines_operating"))
             .orderBy("departure_hour"))
 
@@ -92,7 +95,7 @@ def peak_hour(flights: DataFrame) -> DataFrame:
 def aircraft_usage(flights: DataFrame) -> DataFrame:
     return (flights.groupBy("aircraft_type")
             .agg(F.count(F.lit(1)).alias("flight_count"),
-                 F.avg("flight_duration_minutes").alias("avg_duration"),
+                 exact_avg("flight_duration_minutes").alias("avg_duration"),
                  F.countDistinct("airline").cast("long").alias("airlines_using"))
             .orderBy(F.col("flight_count").desc(), "aircraft_type"))
 
@@ -113,7 +116,7 @@ def schedule_overview(flights: DataFrame) -> DataFrame:
                  F.countDistinct("origin_airport").cast("long").alias("origin_airports"),
                  F.countDistinct("destination_airport").cast("long").alias("destination_airports"),
                  F.countDistinct("aircraft_type").cast("long").alias("aircraft_types"),
-                 F.avg("flight_duration_minutes").alias("avg_flight_duration"),
+                 exact_avg("flight_duration_minutes").alias("avg_flight_duration"),
                  F.min("scheduled_departure").alias("earliest_flight"),
                  F.max("scheduled_departure").alias("latest_flight")))
 

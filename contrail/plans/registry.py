@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions import scoring
+from contrail.functions.numeric import exact_avg_sql as xavg
 from contrail.functions.scoring import pct_half_up_sql
 from contrail.operators import anomalies, checks, cleaning, live, merge, ml, realtime, reports
 from contrail.plans import warehouse
@@ -255,7 +256,7 @@ def q_quality_tier(spark, d):
 AIRLINE_PERF_SQL = f"""
 SELECT airline, total_flights, on_time_flights, delayed_flights, cancelled_flights,
        {pct_half_up_sql('on_time_flights', 'total_flights')} AS on_time_percentage,
-       {r6('avg_flight_duration')} AS avg_flight_duration, airports_served,
+       avg_flight_duration, airports_served,
        CAST(delayed_flights AS DOUBLE) / CAST(total_flights AS DOUBLE) * 100 AS delay_rate,
        CAST(cancelled_flights AS DOUBLE) / CAST(total_flights AS DOUBLE) * 100 AS cancellation_rate
 FROM (
@@ -263,7 +264,7 @@ FROM (
          count(*) FILTER (WHERE status = 'On Time') AS on_time_flights,
          count(*) FILTER (WHERE status = 'Delayed') AS delayed_flights,
          count(*) FILTER (WHERE status = 'Cancelled') AS cancelled_flights,
-         avg(flight_duration_minutes) AS avg_flight_duration,
+         {xavg('flight_duration_minutes')} AS avg_flight_duration,
          count(DISTINCT origin_airport) AS airports_served
   FROM flights GROUP BY airline)"""
 
@@ -312,7 +313,7 @@ def q_route_key(spark, d):
 
 ROUTE_TRAFFIC_SQL = f"""
 SELECT origin_airport, destination_airport, count(*) AS flight_count,
-       count(DISTINCT airline) AS airline_count, {r6('avg(flight_duration_minutes)')} AS avg_duration_minutes
+       count(DISTINCT airline) AS airline_count, {xavg('flight_duration_minutes')} AS avg_duration_minutes
 FROM flights GROUP BY origin_airport, destination_airport
 ORDER BY flight_count DESC, origin_airport, destination_airport LIMIT 20"""
 
@@ -348,7 +349,7 @@ def q_busiest_airline(spark, d):
 
 HOURLY_SQL = f"""
 SELECT CAST(hour(scheduled_departure) AS INTEGER) AS departure_hour, count(*) AS flight_count,
-       {r6('avg(flight_duration_minutes)')} AS avg_duration, count(DISTINCT airline) AS airlines_operating
+       {xavg('flight_duration_minutes')} AS avg_duration, count(DISTINCT airline) AS airlines_operating
 FROM flights WHERE scheduled_departure IS NOT NULL GROUP BY 1 ORDER BY 1"""
 
 
@@ -365,7 +366,7 @@ def q_peak_hour(spark, d):
 
 
 AIRCRAFT_SQL = f"""
-SELECT aircraft_type, count(*) AS flight_count, {r6('avg(flight_duration_minutes)')} AS avg_duration,
+SELECT aircraft_type, count(*) AS flight_count, {xavg('flight_duration_minutes')} AS avg_duration,
        count(DISTINCT airline) AS airlines_using
 FROM flights GROUP BY aircraft_type ORDER BY flight_count DESC, aircraft_type"""
 
@@ -385,14 +386,14 @@ def q_most_used_aircraft(spark, d):
 OVERVIEW_SQL = f"""
 SELECT count(*) AS total_flights, count(DISTINCT airline) AS total_airlines,
        count(DISTINCT origin_airport) AS origin_airports, count(DISTINCT destination_airport) AS destination_airports,
-       count(DISTINCT aircraft_type) AS aircraft_types, avg(flight_duration_minutes) AS avg_flight_duration,
+       count(DISTINCT aircraft_type) AS aircraft_types, {xavg('flight_duration_minutes')} AS avg_flight_duration,
        min(scheduled_departure) AS earliest_flight, max(scheduled_departure) AS latest_flight
 FROM flights WHERE scheduled_departure IS NOT NULL"""
 
 
 @query("schedule_overview", sql(f"""
 SELECT total_flights, total_airlines, origin_airports, destination_airports, aircraft_types,
-       {r6('avg_flight_duration')} AS avg_flight_duration, earliest_flight, latest_flight
+       avg_flight_duration, earliest_flight, latest_flight
 FROM ({OVERVIEW_SQL})""", "flights"))
 def q_schedule_overview(spark, d):
     return rounded(reports.schedule_overview(flights(spark, d)), "avg_flight_duration")
@@ -579,7 +580,7 @@ def q_rt_region_distribution(spark, d):
 
 
 @query("rt_altitude_stats", sql(f"""
-SELECT {r6('avg(altitude)')} AS avg_altitude, max(altitude) AS max_altitude,
+SELECT {xavg('altitude')} AS avg_altitude, max(altitude) AS max_altitude,
        count(*) FILTER (WHERE altitude > 30000) AS flights_above_30k FROM snap""", "snap"))
 def q_rt_altitude_stats(spark, d):
     return rounded(realtime.rt_altitude_stats(snapshot(spark, d)), "avg_altitude")
@@ -674,7 +675,7 @@ def q_live_flights(spark, d):
 
 
 @query("regional_stats", sql(f"""
-SELECT region, count(*) AS flight_count, {r6('avg(altitude)')} AS avg_altitude,
+SELECT region, count(*) AS flight_count, {xavg('altitude')} AS avg_altitude,
        {r6('avg(speed)')} AS avg_speed, {r6('avg(data_quality_score)')} AS avg_quality,
        count(DISTINCT origin_country) AS countries, count(DISTINCT airline) AS airlines
 FROM rt WHERE {_trail(60)} GROUP BY region ORDER BY flight_count DESC, region""", "rt"))
@@ -713,7 +714,7 @@ def q_source_quality(spark, d):
 @query("live_metrics", sql(f"""
 SELECT count(*) AS total_flights, count(DISTINCT origin_country) AS countries,
        count(DISTINCT airline) AS airlines, count(DISTINCT aircraft_type) AS aircraft_types,
-       {r6('avg(altitude)')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed, max(speed) AS max_speed,
+       {xavg('altitude')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed, max(speed) AS max_speed,
        {r6('avg(data_quality_score)')} AS avg_quality
 FROM rt WHERE {_trail(30)}""", "rt"))
 def q_live_metrics(spark, d):
@@ -775,7 +776,7 @@ SELECT 'duration_anomaly' AS type, flight_number, airline, origin_airport || ' -
 FROM (SELECT r.*, s.avg_duration,
              abs(r.flight_duration_minutes - s.avg_duration) / nullif(coalesce(s.std_duration, 1.0), 0.0) AS deviation
       FROM recent r LEFT JOIN (
-        SELECT origin_airport, destination_airport, avg(flight_duration_minutes) AS avg_duration,
+        SELECT origin_airport, destination_airport, {xavg('flight_duration_minutes')} AS avg_duration,
                stddev_samp(flight_duration_minutes) AS std_duration
         FROM recent GROUP BY 1, 2) s USING (origin_airport, destination_airport))
 WHERE deviation > 2""", "flights", local=(("recent", _recent_sql(lookback)),))
@@ -789,6 +790,29 @@ def _recent(spark, d, lookback_days: int | None = 7):
     return anomalies.recent_flights(f, as_of, lookback_days)
 
 
+@query("attach_route_stats", sql(f"""
+SELECT f.flight_number, f.origin_airport, f.destination_airport, f.flight_duration_minutes,
+       s.avg_duration, {r6('s.std_duration')} AS std_duration
+FROM flights f LEFT JOIN (
+  SELECT origin_airport, destination_airport, {xavg('flight_duration_minutes')} AS avg_duration,
+         stddev_samp(flight_duration_minutes) AS std_duration
+  FROM flights GROUP BY 1, 2) s USING (origin_airport, destination_airport)""", "flights"))
+def q_attach_route_stats(spark, d):
+    f = flights(spark, d).select("flight_number", "origin_airport", "destination_airport",
+                                 "flight_duration_minutes")
+    return rounded(anomalies.attach_route_stats(f), "std_duration")
+
+
+@query("flag_unusual_hours", sql("""
+SELECT flight_number, departure_hour FROM recent WHERE departure_hour IN (
+  SELECT departure_hour FROM hc WHERE n < (SELECT quantile_cont(CAST(n AS DOUBLE), 0.1) FROM hc))""",
+    "flights", local=(("recent", _recent_sql(None)),
+                      ("hc", "SELECT departure_hour, count(*) AS n FROM recent "
+                             "WHERE departure_hour IS NOT NULL GROUP BY 1"))))
+def q_flag_unusual_hours(spark, d):
+    return anomalies.flag_unusual_hours(_recent(spark, d, None)).select("flight_number", "departure_hour")
+
+
 @query("duration_anomalies", _duration_sql(7))
 def q_duration_anomalies(spark, d):
     return rounded(anomalies.duration_anomalies(_recent(spark, d, 7)), "expected_duration", "deviation")
@@ -1242,7 +1266,7 @@ def q_stream_snapshot(spark, d):
 
 @query("stream_region_windows", sql(f"""
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, region, count(*) AS flight_count,
-       {r6('avg(altitude)')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed,
+       {xavg('altitude')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed,
        {r6('avg(data_quality_score)')} AS avg_quality
 FROM (SELECT rt.*, time_bucket(INTERVAL 15 MINUTE, extraction_time) - s.k * INTERVAL 15 MINUTE AS window_start
       FROM rt, (VALUES (0), (1), (2), (3)) s(k))

@@ -89,3 +89,16 @@ def test_tiers(spark):
 def test_coerce_double(spark):
     df = spark.createDataFrame([("1.5",), ("abc",), (None,), ("1e3",)], "c string")
     assert [r[0] for r in df.select(text.coerce_double("c")).collect()] == [1.5, None, None, 1000.0]
+
+
+def test_exact_avg_is_partition_independent(spark):
+    from contrail.functions.numeric import exact_avg
+    vals = [100.0431, 471.2219, 12.5, 0.0001] * 40 + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    a = df.repartition(1).agg(exact_avg("x")).collect()[0][0]
+    b = df.repartition(7).agg(exact_avg("x")).collect()[0][0]
+    assert a == b == round(sum(v for v in vals if v is not None) / 160, 6)
+    # half-up at the 7th decimal, from exact integers
+    tie = spark.createDataFrame([(0.0000005,), (0.0000005,)], "x double").agg(exact_avg("x")).collect()[0][0]
+    assert tie == 0.000001
+    assert spark.createDataFrame([(None,)], "x double").agg(exact_avg("x")).collect()[0][0] is None
