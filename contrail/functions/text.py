@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes any whitespace, Spark's trim() only spaces.
-_EDGE_WS = r"^\s+|\s+$"
+# Python's str.strip() removes any whitespace, Spark's trim() only spaces:
+# strip the same set as the regex class \s (space, tab, LF, VT, FF, CR).
+WHITESPACE = " \t\n\x0b\x0c\r"
 
 # Whole values that the reference's text round trip turns into ''.
 MISSING_TEXT = ("None", "nan")
@@ -18,7 +19,7 @@ def _c(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Strip leading/trailing whitespace of every kind (tabs, newlines too)."""
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def clean_text(c, missing: tuple[str, ...] = MISSING_TEXT) -> Column:

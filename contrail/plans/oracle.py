@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from contrail.functions.geo import region_sql
 
-_WS = r"'^\s+|\s+$'"
+_WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
 def clean_sql(c: str, missing=("None", "nan")) -> str:
-    s = f"regexp_replace(coalesce(CAST({c} AS VARCHAR), ''), {_WS}, '', 'g')"
+    s = f"trim(coalesce(CAST({c} AS VARCHAR), ''), {_WS})"
     vals = ", ".join(f"'{m}'" for m in missing)
     return f"(CASE WHEN {s} IN ({vals}) THEN '' ELSE {s} END)"
 

@@ -26,7 +26,7 @@ from contrail.operators import realtime
 from contrail.session import scratch_path
 from contrail.sources import testdata
 
-_BUILT: dict[tuple, str] = {}
+_BUILT: dict[tuple, DataFrame] = {}
 
 SOURCES = {
     "scheduled_flights": ("lineitem", "orders", "customer", "supplier", "part", "nation"),
@@ -52,8 +52,8 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
           sort_cols: tuple[str, ...]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
            _fingerprint(spark, sf_dir, SOURCES[name]))
-    path = _BUILT.get(key)
-    if path is None:
+    df = _BUILT.get(key)
+    if df is None:
         path = scratch_path(spark, f"stage-{name}")
         # Round-robin into n files: balanced even when one key value holds a
         # third of the rows (hash on the key would not be), deterministic on
@@ -63,8 +63,9 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
         # range filters skip row groups by their min/max statistics.
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         build().repartition(n).sortWithinPartitions(*sort_cols).write.parquet(path)
-        _BUILT[key] = path
-    return spark.read.parquet(path)
+        # one relation per stage table: later reports reuse its file listing
+        df = _BUILT[key] = spark.read.parquet(path)
+    return df
 
 
 def scheduled_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
