@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Parquet is compressed: scale file sizes before the broadcast size check,
+    # so a table is only broadcast when its decompressed rows fit the threshold.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.ui.enabled": "false",
 }
 
