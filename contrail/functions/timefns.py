@@ -48,14 +48,67 @@ def duration_category(minutes="flight_duration_minutes") -> Column:
     return expr
 
 
+def micros_between(start="scheduled_departure", end="scheduled_arrival") -> Column:
+    """Exact microseconds from start to end as a decimal, with no time zone.
+
+    ``end - start`` of two ``timestamp_ntz`` is a day-time interval; its
+    fields are summed. (``timestampdiff`` on ``timestamp_ntz`` goes through
+    the session zone and counts a daylight-saving hour.)
+    """
+    iv = _c(end) - _c(start)
+    secs = (F.extract(F.lit("DAY"), iv).cast("decimal(20,0)") * 86400
+            + F.extract(F.lit("HOUR"), iv).cast("decimal(20,0)") * 3600
+            + F.extract(F.lit("MINUTE"), iv).cast("decimal(20,0)") * 60
+            + F.extract(F.lit("SECOND"), iv))
+    return (secs * 1000000).cast("decimal(24,0)")
+
+
 def minutes_between(start="scheduled_departure", end="scheduled_arrival") -> Column:
     """(end - start) in fractional minutes, exact to the microsecond."""
-    return F.expr(
-        f"timestampdiff(MICROSECOND, {_name(start)}, {_name(end)}) / 60000000.0D"
-    )
+    return micros_between(_c(start) if not isinstance(start, str) else start,
+                          end).cast("double") / 60000000.0
 
 
 def _name(c) -> str:
     if not isinstance(c, str):
         raise TypeError("pass a column name")
     return f"`{c}`"
+
+
+def ts_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal from a datetime / date / ISO text.
+
+    Goes through text, so no time zone (of the Python process or of the
+    session) can shift it; ``F.lit(datetime)`` would make a local-time
+    ``timestamp`` first.
+    """
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def epoch_seconds(c) -> Column:
+    """Whole seconds since 1970-01-01 of a ``timestamp_ntz`` (zone-independent, floored)."""
+    us = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(c))
+    return F.floor(us / 1000000).cast("long")
+
+
+def seconds_between(start, end) -> Column:
+    """Fractional seconds from ``start`` to ``end`` (both ``timestamp_ntz``)."""
+    return micros_between(_c(start), _c(end)).cast("double") / 1e6
+
+
+def ntz_text(c) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.ffffff`` of a ``timestamp_ntz`` from its fields
+    (``date_format`` would pass through the session zone)."""
+    col = _c(c)
+    two = lambda e: F.lpad(e.cast("string"), 2, "0")
+    frac = (F.extract(F.lit("SECOND"), col) * 1000000).cast("long") % 1000000
+    return F.concat(col.cast("date").cast("string"), F.lit(" "), two(F.hour(col)), F.lit(":"),
+                    two(F.minute(col)), F.lit(":"), two(F.second(col)), F.lit("."),
+                    F.lpad(frac.cast("string"), 6, "0"))

@@ -38,7 +38,7 @@ def recent_flights(flights: DataFrame, as_of_date: _dt.date | None, lookback_day
                         timefns.departure_hour("scheduled_departure").alias("departure_hour"))
     if lookback_days is None:
         return df.filter(F.col("scheduled_departure").isNotNull())
-    lo = F.lit(as_of_date).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+    lo = timefns.ts_literal(as_of_date) - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
     return df.filter(F.col("scheduled_departure") >= lo)
 
 

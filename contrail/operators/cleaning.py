@@ -39,7 +39,7 @@ POSITION_TYPES = {
 def stamp_extraction(df: DataFrame, run_ts: _dt.datetime, time_col: str = "extraction_time",
                      date_col: str | None = "extraction_date") -> DataFrame:
     """Add the run's extraction time (and date). One value per run, passed in."""
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = timefns.ts_literal(run_ts)
     cols = {time_col: ts}
     if date_col:
         cols[date_col] = ts.cast("date")
@@ -91,8 +91,9 @@ def parse_timestamps(df: DataFrame, cols=("scheduled_departure", "scheduled_arri
     parsed = {}
     for c in cols:
         src = F.col(c).cast("string")
-        p = F.try_to_timestamp(src, F.lit(fmt)) if fmt else F.try_to_timestamp(src)
-        parsed[c] = p.cast("timestamp_ntz")
+        # without a pattern: a zone-free cast to timestamp_ntz (ISO / SQL text)
+        parsed[c] = (F.try_to_timestamp(src, F.lit(fmt)).cast("timestamp_ntz") if fmt
+                     else src.try_cast("timestamp_ntz"))
     out = dict(parsed)
     if flag:
         ok = F.lit(True)
@@ -107,7 +108,7 @@ def parse_timestamps_strict(df: DataFrame, cols=("scheduled_departure", "schedul
     """Validity flag only: true when every given text column parses (or is null)."""
     ok = F.lit(True)
     for c in cols:
-        ok = ok & (F.try_to_timestamp(F.col(c).cast("string")).isNotNull() | F.col(c).isNull())
+        ok = ok & (F.col(c).cast("string").try_cast("timestamp_ntz").isNotNull() | F.col(c).isNull())
     return df.withColumn("timestamps_valid", ok)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions import geo, scoring
 from contrail.functions.numeric import exact_avg
+from contrail.functions.timefns import ts_literal
 from contrail.operators import cleaning
 from contrail.operators.realtime import HIGH_QUALITY_SCORE
 
@@ -29,7 +30,7 @@ def resolve_as_of(hist: DataFrame, ts: str = "extraction_time") -> _dt.datetime:
 
 
 def trailing(hist: DataFrame, as_of, minutes: int, ts: str = "extraction_time") -> DataFrame:
-    lo = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    lo = ts_literal(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
     return hist.filter(F.col(ts) >= lo)
 
 

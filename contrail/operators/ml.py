@@ -85,6 +85,9 @@ def stratified_split(df: DataFrame, label: str = LABEL, train_fraction: float =
     rows are materialised once with a reliable checkpoint in the shared
     checkpoint dir (which also survives executor loss).
     """
+    from contrail.session import ensure_checkpoint_dir
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
     h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
     hashed = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions import geo
 from contrail.functions.numeric import exact_avg
+from contrail.functions.timefns import ts_literal
 from contrail.operators import cleaning
 from contrail.operators.merge import SOURCE_ORDER, dedupe_first, source_rank
 
@@ -150,7 +151,7 @@ def load_metadata(snap: DataFrame, table_name: str = "realtime_global_flights",
     Two-level aggregate: per source first (partial aggregation, tiny
     output), then one row; no join of one-row frames.
     """
-    ts = (F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None
+    ts = (ts_literal(run_ts) if run_ts is not None
           else F.current_timestamp().cast("timestamp_ntz"))
     per_source = snap.groupBy("data_source").agg(
         F.count(F.lit(1)).alias("n"), F.sum("data_quality_score").alias("s"),

@@ -38,7 +38,7 @@ def route_traffic_report(flights: DataFrame, n: int = 20, as_of=None) -> DataFra
             "flight_count", "airline_count", "avg_duration_minutes"))).alias("_routes"),
         F.count(F.lit(1)).alias("routes_shown"))
     total = routes.agg(F.count(F.lit(1)).alias("total_routes"))
-    ts = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+    ts = timefns.ts_literal(as_of) if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
     return (shown.unionByName(total, allowMissingColumns=True)
             .agg(F.first("_routes", ignorenulls=True).alias("_routes"),
                  F.max("routes_shown").alias("routes_shown"),

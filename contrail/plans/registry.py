@@ -155,12 +155,12 @@ FROM flights""", "flights"))
 def q_parse_timestamps(spark, d):
     f = flights(spark, d)
     bad = F.col("gate").endswith("7")
-    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    from contrail.functions.timefns import ntz_text
     as_text = f.select(
         "flight_number",
         F.when(bad, F.concat(F.lit("gate "), F.col("gate")))
-         .otherwise(F.date_format("scheduled_departure", fmt)).alias("scheduled_departure"),
-        F.when(bad, F.lit("TBD")).otherwise(F.date_format("scheduled_arrival", fmt)).alias("scheduled_arrival"))
+         .otherwise(ntz_text("scheduled_departure")).alias("scheduled_departure"),
+        F.when(bad, F.lit("TBD")).otherwise(ntz_text("scheduled_arrival")).alias("scheduled_arrival"))
     return as_text.transform(cleaning.parse_timestamps)
 
 
@@ -997,7 +997,8 @@ def _scratch(spark, name):
 
 
 def _epoch_s(c):
-    return F.unix_timestamp(F.col(c).cast("timestamp"))
+    from contrail.functions.timefns import epoch_seconds
+    return epoch_seconds(c)
 
 
 @query("ingest_state_vectors", sql("""
@@ -1099,9 +1100,9 @@ FROM flights WHERE gate NOT LIKE '%7'""", "flights"))
 def q_read_csv_lenient(spark, d):
     from contrail.sources import landing, landing_writers as lw
     f = flights(spark, d)
-    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    from contrail.functions.timefns import ntz_text
     base = [F.col("flight_number"), F.col("airline"), F.col("origin_airport"), F.col("destination_airport"),
-            F.date_format("scheduled_departure", fmt), F.date_format("scheduled_arrival", fmt),
+            ntz_text("scheduled_departure"), ntz_text("scheduled_arrival"),
             F.col("aircraft_type"), F.col("status"), F.col("gate")]
     note = F.concat(F.col("status"), F.lit(", "), F.col("aircraft_type"))
     line = (F.when(F.col("gate").endswith("7"), lw.csv_line(*base, note, F.lit("surplus")))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from contrail.functions import geo
+from contrail.functions.timefns import ts_literal
 
 # Fixed values that must equal the reference: state-vector slot names, in order.
 STATE_SLOTS = (
@@ -61,7 +62,7 @@ TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _now_or(run_ts) -> Column:
-    return (F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None
+    return (ts_literal(run_ts) if run_ts is not None
             else F.current_timestamp().cast("timestamp_ntz"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.functions.timefns import seconds_between, ts_literal
 from contrail.operators import realtime
 
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -173,11 +174,10 @@ def feed_alerts(last_update: DataFrame, as_of, min_quality: float = 70.0,
                 max_silence_minutes: int = 30) -> DataFrame:
     """Per source: 'low_quality' when the average score is below the floor,
     'stale' when nothing arrived in the last ``max_silence_minutes``."""
-    lo = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(max_silence_minutes)} MINUTES")
+    lo = ts_literal(as_of) - F.expr(f"INTERVAL {int(max_silence_minutes)} MINUTES")
     low = (last_update.filter(F.col("avg_quality") < min_quality)
            .select("data_source", F.lit("low_quality").alias("alert"), F.col("avg_quality").alias("value")))
     stale = (last_update.filter(F.col("last_update") < lo)
              .select("data_source", F.lit("stale").alias("alert"),
-                     ((F.unix_micros(F.lit(as_of).cast("timestamp"))
-                       - F.unix_micros(F.col("last_update").cast("timestamp"))) / 1e6).alias("value")))
+                     seconds_between("last_update", ts_literal(as_of)).alias("value")))
     return low.unionByName(stale)
