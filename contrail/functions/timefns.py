@@ -112,3 +112,20 @@ def ntz_text(c) -> Column:
     return F.concat(col.cast("date").cast("string"), F.lit(" "), two(F.hour(col)), F.lit(":"),
                     two(F.minute(col)), F.lit(":"), two(F.second(col)), F.lit("."),
                     F.lpad(frac.cast("string"), 6, "0"))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def instant_of(c) -> Column:
+    """``timestamp`` instant that reads the ``timestamp_ntz`` value as UTC,
+    whatever the session zone (for watermarks and event-time windows)."""
+    us = micros_between(F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(c)).cast("long")
+    return F.timestamp_micros(us)
+
+
+def ntz_of_instant(c) -> Column:
+    """Inverse of ``instant_of``: the UTC wall-clock of an instant as ``timestamp_ntz``."""
+    us = F.unix_micros(_c(c))
+    secs = (us.cast("decimal(24,0)") / 1000000).cast("decimal(18,6)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)

@@ -1246,8 +1246,8 @@ def q_stream_dedupe(spark, d):
     from contrail.streaming import positions as sp
     sink = _scratch(spark, "stream-dedupe")
     stream = realtime.history(sp.read_stream(spark, _landing(spark, d)))
-    out = sp.stream_dedupe(stream).select("icao24", F.col("snapshot_start").cast("timestamp_ntz")
-                                          .alias("snapshot_start"))
+    from contrail.functions.timefns import ntz_of_instant
+    out = sp.stream_dedupe(stream).select("icao24", ntz_of_instant(F.col("snapshot_start")).alias("snapshot_start"))
     w = (out.writeStream.format("parquet").outputMode("append").option("path", sink)
          .option("checkpointLocation", _scratch(spark, "ckpt-dedupe")))
     sp.run_available_now(w)

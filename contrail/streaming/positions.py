@@ -6,7 +6,8 @@ state is bounded by watermarks; checkpoints live under the shared
 checkpoint dir, so a restarted query resumes where it stopped.
 
 Event-time operators need ``timestamp`` (not ``timestamp_ntz``), so
-``event_time`` is derived once; outputs go back to ``timestamp_ntz``.
+``event_time`` is derived once as the UTC reading of the wall-clock value
+(independent of the session zone); outputs go back to ``timestamp_ntz``.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from contrail.functions.timefns import seconds_between, ts_literal
+from contrail.functions.timefns import instant_of, ntz_of_instant, seconds_between, ts_literal
 from contrail.operators import realtime
 
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -49,7 +50,8 @@ def read_stream(spark: SparkSession, landing: str, max_files_per_trigger: int |
 
 
 def with_event_time(df: DataFrame, ts: str = "extraction_time") -> DataFrame:
-    return df.withColumn("event_time", F.col(ts).cast("timestamp"))
+    """``event_time``: the wall-clock ``timestamp_ntz`` read as UTC (zone-free)."""
+    return df.withColumn("event_time", instant_of(ts))
 
 
 def run_available_now(writer, timeout_s: float | None = None) -> StreamingQuery:
@@ -149,8 +151,8 @@ def region_window_stats(stream: DataFrame, size: str = "1 hour", slide: str = "1
     agg = df.groupBy(F.window("event_time", size, slide).alias("w"), "region").agg(
         F.count(F.lit(1)).alias("flight_count"), F.avg("altitude").alias("avg_altitude"),
         F.avg("speed").alias("avg_speed"), F.avg("data_quality_score").alias("avg_quality"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    return agg.select(ntz_of_instant(F.col("w.start")).alias("window_start"),
+                      ntz_of_instant(F.col("w.end")).alias("window_end"),
                       "region", "flight_count", "avg_altitude", "avg_speed", "avg_quality")
 
 

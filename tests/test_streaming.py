@@ -34,7 +34,9 @@ def test_dedupe_watermark_late_and_closing(spark):
     _write(landing, "f4.json", [("C", "2024-01-01T10:03:00.000000"), ("B", "2024-01-01T11:50:00.000000")],
            1_700_000_300)
     stream = sp.read_stream(spark, landing, max_files_per_trigger=1)
-    out = sp.stream_dedupe(stream).select("icao24", F.date_format("snapshot_start", "HH:mm").alias("p"))
+    from contrail.functions.timefns import ntz_of_instant
+    out = sp.stream_dedupe(stream).select("icao24", F.date_format(ntz_of_instant(F.col("snapshot_start")),
+                                                                  "HH:mm").alias("p"))
     q = (out.writeStream.format("memory").queryName("dedupe_edge").outputMode("append")
          .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
