@@ -36,3 +36,14 @@ def exact_avg_sql(x: str, digits: int = 6) -> str:
     b = f"(2 * count({x}))"
     floor_div = f"(({a} - ((({a}) % {b}) + {b}) % {b}) // {b})"
     return f"(CASE WHEN count({x}) > 0 THEN CAST({floor_div} AS DOUBLE) / {scale} END)"
+
+
+def distinct_count(c, approx: bool = False, rsd: float = 0.01) -> Column:
+    """``count(DISTINCT c)`` (exact, as a long) or a HyperLogLog++ estimate.
+
+    Exact distinct counts expand each row once per distinct column before the
+    shuffle; at large scale ``approx=True`` keeps one fixed-size sketch per
+    group instead (relative standard deviation ``rsd``).
+    """
+    col = _c(c)
+    return F.approx_count_distinct(col, rsd) if approx else F.countDistinct(col).cast("long")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import geo, scoring
-from contrail.functions.numeric import exact_avg
+from contrail.functions.numeric import distinct_count, exact_avg
 from contrail.functions.timefns import ts_literal
 from contrail.operators import cleaning
 from contrail.operators.realtime import HIGH_QUALITY_SCORE
@@ -42,14 +42,14 @@ def live_flights(hist: DataFrame, as_of, minutes: int = 60, n: int = 1000) -> Da
             .select(*LIVE_COLUMNS))
 
 
-def regional_stats(hist: DataFrame, as_of, minutes: int = 60) -> DataFrame:
+def regional_stats(hist: DataFrame, as_of, minutes: int = 60, approx_distinct: bool = False) -> DataFrame:
     return (trailing(hist, as_of, minutes).groupBy("region")
             .agg(F.count(F.lit(1)).alias("flight_count"),
                  exact_avg("altitude").alias("avg_altitude"),
                  F.avg("speed").alias("avg_speed"),
                  F.avg("data_quality_score").alias("avg_quality"),
-                 F.countDistinct("origin_country").cast("long").alias("countries"),
-                 F.countDistinct("airline").cast("long").alias("airlines"))
+                 distinct_count("origin_country", approx_distinct).alias("countries"),
+                 distinct_count("airline", approx_distinct).alias("airlines"))
             .orderBy(F.col("flight_count").desc(), F.col("region").asc()))
 
 
@@ -73,12 +73,12 @@ def source_quality(hist: DataFrame, as_of, minutes: int = 60) -> DataFrame:
             .orderBy(F.col("total_flights").desc(), F.col("data_source").asc()))
 
 
-def live_metrics(hist: DataFrame, as_of, minutes: int = 30) -> DataFrame:
+def live_metrics(hist: DataFrame, as_of, minutes: int = 30, approx_distinct: bool = False) -> DataFrame:
     return trailing(hist, as_of, minutes).agg(
         F.count(F.lit(1)).alias("total_flights"),
-        F.countDistinct("origin_country").cast("long").alias("countries"),
-        F.countDistinct("airline").cast("long").alias("airlines"),
-        F.countDistinct("aircraft_type").cast("long").alias("aircraft_types"),
+        distinct_count("origin_country", approx_distinct).alias("countries"),
+        distinct_count("airline", approx_distinct).alias("airlines"),
+        distinct_count("aircraft_type", approx_distinct).alias("aircraft_types"),
         exact_avg("altitude").alias("avg_altitude"),
         F.avg("speed").alias("avg_speed"),
         F.max("speed").alias("max_speed"),

@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import scoring, timefns
-from contrail.functions.numeric import exact_avg
+from contrail.functions.numeric import distinct_count, exact_avg
 
 ON_TIME, DELAYED, CANCELLED = "On Time", "Delayed", "Cancelled"
 
 
-def route_traffic(flights: DataFrame, n: int | None = 20) -> DataFrame:
+def route_traffic(flights: DataFrame, n: int | None = 20, approx_distinct: bool = False) -> DataFrame:
     out = (flights.groupBy("origin_airport", "destination_airport")
            .agg(F.count(F.lit(1)).alias("flight_count"),
-                F.countDistinct("airline").cast("long").alias("airline_count"),
+                distinct_count("airline", approx_distinct).alias("airline_count"),
                 exact_avg("flight_duration_minutes").alias("avg_duration_minutes"))
            .orderBy(F.col("flight_count").desc(), "origin_airport", "destination_airport"))
     return out.limit(n) if n else out
@@ -47,14 +47,14 @@ def route_traffic_report(flights: DataFrame, n: int = 20, as_of=None) -> DataFra
                     "routes_shown", "total_routes", ts.alias("analysis_timestamp")))
 
 
-def airline_performance(flights: DataFrame) -> DataFrame:
+def airline_performance(flights: DataFrame, approx_distinct: bool = False) -> DataFrame:
     agg = (flights.groupBy("airline")
            .agg(F.count(F.lit(1)).alias("total_flights"),
                 F.count_if(F.col("status") == ON_TIME).alias("on_time_flights"),
                 F.count_if(F.col("status") == DELAYED).alias("delayed_flights"),
                 F.count_if(F.col("status") == CANCELLED).alias("cancelled_flights"),
                 exact_avg("flight_duration_minutes").alias("avg_flight_duration"),
-                F.countDistinct("origin_airport").cast("long").alias("airports_served")))
+                distinct_count("origin_airport", approx_distinct).alias("airports_served")))
     return (agg.select(
         "airline", "total_flights", "on_time_flights", "delayed_flights", "cancelled_flights",
         scoring.pct_half_up("on_time_flights", "total_flights").alias("on_time_percentage"),
@@ -77,12 +77,12 @@ def busiest_airline(flights: DataFrame) -> DataFrame:
             .select(F.col("airline").alias("busiest_airline"), "total_flights"))
 
 
-def hourly_patterns(flights: DataFrame) -> DataFrame:
+def hourly_patterns(flights: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (flights.filter(F.col("scheduled_departure").isNotNull())
             .groupBy(timefns.departure_hour("scheduled_departure").alias("departure_hour"))
             .agg(F.count(F.lit(1)).alias("flight_count"),
                  exact_avg("flight_duration_minutes").alias("avg_duration"),
-                 F.countDistinct("airline").cast("long").alias("airlines_operating"))
+                 distinct_count("airline", approx_distinct).alias("airlines_operating"))
             .orderBy("departure_hour"))
 
 
@@ -92,11 +92,11 @@ def peak_hour(flights: DataFrame) -> DataFrame:
             .limit(1).select(F.col("departure_hour").alias("peak_hour"), "flight_count"))
 
 
-def aircraft_usage(flights: DataFrame) -> DataFrame:
+def aircraft_usage(flights: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (flights.groupBy("aircraft_type")
             .agg(F.count(F.lit(1)).alias("flight_count"),
                  exact_avg("flight_duration_minutes").alias("avg_duration"),
-                 F.countDistinct("airline").cast("long").alias("airlines_using"))
+                 distinct_count("airline", approx_distinct).alias("airlines_using"))
             .orderBy(F.col("flight_count").desc(), "aircraft_type"))
 
 
@@ -109,13 +109,13 @@ def most_used_aircraft(flights: DataFrame) -> DataFrame:
     return top.agg(F.coalesce(F.first("aircraft_type"), F.lit("N/A")).alias("most_used_aircraft"))
 
 
-def schedule_overview(flights: DataFrame) -> DataFrame:
+def schedule_overview(flights: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (flights.filter(F.col("scheduled_departure").isNotNull())
             .agg(F.count(F.lit(1)).alias("total_flights"),
-                 F.countDistinct("airline").cast("long").alias("total_airlines"),
-                 F.countDistinct("origin_airport").cast("long").alias("origin_airports"),
-                 F.countDistinct("destination_airport").cast("long").alias("destination_airports"),
-                 F.countDistinct("aircraft_type").cast("long").alias("aircraft_types"),
+                 distinct_count("airline", approx_distinct).alias("total_airlines"),
+                 distinct_count("origin_airport", approx_distinct).alias("origin_airports"),
+                 distinct_count("destination_airport", approx_distinct).alias("destination_airports"),
+                 distinct_count("aircraft_type", approx_distinct).alias("aircraft_types"),
                  exact_avg("flight_duration_minutes").alias("avg_flight_duration"),
                  F.min("scheduled_departure").alias("earliest_flight"),
                  F.max("scheduled_departure").alias("latest_flight")))

@@ -52,3 +52,18 @@ def test_dedupe_idempotent_and_one_per_key(spark):
     twice = merge.dedupe_first(once, "icao24", ("source_rank", "seq"))
     assert once.count() == hist.select("icao24").distinct().count()
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_approx_distinct_option_close_to_exact(spark):
+    f = warehouse.scheduled_flights(spark, SMALL)
+    exact = {r.departure_hour: r.airlines_operating for r in reports.hourly_patterns(f).collect()}
+    approx_df = reports.hourly_patterns(f, approx_distinct=True)
+    approx = {r.departure_hour: r.airlines_operating for r in approx_df.collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[h] - exact[h]) <= max(2, 0.05 * exact[h]) for h in exact)
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        approx_df.explain()
+    assert "Expand" not in buf.getvalue()
