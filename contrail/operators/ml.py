@@ -131,7 +131,7 @@ def delay_pipeline(num_trees: int = 100, max_depth: int = 6, seed: int = 42,
     asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
-                                maxMemoryInMB=1024, cacheNodeIds=True)
+                                maxMemoryInMB=1024)
     return Pipeline(stages=[idx, strip, asm, rf])
 
 

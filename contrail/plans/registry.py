@@ -864,22 +864,17 @@ def q_performance_anomalies_066(spark, d):
 
 
 def _all_anomalies_sql(lookback):
-    dur = _duration_sql(lookback).split("\n", 1)
+    """Union of the three anomaly kinds in the common schema (self-contained WITH subqueries)."""
     return f"""
 SELECT 'duration_anomaly' AS type, flight_number, airline, route, actual_duration, expected_duration, deviation,
        CAST(NULL AS INTEGER) AS departure_hour, CAST(NULL AS DOUBLE) AS delay_rate, severity
-FROM ({_inner(_duration_sql(lookback))})
+FROM ({_duration_sql(lookback)})
 UNION ALL
 SELECT 'scheduling_anomaly', flight_number, airline, route, NULL, NULL, NULL, departure_hour, NULL, severity
-FROM ({_inner(_scheduling_sql(lookback))})
+FROM ({_scheduling_sql(lookback)})
 UNION ALL
 SELECT 'performance_anomaly', NULL, airline, NULL, NULL, NULL, NULL, NULL, delay_rate, severity
-FROM ({_inner(_performance_sql(lookback, 0.3))})""" if dur else ""
-
-
-def _inner(text: str) -> str:
-    # the oracle texts are self-contained WITH queries; DuckDB accepts them as subqueries
-    return text
+FROM ({_performance_sql(lookback, 0.3)})"""
 
 
 @query("anomaly_report", f"""
@@ -1139,8 +1134,7 @@ SELECT origin_airport, destination_airport, flight_count, airline_count, avg_dur
 FROM ({ROUTE_TRAFFIC_SQL})""", "flights"))
 def q_read_report_json(spark, d):
     from contrail.sources import landing, sinks
-    report = reports.route_traffic_report(rounded(flights(spark, d), "flight_duration_minutes")
-                                          if False else flights(spark, d), as_of=RUN_TS)
+    report = reports.route_traffic_report(flights(spark, d), as_of=RUN_TS)
     path = sinks.write_report_json(report, _scratch(spark, "report-airport-traffic"))
     back = landing.read_report_json(spark, path, report.schema)
     out = back.select(F.explode("top_routes").alias("r")).select("r.*")
