@@ -32,7 +32,7 @@ def merge_sources(frames: Sequence[DataFrame], rank_col: str = "source_rank") ->
 
 
 def dedupe_first(df: DataFrame, key: str | Sequence[str] = "icao24",
-                 order: Sequence[str] = ("source_rank", "seq")) -> DataFrame:
+                 order: Sequence[str] = ("source_rank", "seq"), keep_null_keys: bool = False) -> DataFrame:
     """Keep one row per key: the first by ``order`` (ascending).
 
     ``min_by(struct(row), struct(order))`` is a declarative aggregate, so

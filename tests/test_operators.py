@@ -99,3 +99,11 @@ def test_stratified_split_exact(spark):
     assert counts[(1, "train")] == int(n1 * 0.8 + 0.5) and counts[(0, "train")] == int(n0 * 0.8 + 0.5)
     assert counts[(1, "test")] + counts[(1, "train")] == n1
     assert out.select("id").distinct().count() == 1003
+
+
+def test_dedupe_keep_null_keys_option(spark):
+    df = spark.createDataFrame(
+        [("a", 0, 1), ("a", 1, 2), (None, 0, 3), (None, 2, 4)], "icao24 string, source_rank int, seq long")
+    assert merge.dedupe_first(df).count() == 2
+    out = sorted((r.icao24 or "", r.seq) for r in merge.dedupe_first(df, keep_null_keys=True).collect())
+    assert out == [("", 3), ("", 4), ("a", 1)]
