@@ -38,9 +38,17 @@ def dedupe_first(df: DataFrame, key: str | Sequence[str] = "icao24",
     ``min_by(struct(row), struct(order))`` is a declarative aggregate, so
     Spark pre-aggregates in every map task before the shuffle: a key holding a
     third of the rows costs one row per task on the wire, not a third of the
-    data in one reducer. Null keys form one group, like pandas.
+    data in one reducer. Null keys form one group, like pandas; with
+    ``keep_null_keys`` rows with a null key pass through instead (a blank
+    key identifies nothing, so those rows are not duplicates).
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if keep_null_keys:
+        any_null = F.lit(False)
+        for k in keys:
+            any_null = any_null | F.col(k).isNull()
+        kept = dedupe_first(df.filter(~any_null), keys, order)
+        return kept.unionByName(df.filter(any_null))
     rest = [c for c in df.columns if c not in keys]
     ordering = F.struct(*[F.col(c) for c in order])
     agg = (df.groupBy(*keys)
