@@ -1,12 +1,16 @@
-"""Queries of the training-data operators and their DuckDB oracles (None: tested against brute force)."""
+"""Queries of the training-data operators and their DuckDB oracles (the rest is tested against brute force)."""
 
 from __future__ import annotations
 
-from contrail.llm import packing, sharding
+from contrail.llm import decontamination, line_windows, packing, sharding
 
 QUERIES = {
+    "op2_line_windows": line_windows.op2_line_windows,
+    "op3_template_decontamination": decontamination.op3_template_decontamination,
     "op4_concat_and_cut": packing.op4_concat_and_cut,
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_windows": line_windows.ORACLE,
+}
