@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from contrail.llm.common import table
 
@@ -160,17 +161,22 @@ def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
     return run
 
 
-_SCHEMA = "id long, pos int, hash long, slots array<string>, n_tokens int"
+def _schema(key: StructField) -> StructType:
+    return (StructType().add("id", key.dataType).add("pos", "integer").add("hash", "long")
+            .add("slots", ArrayType(StringType())).add("n_tokens", "integer"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, item_id, coverage, n_windows, reparameterised): one row per document and item it holds.
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
+                 coverage: float = COVERAGE) -> DataFrame:
+    """(key, item_id, coverage, n_windows, reparameterised): one row per document and item it holds.
 
-    Null and empty texts hold nothing; items of fewer than four tokens are
-    not looked for. Rows that repeat a doc_id or item_id count as one. A null
-    doc_id or item_id is kept as such. Empty tables give no rows.
+    `key` names the column of `docs` that tells documents apart. Null and
+    empty texts hold nothing; items of fewer than four tokens are not looked
+    for. Rows that repeat a key or item_id count as one. A null key or
+    item_id is kept as such. Empty tables give no rows.
     """
-    items = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(_windows(None, None), _SCHEMA)
+    items = benchmark.select("item_id", "text")
+    items = items.mapInArrow(_windows(None, None), _schema(items.schema["item_id"]))
     bits = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
     # At most 2 ** BITMAP_BITS small numbers and WINDOW lengths come to the driver, whatever the benchmark's size.
     bitmap = np.zeros(2**BITMAP_BITS, dtype=bool)
@@ -185,13 +191,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     def hits(batches):
         yield from _windows(lengths, np.unpackbits(shipped.value).astype(bool))(batches)
 
-    found = (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(hits, _SCHEMA)
-             .select(F.col("id").alias("doc_id"), "pos", "hash", "slots").join(items, "hash"))
+    found = (docs.select(key, "text").mapInArrow(hits, _schema(docs.schema[key]))
+             .select(F.col("id").alias("__key"), "pos", "hash", "slots").join(items, "hash"))
     pair = F.filter(F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")),
                     lambda s: s["b"].isNotNull() | s["d"].isNotNull())
     tokens = F.sequence(F.col("item_pos"), F.col("item_pos") + F.size("slots") - 1)
     # One alignment holds at most the item's own windows and slots.
-    lined_up = (found.groupBy("doc_id", "item_id", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    lined_up = (found.groupBy("__key", "item_id", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("shift"))
                 .agg(F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"),
                      F.array_distinct(F.flatten(F.collect_set(tokens))).alias("tokens"),
                      F.count_distinct("item_pos").alias("n")))
@@ -203,12 +209,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     consistent = lined_up.filter((distinct(F.col("pairs"), "b") == F.size("pairs"))
                                  & (distinct(names, "d") == F.size(names)))
     changed = F.exists("pairs", lambda s: ~s["b"].eqNullSafe(s["d"]))
-    together = (consistent.groupBy("doc_id", "item_id", "n_tokens")
+    together = (consistent.groupBy("__key", "item_id", "n_tokens")
                 .agg(F.size(F.array_distinct(F.flatten(F.collect_set("tokens")))).alias("covered"),
                      F.sum("n").alias("n_windows"), F.max(changed).alias("reparameterised")))
-    return (together.select("doc_id", "item_id", (F.col("covered") / F.col("n_tokens")).alias("coverage"),
+    return (together.select(F.col("__key").alias(key), "item_id", (F.col("covered") / F.col("n_tokens")).alias("coverage"),
                             "n_windows", "reparameterised")
-            .filter(F.col("coverage") >= coverage).dropDuplicates(["doc_id", "item_id"]))
+            .filter(F.col("coverage") >= coverage).dropDuplicates([key, "item_id"]))
 
 
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
