@@ -76,6 +76,10 @@ class Encoder:
                 cache[raw] = ids
         return ids
 
+    def word(self, raw: bytes) -> bytes:
+        """Ids of a word after a space."""
+        return self._after_space.get(raw) or self._look(self._after_space, b" ", raw)
+
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
             if self._exact is None:

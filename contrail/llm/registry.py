@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from contrail.llm import decontamination, language, line_windows, packing, sharding, simhash
+from contrail.llm import decontamination, language, line_windows, lm, packing, quality, secrets, sharding, simhash
 
 QUERIES = {
     "op2_line_windows": line_windows.op2_line_windows,
     "op3_template_decontamination": decontamination.op3_template_decontamination,
     "op4_concat_and_cut": packing.op4_concat_and_cut,
+    "op5_crf_quality": quality.op5_crf_quality,
+    "op6_assignment_secrets": secrets.op6_assignment_secrets,
+    "op7_attention_lm": lm.op7_attention_lm,
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
     "op9_string_kernel_language": language.op9_string_kernel_language,
     "op10_gray_simhash": simhash.op10_gray_simhash,
