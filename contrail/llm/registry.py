@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from contrail.llm import decontamination, language, line_windows, lm, packing, quality, secrets, sharding, simhash
+from contrail.llm import (
+    decontamination,
+    language,
+    line_windows,
+    lm,
+    order_minhash,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+)
 
 QUERIES = {
+    "op1_order_minhash": order_minhash.op1_order_minhash,
     "op2_line_windows": line_windows.op2_line_windows,
     "op3_template_decontamination": decontamination.op3_template_decontamination,
     "op4_concat_and_cut": packing.op4_concat_and_cut,
