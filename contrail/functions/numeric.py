@@ -17,16 +17,34 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c, digits: int = 6) -> Column:
-    """Mean of the non-null values, rounded half-up to ``digits`` decimals (null if none)."""
-    scale = 10 ** digits
+def _number(c) -> Column:
+    """Values that are no numbers (NaN) count as missing."""
     col = _c(c)
-    units = F.round(col * F.lit(float(scale))).cast("decimal(38,0)")
-    n = F.count(col).cast("decimal(38,0)")
-    a = F.sum(units) * 2 + n
-    b = n * 2
+    return F.when(~F.isnan(col.cast("double")), col)
+
+
+def exact_units(c, digits: int = 6) -> Column:
+    """The value in whole units of ``10**-digits`` (half-up), as DECIMAL(38,0); null for null and NaN.
+
+    ``digits`` is the resolution of the result: values are cut to it before
+    they are summed, so one below half a unit counts as 0.
+    """
+    return F.round(_number(c) * F.lit(float(10 ** digits))).cast("decimal(38,0)")
+
+
+def mean_of_units(total: Column, n: Column, digits: int = 6) -> Column:
+    """``total / n`` half-up, from a sum of :func:`exact_units` and the count of its values; null if there are none."""
+    n = n.cast("decimal(38,0)")
+    a = total * 2 + n
+    b = F.nullif(n * 2, F.lit(0).cast("decimal(38,0)"))
     q = (a - F.pmod(a, b)) / b          # floor(a / b), exact: the numerator is a multiple of b
-    return F.when(F.count(col) > 0, q.cast("double") / scale)
+    return q.cast("double") / 10 ** digits
+
+
+def exact_avg(c, digits: int = 6) -> Column:
+    """Mean of the values that are neither null nor NaN, rounded half-up to ``digits`` decimals (null if none)."""
+    units = exact_units(c, digits)
+    return mean_of_units(F.sum(units), F.count(units), digits)
 
 
 def exact_avg_sql(x: str, digits: int = 6) -> str:

@@ -31,9 +31,20 @@ def clean_text(c, missing: tuple[str, ...] = MISSING_TEXT) -> Column:
     return F.when(s.isin(*missing), F.lit("")).otherwise(s)
 
 
+#: A plain decimal number; ``try_cast`` alone also takes 'NaN', '1d', '2F' and '0x1p3'.
+DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def coerce_double(c) -> Column:
-    """Text/number -> double; anything unparsable becomes null (never raises)."""
-    return _c(c).try_cast("double")
+    """Text/number -> double; anything that is no plain decimal number becomes null (never raises).
+
+    White space around the number is allowed. NaN and infinities, spelled out
+    or by overflow, are no measurements: they become null too, so none
+    reaches a flag, a comparison or an average.
+    """
+    s = strip_ws(_c(c).cast("string"))
+    value = s.try_cast("double")
+    return F.when(s.rlike(DECIMAL_TEXT) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
 def nan_to_null(c) -> Column:

@@ -69,12 +69,6 @@ def minutes_between(start="scheduled_departure", end="scheduled_arrival") -> Col
                           end).cast("double") / 60000000.0
 
 
-def _name(c) -> str:
-    if not isinstance(c, str):
-        raise TypeError("pass a column name")
-    return f"`{c}`"
-
-
 def ts_literal(value) -> Column:
     """A ``timestamp_ntz`` literal from a datetime / date / ISO text.
 

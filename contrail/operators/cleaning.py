@@ -14,12 +14,7 @@ from pyspark.sql import types as T
 
 from contrail.functions import geo, scoring, text, timefns
 
-# Fixed values that must equal the reference: harmonised position schema.
-REQUIRED_POSITION_COLUMNS = (
-    "icao24", "callsign", "origin_country", "latitude", "longitude",
-    "altitude", "speed", "heading", "data_source", "extraction_time",
-)
-OPTIONAL_POSITION_COLUMNS = ("airline", "aircraft_type", "departure_airport", "arrival_airport", "registration")
+# Fixed values that must equal the reference: cleaned text and number fields, harmonised position schema.
 TEXT_FIELDS = ("callsign", "origin_country", "airline", "aircraft_type",
                "departure_airport", "arrival_airport", "registration")
 NUMERIC_FIELDS = ("latitude", "longitude", "altitude", "speed", "heading")
@@ -104,14 +99,6 @@ def parse_timestamps(df: DataFrame, cols=("scheduled_departure", "scheduled_arri
     return df.select(*[c for c in df.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
-def parse_timestamps_strict(df: DataFrame, cols=("scheduled_departure", "scheduled_arrival")) -> DataFrame:
-    """Validity flag only: true when every given text column parses (or is null)."""
-    ok = F.lit(True)
-    for c in cols:
-        ok = ok & (F.col(c).cast("string").try_cast("timestamp_ntz").isNotNull() | F.col(c).isNull())
-    return df.withColumn("timestamps_valid", ok)
-
-
 def flight_duration(df: DataFrame, start: str = "scheduled_departure", end: str = "scheduled_arrival",
                     out: str = "flight_duration_minutes") -> DataFrame:
     return df.withColumn(out, timefns.minutes_between(start, end))

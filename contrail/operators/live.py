@@ -1,7 +1,8 @@
 """Live views: the queries behind the real-time dashboard endpoints.
 
-Each takes the position history and an ``as_of`` instant (the reference
-used the wall clock). With a literal ``as_of`` the trailing-window filter is
+Each takes the table of positions (one row per aircraft and snapshot:
+``realtime.latest_snapshots`` of the history, or the history itself to count
+every position) and an ``as_of`` instant (the reference used the wall clock). With a literal ``as_of`` the trailing-window filter is
 pushed into the parquet scan; row groups wholly outside the window are
 skipped by their min/max statistics.
 """

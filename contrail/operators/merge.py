@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.functions.text import strip_ws
+
 # Fixed values that must equal the reference: source precedence.
 SOURCE_ORDER = ("opensky", "aviationstack", "airlabs")
 
@@ -39,14 +41,14 @@ def dedupe_first(df: DataFrame, key: str | Sequence[str] = "icao24",
     Spark pre-aggregates in every map task before the shuffle: a key holding a
     third of the rows costs one row per task on the wire, not a third of the
     data in one reducer. Null keys form one group, like pandas; with
-    ``keep_null_keys`` rows with a null key pass through instead (a blank
-    key identifies nothing, so those rows are not duplicates).
+    ``keep_null_keys`` rows with a null or blank key pass through instead (such
+    a key identifies nothing, so those rows are not duplicates).
     """
     keys = [key] if isinstance(key, str) else list(key)
     if keep_null_keys:
         any_null = F.lit(False)
         for k in keys:
-            any_null = any_null | F.col(k).isNull()
+            any_null = any_null | F.col(k).isNull() | F.coalesce(strip_ws(F.col(k).cast("string")) == "", F.lit(False))
         kept = dedupe_first(df.filter(~any_null), keys, order)
         return kept.unionByName(df.filter(any_null))
     rest = [c for c in df.columns if c not in keys]

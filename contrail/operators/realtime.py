@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from contrail.functions import geo
 from contrail.functions.numeric import exact_avg
-from contrail.functions.timefns import ts_literal
+from contrail.functions.timefns import instant_of, ntz_of_instant, ts_literal
 from contrail.operators import cleaning
-from contrail.operators.merge import SOURCE_ORDER, dedupe_first, source_rank
+from contrail.operators.merge import SOURCE_ORDER, dedupe_first, merge_sources, source_rank
 
 # Fixed values that must equal the reference: report thresholds.
 HIGH_QUALITY_SCORE = 80
@@ -50,6 +50,24 @@ def snapshot(hist: DataFrame) -> DataFrame:
     return dedupe_first(hist, "icao24", ("source_rank", "seq"))
 
 
+def snapshot_of_feeds(feeds) -> DataFrame:
+    """Extracted feeds (common columns, ``arrival``) -> one standardised, scored row per aircraft.
+
+    The first row in source order, then in order of arrival, stays; rows
+    without a key (null or blank) are no duplicates of each other.
+    """
+    merged = merge_sources(feeds).drop("region")
+    df = (merged.transform(cleaning.standardize_positions).transform(cleaning.add_region)
+          .transform(cleaning.add_quality_score))
+    return dedupe_first(df, "icao24", ("source_rank", "arrival"), keep_null_keys=True)
+
+
+def latest_snapshots(hist: DataFrame, period: str = "15 minutes", key: str = "icao24") -> DataFrame:
+    """History -> one row per aircraft and snapshot period: what the table held at the end of each period."""
+    start = ntz_of_instant(F.window(instant_of("extraction_time"), period).start)
+    return dedupe_first(hist.withColumn("_period", start), (key, "_period"), ("source_rank", "seq")).drop("_period")
+
+
 def _count_distinct_with_null(c: str) -> Column:
     """pandas ``len(s.unique())``: null counts as one more value."""
     return (F.countDistinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("long")

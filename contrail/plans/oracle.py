@@ -106,6 +106,11 @@ FROM rt_clean"""),
     "snap": (("rt",), """
 SELECT * EXCLUDE (_rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY source_rank, seq) AS _rn FROM rt)
+WHERE _rn = 1"""),
+    "live": (("rt",), """
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY icao24, time_bucket(INTERVAL 15 MINUTE, extraction_time)
+                               ORDER BY source_rank, seq) AS _rn FROM rt)
 WHERE _rn = 1"""),
     "features": (("flights",), """
 SELECT *, origin_airport || '_' || destination_airport AS route,

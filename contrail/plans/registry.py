@@ -112,15 +112,29 @@ def q_clean_callsign(spark, d):
     return positions(spark, d).select("seq", "callsign").transform(cleaning.clean_callsign)
 
 
-@query("coerce_numeric", sql("""
-SELECT event_id AS seq, TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value,
-       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
-       TRY_CAST(event_type AS DOUBLE) AS kind FROM events"""))
+ODD_NUMBERS = ("nan", "NaN", "Infinity", "-inf", "1d", "2F", "0x1p3", "1_000", "1e999", "-1.5e3", " 7 ", ".5", "3.", "")
+_DECIMAL_SQL = r"'[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?'"
+
+
+def _number_sql(x: str) -> str:
+    t = f"trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    return (f"CASE WHEN regexp_full_match({t}, {_DECIMAL_SQL}) AND NOT isinf(TRY_CAST({t} AS DOUBLE)) "
+            f"THEN TRY_CAST({t} AS DOUBLE) END")
+
+
+_ODD_SQL = "list_extract([" + ", ".join(f"'{x}'" for x in ODD_NUMBERS) + f"], CAST(event_id % {len(ODD_NUMBERS)} AS INTEGER) + 1)"
+
+
+@query("coerce_numeric", sql(f"""
+SELECT event_id AS seq, {_number_sql("CAST(value AS VARCHAR)")} AS value,
+       {_number_sql("json_extract_string(props, '$.k')")} AS k,
+       {_number_sql("event_type")} AS kind, {_number_sql(_ODD_SQL)} AS odd FROM events"""))
 def q_coerce_numeric(spark, d):
+    odd = F.get(F.array(*(F.lit(x) for x in ODD_NUMBERS)), (F.col("event_id") % len(ODD_NUMBERS)).cast("int"))
     ev = testdata.load(spark, d, "events").select(
         F.col("event_id").alias("seq"), F.col("value").cast("string").alias("value"),
-        F.get_json_object("props", "$.k").alias("k"), F.col("event_type").alias("kind"))
-    return ev.transform(cleaning.coerce_numeric, ("value", "k", "kind"))
+        F.get_json_object("props", "$.k").alias("k"), F.col("event_type").alias("kind"), odd.alias("odd"))
+    return ev.transform(cleaning.coerce_numeric, ("value", "k", "kind", "odd"))
 
 
 @query("derive_kinematics", sql("SELECT seq, altitude, speed, heading FROM positions", "positions"))
@@ -630,16 +644,16 @@ def q_source_extract_stats(spark, d):
 
 @query("source_last_update", sql(f"""
 SELECT data_source, count(*) AS flights, {r6('avg(data_quality_score)')} AS avg_quality,
-       max(extraction_time) AS last_update FROM rt GROUP BY data_source""", "rt"))
+       max(extraction_time) AS last_update FROM live GROUP BY data_source""", "live"))
 def q_source_last_update(spark, d):
-    return rounded(realtime.source_last_update(history(spark, d)), "avg_quality")
+    return rounded(realtime.source_last_update(warehouse.realtime_latest(spark, d)), "avg_quality")
 
 
 @query("latest_flights", sql("""
-SELECT callsign, origin_country, region, data_source, extraction_time FROM rt
-ORDER BY extraction_time DESC, seq DESC LIMIT 10""", "rt"))
+SELECT callsign, origin_country, region, data_source, extraction_time FROM live
+ORDER BY extraction_time DESC, seq DESC LIMIT 10""", "live"))
 def q_latest_flights(spark, d):
-    return realtime.latest_flights(history(spark, d))
+    return realtime.latest_flights(warehouse.realtime_latest(spark, d))
 
 
 @query("load_metadata", sql(f"""
@@ -653,12 +667,12 @@ def q_load_metadata(spark, d):
 
 # ------------------------------------------------------------- §2.10 live views
 
-AS_OF_SQL = "(SELECT max(extraction_time) FROM rt)"
+AS_OF_SQL = "(SELECT max(extraction_time) FROM live)"
 
 
 def _live(spark, d):
-    hist = history(spark, d)
-    return hist, live.resolve_as_of(hist)
+    """The live table (one row per aircraft and snapshot) and its latest time."""
+    return warehouse.realtime_latest(spark, d), warehouse.as_of(spark, d)
 
 
 def _trail(minutes: int) -> str:
@@ -666,9 +680,9 @@ def _trail(minutes: int) -> str:
 
 
 @query("live_flights", sql(f"""
-SELECT {', '.join(live.LIVE_COLUMNS)} FROM rt
+SELECT {', '.join(live.LIVE_COLUMNS)} FROM live
 WHERE {_trail(60)} AND latitude IS NOT NULL AND longitude IS NOT NULL
-ORDER BY extraction_time DESC, seq DESC LIMIT 1000""", "rt"))
+ORDER BY extraction_time DESC, seq DESC LIMIT 1000""", "live"))
 def q_live_flights(spark, d):
     hist, as_of = _live(spark, d)
     return live.live_flights(hist, as_of)
@@ -678,7 +692,7 @@ def q_live_flights(spark, d):
 SELECT region, count(*) AS flight_count, {xavg('altitude')} AS avg_altitude,
        {r6('avg(speed)')} AS avg_speed, {r6('avg(data_quality_score)')} AS avg_quality,
        count(DISTINCT origin_country) AS countries, count(DISTINCT airline) AS airlines
-FROM rt WHERE {_trail(60)} GROUP BY region ORDER BY flight_count DESC, region""", "rt"))
+FROM live WHERE {_trail(60)} GROUP BY region ORDER BY flight_count DESC, region""", "live"))
 def q_regional_stats(spark, d):
     hist, as_of = _live(spark, d)
     return rounded(live.regional_stats(hist, as_of), "avg_altitude", "avg_speed", "avg_quality")
@@ -692,9 +706,9 @@ SELECT latitude AS lat, longitude AS lon,
        CASE WHEN origin_country IS NULL OR origin_country = '' THEN 'Unknown' ELSE origin_country END AS country,
        CASE WHEN region IS NULL OR region = '' THEN 'Unknown' ELSE region END AS region,
        CASE WHEN data_source IS NULL OR data_source = '' THEN 'Unknown' ELSE data_source END AS source
-FROM (SELECT * FROM rt WHERE {_trail(30)} AND latitude IS NOT NULL AND longitude IS NOT NULL
+FROM (SELECT * FROM live WHERE {_trail(30)} AND latitude IS NOT NULL AND longitude IS NOT NULL
         AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
-      ORDER BY extraction_time DESC, seq DESC LIMIT 2000)""", "rt"))
+      ORDER BY extraction_time DESC, seq DESC LIMIT 2000)""", "live"))
 def q_flight_map(spark, d):
     hist, as_of = _live(spark, d)
     return live.flight_map(hist, as_of)
@@ -705,7 +719,7 @@ SELECT data_source, count(*) AS total_flights, {r6('avg(data_quality_score)')} A
        count(*) FILTER (WHERE has_position) AS with_position, count(*) FILTER (WHERE has_speed) AS with_speed,
        count(*) FILTER (WHERE has_altitude) AS with_altitude,
        count(*) FILTER (WHERE data_quality_score >= 80) AS high_quality
-FROM rt WHERE {_trail(60)} GROUP BY data_source ORDER BY total_flights DESC, data_source""", "rt"))
+FROM live WHERE {_trail(60)} GROUP BY data_source ORDER BY total_flights DESC, data_source""", "live"))
 def q_source_quality(spark, d):
     hist, as_of = _live(spark, d)
     return rounded(live.source_quality(hist, as_of), "avg_quality")
@@ -716,15 +730,15 @@ SELECT count(*) AS total_flights, count(DISTINCT origin_country) AS countries,
        count(DISTINCT airline) AS airlines, count(DISTINCT aircraft_type) AS aircraft_types,
        {xavg('altitude')} AS avg_altitude, {r6('avg(speed)')} AS avg_speed, max(speed) AS max_speed,
        {r6('avg(data_quality_score)')} AS avg_quality
-FROM rt WHERE {_trail(30)}""", "rt"))
+FROM live WHERE {_trail(30)}""", "live"))
 def q_live_metrics(spark, d):
     hist, as_of = _live(spark, d)
     return rounded(live.live_metrics(hist, as_of), "avg_altitude", "avg_speed", "avg_quality")
 
 
 @query("altitude_distribution", sql(f"""
-SELECT {ALT_BAND_SQL} AS altitude_range, count(*) AS count FROM rt
-WHERE {_trail(30)} AND altitude IS NOT NULL GROUP BY 1 ORDER BY count DESC, altitude_range""", "rt"))
+SELECT {ALT_BAND_SQL} AS altitude_range, count(*) AS count FROM live
+WHERE {_trail(30)} AND altitude IS NOT NULL GROUP BY 1 ORDER BY count DESC, altitude_range""", "live"))
 def q_altitude_distribution(spark, d):
     hist, as_of = _live(spark, d)
     return live.altitude_distribution(hist, as_of)
@@ -919,7 +933,7 @@ def _trained(spark, d):
     The split frame is checkpointed (reliable checkpoint in the shared dir)
     so train and test are cut from one materialised assignment.
     """
-    k = (id(spark.sparkContext), d)
+    k = (spark.sparkContext.applicationId, d, warehouse.fingerprint(spark, d, warehouse.SOURCES["scheduled_flights"]))
     if k not in _MODELS:
         split = _split(spark, d)
         train = split.filter(F.col("split") == "train").drop("split")
@@ -1007,7 +1021,12 @@ FROM (SELECT *, CAST(floor(epoch(extraction_time)) AS BIGINT) AS t,
       FROM positions WHERE data_source = 'opensky')
 WHERE seq % 10 <> 4""", "positions"))
 def q_ingest_state_vectors(spark, d):
-    from contrail.sources import landing, landing_writers as lw
+    from contrail.sources import landing
+    return landing.ingest_state_vectors(spark, _state_vector_feed(spark, d), run_ts=RUN_TS).drop("arrival")
+
+
+def _state_vector_feed(spark, d):
+    from contrail.sources import landing_writers as lw
     p = positions(spark, d).filter(F.col("data_source") == "opensky")
     st = p.select("seq", "icao24", "callsign", "origin_country",
                   _epoch_s("extraction_time").alias("time_position"),
@@ -1023,8 +1042,9 @@ def q_ingest_state_vectors(spark, d):
              .when(F.col("seq") % 10 == 4, F.regexp_replace("_full", r",[^,]*\]$", "]"))
              .otherwise(F.col("_full")))
     docs = st.withColumn("_full", full).withColumn("state_json", state)
-    path = lw.write_state_vector_snapshots(docs, _scratch(spark, "landing-opensky"))
-    return landing.ingest_state_vectors(spark, path, run_ts=RUN_TS)
+    return lw.write_state_vector_snapshots(docs, _scratch(spark, "landing-opensky"))
+
+
 
 
 @query("ingest_nested_live", sql(f"""
@@ -1037,7 +1057,12 @@ FROM positions
 WHERE data_source = 'aviationstack' AND seq % 10 <> 5
   AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180""", "positions"))
 def q_ingest_nested_live(spark, d):
-    from contrail.sources import landing, landing_writers as lw
+    from contrail.sources import landing
+    return landing.ingest_nested_live(spark, _nested_feed(spark, d), run_ts=RUN_TS).drop("arrival")
+
+
+def _nested_feed(spark, d):
+    from contrail.sources import landing_writers as lw
     p = positions(spark, d).filter(F.col("data_source") == "aviationstack")
     live_obj = F.when(F.col("seq") % 10 == 5, F.lit(None)).otherwise(F.struct(
         F.col("latitude").alias("latitude"), F.col("longitude").alias("longitude"),
@@ -1050,8 +1075,7 @@ def q_ingest_nested_live(spark, d):
                    F.struct(F.col("airline").alias("iata")).alias("airline"),
                    F.struct(F.col("aircraft_type").alias("iata")).alias("aircraft"),
                    live_obj.alias("live"), F.lit("active").alias("flight_status"))
-    path = lw.write_documents(rec, _scratch(spark, "landing-aviationstack"), "data")
-    return landing.ingest_nested_live(spark, path, run_ts=RUN_TS)
+    return lw.write_documents(rec, _scratch(spark, "landing-aviationstack"), "data")
 
 
 @query("ingest_flat_live", sql(f"""
@@ -1065,7 +1089,12 @@ FROM positions
 WHERE data_source = 'airlabs' AND seq % 10 <> 6
   AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180""", "positions"))
 def q_ingest_flat_live(spark, d):
-    from contrail.sources import landing, landing_writers as lw
+    from contrail.sources import landing
+    return landing.ingest_flat_live(spark, _flat_feed(spark, d), run_ts=RUN_TS).drop("arrival")
+
+
+def _flat_feed(spark, d):
+    from contrail.sources import landing_writers as lw
     p = positions(spark, d).filter(F.col("data_source") == "airlabs")
     rec = p.select("seq", F.col("icao24").alias("hex"), F.col("callsign").alias("flight_iata"),
                    F.col("origin_country").alias("flag"),
@@ -1075,8 +1104,31 @@ def q_ingest_flat_live(spark, d):
                    F.col("aircraft_type").alias("aircraft_icao"),
                    F.concat(F.lit("R-"), F.col("icao24")).alias("reg_number"),
                    _epoch_s("extraction_time").alias("updated"))
-    path = lw.write_documents(rec, _scratch(spark, "landing-airlabs"), "response")
-    return landing.ingest_flat_live(spark, path, run_ts=RUN_TS)
+    return lw.write_documents(rec, _scratch(spark, "landing-airlabs"), "response")
+
+
+@query("ingest_merge_snapshot", sql("""
+SELECT icao24, callsign, origin_country, latitude, longitude, altitude, speed, heading,
+       CASE WHEN data_source = 'opensky' THEN '' ELSE airline END AS airline,
+       CASE WHEN data_source = 'opensky' THEN '' ELSE aircraft_type END AS aircraft_type,
+       data_source, TIMESTAMP '2025-07-12 13:42:58' AS extraction_time, region,
+       data_source <> 'opensky' OR is_airborne AS is_airborne, has_position, has_speed, has_altitude,
+       data_quality_score
+FROM (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY source_rank, seq) AS _rn FROM rt
+      WHERE NOT (data_source = 'opensky' AND seq % 10 = 4) AND NOT (data_source = 'aviationstack' AND seq % 10 = 5)
+        AND NOT (data_source = 'airlabs' AND seq % 10 = 6))
+WHERE _rn = 1""", "rt"))
+def q_ingest_merge_snapshot(spark, d):
+    """Three feeds as files -> readers -> extract rules -> merge -> one scored row per aircraft."""
+    from contrail.sources import landing
+    states = landing.ingest_state_vectors(spark, _state_vector_feed(spark, d), run_ts=RUN_TS)
+    feeds = [landing.extract_state_vectors(states),
+             landing.ingest_nested_live(spark, _nested_feed(spark, d), run_ts=RUN_TS),
+             landing.ingest_flat_live(spark, _flat_feed(spark, d), run_ts=RUN_TS)]
+    return realtime.snapshot_of_feeds(feeds).select(
+        "icao24", "callsign", "origin_country", "latitude", "longitude", "altitude", "speed", "heading", "airline",
+        "aircraft_type", "data_source", "extraction_time", "region", "is_airborne", "has_position", "has_speed",
+        "has_altitude", "data_quality_score")
 
 
 def _csv_schema():
@@ -1166,7 +1218,15 @@ def q_load_replace(spark, d):
     name = "rt_snapshot_" + _scratch(spark, "t").rsplit("-", 1)[1]
     status = sinks.load_replace(snapshot(spark, d), name, _scratch(spark, "table-rt-snapshot"))
     sinks.raise_on_failures(status)
-    return spark.table(name)
+    return _read_and_drop(spark, name)
+
+
+def _read_and_drop(spark, name):
+    """The rows a table holds now, read from its files; the name (made up for this run) goes."""
+    folder = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+    df = spark.read.schema(spark.table(name).schema).parquet(folder)
+    spark.sql(f"DROP TABLE {name}")
+    return df
 
 
 @query("declare_tables", sql("""
@@ -1184,7 +1244,9 @@ def q_declare_tables(spark, d):
     snap = snapshot(spark, d)
     sinks.insert_replace(snap, rt_name)
     sinks.insert_replace(realtime.load_metadata(snap, run_ts=RUN_TS), meta_name)
-    return spark.table(rt_name)
+    if _read_and_drop(spark, meta_name).first()["record_count"] != snap.count():
+        raise RuntimeError("the metadata row does not match the table")
+    return _read_and_drop(spark, rt_name)
 
 
 @query("write_report_json")
@@ -1220,9 +1282,9 @@ _LANDING: dict = {}
 def _landing(spark, d):
     """The position feed as a landing zone of JSON files, written once per session."""
     from contrail.streaming import positions as sp
-    k = (spark.sparkContext.applicationId, d)
+    k = (spark.sparkContext.applicationId, d, warehouse.fingerprint(spark, d, ("events",)))
     if k not in _LANDING:
-        _LANDING[k] = sp.write_landing(positions(spark, d), _scratch(spark, "landing-positions"), files=4)
+        _LANDING[k] = sp.write_landing(positions(spark, d), _scratch(spark, "landing-positions"))
     return _LANDING[k]
 
 
@@ -1234,18 +1296,15 @@ def q_stream_positions(spark, d):
     return spark.read.schema(realtime.history(positions(spark, d)).schema).parquet(sink)
 
 
-@query("stream_dedupe", sql("""
-SELECT DISTINCT icao24, time_bucket(INTERVAL 15 MINUTE, extraction_time) AS snapshot_start FROM rt""", "rt"))
+@query("stream_dedupe", sql(f"""
+SELECT {HISTORY_COLS}, snapshot_start FROM (
+  SELECT *, row_number() OVER (PARTITION BY icao24, snapshot_start ORDER BY source_rank, seq) AS _rn
+  FROM (SELECT *, time_bucket(INTERVAL 15 MINUTE, extraction_time) AS snapshot_start FROM rt))
+WHERE _rn = 1""", "rt"))
 def q_stream_dedupe(spark, d):
     from contrail.streaming import positions as sp
-    sink = _scratch(spark, "stream-dedupe")
-    stream = realtime.history(sp.read_stream(spark, _landing(spark, d)))
-    from contrail.functions.timefns import ntz_of_instant
-    out = sp.stream_dedupe(stream).select("icao24", ntz_of_instant(F.col("snapshot_start")).alias("snapshot_start"))
-    w = (out.writeStream.format("parquet").outputMode("append").option("path", sink)
-         .option("checkpointLocation", _scratch(spark, "ckpt-dedupe")))
-    sp.run_available_now(w)
-    return spark.read.parquet(sink)
+    return sp.stream_dedupe_table(spark, _landing(spark, d), _scratch(spark, "table-dedupe"),
+                                  _scratch(spark, "ckpt-dedupe"))
 
 
 @query("stream_snapshot", sql(f"""
@@ -1268,18 +1327,18 @@ FROM (SELECT rt.*, time_bucket(INTERVAL 15 MINUTE, extraction_time) - s.k * INTE
 GROUP BY window_start, region""", "rt"))
 def q_stream_region_windows(spark, d):
     from contrail.streaming import positions as sp
-    base = _scratch(spark, "table-region-windows")
-    sp.stream_region_windows(spark, _landing(spark, d), base, _scratch(spark, "ckpt-region-windows"))
-    return rounded(sp.read_latest_version(spark, base), "avg_altitude", "avg_speed", "avg_quality")
+    stats = sp.stream_region_windows(spark, _landing(spark, d), _scratch(spark, "table-region-windows"),
+                                     _scratch(spark, "ckpt-region-windows"))
+    return rounded(stats, "avg_altitude", "avg_speed", "avg_quality")
 
 
 @query("feed_alerts", sql(f"""
 SELECT data_source, 'low_quality' AS alert, {r6('avg_quality')} AS value FROM lu WHERE avg_quality < 70
 UNION ALL
 SELECT data_source, 'stale', {r6(f"CAST(epoch_us({AS_OF_SQL}) - epoch_us(last_update) AS DOUBLE) / 1000000.0")} FROM lu
-WHERE last_update < {AS_OF_SQL} - INTERVAL 30 MINUTE""", "rt", local=(
+WHERE last_update < {AS_OF_SQL} - INTERVAL 30 MINUTE""", "live", local=(
     ("lu", "SELECT data_source, avg(data_quality_score) AS avg_quality, max(extraction_time) AS last_update "
-           "FROM rt GROUP BY data_source"),)))
+           "FROM live GROUP BY data_source"),)))
 def q_feed_alerts(spark, d):
     from contrail.streaming import positions as sp
     hist, as_of = _live(spark, d)

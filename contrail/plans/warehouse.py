@@ -27,31 +27,35 @@ from contrail.session import scratch_path
 from contrail.sources import testdata
 
 _BUILT: dict[tuple, DataFrame] = {}
+_AS_OF: dict[int, object] = {}
 
 SOURCES = {
     "scheduled_flights": ("lineitem", "orders", "customer", "supplier", "part", "nation"),
     "realtime_history": ("events",),
     "realtime_snapshot": ("events",),
+    "realtime_latest": ("events",),
     "airports": ("supplier", "nation", "region"),
 }
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str, tables) -> tuple:
+def fingerprint(spark: SparkSession, sf_dir: str, tables) -> tuple:
+    """Paths, lengths and modification times of all files of the source tables (a table is a file or a folder)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for t in tables:
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        fs = p.getFileSystem(conf)
-        st = fs.getFileStatus(p)
-        out.append((t, st.getLen(), st.getModificationTime()))
-    return tuple(out)
+        files = p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            out.append((t, st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
           sort_cols: tuple[str, ...]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
-           _fingerprint(spark, sf_dir, SOURCES[name]))
+           fingerprint(spark, sf_dir, SOURCES[name]))
     df = _BUILT.get(key)
     if df is None:
         path = scratch_path(spark, f"stage-{name}")
@@ -83,12 +87,20 @@ def realtime_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
                  lambda: realtime.snapshot(realtime_history(spark, sf_dir)), ("icao24",))
 
 
-def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, sf_dir, "airports", lambda: testdata.airports(spark, sf_dir), ("code",))
+def realtime_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per aircraft and 15-minute snapshot: the table the live views read."""
+    return stage(spark, sf_dir, "realtime_latest",
+                 lambda: realtime.latest_snapshots(realtime_history(spark, sf_dir)), ("extraction_time",))
+
 
+def as_of(spark: SparkSession, sf_dir: str):
+    """Latest event time of the live table, looked up once per table."""
+    df = realtime_latest(spark, sf_dir)
+    key = id(df)
+    if key not in _AS_OF:
+        _AS_OF[key] = df.agg({"extraction_time": "max"}).first()[0]
+    return _AS_OF[key]
 
-def build_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"scheduled_flights": scheduled_flights(spark, sf_dir),
-            "realtime_history": realtime_history(spark, sf_dir),
-            "realtime_snapshot": realtime_snapshot(spark, sf_dir),
-            "airports": airports(spark, sf_dir)}
+
+def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(spark, sf_dir, "airports", lambda: testdata.airports(spark, sf_dir), ("code",))

@@ -9,14 +9,17 @@ with an explicit schema (no inference) and flattened with ``explode``.
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from contrail.functions import geo
+from contrail.functions import geo, text
 from contrail.functions.timefns import ts_literal
+from contrail.operators import cleaning
 
 # Fixed values that must equal the reference: state-vector slot names, in order.
 STATE_SLOTS = (
@@ -58,31 +61,61 @@ FLAT_LIVE_SCHEMA = _struct(("response", T.ArrayType(_struct(*[(f, _S) for f in F
 AIRPORT_SCHEMA = _struct(("code", _S), ("name", _S), ("city", _S), ("country", _S),
                          ("latitude", _D), ("longitude", _D))
 
-TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-
 
 def _now_or(run_ts) -> Column:
     return (ts_literal(run_ts) if run_ts is not None
             else F.current_timestamp().cast("timestamp_ntz"))
 
 
+def _documents(raw: DataFrame) -> DataFrame:
+    """`raw` with ``_doc``: the place of each document in the landing zone.
+
+    File, byte offset of the split and row in the split order the documents
+    as they stand in the files, whatever the splits are.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
+                                    F.col("_metadata.file_block_start").alias("start"), row.alias("row")).alias("_doc"))
+
+
+def _arrival() -> Column:
+    """Order of arrival of a record: its document's place, then its place in the document's array."""
+    return F.struct("_doc.file", "_doc.start", "_doc.row", "pos").alias("arrival")
+
+
+def _cast_slot(c: Column, t: T.DataType) -> Column:
+    if isinstance(t, T.DoubleType):
+        return text.coerce_double(c)
+    if isinstance(t, (T.LongType, T.IntegerType)):
+        whole = text.coerce_double(c)
+        return F.when(whole == F.floor(whole), whole).try_cast(t)
+    return c.try_cast(t)
+
+
 def ingest_state_vectors(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None,
                          multi_line: bool = False) -> DataFrame:
     """Snapshot documents ``{"time": s, "states": [[17+ slots], ...]}`` -> one row per state.
 
     Null states and states with fewer than 17 slots are dropped; extra slots
-    are cut; each slot is cast to its type with ``try_cast`` (a bad value
-    becomes null). ``data_timestamp`` is the snapshot time, the load time
-    when the document has none.
+    are cut; each slot is cast to its type (a bad value becomes null).
+    ``data_timestamp`` is the snapshot time, the load time when the document
+    has none. ``arrival`` orders the rows as they stand in the files.
     """
-    raw = spark.read.schema(STATE_SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path)
+    raw = _documents(spark.read.schema(STATE_SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path))
     now_s = F.unix_timestamp(F.current_timestamp())
     st = (raw.select(F.coalesce(F.col("time"), now_s).alias("data_timestamp"),
-                     F.explode("states").alias("s"))
+                     "_doc", F.posexplode("states").alias("pos", "s"))
           .filter(F.col("s").isNotNull() & (F.size("s") >= len(STATE_SLOTS))))
-    slots = [F.col("s")[i].try_cast(t).alias(n) for i, (n, t) in enumerate(STATE_SLOTS)]
+    slots = [_cast_slot(F.col("s")[i], t).alias(n) for i, (n, t) in enumerate(STATE_SLOTS)]
     return st.select(*slots, "data_timestamp", _now_or(run_ts).alias("extraction_time"),
-                     F.lit("opensky").alias("data_source"))
+                     F.lit("opensky").alias("data_source"), _arrival())
+
+
+def extract_state_vectors(states: DataFrame) -> DataFrame:
+    """Ingested states -> common columns: clean the callsign, derive altitude, speed and heading,
+    require key and coordinates, check their range, add the region."""
+    return (states.transform(cleaning.clean_callsign).transform(cleaning.derive_kinematics)
+            .transform(cleaning.require_keys).transform(cleaning.valid_coordinates).transform(cleaning.add_region))
 
 
 def _text(c: str) -> Column:
@@ -93,46 +126,47 @@ def _text(c: str) -> Column:
 def _extract_rules(df: DataFrame) -> DataFrame:
     """Commercial-source extract rules: numeric coercion, coordinates
     present and in range, region."""
-    df = df.withColumns({"latitude": F.col("latitude").try_cast("double"),
-                         "longitude": F.col("longitude").try_cast("double")})
+    df = df.withColumns({"latitude": text.coerce_double("latitude"), "longitude": text.coerce_double("longitude")})
     return (df.dropna(subset=["latitude", "longitude"])
               .filter(geo.coordinates_valid())
               .withColumn("region", geo.classify_region()))
 
 
-def ingest_nested_live(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None) -> DataFrame:
+def ingest_nested_live(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None,
+                       multi_line: bool = False) -> DataFrame:
     """Nested live-flight documents ``{"data": [...]}`` -> common columns."""
-    raw = spark.read.schema(NESTED_LIVE_SCHEMA).json(path)
-    f = raw.select(F.explode("data").alias("f")).select("f.*")
+    raw = _documents(spark.read.schema(NESTED_LIVE_SCHEMA).option("multiLine", multi_line).json(path))
+    f = raw.select("_doc", F.posexplode("data").alias("pos", "f")).filter("f is not null").select("_doc", "pos", "f.*")
     flat = f.select(
         _text("flight.icao").alias("icao24"), _text("flight.iata").alias("callsign"),
         _text("departure.country").alias("origin_country"),
         F.col("live.latitude").alias("latitude"), F.col("live.longitude").alias("longitude"),
-        F.col("live.altitude").try_cast("double").alias("altitude"),
-        F.col("live.speed_horizontal").try_cast("double").alias("speed"),
-        F.col("live.direction").try_cast("double").alias("heading"),
+        text.coerce_double("live.altitude").alias("altitude"),
+        text.coerce_double("live.speed_horizontal").alias("speed"),
+        text.coerce_double("live.direction").alias("heading"),
         _text("departure.iata").alias("departure_airport"), _text("arrival.iata").alias("arrival_airport"),
         _text("airline.iata").alias("airline"), _text("aircraft.iata").alias("aircraft_type"),
         _text("flight_status").alias("flight_status"),
-        F.lit("aviationstack").alias("data_source"), _now_or(run_ts).alias("extraction_time"))
+        F.lit("aviationstack").alias("data_source"), _now_or(run_ts).alias("extraction_time"), _arrival())
     return _extract_rules(flat)
 
 
-def ingest_flat_live(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None) -> DataFrame:
+def ingest_flat_live(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None,
+                       multi_line: bool = False) -> DataFrame:
     """Flat live-flight documents ``{"response": [...]}`` -> common columns (renames)."""
-    raw = spark.read.schema(FLAT_LIVE_SCHEMA).json(path)
-    f = raw.select(F.explode("response").alias("f")).select("f.*")
+    raw = _documents(spark.read.schema(FLAT_LIVE_SCHEMA).option("multiLine", multi_line).json(path))
+    f = raw.select("_doc", F.posexplode("response").alias("pos", "f")).filter("f is not null").select("_doc", "pos", "f.*")
     flat = f.select(
         _text("hex").alias("icao24"), _text("flight_iata").alias("callsign"),
         _text("flag").alias("origin_country"),
         F.col("lat").alias("latitude"), F.col("lng").alias("longitude"),
-        F.col("alt").try_cast("double").alias("altitude"), F.col("speed").try_cast("double").alias("speed"),
-        F.col("dir").try_cast("double").alias("heading"), F.col("v_speed").try_cast("double").alias("vertical_speed"),
+        text.coerce_double("alt").alias("altitude"), text.coerce_double("speed").alias("speed"),
+        text.coerce_double("dir").alias("heading"), text.coerce_double("v_speed").alias("vertical_speed"),
         _text("dep_iata").alias("departure_airport"), _text("arr_iata").alias("arrival_airport"),
         _text("airline_iata").alias("airline"), _text("aircraft_icao").alias("aircraft_type"),
         _text("reg_number").alias("registration"), _text("squawk").alias("squawk"),
         F.lit("airlabs").alias("data_source"), _now_or(run_ts).alias("extraction_time"),
-        F.col("updated").try_cast("long").alias("updated_timestamp"))
+        F.col("updated").try_cast("long").alias("updated_timestamp"), _arrival())
     return _extract_rules(flat)
 
 
@@ -159,13 +193,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                   **options) -> DataFrame:
-    """A missing, unreadable or empty source gives an empty typed frame."""
+    """A missing, unreadable or empty source gives an empty typed frame.
+
+    Columnar files are looked at here (their footers), not first in the
+    caller's action: if one cannot be read, the whole source counts as
+    unreadable and a warning names the cause. No bad file is skipped silently.
+    """
     empty = spark.createDataFrame([], schema)
     if not path_exists(spark, path):
         return empty
     try:
-        return spark.read.schema(schema).options(**options).format(fmt).load(path)
-    except AnalysisException:
+        df = spark.read.schema(schema).options(**options).format(fmt).load(path)
+        if fmt in ("parquet", "orc"):
+            df.count()
+        return df
+    except (PySparkException, Py4JJavaError) as e:
+        warnings.warn(f"{path} cannot be read as {fmt}: {str(e).splitlines()[0]}", stacklevel=2)
         return empty
 
 

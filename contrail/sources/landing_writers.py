@@ -43,6 +43,18 @@ def state_vector_json(df: DataFrame) -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
 
 
+def in_order(seq: str, value: Column) -> Column:
+    """The group's values as an array in the order of `seq`."""
+    rows = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), value.alias("value"))),
+                        lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0))
+    return F.transform(rows, lambda r: r["value"])
+
+
+def chunks_in_order(docs: DataFrame) -> DataFrame:
+    """Documents dealt to files by chunk, so that files and the documents in them stand in order."""
+    return docs.repartitionByRange("_chunk").sortWithinPartitions("_chunk")
+
+
 def write_state_vector_snapshots(states: DataFrame, path: str, chunk_rows: int = 1000,
                                  seq: str = "seq", time_col: str = "time_position",
                                  state_col: str = "state_json") -> str:
@@ -53,7 +65,8 @@ def write_state_vector_snapshots(states: DataFrame, path: str, chunk_rows: int =
     """
     chunk = F.floor(F.col(seq) / chunk_rows)
     docs = (states.groupBy(chunk.alias("_chunk"))
-            .agg(F.max(time_col).alias("_t"), F.collect_list(state_col).alias("_states")))
+            .agg(F.max(time_col).alias("_t"), in_order(seq, F.col(state_col)).alias("_states"))
+            .transform(chunks_in_order))
     text = F.concat(F.lit('{"time":'), F.col("_t").cast("string"), F.lit(',"states":['),
                     F.array_join("_states", ","), F.lit("]}"))
     docs.select(text.alias("value")).write.mode("overwrite").text(path)
@@ -66,7 +79,8 @@ def write_documents(records: DataFrame, path: str, array_field: str, chunk_rows:
     rec_cols = [c for c in records.columns if c != seq]
     chunk = F.floor(F.col(seq) / chunk_rows)
     docs = (records.groupBy(chunk.alias("_chunk"))
-            .agg(F.collect_list(F.struct(*rec_cols)).alias(array_field)).drop("_chunk"))
+            .agg(in_order(seq, F.struct(*rec_cols)).alias(array_field))
+            .transform(chunks_in_order).drop("_chunk"))
     docs.write.mode("overwrite").json(path)
     return path
 

@@ -19,11 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.functions.numeric import exact_units, mean_of_units
 from contrail.functions.timefns import instant_of, ntz_of_instant, seconds_between, ts_literal
 from contrail.operators import realtime
+from contrail.operators.merge import dedupe_first
 
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
+#: Rows of one landing file when the caller does not say how many files to write.
+LANDING_FILE_ROWS = 500_000
+#: At least so many files, so that a poll never is one single batch.
+MIN_LANDING_FILES = 4
+
 POSITION_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()), T.StructField("icao24", T.StringType()),
     T.StructField("callsign", T.StringType()), T.StructField("origin_country", T.StringType()),
@@ -35,8 +42,10 @@ POSITION_SCHEMA = T.StructType([
 ])
 
 
-def write_landing(positions: DataFrame, path: str, files: int = 8) -> str:
-    """Positions as JSON files, each holding one contiguous time range."""
+def write_landing(positions: DataFrame, path: str, files: int | None = None) -> str:
+    """Positions as JSON files, each holding one contiguous time range; by default as many as the rows need."""
+    if files is None:
+        files = max(MIN_LANDING_FILES, -(-positions.count() // LANDING_FILE_ROWS))
     (positions.repartitionByRange(files, "extraction_time").sortWithinPartitions("extraction_time", "seq")
      .write.mode("overwrite").option("timestampNTZFormat", TS_NTZ_FORMAT).json(path))
     return path
@@ -72,11 +81,55 @@ def stream_positions(spark: SparkSession, landing: str, sink: str, checkpoint: s
     return run_available_now(w)
 
 
+def snapshot_start(period: str = "15 minutes"):
+    """Start of the snapshot period that ``event_time`` falls into, as ``timestamp_ntz``."""
+    return ntz_of_instant(F.window("event_time", period).start)
+
+
+def epoch_parts(base: str, reduce: Callable[[DataFrame], DataFrame]):
+    """``foreachBatch`` body: write ``reduce(batch)`` to ``base/epoch=<id>``.
+
+    Nothing is carried between batches, so no row can come too late: what a
+    batch contributes to a key is merged when the table is read. A retried
+    epoch overwrites its own folder only.
+    """
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        reduce(batch).write.mode("overwrite").parquet(f"{base}/epoch={epoch_id}")
+    return fn
+
+
+def read_parts(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """The parts of all epochs; `schema` without the epoch column."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(base)
+
+
+def first_per_snapshot(df: DataFrame, key: str = "icao24") -> DataFrame:
+    """The first row in source order (rank, then arrival) per aircraft and snapshot period."""
+    return dedupe_first(df, (key, "snapshot_start"), ("source_rank", "seq"))
+
+
+def stream_dedupe_table(spark: SparkSession, landing: str, base: str, checkpoint: str,
+                        max_files_per_trigger: int | None = 1, period: str = "15 minutes") -> DataFrame:
+    """One row per aircraft and snapshot period, however the rows are spread over micro-batches.
+
+    Each batch is reduced to its own first rows; the returned table reduces
+    those of all batches. Unlike :func:`stream_dedupe` it keeps rows that come
+    after any watermark, and always the same row.
+    """
+    hist = with_event_time(realtime.history(read_stream(spark, landing, max_files_per_trigger)))
+    hist = hist.withColumn("snapshot_start", snapshot_start(period)).drop("event_time")
+    w = hist.writeStream.foreachBatch(epoch_parts(base, first_per_snapshot)).option("checkpointLocation", checkpoint)
+    run_available_now(w)
+    return first_per_snapshot(read_parts(spark, base, hist.schema))
+
+
 def stream_dedupe(stream: DataFrame, period: str = "15 minutes", delay: str = "15 minutes",
                   key: str = "icao24") -> DataFrame:
-    """One row per aircraft per snapshot period. The period start is the
-    watermarked column, so dedupe state is dropped once the watermark
-    passes it."""
+    """One row per aircraft per snapshot period, as a streaming operator with
+    bounded state: the period start is the watermarked column, so dedupe state
+    is dropped once the watermark passes it, and rows older than that are
+    dropped and counted by Spark. Any one row of a period is kept. For files
+    in no time order use :func:`stream_dedupe_table`."""
     df = with_event_time(stream).withColumn("snapshot_start", F.window("event_time", period).start)
     return (df.withWatermark("snapshot_start", delay)
             .dropDuplicates([key, "snapshot_start"]))
@@ -142,34 +195,41 @@ def stream_snapshot(spark: SparkSession, landing: str, table_base: str, checkpoi
 
 
 REGION_WINDOW_KEYS = ("window_start", "window_end", "region")
-
-
-def region_window_stats(stream: DataFrame, size: str = "1 hour", slide: str = "15 minutes",
-                        delay: str = "1 hour") -> DataFrame:
-    """Trailing-window regional stats as an event-time aggregate with a watermark."""
-    df = with_event_time(stream).withWatermark("event_time", delay)
-    agg = df.groupBy(F.window("event_time", size, slide).alias("w"), "region").agg(
-        F.count(F.lit(1)).alias("flight_count"), F.avg("altitude").alias("avg_altitude"),
-        F.avg("speed").alias("avg_speed"), F.avg("data_quality_score").alias("avg_quality"))
+_WINDOW_SUMS = ("flight_count", "altitude_units", "altitude_count", "speed_sum", "speed_count",
+                "quality_sum", "quality_count")
+
+
+def region_window_sums(df: DataFrame, size: str = "1 hour", slide: str = "15 minutes") -> DataFrame:
+    """Counts and sums per sliding window and region: sums of sums are the sums of the whole."""
+    agg = (with_event_time(df).groupBy(F.window("event_time", size, slide).alias("w"), "region")
+           .agg(F.count(F.lit(1)).alias("flight_count"),
+                F.sum(exact_units("altitude")).alias("altitude_units"), F.count("altitude").alias("altitude_count"),
+                F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_count"),
+                F.sum("data_quality_score").alias("quality_sum"),
+                F.count("data_quality_score").alias("quality_count")))
     return agg.select(ntz_of_instant(F.col("w.start")).alias("window_start"),
-                      ntz_of_instant(F.col("w.end")).alias("window_end"),
-                      "region", "flight_count", "avg_altitude", "avg_speed", "avg_quality")
+                      ntz_of_instant(F.col("w.end")).alias("window_end"), "region", *_WINDOW_SUMS)
 
 
-def stream_region_windows(spark: SparkSession, landing: str, table_base: str, checkpoint: str,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Update-mode window stats upserted by key into a versioned table."""
-    stats = region_window_stats(realtime.history(read_stream(spark, landing, max_files_per_trigger)))
+def region_window_stats(sums: DataFrame) -> DataFrame:
+    """Stats per window and region from partial sums (of any number of batches)."""
+    total = sums.groupBy(*REGION_WINDOW_KEYS).agg(*(F.sum(c).alias(c) for c in _WINDOW_SUMS))
+    return total.select(
+        *REGION_WINDOW_KEYS, "flight_count",
+        mean_of_units(F.col("altitude_units"), F.col("altitude_count")).alias("avg_altitude"),
+        F.try_divide("speed_sum", "speed_count").alias("avg_speed"),
+        F.try_divide("quality_sum", "quality_count").alias("avg_quality"))
 
-    def merge(prev, batch):
-        if prev is None:
-            return batch
-        keep = prev.join(batch.select(*REGION_WINDOW_KEYS), list(REGION_WINDOW_KEYS), "left_anti")
-        return keep.unionByName(batch)
 
-    w = (stats.writeStream.outputMode("update").foreachBatch(versioned_upsert(table_base, merge))
+def stream_region_windows(spark: SparkSession, landing: str, base: str, checkpoint: str,
+                          max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Trailing-window regional stats; every batch adds its sums to the windows it touches."""
+    hist = realtime.history(read_stream(spark, landing, max_files_per_trigger))
+    w = (hist.writeStream.foreachBatch(epoch_parts(base, region_window_sums))
          .option("checkpointLocation", checkpoint))
-    return run_available_now(w)
+    run_available_now(w)
+    schema = region_window_sums(spark.createDataFrame([], hist.schema)).schema
+    return region_window_stats(read_parts(spark, base, schema))
 
 
 def feed_alerts(last_update: DataFrame, as_of, min_quality: float = 70.0,
