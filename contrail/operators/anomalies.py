@@ -124,17 +124,26 @@ def all_anomalies(recent: DataFrame, **params) -> DataFrame:
     return out
 
 
+def scheduling_count(recent: DataFrame, q: float = RARE_HOUR_QUANTILE) -> DataFrame:
+    """Number of flights in rare hours, from the per-hour counts alone (at most 24 rows)."""
+    counts = (recent.filter(F.col("departure_hour").isNotNull()).groupBy("departure_hour")
+              .agg(F.count(F.lit(1)).alias("n")))
+    one = counts.agg(F.percentile(F.col("n").cast("double"), q).alias("cut"), F.collect_list("n").alias("counts"))
+    return one.select(F.aggregate(F.filter("counts", lambda n: n < F.col("cut")), F.lit(0).cast("long"),
+                                  lambda s, n: s + n).alias("anomaly_count"))
+
+
 def anomaly_report(recent: DataFrame, **params) -> DataFrame:
-    """Counts by type (all three types present, zero when none) and total."""
-    anomalies = all_anomalies(recent, **params)
-    per = anomalies.groupBy("type").agg(F.count(F.lit(1)).alias("anomaly_count"))
-    types = anomalies.sparkSession.createDataFrame([(t, i) for i, t in enumerate(TYPE_ORDER)],
-                                                   "type string, type_rank int")
-    full = (F.broadcast(types).join(per, "type", "left")
-            .select("type", "type_rank", F.coalesce("anomaly_count", F.lit(0)).cast("long").alias("anomaly_count")))
-    total = per.agg(F.coalesce(F.sum("anomaly_count"), F.lit(0)).cast("long").alias("total_anomalies"))
-    return (full.join(F.broadcast(total), how="inner", on=F.lit(True))
-            .orderBy("type_rank").drop("type_rank"))
+    """Counts by type (all three types present, zero when none) and total; every kind is only counted."""
+    kinds = (duration_anomalies(recent).agg(F.count(F.lit(1)).alias("anomaly_count")), scheduling_count(recent),
+             performance_anomalies(recent, **params).agg(F.count(F.lit(1)).alias("anomaly_count")))
+    out = None
+    for i, (name, one) in enumerate(zip(TYPE_ORDER, kinds, strict=True)):
+        one = one.select(F.lit(name).alias("type"), F.lit(i).alias("type_rank"), "anomaly_count")
+        out = one if out is None else out.unionByName(one)
+    all_rows = F.collect_list(F.struct("type_rank", "type", "anomaly_count"))  # three rows
+    total = out.agg(F.array_sort(all_rows).alias("rows"), F.sum("anomaly_count").alias("total_anomalies"))
+    return total.select(F.inline("rows"), "total_anomalies").select("type", "anomaly_count", "total_anomalies")
 
 
 def anomaly_list(recent: DataFrame, n: int = 20, **params) -> DataFrame:
@@ -172,13 +181,10 @@ def insight_rules(metrics: DataFrame, top_feature: DataFrame | None = None) -> D
     rules = spark.createDataFrame(
         [(m, float(t), k, msg) for m, t, k, msg in INSIGHT_RULES],
         "metric string, threshold double, kind string, message string")
+    whole = F.bround(F.col("value"), 0).cast("long").cast("string")
     fired = (metrics.join(F.broadcast(rules), "metric")
              .filter(F.col("value") > F.col("threshold"))
-             .select("kind", F.when(F.col("message").contains("{value:.0f}"),
-                                    F.replace(F.col("message"), F.lit("{value:.0f}"),
-                                              F.format_number(F.col("value"), 0).cast("string")))
-                     .otherwise(F.col("message")).alias("message")))
-    fired = fired.select("kind", F.regexp_replace("message", ",", "").alias("message"))
+             .select("kind", F.replace(F.col("message"), F.lit("{value:.0f}"), whole).alias("message")))
     parts = [fired]
     if top_feature is not None:
         parts.append(top_feature.select(F.lit("insight").alias("kind"),

@@ -1,22 +1,26 @@
 """Delay features, label encoding, exact stratified split, random forest.
 
 All of it is ``pyspark.ml`` / DataFrame code: the forest trains distributed,
-encoders are ``StringIndexer`` models (only the distinct labels reach the
-driver), and the split is exact per label without sorting the whole table.
+label codes are a ranked table that is joined, and the split is exact per
+label without sorting the whole table.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contrail.functions import timefns
 from contrail.operators.anomalies import DELAY_STATUSES
+from contrail.session import scratch_path
 
+# Fixed values that must equal the reference: encoded columns, model features, prepared columns.
 CATEGORICAL = ("airline", "origin_airport", "destination_airport", "aircraft_type", "route",
                "duration_category")
 FEATURES = ("airline", "origin_airport", "destination_airport", "aircraft_type", "departure_hour",
@@ -49,129 +53,210 @@ def feature_summary(features: DataFrame) -> DataFrame:
     return features.agg(F.count(F.lit(1)).alias("total_records"),
                         F.avg(LABEL).alias("delay_rate"),
                         F.countDistinct("airline").cast("long").alias("airlines_count"),
-                        F.countDistinct("route").cast("long").alias("routes_count"))
+                        F.countDistinct("route").cast("long").alias("routes_count"),
+                        F.array(*map(F.lit, FEATURE_COLUMNS)).alias("features"))
 
 
-def _as_text(df: DataFrame, cols) -> DataFrame:
+def _text_of(c: str):
     # the reference encodes ``astype(str)``: a missing category is the text 'nan'
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cols})
+    return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
 
 
-def fit_encoders(features: DataFrame, cols=CATEGORICAL):
-    """One multi-column StringIndexer, codes in sorted label order."""
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}__idx" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    return idx.fit(_as_text(features, cols))
+def _as_text(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: _text_of(c) for c in cols})
 
 
-def encode_labels(features: DataFrame, model=None, cols=CATEGORICAL) -> DataFrame:
-    """Replace each categorical column by its integer code."""
-    model = model or fit_encoders(features, cols)
-    enc = model.transform(_as_text(features, cols))
-    return enc.select(*[F.col(f"{c}__idx").cast("int").alias(c) if c in cols else F.col(c)
-                        for c in features.columns])
+def fit_encoders(features: DataFrame, cols=CATEGORICAL) -> DataFrame:
+    """(column, value, code): codes 0, 1, ... in sorted order of each column's distinct values.
+
+    One pass finds the distinct values of all columns; they are sorted by
+    range partitions and numbered with prefix sums over the partitions'
+    counts, so no label list comes to the driver or into one task.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), _text_of(c).alias("value")) for c in cols)))
+    values = features.select(pairs.alias("v")).select("v.*").distinct()
+    spark = features.sparkSession
+    path = scratch_path(spark, "label-values")
+    (values.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()).write.parquet(path))
+    values = spark.read.parquet(path)
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (values.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"))
+              .select("column", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    within = Window.partitionBy("column", "part").orderBy("value")
+    return values.join(starts, ["column", "part"]).select(
+        "column", "value", (F.col("start") + F.row_number().over(within) - 1).cast("int").alias("code"))
+
+
+def encode_labels(features: DataFrame, codes: DataFrame | None = None, cols=CATEGORICAL,
+                  unseen: int | None = None) -> DataFrame:
+    """Replace each categorical column by its integer code; a value without code gets `unseen`."""
+    codes = fit_encoders(features, cols) if codes is None else codes
+    out = features
+    for c in cols:
+        own = codes.filter(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("code").alias(f"_{c}_code"))
+        out = out.join(own, _text_of(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+    return out.select(*(F.coalesce(f"_{c}_code", F.lit(unseen).cast("int")).alias(c) if c in cols else F.col(c)
+                        for c in features.columns))
+
+
+def row_key(seed: int = 42):
+    """A row's text for the split's order: the feature columns that both engines write alike, and the seed."""
+    micros = F.round(F.col("flight_duration_minutes") * 1e6).cast("long")
+    return F.concat_ws("|", "airline", "origin_airport", "destination_airport", "aircraft_type",
+                       F.col("departure_hour").cast("string"), F.col("day_of_week").cast("string"),
+                       micros.cast("string"), "status", F.lit(str(seed)))
 
 
 def stratified_split(df: DataFrame, label: str = LABEL, train_fraction: float = 0.8, seed: int = 42,
-                     buckets: int = 1 << 16, split_col: str = "split", materialize: bool = True) -> DataFrame:
+                     buckets: int | None = None, split_col: str = "split", key=None) -> DataFrame:
     """Exact stratified split: per label, round(train_fraction * n) rows go to
-    'train', chosen by a seeded row hash; the rest go to 'test'.
-
-    No global sort and no single-partition window over the data: rows are
-    hashed into ``buckets``; the per-(label, bucket) counts (at most
-    labels x buckets rows) give each label's boundary bucket, and only that
-    one bucket (~n / buckets rows) is ranked row by row. The input is read
-    three times (counts, boundary rows, the rest), so by default the hashed
-    rows are materialised once with a reliable checkpoint in the shared
-    checkpoint dir (which also survives executor loss).
+    'train', those with the smallest MD5 of their text; the rest go to 'test'.
+
+    No global sort and no single-partition window over the data: rows fall
+    into ``buckets`` by their hash; the per-(label, bucket) counts give each
+    label's boundary bucket, and only that one bucket is ranked row by row.
+    The number of buckets follows the row count, so a bucket holds a few
+    thousand rows at any size. Hashed rows and result are written to the
+    shared folder once, the result in one folder per part
+    (``.filter(split == ...)`` reads only that).
     """
-    from contrail.session import ensure_checkpoint_dir
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     cols = df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
-    hashed = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-    if materialize:
-        hashed = hashed.checkpoint(eager=True)
+    text = F.concat_ws("|", *(F.col(c).cast("string") for c in cols), F.lit(str(seed))) if key is None else key
+    path = scratch_path(spark, "split-rows")
+    df.withColumn("_h", F.md5(text)).write.parquet(path)
+    hashed = spark.read.parquet(path)
+    if buckets is None:
+        buckets = max(16, hashed.count() // 2048)
+    width = max(1, math.ceil(math.log(buckets, 16)))
+    hashed = hashed.withColumn("_b", F.substring("_h", 1, width))
     counts = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.withColumn("_cum", F.sum("_n").over(w))
-    totals = counts.groupBy(label).agg(F.sum("_n").alias("_tot"))
-    cum = cum.join(totals, label).withColumn(
-        "_target", F.floor(F.col("_tot") * F.lit(train_fraction) + F.lit(0.5)).cast("long"))
+    total = F.sum("_n").over(Window.partitionBy(label))
+    cum = counts.withColumn("_cum", F.sum("_n").over(w)).withColumn(
+        "_target", F.floor(total * F.lit(train_fraction) + F.lit(0.5)).cast("long"))
     # boundary bucket per label: the first bucket whose running count reaches the target
-    boundary = (cum.filter(F.col("_cum") >= F.col("_target"))
+    boundary = (cum.filter((F.col("_cum") >= F.col("_target")) & (F.col("_target") > 0))
                 .groupBy(label).agg(F.min_by(F.struct("_b", (F.col("_target") - F.col("_cum") + F.col("_n")).alias("_need")),
                                              F.col("_b")).alias("_bd"))
-                .select(label, F.col("_bd._b").alias("_bb"), F.col("_bd._need").alias("_need")))
+                .select(F.col(label).alias("_label"), F.col("_bd._b").alias("_bb"), F.col("_bd._need").alias("_need")))
     # labels whose target is 0 have no boundary: everything is test
-    j = hashed.join(F.broadcast(boundary), label, "left")
-    inner = j.filter(F.col("_b") == F.col("_bb"))
+    j = hashed.join(boundary, F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
+    at_boundary = F.coalesce(F.col("_b") == F.col("_bb"), F.lit(False))
     rw = Window.partitionBy(label, "_b").orderBy("_h", *cols)
-    inner = inner.withColumn(split_col, F.when(F.row_number().over(rw) <= F.col("_need"), "train")
-                             .otherwise("test"))
-    outer = j.filter(~(F.col("_b") == F.col("_bb")) | F.col("_bb").isNull()).withColumn(
-        split_col, F.when(F.col("_b") < F.col("_bb"), "train").otherwise("test"))
-    return inner.unionByName(outer).select(*cols, split_col)
-
-
-def delay_pipeline(num_trees: int = 100, max_depth: int = 6, seed: int = 42,
-                   features=FEATURES, cols=CATEGORICAL) -> Pipeline:
-    """Encoders -> numeric codes -> assembler -> random forest.
+    inner = j.filter(at_boundary).withColumn(split_col, F.when(F.row_number().over(rw) <= F.col("_need"), "train")
+                                             .otherwise("test"))
+    outer = j.filter(~at_boundary).withColumn(split_col, F.when(F.col("_b") < F.col("_bb"), "train").otherwise("test"))
+    out = scratch_path(spark, "split")
+    inner.unionByName(outer).select(*cols, split_col).write.partitionBy(split_col).parquet(out)
+    return spark.read.schema(df.schema.add(split_col, "string")).parquet(out)
 
-    Codes are used as ordered numbers (as the reference's label encoder
-    does), so the metadata that would make the forest treat them as
-    categories is dropped by the SQL step.
-    """
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}__idx" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    num = ", ".join(f"{c}__idx + 0.0 AS {c}__num" for c in cols)
-    strip = SQLTransformer(statement=f"SELECT *, {num} FROM __THIS__")
-    inputs = [f"{c}__num" if c in cols else c for c in features]
-    asm = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
-    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees,
-                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
-                                maxMemoryInMB=1024)
-    return Pipeline(stages=[idx, strip, asm, rf])
 
+#: Categorical columns the forest uses, and the bound on the labelled rows it learns from.
+MODEL_CATEGORICAL = tuple(c for c in CATEGORICAL if c in FEATURES)
+MAX_TRAINING_ROWS = 200_000
 
-def prepare_training(features: DataFrame, cols=CATEGORICAL) -> DataFrame:
-    return _as_text(features, cols).withColumn(LABEL, F.col(LABEL).cast("double"))
 
+def delay_pipeline(num_trees: int = 100, max_depth: int = 6, seed: int = 42, features=FEATURES,
+                   max_bins: int = 32) -> Pipeline:
+    """Assembler -> random forest over numeric features (categories as codes).
 
-def train_delay_model(train: DataFrame, **params) -> PipelineModel | None:
-    """Fit the pipeline; None when there is nothing to learn from."""
-    if len(FEATURES) < 3 or train.isEmpty():
+    Codes are used as ordered numbers, as the reference's label encoder does.
+    ``max_depth`` goes up to Spark's limit of 30.
+    """
+    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=num_trees, maxBins=max_bins,
+                                maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt", maxMemoryInMB=1024)
+    return Pipeline(stages=[asm, rf])
+
+
+class DelayModel:
+    """A fitted forest with the codes of its categories (a table; values unseen in training get the next code)."""
+
+    def __init__(self, model: PipelineModel, codes: DataFrame, n_codes: dict[str, int]):
+        self.model, self.codes, self.n_codes = model, codes, n_codes
+
+    def transform(self, features: DataFrame) -> DataFrame:
+        """`features` with prediction and probability; the categories keep their text."""
+        coded = features.withColumn(LABEL, F.col(LABEL).cast("double"))
+        for c in MODEL_CATEGORICAL:
+            own = self.codes.filter(F.col("column") == c).select(F.col("value").alias(f"_{c}"),
+                                                                 F.col("code").alias(f"_{c}_code"))
+            coded = coded.join(own, _text_of(c) == F.col(f"_{c}"), "left").withColumn(
+                f"_{c}_code", F.coalesce(f"_{c}_code", F.lit(self.n_codes[c]))).drop(f"_{c}")
+        keep = [c for c in coded.columns if not c.endswith("_code")]
+        renamed = coded.select(*(F.col(c).alias(f"_text_{c}") if c in MODEL_CATEGORICAL else F.col(c) for c in keep),
+                               *(F.col(f"_{c}_code").alias(c) for c in MODEL_CATEGORICAL))
+        scored = self.model.transform(renamed).drop(*MODEL_CATEGORICAL, "features", "rawPrediction")
+        return scored.withColumnsRenamed({f"_text_{c}": c for c in MODEL_CATEGORICAL})
+
+    def save(self, path: str) -> str:
+        self.model.write().overwrite().save(f"{path}/model")
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+        return path
+
+    @classmethod
+    def load(cls, spark, path: str) -> "DelayModel":
+        codes = spark.read.parquet(f"{path}/codes")
+        return cls(PipelineModel.load(f"{path}/model"), codes, _code_counts(codes))
+
+
+def _code_counts(codes: DataFrame) -> dict[str, int]:
+    """Codes of each column: one row per column comes to the driver."""
+    n = {r["column"]: r["n"] for r in codes.groupBy("column").agg((F.max("code") + 1).alias("n")).collect()}
+    return {c: n.get(c, 0) for c in MODEL_CATEGORICAL}
+
+
+def train_delay_model(train: DataFrame, max_rows: int = MAX_TRAINING_ROWS, **params) -> DelayModel | None:
+    """Fit encoders and forest; None when there is nothing to learn from.
+
+    The codes cover all of ``train``; the forest learns from at most about
+    ``max_rows`` of its rows, drawn by row hash. Bins follow the largest
+    number of codes, so no two categories share one.
+    """
+    n = train.count()
+    if len(FEATURES) < 3 or not n:
         return None
-    return delay_pipeline(**params).fit(prepare_training(train))
-
-
-def score_delays(model: PipelineModel, test: DataFrame) -> DataFrame:
-    return model.transform(prepare_training(test))
+    codes = fit_encoders(train, MODEL_CATEGORICAL)
+    spark = train.sparkSession
+    path = scratch_path(spark, "label-codes")
+    codes.write.parquet(path)
+    codes = spark.read.parquet(path)
+    if n > max_rows:
+        share = F.pmod(F.xxhash64(*train.columns), F.lit(1 << 20)) < int((1 << 20) * max_rows / n)
+        train = train.filter(share)
+    path = scratch_path(spark, "training-rows")
+    (encode_labels(train, codes, MODEL_CATEGORICAL).select(*FEATURES, F.col(LABEL).cast("double").alias(LABEL))
+     .write.parquet(path))
+    n_codes = _code_counts(codes)
+    params.setdefault("max_bins", max(32, *(k + 1 for k in n_codes.values())))
+    return DelayModel(delay_pipeline(**params).fit(spark.read.parquet(path)), codes, n_codes)
+
+
+def score_delays(model: DelayModel, test: DataFrame) -> DataFrame:
+    return model.transform(_as_text(test, CATEGORICAL))
+
+
+def feature_importance(model: DelayModel, features=FEATURES) -> DataFrame:
+    """(feature, importance, rank): a 9-row frame from the model metadata."""
+    imp = model.model.stages[-1].featureImportances.toArray().tolist()
+    rows = sorted(zip(features, imp, strict=True), key=lambda kv: (-kv[1], kv[0]))
+    return model.codes.sparkSession.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(rows)],
+                                                    "feature string, importance double, rank int")
 
 
-def feature_importance(model: PipelineModel, features=FEATURES) -> DataFrame:
-    """(feature, importance, rank): a 9-row frame from the model metadata."""
-    from pyspark.sql import SparkSession
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
-    rows = sorted(zip(features, imp), key=lambda kv: (-kv[1], kv[0]))
-    return spark.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(rows)],
-                                 "feature string, importance double, rank int")
-
-
-def model_metrics(predictions: DataFrame, train_count: int, model: PipelineModel) -> DataFrame:
-    imp = feature_importance(model)
-    top = imp.filter(F.col("rank") == 1).select(F.col("feature").alias("top_feature"))
-    acc = predictions.agg(
+def model_metrics(predictions: DataFrame, train_count: int, model: DelayModel) -> DataFrame:
+    """One row: accuracy, sample counts, the feature list, all importances and the top three."""
+    ranked = [(r["feature"], r["importance"]) for r in feature_importance(model).orderBy("rank").collect()]
+    pairs = F.array(*(F.struct(F.lit(f).alias("feature"), F.lit(v).alias("importance")) for f, v in ranked))
+    return predictions.agg(
         F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"),
-        F.count(F.lit(1)).alias("test_samples"))
-    return (acc.join(F.broadcast(top), how="inner", on=F.lit(True))
-            .select("accuracy", F.lit(train_count).cast("long").alias("training_samples"),
-                    "test_samples", F.lit(len(FEATURES)).alias("features_used"), "top_feature",
-                    F.lit("RandomForestClassifier").alias("model_type")))
+        F.count(F.lit(1)).alias("test_samples")).select(
+        "accuracy", F.lit(train_count).cast("long").alias("training_samples"), "test_samples",
+        F.lit(len(FEATURES)).alias("features_used"), F.lit(ranked[0][0]).alias("top_feature"),
+        F.lit("RandomForestClassifier").alias("model_type"), F.array(*map(F.lit, FEATURES)).alias("features"),
+        pairs.alias("feature_importance"), F.slice(pairs, 1, 3).alias("top_3_features"))
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
+def save_model(model: DelayModel, path: str) -> str:
+    return model.save(path)

@@ -756,10 +756,12 @@ def q_ml_features(spark, d):
 
 @query("feature_summary", sql(f"""
 SELECT count(*) AS total_records, {r6('avg(is_delayed)')} AS delay_rate,
-       count(DISTINCT airline) AS airlines_count, count(DISTINCT route) AS routes_count FROM features""",
+       count(DISTINCT airline) AS airlines_count, count(DISTINCT route) AS routes_count,
+       '{",".join(ml.FEATURE_COLUMNS)}' AS features FROM features""",
                               "features"))
 def q_feature_summary(spark, d):
-    return rounded(ml.feature_summary(ml.ml_features(flights(spark, d))), "delay_rate")
+    summary = rounded(ml.feature_summary(ml.ml_features(flights(spark, d))), "delay_rate")
+    return summary.withColumn("features", F.array_join("features", ","))
 
 
 _ENC = ", ".join(
@@ -923,27 +925,40 @@ def _features(spark, d):
     return ml.ml_features(flights(spark, d))
 
 
+def _flights_key(spark, d):
+    return (spark.sparkContext.applicationId, d.rstrip("/"),
+            warehouse.fingerprint(spark, d, warehouse.SOURCES["scheduled_flights"]))
+
+
+_SPLITS: dict = {}
+
+
 def _split(spark, d):
-    return ml.stratified_split(_features(spark, d))
+    """The split of the current source files, written once per session."""
+    k = _flights_key(spark, d)
+    if k not in _SPLITS:
+        _SPLITS[k] = ml.stratified_split(_features(spark, d), key=ml.row_key())
+    return _SPLITS[k]
 
 
 def _trained(spark, d):
-    """Fit once per session and data dir; later keys reuse the fitted model.
-
-    The split frame is checkpointed (reliable checkpoint in the shared dir)
-    so train and test are cut from one materialised assignment.
-    """
-    k = (spark.sparkContext.applicationId, d, warehouse.fingerprint(spark, d, warehouse.SOURCES["scheduled_flights"]))
+    """Fit once per session and source files; later keys reuse the fitted model."""
+    k = _flights_key(spark, d)
     if k not in _MODELS:
         split = _split(spark, d)
-        train = split.filter(F.col("split") == "train").drop("split")
-        test = split.filter(F.col("split") == "test").drop("split")
-        model = ml.train_delay_model(train)
-        _MODELS[k] = (model, train.count(), test)
+        train, test = (split.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+        _MODELS[k] = (ml.train_delay_model(train), train.count(), test)
     return _MODELS[k]
 
 
-@query("stratified_split")
+_ROW_KEY_SQL = ("concat_ws('|', airline, origin_airport, destination_airport, aircraft_type, departure_hour, day_of_week, "
+                "CAST(round(flight_duration_minutes * 1000000) AS BIGINT), status, '42')")
+
+
+@query("stratified_split", sql(f"""
+SELECT {FEATURE_COLS}, CASE WHEN _rn <= floor(_n * 0.8 + 0.5) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY is_delayed ORDER BY md5({_ROW_KEY_SQL})) AS _rn,
+             count(*) OVER (PARTITION BY is_delayed) AS _n FROM features)""", "features"))
 def q_stratified_split(spark, d):
     return _split(spark, d)
 
@@ -977,12 +992,8 @@ def q_model_metrics(spark, d):
 
 @query("save_model")
 def q_save_model(spark, d):
-    from pyspark.ml import PipelineModel
-
-    from contrail.session import scratch_path
     model, _n, _test = _trained(spark, d)
-    path = ml.save_model(model, scratch_path(spark, "delay_model"))
-    return ml.feature_importance(PipelineModel.load(path))
+    return ml.feature_importance(ml.DelayModel.load(spark, ml.save_model(model, _scratch(spark, "delay_model"))))
 
 
 @query("insight_rules")
