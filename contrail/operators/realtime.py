@@ -73,10 +73,20 @@ def _count_distinct_with_null(c: str) -> Column:
     return (F.countDistinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("long")
 
 
+def _counts_of(c: str, names) -> Column:
+    """Map name -> rows with that value of `c`, for the fixed `names` that occur; one pass, no grouping."""
+    counts = F.create_map(*(x for n in names for x in (F.lit(n), F.count_if(F.col(c) == n))))
+    return F.map_filter(counts, lambda _, n: n > 0)
+
+
+REGIONS = tuple(box[0] for box in geo.REGION_BOXES) + (geo.REGION_OTHER, geo.REGION_UNKNOWN)
+
+
 def realtime_summary(snap: DataFrame) -> DataFrame:
-    """The flat part of the merge summary (counts by source/region: see
-    ``rt_region_distribution`` / ``source_counts``)."""
+    """The merge summary in one row, with the flights of each known source and region."""
     return snap.agg(
+        _counts_of("data_source", SOURCE_ORDER).alias("by_source"),
+        _counts_of("region", REGIONS).alias("by_region"),
         F.count(F.lit(1)).alias("total_flights"),
         _count_distinct_with_null("origin_country").alias("countries"),
         F.countDistinct("airline").cast("long").alias("airlines"),

@@ -337,9 +337,21 @@ def q_route_traffic(spark, d):
     return rounded(reports.route_traffic(flights(spark, d)), "avg_duration_minutes")
 
 
-@query("route_traffic_report")
+_REPORT_SQL = sql(f"""
+SELECT r.*, count(*) OVER () AS routes_shown, TIMESTAMP '2025-07-12 13:42:58' AS analysis_timestamp,
+       (SELECT count(*) FROM (SELECT DISTINCT origin_airport, destination_airport FROM flights)) AS total_routes
+FROM ({ROUTE_TRAFFIC_SQL}) r""", "flights")
+
+
+def _report_rows(report):
+    """The nested report, a row per route."""
+    flat = report.select(F.inline("top_routes"), "routes_shown", "total_routes", "analysis_timestamp")
+    return rounded(flat, "avg_duration_minutes")
+
+
+@query("route_traffic_report", _REPORT_SQL)
 def q_route_traffic_report(spark, d):
-    return reports.route_traffic_report(flights(spark, d), as_of=RUN_TS)
+    return _report_rows(reports.route_traffic_report(flights(spark, d), as_of=RUN_TS))
 
 
 @query("airline_performance", sql(AIRLINE_PERF_SQL, "flights"))
@@ -568,10 +580,21 @@ SELECT count(*) AS total_flights,
        count(*) FILTER (WHERE data_quality_score >= 80) AS high_quality_flights,
        count(*) FILTER (WHERE has_position) AS with_position,
        count(*) FILTER (WHERE has_speed) AS with_speed,
-       count(*) FILTER (WHERE has_altitude) AS with_altitude
+       count(*) FILTER (WHERE has_altitude) AS with_altitude,
+       (SELECT string_agg(data_source || '=' || n, ',' ORDER BY data_source)
+        FROM (SELECT data_source, count(*) AS n FROM snap GROUP BY 1)) AS by_source,
+       (SELECT string_agg(region || '=' || n, ',' ORDER BY region)
+        FROM (SELECT region, count(*) AS n FROM snap GROUP BY 1)) AS by_region
 FROM snap""", "snap"))
 def q_realtime_summary(spark, d):
-    return rounded(realtime.realtime_summary(snapshot(spark, d)), "avg_quality_score")
+    out = rounded(realtime.realtime_summary(snapshot(spark, d)), "avg_quality_score")
+    return out.withColumns({c: _map_text(c) for c in ("by_source", "by_region")})
+
+
+def _map_text(c: str):
+    """A map as sorted key=value text, which both engines write alike."""
+    entries = F.array_sort(F.map_entries(c))
+    return F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
 
 
 @query("rt_global_overview", sql("""
@@ -658,11 +681,18 @@ def q_latest_flights(spark, d):
 
 @query("load_metadata", sql(f"""
 SELECT 'realtime_global_flights' AS table_name, count(*) AS record_count,
-       TIMESTAMP '2025-07-12 13:42:58' AS last_updated, {r6('avg(data_quality_score)')} AS data_quality_avg
+       TIMESTAMP '2025-07-12 13:42:58' AS last_updated, {r6('avg(data_quality_score)')} AS data_quality_avg,
+       (SELECT string_agg(data_source || '=' || n, ',' ORDER BY data_source)
+        FROM (SELECT data_source, count(*) AS n FROM snap GROUP BY 1)) AS data_sources
 FROM snap""", "snap"))
 def q_load_metadata(spark, d):
+    """The audit row of a load, appended to its lasting table and read back."""
+    from contrail.sources import sinks
     meta = realtime.load_metadata(snapshot(spark, d), run_ts=RUN_TS)
-    return rounded(meta.drop("data_sources"), "data_quality_avg")
+    path = _scratch(spark, "table-load-metadata")
+    sinks.append_metadata(meta, path)
+    return rounded(spark.read.schema(meta.schema).parquet(path), "data_quality_avg").withColumn(
+        "data_sources", _map_text("data_sources"))
 
 
 # ------------------------------------------------------------- §2.10 live views
@@ -1260,12 +1290,12 @@ def q_declare_tables(spark, d):
     return _read_and_drop(spark, rt_name)
 
 
-@query("write_report_json")
+@query("write_report_json", _REPORT_SQL)
 def q_write_report_json(spark, d):
     from contrail.sources import sinks
     report = reports.route_traffic_report(flights(spark, d), as_of=RUN_TS)
     path = sinks.write_report_json(report, _scratch(spark, "report"))
-    return spark.read.schema(report.schema).json(path)
+    return _report_rows(spark.read.schema(report.schema).option("timestampNTZFormat", sinks.TS_FORMAT).json(path))
 
 
 @query("export_all", sql("""
