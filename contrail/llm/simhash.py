@@ -12,10 +12,9 @@ has factored out are left out of the masks below it, so the differences
 counted on the way down add up to the distance; as soon as the sum exceeds
 the radius, the whole group below is pruned.
 
-The same index is used twice: over the blocks (one node per block, 24 bytes
-for at least BLOCK fingerprints and at most MAX_BLOCKS nodes, which is what
-may be sent to every task) to find the blocks a fingerprint has to be
-compared with, and inside a block to find its partners. A pair of blocks is
+The same index is used twice: over the blocks (one node per block, 24 bytes,
+and at most MAX_BLOCKS of them: that is what every task is sent) to find the
+blocks a fingerprint has to be compared with, and inside a block to find its partners. A pair of blocks is
 compared once, from the lower one. The links of a task leave it as stars
 (every linked fingerprint with the smallest of its group there), and the
 groups of all tasks are joined by distributed connected components.
@@ -39,9 +38,9 @@ from contrail.llm.components import component_labels
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: Fingerprints of one index block, and blocks of one index at most (a larger table gets larger blocks).
-BLOCK = 4096
-MAX_BLOCKS = 1 << 20
+#: Fingerprints of one index block; blocks of one index at least (for parallel tasks) and at most (then larger ones).
+BLOCK = 65_536
+MIN_BLOCKS, MAX_BLOCKS = 64, 1 << 20
 FANOUT = 16
 #: Queries searched at once in a task.
 QUERIES = 1024
@@ -203,7 +202,7 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     n = distinct.count()
     if not n:
         return spark.createDataFrame([], "a long, b long")
-    n_blocks = min(MAX_BLOCKS, max(1, n // block))
+    n_blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, n // block))
 
     def rank(batches):
         for b in batches:
