@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from contrail.llm.common import table
 
@@ -51,7 +52,7 @@ def shard_rows(df: DataFrame, key: str, weights: Sequence[float], *, grown_weigh
     are spread over `n_buckets` hash buckets; each bucket is numbered in its
     own task and starts where the bucket before it ends (prefix sums over the
     bucket counts, a table of shards x buckets rows). Rows with equal keys
-    are in one shard, in any order. An empty table gives an empty table.
+    are in one shard, ordered by a hash of their other columns. An empty table gives an empty table.
     Columns named like the new ones are replaced.
     """
     k = F.col(key)
@@ -67,7 +68,8 @@ def shard_rows(df: DataFrame, key: str, weights: Sequence[float], *, grown_weigh
     if grown_weight is not None:
         grown = shard_of(k, [*weights, grown_weight])
         rows = rows.withColumn("grown_shard", grown)
-    within = Window.partitionBy("shard", "__bucket").orderBy(k)
+    ties = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    within = Window.partitionBy("shard", "__bucket").orderBy(k, F.xxhash64(*ties))
     out = (rows.join(starts, ["shard", "__bucket"])
            .withColumn("slot", F.col("__start") + F.row_number().over(within).cast("long") - 1))
     return out.drop("__bucket", "__start")
