@@ -1298,6 +1298,37 @@ def q_write_report_json(spark, d):
     return _report_rows(spark.read.schema(report.schema).option("timestampNTZFormat", sinks.TS_FORMAT).json(path))
 
 
+def _documents_sql() -> str:
+    rows = [
+        ("airport_traffic", "routes", "SELECT least(20, count(*)) FROM (SELECT DISTINCT origin_airport, destination_airport FROM flights)"),
+        ("airline_performance", "airlines", "SELECT count(DISTINCT airline) FROM flights"),
+        ("flight_patterns", "hours", "SELECT count(DISTINCT hour(scheduled_departure)) FROM flights"),
+        ("flight_patterns", "aircraft", "SELECT count(DISTINCT aircraft_type) FROM flights"),
+        ("ml_preparation", "summary", "SELECT 1"),
+        ("realtime_processing", "summary", "SELECT 1"),
+        ("realtime_processing", "sources", "SELECT count(DISTINCT data_source) FROM snap"),
+        ("realtime_report", "overview", "SELECT 1"),
+        ("realtime_report", "regions", "SELECT count(DISTINCT region) FROM snap"),
+        ("realtime_report", "altitude", "SELECT 1"), ("realtime_report", "speed", "SELECT 1"),
+        ("realtime_report", "quality", "SELECT 1"),
+        ("realtime_report", "top_airlines", "SELECT least(10, count(DISTINCT airline)) FROM snap"),
+        ("realtime_report", "top_countries", "SELECT least(10, count(DISTINCT origin_country)) FROM snap"),
+    ]
+    return "\nUNION ALL\n".join(f"SELECT '{d}' AS document, '{s}' AS section, CAST(({q}) AS BIGINT) AS n_records"
+                                for d, s, q in rows)
+
+
+@query("report_documents", sql(_documents_sql(), "flights", "snap"))
+def q_report_documents(spark, d):
+    """Every report document written as JSON, read back and counted by section."""
+    from contrail.operators import documents as docs
+    base = _scratch(spark, "documents")
+    back = {}
+    for name, sections in {**docs.batch_documents(flights(spark, d)), **docs.realtime_documents(snapshot(spark, d))}.items():
+        back[name] = docs.read_document(spark, f"{base}/{name}", docs.write_document(sections, f"{base}/{name}"))
+    return docs.record_counts(back)
+
+
 @query("export_all", sql("""
 SELECT 'scheduled_flights' AS table_name, count(*) AS rows_exported FROM flights
 UNION ALL SELECT 'airports', count(*) FROM airports

@@ -15,7 +15,7 @@ from contrail.plans.registry import REGISTRY  # noqa: E402
 SECTIONS = [
     ("2.1 Sources and scans", "scan_table scan_positions flight_etl ingest_state_vectors ingest_nested_live "
                               "ingest_flat_live ingest_merge_snapshot read_csv_lenient read_or_empty airport_dimension read_report_json"),
-    ("2.2 Sinks", "write_csv_export load_replace load_metadata declare_tables write_report_json export_all"),
+    ("2.2 Sinks", "write_csv_export load_replace load_metadata declare_tables write_report_json report_documents export_all"),
     ("2.3 Projections, cleaning, enrichment",
      "stamp_extraction tag_provenance clean_callsign coerce_numeric derive_kinematics require_keys "
      "valid_coordinates parse_timestamps flight_duration carrier_prefix harmonize_schema normalize_text "
