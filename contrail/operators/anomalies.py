@@ -169,6 +169,36 @@ GENERAL_RECOMMENDATIONS = (
     "Implement real-time alerting for critical anomalies",
 )
 
+NO_MODEL = "Delay prediction model not yet trained"
+NO_ANOMALY_REPORT = "Anomaly detection not yet completed"
+PIPELINE_STATUS = "active"
+MODEL_TYPE = "delay_prediction"
+
+
+def insights(metrics: DataFrame, report: DataFrame) -> DataFrame:
+    """(kind, message) from the two saved documents: the model's metrics row and the anomaly counts.
+
+    A document that is absent (an empty frame) gives the text that says so.
+    Beside insights and recommendations there is the pipeline's status and
+    one ``model`` row per trained model (type, accuracy, features).
+    """
+    spark = metrics.sparkSession
+    trained, counted = not metrics.isEmpty(), not report.isEmpty()
+    rows = [("status", PIPELINE_STATUS)]
+    if not trained:
+        rows.append(("insight", NO_MODEL))
+    if not counted:
+        rows.append(("insight", NO_ANOMALY_REPORT))
+    total = report.select(F.lit("total_anomalies").alias("metric"),
+                          F.col("total_anomalies").cast("double").alias("value")).distinct()
+    values = (metrics.select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
+              .unionByName(report.select(F.col("type").alias("metric"), F.col("anomaly_count").cast("double").alias("value")))
+              .unionByName(total))
+    out = insight_rules(values, metrics.select(F.col("top_feature").alias("feature")))
+    models = metrics.select(F.lit("model").alias("kind"), F.concat_ws(
+        " ", F.lit(MODEL_TYPE), F.format_number("accuracy", 3), F.col("features_used").cast("string")).alias("message"))
+    return spark.createDataFrame(rows, "kind string, message string").unionByName(models).unionByName(out)
+
 
 def insight_rules(metrics: DataFrame, top_feature: DataFrame | None = None) -> DataFrame:
     """Apply the rule table to a long ``(metric, value)`` frame.

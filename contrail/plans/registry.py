@@ -1014,10 +1014,25 @@ def q_score_delays(spark, d):
     return ml.score_delays(model, test).select(*ml.FEATURE_COLUMNS, "prediction", "probability")
 
 
+_ML_DOCUMENTS: dict = {}
+
+
+def _ml_documents(spark, d):
+    """(path, schema) of the saved metrics and anomaly documents of the current source files."""
+    from contrail.sources import sinks
+    k = _flights_key(spark, d)
+    if k not in _ML_DOCUMENTS:
+        model, n_train, test = _trained(spark, d)
+        frames = (ml.model_metrics(ml.score_delays(model, test), n_train, model),
+                  anomalies.anomaly_report(_recent(spark, d, 7)))
+        _ML_DOCUMENTS[k] = [(sinks.write_report_json(f, _scratch(spark, "ml-document")), f.schema) for f in frames]
+    return _ML_DOCUMENTS[k]
+
+
 @query("model_metrics")
 def q_model_metrics(spark, d):
-    model, n_train, test = _trained(spark, d)
-    return ml.model_metrics(ml.score_delays(model, test), n_train, model)
+    from contrail.sources import landing
+    return landing.read_report_json(spark, *_ml_documents(spark, d)[0])
 
 
 @query("save_model")
@@ -1028,15 +1043,8 @@ def q_save_model(spark, d):
 
 @query("insight_rules")
 def q_insight_rules(spark, d):
-    model, n_train, test = _trained(spark, d)
-    metrics = ml.model_metrics(ml.score_delays(model, test), n_train, model)
-    report = anomalies.anomaly_report(_recent(spark, d, 7))
-    long = (metrics.select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
-            .unionByName(report.select(F.col("type").alias("metric"), F.col("anomaly_count").cast("double").alias("value")))
-            .unionByName(report.limit(1).select(F.lit("total_anomalies").alias("metric"),
-                                                F.col("total_anomalies").cast("double").alias("value"))))
-    top = metrics.select(F.col("top_feature").alias("feature"))
-    return anomalies.insight_rules(long, top)
+    from contrail.sources import landing
+    return anomalies.insights(*(landing.read_report_json(spark, *doc) for doc in _ml_documents(spark, d)))
 
 
 # ------------------------------------------------------ §2.1 sources (round trips)

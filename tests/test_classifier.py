@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import anomalies, ml
 from contrail.plans import registry, warehouse
+from contrail.sources import landing, sinks
 
 from .conftest import SMALL
 
@@ -83,3 +84,28 @@ def test_anomaly_report_counts_what_is_listed(spark):
     rows = anomalies.anomaly_report(recent).collect()
     assert {r.type: r.anomaly_count for r in rows} == {t: listed.get(t, 0) for t in anomalies.TYPE_ORDER}
     assert {r.total_anomalies for r in rows} == {sum(listed.values())}
+
+
+def test_insights_from_saved_documents(spark):
+    """Fixed documents, also absent ones."""
+    base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    metrics = spark.createDataFrame([(0.9, 9, "airline")], "accuracy double, features_used int, top_feature string")
+    report = spark.createDataFrame([("duration_anomaly", 6, 8), ("scheduling_anomaly", 0, 8), ("performance_anomaly", 2, 8)],
+                                   "type string, anomaly_count long, total_anomalies long")
+    for name, df in (("metrics", metrics), ("report", report)):
+        sinks.write_report_json(df, f"{base}/{name}")
+
+    def messages(m, r):
+        docs = [landing.read_report_json(spark, f"{base}/{p}", df.schema) for p, df in ((m, metrics), (r, report))]
+        return [(x.kind, x.message) for x in anomalies.insights(*docs).collect()]
+
+    general = [("recommendation", x) for x in anomalies.GENERAL_RECOMMENDATIONS]
+    model = [("model", "delay_prediction 0.900 9"), ("insight", "Flight delay prediction model shows high accuracy (>80%)"),
+             ("insight", "Most important factor for delays: airline")]
+    found = [("insight", "Found 8 anomalies in recent flight data"),
+             ("recommendation", "Review flight duration planning - multiple routes showing unusual durations"),
+             ("recommendation", "Investigate airline performance issues - some carriers showing high delay rates")]
+    status = [("status", "active")]
+    assert sorted(messages("metrics", "report")) == sorted(status + model + found + general)
+    assert sorted(messages("none", "report")) == sorted(status + [("insight", anomalies.NO_MODEL)] + found + general)
+    assert sorted(messages("metrics", "none")) == sorted(status + model + [("insight", anomalies.NO_ANOMALY_REPORT)] + general)
