@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,30 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+#: Rows a Python task gets at once: whole texts are in them, some of them very long.
+ROWS_PER_BATCH = 1000
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with batches of at most ROWS_PER_BATCH rows.
+
+    The size is a setting of the session; it is lowered if it is larger. In
+    local mode Python workers are told where this package is; on a cluster it
+    has to be installed or shipped (``--py-files``) like any other.
+    """
+    context = df.sparkSession.sparkContext
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if PACKAGE_ROOT not in paths:
+            context.environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ROWS_PER_BATCH:
+        conf.set(key, str(ROWS_PER_BATCH))
+    return df.mapInArrow(fn, schema)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to a new folder under ``spark.checkpoint.dir`` and read it back.
 

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from contrail.llm.common import table
+from contrail.llm.common import map_batches, table
 
 WINDOW = 8
 COVERAGE = 0.6
 #: Items with fewer tokens than this are not looked for; a window needs as many words that are not slots.
 MIN_TOKENS = 4
 BITMAP_BITS = 22
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 WORD, NUMBER, NAME, UNIT = range(4)
 UNITS = frozenset("""
@@ -56,16 +56,15 @@ def _hash(token: str) -> int:
 
 
 class Canon:
-    """Word -> template token, in flat arrays that grow with the words seen (bounded: cleared when full)."""
+    """Word -> template token, in flat arrays of a fixed size.
+
+    The first `bound` distinct words are kept; later ones are worked out again in every batch that has them.
+    """
 
     def __init__(self, bound: int = CACHE_WORDS):
         self._bound = bound
-        self._clear()
-
-    def _clear(self):
         self._at: dict[str, int] = {}
-        self._rows: list[tuple] = []
-        self._table = None
+        self._table = [np.zeros(bound, np.uint64 if c < 2 else np.int8) for c in range(6)]
 
     def _entry(self, word: str) -> tuple:
         """(hash inside a sentence, hash at its start, kind inside, kind at start, is a unit, ends a sentence)."""
@@ -85,21 +84,29 @@ class Canon:
 
     def tokens(self, words: list[str], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash and kind of every word; first marks the words that begin a text."""
-        if len(self._at) > self._bound:
-            self._clear()
-        at, known = self._at, len(self._at)
+        at, kept = self._at, len(self._at)
+        new: list[str] = []
+        passing: dict[str, int] = {}
         ids = np.empty(len(words), dtype=np.int64)
         for k, w in enumerate(words):
             i = at.get(w)
             if i is None:
-                i = at[w] = len(at)
-                self._rows.append(self._entry(w))
+                i = passing.get(w)
+                if i is None:
+                    i = kept + len(new)
+                    (at if i < self._bound else passing)[w] = i
+                    new.append(w)
             ids[k] = i
-        if self._table is None or len(at) > known:
-            new = self._rows[0 if self._table is None else known:]
-            cols = [np.array([r[c] for r in new], dtype=np.uint64 if c < 2 else np.int8) for c in range(6)]
-            self._table = cols if self._table is None else [np.concatenate(x) for x in zip(self._table, cols, strict=True)]
-        inside, start, kind_in, kind_start, unit, ends = (c[ids] for c in self._table)
+        table = self._table
+        if new:
+            rows = list(zip(*map(self._entry, new), strict=True))
+            fresh = [np.array(r, dtype=t.dtype) for r, t in zip(rows, table, strict=True)]
+            room = min(len(new), self._bound - kept)
+            for t, f in zip(table, fresh, strict=True):
+                t[kept:kept + room] = f[:room]
+            if passing:
+                table = [np.concatenate([t[:kept + room], f[room:]]) for t, f in zip(table, fresh, strict=True)]
+        inside, start, kind_in, kind_start, unit, ends = (c[ids] for c in table)
         opens = first.copy()
         opens[1:] |= ends[:-1].astype(bool)
         kind = np.where(opens, kind_start, kind_in)
@@ -127,7 +134,7 @@ _CANON = Canon()
 
 
 def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
-    """mapInArrow body: (id, text) -> windows; lengths None: each item's own, min(WINDOW, tokens)."""
+    """Body for map_batches: (id, text) -> windows; lengths None: each item's own, min(WINDOW, tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, len(whole), 256):
@@ -176,7 +183,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     item_id is kept as such. Empty tables give no rows.
     """
     items = benchmark.select("item_id", "text")
-    items = items.mapInArrow(_windows(None, None), _schema(items.schema["item_id"]))
+    items = map_batches(items, _windows(None, None), _schema(items.schema["item_id"]))
     bits = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
     # At most 2 ** BITMAP_BITS small numbers and WINDOW lengths come to the driver, whatever the benchmark's size.
     bitmap = np.zeros(2**BITMAP_BITS, dtype=bool)
@@ -191,7 +198,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     def hits(batches):
         yield from _windows(lengths, np.unpackbits(shipped.value).astype(bool))(batches)
 
-    found = (docs.select(key, "text").mapInArrow(hits, _schema(docs.schema[key]))
+    found = (map_batches(docs.select(key, "text"), hits, _schema(docs.schema[key]))
              .select(F.col("id").alias("__key"), "pos", "hash", "slots").join(items, "hash"))
     pair = F.filter(F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")),
                     lambda s: s["b"].isNotNull() | s["d"].isNotNull())

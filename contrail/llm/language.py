@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from contrail.llm.common import fold, table
+from contrail.llm.common import fold, map_batches, table
 
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 5, 0
@@ -208,7 +208,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                                                  names=[*columns, "lang_pred", "score"])
 
     slim = docs.select(*columns)
-    return slim.mapInArrow(run, StructType([*slim.schema.fields, StructField("lang_pred", StringType()),
+    return map_batches(slim, run, StructType([*slim.schema.fields, StructField("lang_pred", StringType()),
                                             StructField("score", DoubleType())]))
 
 

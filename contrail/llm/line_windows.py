@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import saved, table
+from contrail.llm.common import map_batches, saved, table
 
 #: White space that is stripped from a line's ends; the line break itself is \n.
 STRIP = " \t\r\x0b\x0c"
@@ -98,7 +98,7 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     columns = [c for c in docs.columns if c != "covered"]
     joined = (docs.join(found, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__row")),
                         "left").select(*(docs[c] for c in columns), found["covered"]))
-    out = joined.mapInArrow(_rewrite(columns.index("text"), len(columns), [*columns, "covered"]), joined.schema)
+    out = map_batches(joined, _rewrite(columns.index("text"), len(columns), [*columns, "covered"]), joined.schema)
     if "n_chars" in columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("covered").isNotNull(), changed).otherwise(F.col("n_chars")))

@@ -30,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import saved, table
+from contrail.llm.common import map_batches, saved, table
 
 WINDOW = 2048
 TOKENIZER = "byte_bpe_50k"
 END_ID = 1
 SPECIAL = "<|endoftext|>"
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 
 _ODD_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 _RUNS = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c")
@@ -151,8 +151,8 @@ def token_stream(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_
 
     A null text is empty: its only id is `end_id`.
     """
-    ids = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(
-        _tokenise(tokenizer, end_id), "doc_id long, part int, part_start long, n long, ids binary"), "tokens")
+    ids = saved(map_batches(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")), _tokenise(tokenizer, end_id), "doc_id long, part int, part_start long, n long, ids binary"), "tokens")
     # One row of 12 bytes per input split: bounded by the number of tasks, so it can be broadcast.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (ids.groupBy("part").agg(F.sum("n").alias("total"))
@@ -169,8 +169,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = TOKENIZER, end_
     """
     if window < 1:
         raise ValueError("window must be positive")
-    return token_stream(docs, tokenizer, end_id).mapInArrow(
-        _cut(window), ", ".join(f"{c} long" for c in PIECE_COLUMNS))
+    return map_batches(token_stream(docs, tokenizer, end_id), _cut(window), ", ".join(f"{c} long" for c in PIECE_COLUMNS))
 
 
 def op4_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:

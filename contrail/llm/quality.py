@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import fold, table
+from contrail.llm.common import fold, map_batches, table
 
 FOLDS, HELD_OUT = 4, 2
 GOOD_FROM = 0.7
@@ -209,7 +209,7 @@ def score(docs: DataFrame, field: Field | None) -> DataFrame:
                           else np.array([0.5 if t else 0.0 for t in texts], dtype=np.float64))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, score double")
 
 
 def op5_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import table
+from contrail.llm.common import map_batches, table
 
 KINDS = ("assign", "access", "hex", "lexed")
 THRESHOLD = 1.0
@@ -178,8 +178,8 @@ def scan(docs: DataFrame) -> DataFrame:
                     for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, spans array<struct<kind: string, start: long, end: long, score: double>>")
+    return map_batches(
+        docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, spans array<struct<kind: string, start: long, end: long, score: double>>")
 
 
 def op6_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

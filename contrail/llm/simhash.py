@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from contrail.llm.common import saved, table
+from contrail.llm.common import map_batches, saved, table
 from contrail.llm.components import component_labels
 
 SHINGLE = 3
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))], names=[*kept, "fp"])
 
     slim = docs.select(*kept, "text")
-    return slim.mapInArrow(run, StructType([*slim.schema.fields[:-1], StructField("fp", LongType())]))
+    return map_batches(slim, run, StructType([*slim.schema.fields[:-1], StructField("fp", LongType())]))
 
 
 def gray_rank(fps: np.ndarray) -> np.ndarray:
@@ -151,7 +151,7 @@ def _star_edges(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
 
 
 def _search(radius: int):
-    """mapInArrow body over rows sorted by (block, is_query): entries build the block's index, queries follow."""
+    """Body for map_batches over rows sorted by (block, is_query): entries build the block's index, queries follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, entries, index, known = None, [], None, None
         for batch in batches:
@@ -178,7 +178,7 @@ def _search(radius: int):
 
 
 def _route(blocks: np.ndarray, patterns: np.ndarray, masks: np.ndarray, radius: int):
-    """mapInArrow body: (block, fp) -> an entry in its own block, a query in it and in every higher one in reach."""
+    """Body for map_batches: (block, fp) -> an entry in its own block, a query in it and in every higher one in reach."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = GrayIndex(patterns, masks)
         for whole in batches:
@@ -210,7 +210,7 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
             ranks = gray_rank(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) ^ np.uint64(1 << 63)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ranks.view(np.int64))], names=["fp", "rank"])
 
-    blocks = saved(distinct.mapInArrow(rank, "fp long, rank long").repartitionByRange(n_blocks, "rank")
+    blocks = saved(map_batches(distinct, rank, "fp long, rank long").repartitionByRange(n_blocks, "rank")
                    .select(F.spark_partition_id().alias("block"), "fp"), "simhash-blocks")
     nodes = (blocks.groupBy("block").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("any"))
              .orderBy("block").toPandas())  # at most MAX_BLOCKS rows
@@ -220,9 +220,9 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     def route(batches):
         yield from _route(*shipped.value, radius)(batches)
 
-    routed = blocks.mapInArrow(route, "block int, is_query boolean, fp long")
-    return (routed.repartition("block").sortWithinPartitions("block", "is_query")
-            .mapInArrow(_search(radius), "a long, b long"))
+    routed = map_batches(blocks, route, "block int, is_query boolean, fp long")
+    by_block = routed.repartition("block").sortWithinPartitions("block", "is_query")
+    return map_batches(by_block, _search(radius), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
