@@ -22,14 +22,20 @@ def _apart(docs: DataFrame, *own: str) -> DataFrame:
     return docs.select(*own, F.struct(F.lit(0).alias("__"), *(c for c in docs.columns if c not in own)).alias("__rest"))
 
 
-def _together(slim: DataFrame, columns: list[str]) -> DataFrame:
-    return slim.select(*((F.col(c) if c in slim.columns else F.col("__rest")[c]).alias(c) for c in columns))
+def _together(slim: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    return slim.select(*((F.col(c) if c in own else F.col("__rest")[c]).alias(c) for c in columns))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """`docs` with __key, which tells rows apart also where doc_id is null or repeats: equal keys, equal texts."""
-    return docs.withColumn("__key", F.struct(F.coalesce("doc_id", F.lit(-2**63)).alias("id"),
-                                             F.xxhash64("text").alias("row")))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a column that tells rows apart also where doc_id is null or repeats, and its name.
+
+    Rows with equal keys have equal texts.
+    """
+    key = "__key"
+    while key in docs.columns:
+        key += "_"
+    return docs.withColumn(key, F.struct(F.coalesce("doc_id", F.lit(-2**63)).alias("id"),
+                                         F.xxhash64("text").alias("row"))), key
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,30 +48,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if model is None:
         return docs.filter(F.col("text").rlike("\\p{L}"))
     told = language.identify(_apart(docs, "text"), model)
-    return _together(told.filter(F.col("lang_pred") != language.UNDETERMINED), docs.columns)
+    return _together(told.filter(F.col("lang_pred") != language.UNDETERMINED), docs.columns, "text")
 
 
 def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated three-line windows out of the texts; drops documents of which nothing is left."""
     out = line_windows.dedupe_lines(_apart(docs, "doc_id", "text", "n_chars"))
     left = F.col("covered").isNull() | (F.btrim("text", F.lit(line_windows.STRIP + "\n")) != "")
-    return _together(out.filter(left), docs.columns)
+    return _together(out.filter(left), docs.columns, "doc_id", "text", "n_chars")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash group: the one with the smallest doc_id (null last)."""
-    keyed = _keyed(docs)
-    groups = simhash.near_duplicates(keyed.select("doc_id", "text", "__key"))
+    keyed, key = _keyed(docs)
+    groups = simhash.near_duplicates(keyed.select("doc_id", "text", F.col(key).alias("__key")))
     best = F.min(F.struct(F.col("doc_id").isNull(), "__key"))["__key"]
-    keepers = groups.groupBy("group").agg(best.alias("__key")).select("__key")
-    return keyed.join(keepers, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    keepers = groups.groupBy("group").agg(best.alias(key)).select(key)
+    return keyed.join(keepers, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, plain or with other numbers, names or units."""
-    keyed = _keyed(docs)
-    leaks = decontamination.contaminated(keyed.select("__key", "text"), table(spark, sf_dir, "benchmark"), "__key")
-    return keyed.join(leaks.select("__key"), "__key", "left_anti").select(*docs.columns)
+    keyed, key = _keyed(docs)
+    leaks = decontamination.contaminated(keyed.select(key, "text"), table(spark, sf_dir, "benchmark"), key)
+    return keyed.join(leaks.select(key), key, "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
