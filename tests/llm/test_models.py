@@ -179,3 +179,13 @@ def test_lm_training_helps():
     counts = np.bincount(np.concatenate(texts), minlength=lm.VOCABULARY)
     before, after = (lm.fit(texts, counts, 20, steps=s).text_scores(texts[:1])[0] for s in (0, 300))
     assert after > before / 4
+
+
+def test_lm_learns_from_long_texts(spark):
+    cycle = "red green blue yellow " * 600  # 13 KB, over the bound of the first fit
+    docs = documents(spark, [(i, cycle, "en", "a", len(cycle)) for i in range(100)]).coalesce(1)
+    rows = lm.score(docs).collect()
+    counts = lm.id_counts(lm.word_counts(lm.training_rows(docs)))
+    ids = np.frombuffer(b"".join(map(lm.encoder(lm.TOKENIZER).word, words(cycle))), "<u2")
+    unread = lm.fit([], counts, 85).text_scores([ids])[0]
+    assert any(r.held_out for r in rows) and all(r.score > 0.8 * unread for r in rows), (rows[0].score, unread)
