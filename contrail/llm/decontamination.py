@@ -2,7 +2,9 @@
 
 Words become template tokens: numbers, names and units turn into typed
 placeholders (slots), everything else is lower-cased and stripped of
-punctuation at its ends. Windows of eight tokens of documents and benchmark
+punctuation at its ends. A capitalised word at a sentence's start may be a
+name or a plain word; windows are made of both readings (in the benchmark,
+of both for every capitalised word). Windows of eight tokens of documents and benchmark
 items are hash-joined. Hits of one item on one alignment in a document are
 then put together and their slots checked: every benchmark value must stand
 for one document value throughout (and different names for different names).
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ COVERAGE = 0.6
 MIN_TOKENS = 4
 BITMAP_BITS = 22
 CACHE_WORDS = 200_000
+#: Windows whose readings are worked out at once; one of eight words has at most 256.
+READ_WINDOWS = 1 << 14
 
 WORD, NUMBER, NAME, UNIT = range(4)
 UNITS = frozenset("""
@@ -82,8 +87,12 @@ class Canon:
         ends = word.rstrip("\"')]}”’»")[-1:] in (".", "!", "?")
         return of_inside, of_start, inside, start, bare.lower() in UNITS, ends
 
-    def tokens(self, words: list[str], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and kind of every word; first marks the words that begin a text."""
+    def tokens(self, words: list[str], first: np.ndarray, every: bool) -> "Tokens":
+        """The tokens of the words; first marks the words that begin a text.
+
+        A capitalised word that opens a sentence may be a name or not and has both readings;
+        with `every`, any capitalised word has.
+        """
         at, kept = self._at, len(self._at)
         new: list[str] = []
         passing: dict[str, int] = {}
@@ -113,21 +122,48 @@ class Canon:
         hashes = np.where(opens, start, inside)
         measured = unit.astype(bool) & ~first
         measured[1:] &= kind[:-1] == NUMBER
-        return np.where(measured, np.uint64(_hash("<unit>")), hashes), np.where(measured, UNIT, kind)
+        return Tokens(np.where(measured, np.uint64(_hash("<unit>")), hashes), np.where(measured, UNIT, kind),
+                      (kind_in == NAME) & (opens | every) & ~measured, np.where(opens, inside, start),
+                      np.where(opens, kind_in, kind_start))
+
+
+class Tokens(NamedTuple):
+    """Hash and kind of every token; where it is open, it can also be read as other, of kind other_kind."""
 
+    hashes: np.ndarray
+    kinds: np.ndarray
+    open: np.ndarray
+    other: np.ndarray
+    other_kinds: np.ndarray
 
-def _window_hashes(hashes: np.ndarray, kinds: np.ndarray, left: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, hashes) of the windows of n tokens that lie in one text; left: tokens from here to the text's end."""
-    m = len(hashes) - n + 1
-    if m <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    total, words = np.full(m, n, np.uint64), np.zeros(m, np.int64)
-    for d in range(n):
-        total = total * _BASE + hashes[d:d + m]
-        words += kinds[d:d + m] == WORD
-    total ^= total >> np.uint64(29)
-    starts = np.flatnonzero((left[:m] >= n) & (words >= MIN_TOKENS))
-    return starts, total[starts]
+
+def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(starts, hashes, flips) of the windows of n tokens that lie in one text, in all their readings.
+
+    left: tokens from here to the text's end; flips: bit d is set where token d is read the other way.
+    """
+    plain = tokens.kinds == WORD
+    more = tokens.other - tokens.hashes
+    gain = (tokens.other_kinds == WORD).astype(np.int64) - plain
+    power = [np.uint64(pow(int(_BASE), n - 1 - d, 2**64)) for d in range(n)]
+    whole = np.flatnonzero(left[:max(0, len(left) - n + 1)] >= n)
+    for lo in range(0, len(whole), READ_WINDOWS):
+        at = whole[lo:lo + READ_WINDOWS]
+        total, words, flips = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for d in range(n):
+            total = total * _BASE + tokens.hashes[at + d]
+            words += plain[at + d]
+        for d in range(n):
+            two = np.flatnonzero(tokens.open[at + d])
+            if len(two):
+                of = at[two] + d
+                total = np.concatenate([total, total[two] + more[of] * power[d]])
+                words = np.concatenate([words, words[two] + gain[of]])
+                flips = np.concatenate([flips, flips[two] | 1 << d])
+                at = np.concatenate([at, at[two]])
+        total ^= total >> np.uint64(29)
+        good = words >= MIN_TOKENS
+        yield at[good], total[good], flips[good]
 
 
 _CANON = Canon()
@@ -148,17 +184,21 @@ def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
                     left = ends - np.arange(len(words))
                     owner = np.repeat(np.arange(len(sizes)), sizes)
                     begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
-                    hashes, kinds = _CANON.tokens(words, begins == np.arange(len(words)))
+                    tokens = _CANON.tokens(words, begins == np.arange(len(words)), lengths is None)
                     for n in lengths or range(MIN_TOKENS, WINDOW + 1):
-                        starts, found = _window_hashes(hashes, kinds, left, n)
-                        if lengths is None:
-                            pick = np.minimum(sizes[owner[starts]], WINDOW) == n
-                        else:
-                            pick = bitmap[(found >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
-                        for s, h in zip(starts[pick].tolist(), found[pick].view(np.int64).tolist(), strict=True):
-                            values = [None if k == WORD else f"{k}{w.strip(_EDGES).lower()}"
-                                      for k, w in zip(kinds[s:s + n].tolist(), words[s:s + n], strict=True)]
-                            out.append((owner[s], s - begins[s], h, values, sizes[owner[s]]))
+                        for starts, found, flips in _window_hashes(tokens, left, n):
+                            if lengths is None:
+                                pick = np.flatnonzero(np.minimum(sizes[owner[starts]], WINDOW) == n)
+                            else:
+                                pick = np.flatnonzero(bitmap[(found >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
+                            at = starts[pick, None] + np.arange(n)
+                            flipped = (flips[pick, None] >> np.arange(n) & 1).astype(bool)
+                            kinds = np.where(flipped, tokens.other_kinds[at], tokens.kinds[at]).tolist()
+                            for s, h, of in zip(starts[pick].tolist(), found[pick].view(np.int64).tolist(), kinds,
+                                                strict=True):
+                                values = [None if k == WORD else f"{k}{w.strip(_EDGES).lower()}"
+                                          for k, w in zip(of, words[s:s + n], strict=True)]
+                                out.append((owner[s], s - begins[s], h, values, sizes[owner[s]]))
                 cols = list(zip(*out, strict=True)) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()),

@@ -119,6 +119,15 @@ def test_decontamination_against_brute_force(spark):
     assert want and got == want
 
 
+def test_names_that_open_sentences(spark):
+    item = "Tom has 5 apples. Tom gives 2 to Sue. Sue eats them all. Tom then buys some more."
+    other = item.replace("Tom", "Ann").replace("Sue", "Bob").replace("5", "7").replace("2", "3")
+    short = "Oliver painted seven wooden chairs"
+    got = _found(spark, [item, other, "He asked, as so often before: " + short, "so " + item.replace("Tom has", "tom has")],
+                 [item, short])
+    assert set(got) == {(0, 0), (1, 0), (2, 1), (3, 0)} and got[1, 0].reparameterised
+
+
 # ---------------------------------------------------------------- packing
 
 def test_encoder_equals_the_library():
