@@ -4,7 +4,9 @@ Words become template tokens: numbers, names and units turn into typed
 placeholders (slots), everything else is lower-cased and stripped of
 punctuation at its ends. A capitalised word at a sentence's start may be a
 name or a plain word; windows are made of both readings (in the benchmark,
-of both for every capitalised word). Windows of eight tokens of documents and benchmark
+of both for every capitalised word), and once more of the words as they are
+written, in lower case: a window with few plain words matches by that alone.
+Windows of eight tokens of documents and benchmark
 items are hash-joined. Hits of one item on one alignment in a document are
 then put together and their slots checked: every benchmark value must stand
 for one document value throughout (and different names for different names).
@@ -34,7 +36,7 @@ from contrail.llm.common import map_batches, table
 
 WINDOW = 8
 COVERAGE = 0.6
-#: Items with fewer tokens than this are not looked for; a window needs as many words that are not slots.
+#: Items with fewer tokens than this are not looked for; a template needs as many words that are not slots.
 MIN_TOKENS = 4
 BITMAP_BITS = 22
 CACHE_WORDS = 200_000
@@ -69,13 +71,13 @@ class Canon:
     def __init__(self, bound: int = CACHE_WORDS):
         self._bound = bound
         self._at: dict[str, int] = {}
-        self._table = [np.zeros(bound, np.uint64 if c < 2 else np.int8) for c in range(6)]
+        self._table = [np.zeros(bound, np.uint64 if c < 3 else np.int8) for c in range(7)]
 
     def _entry(self, word: str) -> tuple:
-        """(hash inside a sentence, hash at its start, kind inside, kind at start, is a unit, ends a sentence)."""
+        """(hash inside a sentence, at its start, as written, kind inside, kind at start, is a unit, ends a sentence)."""
         bare = word.strip(_EDGES)
         inside = start = WORD
-        of_inside = of_start = _hash(bare.lower())
+        of_inside = of_start = written = _hash(bare.lower())
         if _NUMBER.match(bare):
             inside = start = NUMBER
             of_inside = of_start = _hash("<number>")
@@ -85,7 +87,7 @@ class Canon:
         elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
             inside, of_inside = NAME, _hash("<name>")
         ends = word.rstrip("\"')]}”’»")[-1:] in (".", "!", "?")
-        return of_inside, of_start, inside, start, bare.lower() in UNITS, ends
+        return of_inside, of_start, written, inside, start, bare.lower() in UNITS, ends
 
     def tokens(self, words: list[str], first: np.ndarray, every: bool) -> "Tokens":
         """The tokens of the words; first marks the words that begin a text.
@@ -115,7 +117,7 @@ class Canon:
                 t[kept:kept + room] = f[:room]
             if passing:
                 table = [np.concatenate([t[:kept + room], f[room:]]) for t, f in zip(table, fresh, strict=True)]
-        inside, start, kind_in, kind_start, unit, ends = (c[ids] for c in table)
+        inside, start, written, kind_in, kind_start, unit, ends = (c[ids] for c in table)
         opens = first.copy()
         opens[1:] |= ends[:-1].astype(bool)
         kind = np.where(opens, kind_start, kind_in)
@@ -124,17 +126,18 @@ class Canon:
         measured[1:] &= kind[:-1] == NUMBER
         return Tokens(np.where(measured, np.uint64(_hash("<unit>")), hashes), np.where(measured, UNIT, kind),
                       (kind_in == NAME) & (opens | every) & ~measured, np.where(opens, inside, start),
-                      np.where(opens, kind_in, kind_start))
+                      np.where(opens, kind_in, kind_start), written)
 
 
 class Tokens(NamedTuple):
-    """Hash and kind of every token; where it is open, it can also be read as other, of kind other_kind."""
+    """Hash and kind of every token; where it is open, it can also be read as other, of kind other_kind; written: no placeholder."""
 
     hashes: np.ndarray
     kinds: np.ndarray
     open: np.ndarray
     other: np.ndarray
     other_kinds: np.ndarray
+    written: np.ndarray
 
 
 def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -150,9 +153,13 @@ def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[n
     for lo in range(0, len(whole), READ_WINDOWS):
         at = whole[lo:lo + READ_WINDOWS]
         total, words, flips = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        literal = np.zeros(len(at), np.uint64)
         for d in range(n):
             total = total * _BASE + tokens.hashes[at + d]
+            literal = literal * _BASE + tokens.written[at + d]
             words += plain[at + d]
+        as_is = np.flatnonzero((literal != total) | (words < MIN_TOKENS))
+        literal, written = literal[as_is], at[as_is]
         for d in range(n):
             two = np.flatnonzero(tokens.open[at + d])
             if len(two):
@@ -161,9 +168,9 @@ def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[n
                 words = np.concatenate([words, words[two] + gain[of]])
                 flips = np.concatenate([flips, flips[two] | 1 << d])
                 at = np.concatenate([at, at[two]])
-        total ^= total >> np.uint64(29)
         good = words >= MIN_TOKENS
-        yield at[good], total[good], flips[good]
+        at, total = np.concatenate([at[good], written]), np.concatenate([total[good], literal])
+        yield at, total ^ total >> np.uint64(29), np.concatenate([flips[good], np.zeros(len(written), np.int64)])
 
 
 _CANON = Canon()

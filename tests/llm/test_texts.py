@@ -128,6 +128,13 @@ def test_names_that_open_sentences(spark):
     assert set(got) == {(0, 0), (1, 0), (2, 1), (3, 0)} and got[1, 0].reparameterised
 
 
+def test_items_with_few_plain_words(spark):
+    item = "12 + 7 = 19 and 30 km 4 kg Paris Rome Berlin 8 9 10 11 Oslo 5 6 7 cm"
+    got = _found(spark, ["Look: " + item + " and so on.", item.replace("19", "21").replace("Rome", "Bern").replace("9", "3")],
+                 [item])
+    assert set(got) == {(0, 0)} and got[0, 0].coverage == 1
+
+
 # ---------------------------------------------------------------- packing
 
 def test_encoder_equals_the_library():
