@@ -9,7 +9,8 @@ written, in lower case: a window with few plain words matches by that alone.
 Windows of eight tokens of documents and benchmark
 items are hash-joined. Hits of one item on one alignment in a document are
 then put together and their slots checked: every benchmark value must stand
-for one document value throughout (and different names for different names).
+for one document value (and different names for different names); windows
+that contradict what the others say are left out.
 A document is contaminated by an item when consistent windows cover at least
 `coverage` of the item's tokens, so a copy with other numbers, names or
 units is found like a plain one.
@@ -23,6 +24,7 @@ broadcast.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from contrail.llm.common import map_batches, table
 
@@ -220,6 +222,40 @@ def _schema(key: StructField) -> StructType:
             .add("slots", ArrayType(StringType())).add("n_tokens", "integer"))
 
 
+def agreement(windows: list[dict]) -> tuple[list[int], int, bool]:
+    """(tokens covered, windows, whether a value changed) of the windows of one alignment that agree.
+
+    Every benchmark value stands for one document value, a document name for one benchmark name: the pairs of
+    most windows first, or the unchanged values first, whichever covers more. Windows with other pairs are left out.
+    """
+    windows = [(w["pos"], w["size"], {(p["b"], p["d"]) for p in w["pairs"]}) for w in windows]
+    support = Counter(p for *_, pairs in windows for p in pairs)
+    best: tuple[list[int], int, bool] = [], 0, False
+    for same_first in (False, True):
+        chosen: dict[str, str] = {}
+        taken = set()
+        for b, d in sorted(support, key=lambda p: (same_first and p[0] != p[1], -support[p], p[0] != p[1], p)):
+            if b not in chosen and d not in taken:
+                chosen[b] = d
+                if b.startswith(str(NAME)):
+                    taken.add(d)
+        agree = [w for w in windows if all(chosen.get(b) == d for b, d in w[2])]
+        tokens = {t for pos, size, _ in agree for t in range(pos, pos + size)}
+        if len(tokens) > len(best[0]):
+            best = (sorted(tokens), len({w[0] for w in agree}), any(b != d for w in agree for b, d in w[2]))
+    return best
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Body for map_batches: (key, item_id, n_tokens, windows) -> the same with what agrees of the windows."""
+    for batch in batches:
+        rows = [agreement(w) for w in batch.column(3).to_pylist()]
+        tokens, n, changed = zip(*rows, strict=True) if rows else ([], [], [])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(tokens, pa.list_(pa.int32())), pa.array(n, pa.int32()),
+             pa.array(changed, pa.bool_())], names=["__key", "item_id", "n_tokens", "tokens", "n", "changed"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
                  coverage: float = COVERAGE) -> DataFrame:
     """(key, item_id, coverage, n_windows, reparameterised): one row per document and item it holds.
@@ -248,24 +284,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     found = (map_batches(docs.select(key, "text"), hits, _schema(docs.schema[key]))
              .select(F.col("id").alias("__key"), "pos", "hash", "slots").join(items, "hash"))
     pair = F.filter(F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")),
-                    lambda s: s["b"].isNotNull() | s["d"].isNotNull())
-    tokens = F.sequence(F.col("item_pos"), F.col("item_pos") + F.size("slots") - 1)
-    # One alignment holds at most the item's own windows and slots.
+                    lambda s: s["b"].isNotNull() & s["d"].isNotNull())
+    # One alignment holds at most the item's own windows, in their readings.
+    window = F.struct(F.col("item_pos").alias("pos"), F.size("slots").alias("size"), pair.alias("pairs"))
     lined_up = (found.groupBy("__key", "item_id", "n_tokens", (F.col("pos") - F.col("item_pos")).alias("shift"))
-                .agg(F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"),
-                     F.array_distinct(F.flatten(F.collect_set(tokens))).alias("tokens"),
-                     F.count_distinct("item_pos").alias("n")))
-    names = F.filter("pairs", lambda s: s["b"].startswith(str(NAME)))
-
-    def distinct(of, side):
-        return F.size(F.array_distinct(F.transform(of, lambda s: s[side])))
-
-    consistent = lined_up.filter((distinct(F.col("pairs"), "b") == F.size("pairs"))
-                                 & (distinct(names, "d") == F.size(names)))
-    changed = F.exists("pairs", lambda s: ~s["b"].eqNullSafe(s["d"]))
+                .agg(F.collect_set(window).alias("windows")).drop("shift"))
+    schema = (StructType(lined_up.schema.fields[:3]).add("tokens", ArrayType(IntegerType())).add("n", "integer")
+              .add("changed", "boolean"))
+    consistent = map_batches(lined_up, _agreeing, schema)
     together = (consistent.groupBy("__key", "item_id", "n_tokens")
                 .agg(F.size(F.array_distinct(F.flatten(F.collect_set("tokens")))).alias("covered"),
-                     F.sum("n").alias("n_windows"), F.max(changed).alias("reparameterised")))
+                     F.sum("n").alias("n_windows"), F.max("changed").alias("reparameterised")))
     return (together.select(F.col("__key").alias(key), "item_id", (F.col("covered") / F.col("n_tokens")).alias("coverage"),
                             "n_windows", "reparameterised")
             .filter(F.col("coverage") >= coverage).dropDuplicates([key, "item_id"]))

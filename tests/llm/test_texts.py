@@ -135,6 +135,14 @@ def test_items_with_few_plain_words(spark):
     assert set(got) == {(0, 0)} and got[0, 0].coverage == 1
 
 
+def test_a_contradicting_slot_drops_its_windows_only(spark):
+    rest = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(56))
+    item = "there are 5 " + rest + " until 5 remain"
+    got = _found(spark, [item.replace("until 5", "until 6"), item.replace("are 5", "are 8").replace("until 5", "until 9")],
+                 [item])
+    assert set(got) == {(0, 0), (1, 0)} and got[0, 0].coverage < 1
+
+
 # ---------------------------------------------------------------- packing
 
 def test_encoder_equals_the_library():
