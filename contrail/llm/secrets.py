@@ -5,7 +5,10 @@ hex run) are found everywhere. On top, lines with an assignment sign are
 lexed as source or configuration: strings, names, operators and bare values.
 From the tokens come name-literal pairs: ``name = "x"``, ``"name": "x"``,
 ``obj["name"] = "x"``, ``name => x``, ``--name=x``, ``<name>x</name>``,
-``get("NAME", "x")``. A right side may join several terms with ``+``; a
+``get("NAME", "x")``. Type annotations, string prefixes, brackets, wrapper
+calls and line breaks before a value are passed over; values in triple quotes
+and YAML blocks count line by line. A right side may join several terms with
+``+``; a
 term that is a name stands for the literals assigned to it before in the
 same text (constants are propagated, also through further names). Literals
 are scored by the words in the target's name and by what they look like;
@@ -29,7 +32,8 @@ from contrail.llm.common import map_batches, table
 
 KINDS = ("assign", "access", "hex", "lexed")
 THRESHOLD = 1.0
-MAX_TERMS = 64
+#: Tokens looked back over for a type annotation.
+ANNOTATION = 24
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -47,6 +51,11 @@ _TOKEN = re.compile(r"""
 _NAME = re.compile(r"-{0,2}[A-Za-z_$][\w$]*(?:[.\-][A-Za-z_$][\w$]*)*\Z", re.ASCII)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
+_PREFIX = frozenset("b f r u br rb fr rf B F R U L u8 @ $".split())
+_LOOKUP = re.compile(r"(?i)(?:.*[.:])?(?:get\w*|env|environ|lookup|fetch|read\w*|input|require|config)\Z")
+_BLOCK = re.compile(r"[:=][ \t]*[|>][+-]?\d?[+-]?[ \t]*\Z")
+_SIGNS = ("=", ":=", "=>", ":", ",")
+
 #: What a word in a name says about the literal it is given.
 _SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "pass": 0.7, "secret": 1.0, "token": 1.0,
               "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "bearer": 0.8, "auth": 0.6, "authorization": 0.8,
@@ -70,7 +79,7 @@ def literal_score(literal: str, quoted: bool) -> float:
     """How much a literal looks like a secret: 0 (a placeholder, too short, a plain word) to 1."""
     if len(literal) < 6 or _PLACEHOLDER.match(literal) or any(c.isspace() for c in literal):
         return 0.0
-    counts = Counter(literal[:256])  # a look at its make-up; the span is the whole literal
+    counts = Counter(literal)
     n = sum(counts.values())
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     if entropy < 2.0:
@@ -89,57 +98,194 @@ def _value(kind: str, text: str, start: int) -> tuple[str, int, int, bool]:
     return text, start, start + len(text), False
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
-    """(name, literals) of every assignment, constants replaced by the literals they stand for."""
-    constants: dict[str, list] = {}
-    at = 0
-    for line in text.split("\n"):
-        base, at = at, at + len(line) + 1
-        if not ("=" in line or ":" in line or "</" in line or '"' in line and "," in line):
-            continue
-        tokens = []
-        for m in _TOKEN.finditer(line):
-            if m["tag"]:
-                yield m["tagname"], [(m["tagtext"], base + m.start("tagtext"), base + m.end("tagtext"), True)]
-            else:
-                tokens.append((m.lastgroup, m[0], base + m.start()))
-        for k in range(1, len(tokens)):
-            kind, sign, _ = tokens[k]
-            if kind != "op" or sign not in ("=", ":=", "=>", ":", ","):
-                continue
-            j = k - 1
-            if tokens[j][1] == "]" and j:
-                j -= 1
-            if sign == "," and not (tokens[j][0] == "string" and j and tokens[j - 1][1] == "("):
+def _statements(text: str) -> Iterator[list[tuple[str, str, int]]]:
+    """Tokens (kind, text, start) of every line with a sign, and of the lines its right side goes on over.
+
+    A string in triple quotes and a YAML block are a token of kind "block".
+    """
+    at, size = 0, len(text)
+    unclosed: set[str] = set()
+
+    def lex(lo: int, hi: int, out: list) -> int:
+        """Adds the tokens from lo to hi; returns where the line ends, later if a block goes over its end."""
+        while True:
+            quotes = [(i, q) for q in ('"""', "'''") if q not in unclosed and (i := text.find(q, lo, hi)) >= 0]
+            first, quote = min(quotes, default=(hi, ""))
+            close = text.find(quote, first + 3) if quote else -1
+            if quote and close < 0:
+                unclosed.add(quote)
                 continue
-            if tokens[j][0] == "string":
-                name = tokens[j][1][1:-1]
-            elif tokens[j][0] == "bare" and _NAME.match(tokens[j][1]):
-                name = tokens[j][1].lstrip("-")
+            for m in _TOKEN.finditer(text, lo, first):
+                out.append(("tag", m, m.start()) if m["tag"] else (m.lastgroup, m[0], m.start()))
+            if not quote:
+                return hi
+            out.append(("block", text[first + 3:close], first + 3))
+            lo = close + 3
+            if lo > hi:
+                hi = size if (end := text.find("\n", lo)) < 0 else end
+
+    while at < size:
+        end = size if (end := text.find("\n", at)) < 0 else end
+        line = text[at:end]
+        if "=" in line or ":" in line or "</" in line or '"' in line and "," in line:
+            tokens: list = []
+            begin, end = at, lex(at, end, tokens)
+            if _BLOCK.search(text, max(begin, end - 64), end):
+                indent, lo, hi = len(line) - len(line.lstrip()), end + 1, end
+                while lo < size:
+                    stop = size if (stop := text.find("\n", lo)) < 0 else stop
+                    own = text[lo:stop]
+                    if own.strip() and len(own) - len(own.lstrip()) <= indent:
+                        break
+                    hi, lo = stop, stop + 1
+                while tokens and tokens[-1][1] not in (":", "="):
+                    tokens.pop()
+                tokens.append(("block", text[end + 1:hi], end + 1))
+                end = hi
             else:
+                # A sign, a join or an opened bracket at the end, or a string after one: the right side goes on.
+                depth = before = 0
+                while tokens and end < size:
+                    depth += sum((t[1] in ("(", "[")) - (t[1] in (")", "]")) for t in tokens[before:] if t[0] == "op")
+                    last, stop = tokens[-1], text.find("\n", end + 1)
+                    stop = size if stop < 0 else stop
+                    more = text[end + 1:stop].lstrip()[:1] in ('"', "'") and (last[0] == "string" or last[1] == ",")
+                    if not (last[1] in ("=", ":=", "=>", ":", "+", "(", "[", "\\") or depth > 0 and more):
+                        break
+                    if last[1] == "\\":
+                        tokens.pop()
+                    before = len(tokens)
+                    blank = not text[end + 1:stop].strip()
+                    end = lex(end + 1, stop, tokens)
+                    if len(tokens) == before and not blank:
+                        break
+            yield tokens
+        at = end + 1
+
+
+def _names(tokens: list, k: int) -> Iterator[str]:
+    """Names the sign at k gives a value: the one before it, and the one before a type annotation."""
+    j = k - 1
+    if tokens[j][1] == "]" and j:
+        j -= 1
+    if tokens[k][1] == "," and not (tokens[j][0] == "string" and j and tokens[j - 1][1] == "("):
+        return
+    if tokens[j][0] == "string":
+        yield tokens[j][1][1:-1]
+    elif tokens[j][0] == "bare" and _NAME.match(tokens[j][1]):
+        yield tokens[j][1].lstrip("-")
+    if tokens[k][1] == "=":
+        depth = 0
+        for i in range(k - 1, max(0, k - ANNOTATION), -1):
+            kind, sign, _ = tokens[i]
+            depth += (sign == "]") - (sign == "[")
+            if sign == ":" and kind == "op" and not depth:
+                if i < k - 1 and tokens[i - 1][0] == "bare" and _NAME.match(tokens[i - 1][1]):
+                    yield tokens[i - 1][1]
+                return
+            if kind != "bare" and sign not in ("[", "]") and not (sign == "," and depth):
+                return
+
+
+def _right_side(text: str, tokens: list, i: int, constants: dict) -> list:
+    """Literals, and the constants that stand for some, from token i on."""
+    out: list = []
+    opened: list[str] = []  # brackets and wrapper calls around the terms
+    after = tokens[i - 1][2]
+
+    def adjacent(i: int) -> bool:
+        return i + 1 < len(tokens) and tokens[i + 1][2] == tokens[i][2] + len(tokens[i][1])
+
+    while i < len(tokens):
+        own, word, start = tokens[i]
+        if own == "op" and word in ("(", "["):
+            opened.append(word)
+            i += 1
+            continue
+        if own == "bare" and word in _PREFIX and i + 1 < len(tokens) and (
+                tokens[i + 1][0] == "string" and adjacent(i) or tokens[i + 1][0] == "block"):
+            i += 1
+            continue
+        if own == "bare" and adjacent(i) and tokens[i + 1][1] == "(":
+            closes = i + 3 < len(tokens) and tokens[i + 3][1] == ","
+            if _LOOKUP.match(word) or closes:  # a look-up's argument is a name; of several, none is the value
+                break
+            opened.append("call")
+            i += 2
+            continue
+        if own == "block":
+            lo = start
+            for line in word.split("\n"):
+                bare = line.strip()
+                if bare:
+                    first = lo + line.index(bare)
+                    out.append((bare, first, first + len(bare), True))
+                lo += len(line) + 1
+        elif own == "bare" and word in constants:
+            out.append(constants[word])
+        elif own in ("string", "bare"):
+            value = _value(own, word, start)
+            if own == "bare":  # signs inside an unquoted value belong to it, up to the next space
+                if not out and "\n" in text[after:start] and i + 1 < len(tokens) and tokens[i + 1][1] in _SIGNS:
+                    break  # the next line is an assignment of its own
+                while adjacent(i) and (tokens[i + 1][0] == "bare" or not tokens[i + 1][1].strip("=:+")):
+                    i += 1
+                end = tokens[i][2] + len(tokens[i][1])
+                value = _value("bare", text[start:end], start)
+            out.append(value)
+        else:
+            break
+        i += 1
+        while i < len(tokens) and opened and tokens[i][1] in (")", "]"):
+            opened.pop()
+            i += 1
+        if i < len(tokens) and (tokens[i][1] == "+" or tokens[i][1] == "," and opened and opened[-1] == "["
+                                or opened and tokens[i][0] in ("string", "block")):
+            i += tokens[i][0] == "op"
+        else:
+            break
+    return out
+
+
+def pairs(text: str) -> Iterator[tuple[str, list]]:
+    """(name, right side) of every assignment.
+
+    A right side is a list of literals (text, start, end, quoted) and of the right sides of the constants in it.
+    """
+    constants: dict[str, list] = {}
+    for tokens in _statements(text):
+        for kind, m, _ in tokens:
+            if kind == "tag":
+                yield m["tagname"], [(m["tagtext"], m.start("tagtext"), m.end("tagtext"), True)]
+        tokens = [t for t in tokens if t[0] != "tag"]
+        for k in range(1, len(tokens) - 1):
+            if tokens[k][0] != "op" or tokens[k][1] not in _SIGNS:
                 continue
-            literals, i = [], k + 1
-            while i < len(tokens) and tokens[i][0] in ("string", "bare") and len(literals) < MAX_TERMS:
-                own, word, start = tokens[i]
-                if own == "bare" and word in constants:
-                    literals += constants[word]
-                else:
-                    value = _value(own, word, start)
-                    if own == "bare":  # signs inside an unquoted value belong to it, up to the next space
-                        while (i + 1 < len(tokens) and tokens[i + 1][2] == tokens[i][2] + len(tokens[i][1])
-                               and (tokens[i + 1][0] == "bare" or not tokens[i + 1][1].strip("=:+"))):
-                            i += 1
-                        end = tokens[i][2] + len(tokens[i][1])
-                        value = _value("bare", text[start:end], start)
-                    literals.append(value)
-                if i + 1 < len(tokens) and tokens[i + 1][1] == "+":
-                    i += 2
+            names = list(_names(tokens, k))
+            right = _right_side(text, tokens, k + 1, constants) if names else []
+            if right:
+                for name in names:
+                    if tokens[k][1] != ",":
+                        constants[name] = right
+                    yield name, right
+
+
+def literals_of(text: str) -> Iterator[tuple[float, tuple[str, int, int, bool]]]:
+    """(score of the most telling name, literal) of every literal that reaches a sensitive name, once."""
+    told = [(of_name, right) for name, right in pairs(text) if (of_name := name_score(name)) > 0]
+    seen: set[int] = set()
+    for of_name, right in sorted(told, key=lambda x: -x[0]):
+        todo = [right]
+        while todo:
+            terms = todo.pop()
+            if id(terms) in seen:
+                continue
+            seen.add(id(terms))
+            for term in terms:
+                if isinstance(term, list):
+                    todo.append(term)
                 else:
-                    break
-            if literals:
-                if sign != ",":
-                    constants[name] = literals[:MAX_TERMS]
-                yield name, literals
+                    yield of_name, term
 
 
 def find(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -156,14 +302,11 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         spans += [("hex", *m.span(), 1.0) for m in HEX.finditer(text)]
     if "=" in text or ":" in text or "</" in text or '",' in text:
         lexed: dict[tuple[int, int], float] = {}
-        for name, literals in pairs(text):
-            of_name = name_score(name)
-            if of_name <= 0:
-                continue
-            for literal, start, end, quoted in literals:
-                score = of_name * 0.7 + literal_score(literal, quoted) * 0.6
-                if literal_score(literal, quoted) > 0.3 and score >= THRESHOLD:
-                    lexed[start, end] = max(score, lexed.get((start, end), 0.0))
+        for of_name, (literal, start, end, quoted) in literals_of(text):
+            of_literal = literal_score(literal, quoted)
+            score = of_name * 0.7 + of_literal * 0.6
+            if of_literal > 0.3 and score >= THRESHOLD:
+                lexed[start, end] = max(score, lexed.get((start, end), 0.0))
         spans += [("lexed", s, e, score) for (s, e), score in lexed.items()]
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

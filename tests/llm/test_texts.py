@@ -251,3 +251,22 @@ def test_lexer_pairs_and_constants():
 def test_lexer_is_linear_on_long_lines():
     text = "x='" * 40_000 + " password = " + "a1b2c3d4" * 20_000
     assert secrets.find(text)
+
+
+def test_lexer_right_sides():
+    value = "sk9-aQ7zz81Kp"
+    for text in (f'api_key: str = "{value}"', f'let api_secret: &str = "{value}";', f'db_password = b"{value}"',
+                 f'db_password = ("{value}")', f'auth_token = Secret("{value}")', f'db_password = (\n    "{value}"\n)',
+                 f'db_password = \\\n    "{value}"', f'db_password = """{value}"""', f'client_secret: |\n  {value}\nport: 1',
+                 f'client_secret:\n  "{value}"\n', f'api_token: dict[str, str] = "{value}"'):
+        assert _lexed(text) == [value], text
+    assert _lexed(f'auth_token = (\n  "{value}"\n  "b2c3d4e5f6"\n)') == [value, "b2c3d4e5f6"]
+    for text in ('password = os.getenv("DB_PASSWORD_1")', 'client_secret:\n  name9x8y7z: 1', 'password = """unclosed'):
+        assert _lexed(text) == [], text
+
+
+def test_lexer_keeps_every_term_of_a_long_join():
+    parts = [f"a1b2c3d4-{i:04}" for i in range(200)]
+    assert _lexed("password = " + " + ".join(f'"{p}"' for p in parts)) == parts
+    chain = 'k0 = "a1b2c3d4-0000"\n' + "".join(f'k{i} = k{i - 1} + "{parts[i]}"\n' for i in range(1, 200)) + "password = k199"
+    assert _lexed(chain) == parts
