@@ -7,6 +7,7 @@ from contrail.llm import (
     language,
     line_windows,
     lm,
+    merkle,
     order_minhash,
     packing,
     quality,
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
     "op9_string_kernel_language": language.op9_string_kernel_language,
     "op10_gray_simhash": simhash.op10_gray_simhash,
+    "op13_merkle_multiproof": merkle.op13_merkle_multiproof,
 }
 
 ORACLES: dict[str, str] = {
     "op2_line_windows": line_windows.ORACLE,
+    "op13_merkle_multiproof": merkle.ORACLE,
 }
