@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contrail.llm import (
+    alignment,
     decontamination,
     language,
     line_windows,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
     "op9_string_kernel_language": language.op9_string_kernel_language,
     "op10_gray_simhash": simhash.op10_gray_simhash,
+    "op12_fragment_alignment": alignment.op12_fragment_alignment,
     "op13_merkle_multiproof": merkle.op13_merkle_multiproof,
 }
 
