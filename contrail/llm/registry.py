@@ -11,6 +11,7 @@ from contrail.llm import (
     merkle,
     order_minhash,
     packing,
+    postings,
     quality,
     secrets,
     sharding,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
     "op9_string_kernel_language": language.op9_string_kernel_language,
     "op10_gray_simhash": simhash.op10_gray_simhash,
+    "op11_balanced_postings": postings.op11_balanced_postings,
     "op12_fragment_alignment": alignment.op12_fragment_alignment,
     "op13_merkle_multiproof": merkle.op13_merkle_multiproof,
 }
