@@ -50,16 +50,21 @@ def snapshot(hist: DataFrame) -> DataFrame:
     return dedupe_first(hist, "icao24", ("source_rank", "seq"))
 
 
-def snapshot_of_feeds(feeds) -> DataFrame:
-    """Extracted feeds (common columns, ``arrival``) -> one standardised, scored row per aircraft.
+def rows_of_feeds(feeds) -> DataFrame:
+    """Extracted feeds (common columns, ``arrival``) -> standardised, scored rows of all sources."""
+    merged = merge_sources(feeds).drop("region")
+    return (merged.transform(cleaning.standardize_positions).transform(cleaning.add_region)
+            .transform(cleaning.add_quality_score))
+
 
-    The first row in source order, then in order of arrival, stays; rows
-    without a key (null or blank) are no duplicates of each other.
+def snapshot_of_feeds(feeds, keep_null_keys: bool = False) -> DataFrame:
+    """Extracted feeds -> one standardised, scored row per aircraft.
+
+    The first row in source order, then in order of arrival, stays. Rows
+    without a key collapse like those of any key (null and '' are a key each),
+    as in the reference; with ``keep_null_keys`` they all stay.
     """
-    merged = merge_sources(feeds).drop("region")
-    df = (merged.transform(cleaning.standardize_positions).transform(cleaning.add_region)
-          .transform(cleaning.add_quality_score))
-    return dedupe_first(df, "icao24", ("source_rank", "arrival"), keep_null_keys=True)
+    return dedupe_first(rows_of_feeds(feeds), "icao24", ("source_rank", "arrival"), keep_null_keys=keep_null_keys)
 
 
 def latest_snapshots(hist: DataFrame, period: str = "15 minutes", key: str = "icao24") -> DataFrame:

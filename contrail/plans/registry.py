@@ -1156,7 +1156,7 @@ def _flat_feed(spark, d):
     return lw.write_documents(rec, _scratch(spark, "landing-airlabs"), "response")
 
 
-@query("ingest_merge_snapshot", sql("""
+_FEEDS_SQL = sql("""
 SELECT icao24, callsign, origin_country, latitude, longitude, altitude, speed, heading,
        CASE WHEN data_source = 'opensky' THEN '' ELSE airline END AS airline,
        CASE WHEN data_source = 'opensky' THEN '' ELSE aircraft_type END AS aircraft_type,
@@ -1166,7 +1166,13 @@ SELECT icao24, callsign, origin_country, latitude, longitude, altitude, speed, h
 FROM (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY source_rank, seq) AS _rn FROM rt
       WHERE NOT (data_source = 'opensky' AND seq % 10 = 4) AND NOT (data_source = 'aviationstack' AND seq % 10 = 5)
         AND NOT (data_source = 'airlabs' AND seq % 10 = 6))
-WHERE _rn = 1""", "rt"))
+WHERE _rn = 1""", "rt")
+_FEED_COLUMNS = ("icao24", "callsign", "origin_country", "latitude", "longitude", "altitude", "speed", "heading", "airline",
+                 "aircraft_type", "data_source", "extraction_time", "region", "is_airborne", "has_position", "has_speed",
+                 "has_altitude", "data_quality_score")
+
+
+@query("ingest_merge_snapshot", _FEEDS_SQL)
 def q_ingest_merge_snapshot(spark, d):
     """Three feeds as files -> readers -> extract rules -> merge -> one scored row per aircraft."""
     from contrail.sources import landing
@@ -1174,10 +1180,18 @@ def q_ingest_merge_snapshot(spark, d):
     feeds = [landing.extract_state_vectors(states),
              landing.ingest_nested_live(spark, _nested_feed(spark, d), run_ts=RUN_TS),
              landing.ingest_flat_live(spark, _flat_feed(spark, d), run_ts=RUN_TS)]
-    return realtime.snapshot_of_feeds(feeds).select(
-        "icao24", "callsign", "origin_country", "latitude", "longitude", "altitude", "speed", "heading", "airline",
-        "aircraft_type", "data_source", "extraction_time", "region", "is_airborne", "has_position", "has_speed",
-        "has_altitude", "data_quality_score")
+    return realtime.snapshot_of_feeds(feeds).select(*_FEED_COLUMNS)
+
+
+@query("stream_feeds", _FEEDS_SQL)
+def q_stream_feeds(spark, d):
+    """The same three feeds as streams of raw documents, several batches each, into the keyed snapshot table."""
+    from contrail.streaming import feeds
+    paths = {"opensky": _state_vector_feed(spark, d), "aviationstack": _nested_feed(spark, d),
+             "airlabs": _flat_feed(spark, d)}
+    base = _scratch(spark, "stream-feeds")
+    feeds.stream_feeds(spark, paths, base, _scratch(spark, "ckpt-feeds"), run_ts=RUN_TS, max_files_per_trigger=2)
+    return feeds.snapshot_table(spark, base).select(*_FEED_COLUMNS)
 
 
 def _csv_schema():
@@ -1368,6 +1382,19 @@ def _landing(spark, d):
     return _LANDING[k]
 
 
+_SPLIT: dict = {}
+
+
+def _split(spark, d):
+    """(folder, schema) of the position stream, split once per session into accepted rows and rejects."""
+    from contrail.streaming import positions as sp
+    landed = _landing(spark, d)
+    if landed not in _SPLIT:
+        base = _scratch(spark, "stream-split")
+        _SPLIT[landed] = base, sp.split_history(spark, landed, base, _scratch(spark, "ckpt-split"))
+    return _SPLIT[landed]
+
+
 @query("stream_positions", sql(f"SELECT {HISTORY_COLS} FROM rt", "rt"))
 def q_stream_positions(spark, d):
     from contrail.streaming import positions as sp
@@ -1383,7 +1410,7 @@ SELECT {HISTORY_COLS}, snapshot_start FROM (
 WHERE _rn = 1""", "rt"))
 def q_stream_dedupe(spark, d):
     from contrail.streaming import positions as sp
-    return sp.stream_dedupe_table(spark, _landing(spark, d), _scratch(spark, "table-dedupe"),
+    return sp.stream_dedupe_table(spark, *_split(spark, d), _scratch(spark, "table-dedupe"),
                                   _scratch(spark, "ckpt-dedupe"))
 
 
@@ -1394,8 +1421,9 @@ WHERE _rn = 1""", "rt"))
 def q_stream_snapshot(spark, d):
     from contrail.streaming import positions as sp
     base = _scratch(spark, "table-latest")
-    sp.stream_snapshot(spark, _landing(spark, d), base, _scratch(spark, "ckpt-latest"), max_files_per_trigger=2)
-    return sp.read_latest_version(spark, base).select(*realtime.HISTORY_COLUMNS)
+    from contrail.streaming.upsert import read_table
+    sp.stream_snapshot(spark, _landing(spark, d), base, _scratch(spark, "ckpt-latest"))
+    return read_table(spark, base, realtime.history(positions(spark, d)).schema)
 
 
 @query("stream_region_windows", sql(f"""
@@ -1407,11 +1435,28 @@ FROM (SELECT rt.*, time_bucket(INTERVAL 15 MINUTE, extraction_time) - s.k * INTE
 GROUP BY window_start, region""", "rt"))
 def q_stream_region_windows(spark, d):
     from contrail.streaming import positions as sp
-    stats = sp.stream_region_windows(spark, _landing(spark, d), _scratch(spark, "table-region-windows"),
+    stats = sp.stream_region_windows(spark, *_split(spark, d), _scratch(spark, "table-region-windows"),
                                      _scratch(spark, "ckpt-region-windows"))
     return rounded(stats, "avg_altitude", "avg_speed", "avg_quality")
 
 
+# The heartbeat that closes the feed comes two hours and the delay of one hour after its newest row.
+@query("stream_stale_alerts", sql("""
+SELECT data_source, 'stale' AS alert, t + INTERVAL 30 MINUTE AS at, t AS silent_since FROM gaps
+WHERE coalesce(next_t, TIMESTAMP '9999-01-01') > t + INTERVAL 30 MINUTE AND newest + INTERVAL 2 HOUR > t + INTERVAL 30 MINUTE
+UNION ALL
+SELECT data_source, 'cleared', next_t, t FROM gaps WHERE next_t > t + INTERVAL 30 MINUTE""", "rt", local=(("gaps", """
+SELECT data_source, extraction_time AS t, max(extraction_time) OVER () AS newest,
+       lead(extraction_time) OVER (PARTITION BY data_source ORDER BY extraction_time) AS next_t FROM rt"""),)))
+def q_stream_stale_alerts(spark, d):
+    from contrail.streaming import alerts, bounded
+    base, schema = _split(spark, d)
+    out = _scratch(spark, "table-alerts")
+    told = alerts.stale_alerts(bounded.accepted(spark, base, schema, 1))
+    bounded.run_to_table(told, out, _scratch(spark, "ckpt-alerts"))
+    return spark.read.schema(told.schema).parquet(out)
+
+
 @query("feed_alerts", sql(f"""
 SELECT data_source, 'low_quality' AS alert, {r6('avg_quality')} AS value FROM lu WHERE avg_quality < 70
 UNION ALL

@@ -101,7 +101,12 @@ def ingest_state_vectors(spark: SparkSession, path: str, run_ts: _dt.datetime |
     ``data_timestamp`` is the snapshot time, the load time when the document
     has none. ``arrival`` orders the rows as they stand in the files.
     """
-    raw = _documents(spark.read.schema(STATE_SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path))
+    return state_vectors(_documents(spark.read.schema(STATE_SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path)),
+                         run_ts)
+
+
+def state_vectors(raw: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
+    """The rows of snapshot documents that are already read (with ``_doc``)."""
     now_s = F.unix_timestamp(F.current_timestamp())
     st = (raw.select(F.coalesce(F.col("time"), now_s).alias("data_timestamp"),
                      "_doc", F.posexplode("states").alias("pos", "s"))
@@ -135,7 +140,11 @@ def _extract_rules(df: DataFrame) -> DataFrame:
 def ingest_nested_live(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None,
                        multi_line: bool = False) -> DataFrame:
     """Nested live-flight documents ``{"data": [...]}`` -> common columns."""
-    raw = _documents(spark.read.schema(NESTED_LIVE_SCHEMA).option("multiLine", multi_line).json(path))
+    return nested_live(_documents(spark.read.schema(NESTED_LIVE_SCHEMA).option("multiLine", multi_line).json(path)), run_ts)
+
+
+def nested_live(raw: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
+    """The rows of nested live-flight documents that are already read (with ``_doc``)."""
     f = raw.select("_doc", F.posexplode("data").alias("pos", "f")).filter("f is not null").select("_doc", "pos", "f.*")
     flat = f.select(
         _text("flight.icao").alias("icao24"), _text("flight.iata").alias("callsign"),
@@ -154,7 +163,11 @@ def ingest_nested_live(spark: SparkSession, path: str, run_ts: _dt.datetime | No
 def ingest_flat_live(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None,
                        multi_line: bool = False) -> DataFrame:
     """Flat live-flight documents ``{"response": [...]}`` -> common columns (renames)."""
-    raw = _documents(spark.read.schema(FLAT_LIVE_SCHEMA).option("multiLine", multi_line).json(path))
+    return flat_live(_documents(spark.read.schema(FLAT_LIVE_SCHEMA).option("multiLine", multi_line).json(path)), run_ts)
+
+
+def flat_live(raw: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
+    """The rows of flat live-flight documents that are already read (with ``_doc``)."""
     f = raw.select("_doc", F.posexplode("response").alias("pos", "f")).filter("f is not null").select("_doc", "pos", "f.*")
     flat = f.select(
         _text("hex").alias("icao24"), _text("flight_iata").alias("callsign"),

@@ -12,7 +12,8 @@ Event-time operators need ``timestamp`` (not ``timestamp_ntz``), so
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from contrail.functions.numeric import exact_units, mean_of_units
 from contrail.functions.timefns import instant_of, ntz_of_instant, seconds_between, ts_literal
 from contrail.operators import realtime
 from contrail.operators.merge import dedupe_first
+from contrail.streaming.upsert import BUCKETS, file_system, touched_upsert
 
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -48,9 +50,20 @@ def write_landing(positions: DataFrame, path: str, files: int | None = None) ->
         files = max(MIN_LANDING_FILES, -(-positions.count() // LANDING_FILE_ROWS))
     (positions.repartitionByRange(files, "extraction_time").sortWithinPartitions("extraction_time", "seq")
      .write.mode("overwrite").option("timestampNTZFormat", TS_NTZ_FORMAT).json(path))
+    _arrive_in_order(positions.sparkSession, path)
     return path
 
 
+def _arrive_in_order(spark: SparkSession, path: str) -> None:
+    """Give the files modification times a second apart in the order of their names, as if polled one after another."""
+    fs, p = file_system(spark, path)
+    files = sorted((s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")),
+                   key=lambda f: f.getName())
+    now = int(time.time())
+    for k, f in enumerate(files):
+        fs.setTimes(f, (now - len(files) + k) * 1000, -1)
+
+
 def read_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(POSITION_SCHEMA).option("timestampNTZFormat", TS_NTZ_FORMAT)
     if max_files_per_trigger:
@@ -86,41 +99,45 @@ def snapshot_start(period: str = "15 minutes"):
     return ntz_of_instant(F.window("event_time", period).start)
 
 
-def epoch_parts(base: str, reduce: Callable[[DataFrame], DataFrame]):
-    """``foreachBatch`` body: write ``reduce(batch)`` to ``base/epoch=<id>``.
-
-    Nothing is carried between batches, so no row can come too late: what a
-    batch contributes to a key is merged when the table is read. A retried
-    epoch overwrites its own folder only.
-    """
-    def fn(batch: DataFrame, epoch_id: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{base}/epoch={epoch_id}")
-    return fn
-
-
-def read_parts(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
-    """The parts of all epochs; `schema` without the epoch column."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(base)
-
-
 def first_per_snapshot(df: DataFrame, key: str = "icao24") -> DataFrame:
     """The first row in source order (rank, then arrival) per aircraft and snapshot period."""
     return dedupe_first(df, (key, "snapshot_start"), ("source_rank", "seq"))
 
 
-def stream_dedupe_table(spark: SparkSession, landing: str, base: str, checkpoint: str,
-                        max_files_per_trigger: int | None = 1, period: str = "15 minutes") -> DataFrame:
-    """One row per aircraft and snapshot period, however the rows are spread over micro-batches.
+def split_history(spark: SparkSession, landing: str, base: str, checkpoint: str,
+                  max_files_per_trigger: int | None = 1, delay: str = "1 hour", close_after: str = "2 hours") -> T.StructType:
+    """Landing files -> history rows, dealt to accepted and rejected ones under ``base``; their schema.
 
-    Each batch is reduced to its own first rows; the returned table reduces
-    those of all batches. Unlike :func:`stream_dedupe` it keeps rows that come
-    after any watermark, and always the same row.
+    The feed is then closed by a heartbeat ``close_after`` its newest time, so
+    that the streams that read the accepted rows also emit their last windows.
     """
-    hist = with_event_time(realtime.history(read_stream(spark, landing, max_files_per_trigger)))
-    hist = hist.withColumn("snapshot_start", snapshot_start(period)).drop("event_time")
-    w = hist.writeStream.foreachBatch(epoch_parts(base, first_per_snapshot)).option("checkpointLocation", checkpoint)
-    run_available_now(w)
-    return first_per_snapshot(read_parts(spark, base, hist.schema))
+    from contrail.streaming import bounded
+    hist = realtime.history(read_stream(spark, landing, max_files_per_trigger))
+    bounded.split_late(hist, base, checkpoint, delay)
+    newest = bounded.newest_time(spark, base)
+    if newest is not None:
+        gap = spark.range(1).select((F.lit(0) + F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(
+            f"INTERVAL {close_after}") + F.expr(f"INTERVAL {delay}"))).alias("us")).first()["us"]
+        bounded.write_heartbeat(spark, base, hist.schema, newest + _dt.timedelta(microseconds=gap))
+    return hist.schema
+
+
+def stream_dedupe_table(spark: SparkSession, base: str, schema: T.StructType, out: str, checkpoint: str,
+                        delay: str = "1 hour", period: str = "15 minutes",
+                        max_files_per_trigger: int | None = 1) -> DataFrame:
+    """One row per aircraft and snapshot period of a split history, the first in source order.
+
+    State expires with the period: each period's rows are emitted once, when
+    it closes. Rejected rows are merged with what has been emitted when the
+    table is read, so the result is that of the batch path for any order of
+    the files; how many there are is for the caller to watch.
+    """
+    from contrail.streaming import bounded
+    rows = bounded.accepted(spark, base, schema, max_files_per_trigger)
+    emitted = bounded.first_per_period(rows, delay, period)
+    bounded.run_to_table(emitted, out, checkpoint)
+    late = with_event_time(bounded.rejected(spark, base, schema)).withColumn("snapshot_start", snapshot_start(period))
+    return first_per_snapshot(spark.read.schema(emitted.schema).parquet(out).unionByName(late.drop("event_time")))
 
 
 def stream_dedupe(stream: DataFrame, period: str = "15 minutes", delay: str = "15 minutes",
@@ -142,56 +159,12 @@ def latest_per_key(df: DataFrame, key: str = "icao24", order=("extraction_time",
     return agg.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_latest_version(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
-    vs = _versions(spark, base)
-    if not vs:
-        return None
-    r = spark.read.schema(schema) if schema is not None else spark.read
-    return r.parquet(f"{base}/v={vs[-1]:010d}")
-
-
-def versioned_upsert(base: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """``foreachBatch`` body: new version = merge(previous version, batch).
-
-    Each micro-batch writes ``base/v=<epoch>``; a retried epoch rewrites the
-    same version (idempotent) and readers only see versions with _SUCCESS.
-    """
-    def fn(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        prev_versions = [v for v in _versions(spark, base) if v < epoch_id]
-        prev = spark.read.parquet(f"{base}/v={prev_versions[-1]:010d}") if prev_versions else None
-        merge(prev, batch).write.mode("overwrite").parquet(f"{base}/v={epoch_id:010d}")
-    return fn
-
-
-def stream_snapshot(spark: SparkSession, landing: str, table_base: str, checkpoint: str,
-                    max_files_per_trigger: int | None = 1) -> StreamingQuery:
-    """Keep a table of the newest position per aircraft, refreshed per batch."""
+def stream_snapshot(spark: SparkSession, landing: str, base: str, checkpoint: str,
+                    max_files_per_trigger: int | None = 1, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep a table of the newest position per aircraft; a batch rewrites the buckets it touches."""
     hist = realtime.history(read_stream(spark, landing, max_files_per_trigger))
-
-    def merge(prev, batch):
-        latest = latest_per_key(batch)
-        if prev is None:
-            return latest
-        return latest_per_key(prev.unionByName(latest))
-
-    w = hist.writeStream.foreachBatch(versioned_upsert(table_base, merge)).option(
-        "checkpointLocation", checkpoint)
-    return run_available_now(w)
+    return run_available_now(hist.writeStream.foreachBatch(touched_upsert(base, latest_per_key, "icao24", buckets))
+                             .option("checkpointLocation", checkpoint))
 
 
 REGION_WINDOW_KEYS = ("window_start", "window_end", "region")
@@ -221,15 +194,14 @@ def region_window_stats(sums: DataFrame) -> DataFrame:
         F.try_divide("quality_sum", "quality_count").alias("avg_quality"))
 
 
-def stream_region_windows(spark: SparkSession, landing: str, base: str, checkpoint: str,
-                          max_files_per_trigger: int | None = 1) -> DataFrame:
-    """Trailing-window regional stats; every batch adds its sums to the windows it touches."""
-    hist = realtime.history(read_stream(spark, landing, max_files_per_trigger))
-    w = (hist.writeStream.foreachBatch(epoch_parts(base, region_window_sums))
-         .option("checkpointLocation", checkpoint))
-    run_available_now(w)
-    schema = region_window_sums(spark.createDataFrame([], hist.schema)).schema
-    return region_window_stats(read_parts(spark, base, schema))
+def stream_region_windows(spark: SparkSession, base: str, schema: T.StructType, out: str, checkpoint: str,
+                          delay: str = "1 hour", max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Trailing-window regional stats of a split history: the windows the stream has emitted, with rejects added."""
+    from contrail.streaming import bounded
+    emitted = bounded.region_windows(bounded.accepted(spark, base, schema, max_files_per_trigger), delay)
+    bounded.run_to_table(emitted, out, checkpoint)
+    late = region_window_sums(bounded.rejected(spark, base, schema))
+    return region_window_stats(spark.read.schema(emitted.schema).parquet(out).unionByName(late))
 
 
 def feed_alerts(last_update: DataFrame, as_of, min_quality: float = 70.0,

@@ -13,6 +13,7 @@ from contrail.functions.text import coerce_double
 from contrail.operators import realtime
 from contrail.operators.merge import dedupe_first
 from contrail.sources import landing, sinks, testdata
+from contrail.streaming import bounded
 from contrail.streaming import positions as sp
 
 from .conftest import SMALL
@@ -46,30 +47,49 @@ def _landing(texts, order):
 ORDERS = [[0, 1, 2, 3, 4], [4, 3, 2, 1, 0], random.Random(3).sample(range(5), 5)]
 
 
+def _dropped(query):
+    return sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p.get("stateOperators", []))
+
+
 @pytest.mark.parametrize("order", ORDERS)
-def test_stream_dedupe_table_equals_batch(spark, feed, order):
+def test_bounded_streams_equal_batch(spark, feed, order):
+    """Split, dedupe and windows: what the streams emit, with the rejects added, is the batch result."""
     texts, hist = feed
+    base = _folder()
+    schema = sp.split_history(spark, _landing(texts, order), base + "/split", base + "/ckpt-split")
+    split = base + "/split"
+    taken = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(split + "/accepted")
+    late = bounded.rejected(spark, split, schema)
+    assert taken.filter("data_source IS NOT NULL").count() + late.count() == hist.count()
+    assert (late.count() == 0) == (order == sorted(order))
+    assert len(os.listdir(split + "/newest")) <= 2 + len([x for x in os.listdir(split + "/newest") if x[0] in "._"])
+
     want = sp.first_per_snapshot(sp.with_event_time(hist).withColumn("snapshot_start", sp.snapshot_start())
                                  .drop("event_time"))
-    base = _folder()
-    got = sp.stream_dedupe_table(spark, _landing(texts, order), base + "/table", base + "/ckpt")
-    assert len([d for d in os.listdir(base + "/table") if d.startswith("epoch=")]) == len(texts)
+    got = sp.stream_dedupe_table(spark, split, schema, base + "/first", base + "/ckpt-first")
     cols = sorted(want.columns)
     assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
 
-
-@pytest.mark.parametrize("order", ORDERS)
-def test_stream_region_windows_equals_batch(spark, feed, order):
-    texts, hist = feed
-    want = sp.region_window_stats(sp.region_window_sums(hist))
-    base = _folder()
-    got = sp.stream_region_windows(spark, _landing(texts, order), base + "/table", base + "/ckpt")
-
     def rows(df):
         return sorted((str(r.window_start), r.region, r.flight_count, r.avg_altitude, round(r.avg_speed or -1, 6),
                        round(r.avg_quality, 6)) for r in df.collect())
-    assert rows(got) == rows(want)
-    assert sum(r[2] for r in rows(got)) == 4 * hist.count()
+    stats = sp.stream_region_windows(spark, split, schema, base + "/windows", base + "/ckpt-windows")
+    assert rows(stats) == rows(sp.region_window_stats(sp.region_window_sums(hist)))
+    assert sum(r[2] for r in rows(stats)) == 4 * hist.count()
+
+
+def test_state_of_bounded_streams_expires(spark, feed):
+    texts, hist = feed
+    base = _folder()
+    schema = sp.split_history(spark, _landing(texts, [0, 1, 2, 3, 4]), base + "/split", base + "/ckpt-split")
+    rows = bounded.accepted(spark, base + "/split", schema, 1)
+    for name, stream in (("first", bounded.first_per_period(rows)), ("windows", bounded.region_windows(rows))):
+        q = bounded.run_to_table(stream, f"{base}/{name}", f"{base}/ckpt-{name}")
+        sizes = [s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]]
+        assert _dropped(q) == 0
+        assert sizes[-1] <= 8  # only what the heartbeat has opened
+        # Never more than one file's groups with those of the delay and a window before it.
+        assert max(sizes) < 0.6 * spark.read.parquet(f"{base}/{name}").count()
 
 
 def _failing(spark, n=100):

@@ -37,7 +37,7 @@ SECTIONS = [
      "score_delays model_metrics save_model duration_anomalies duration_anomalies_all_dates "
      "scheduling_anomalies scheduling_anomalies_all_dates performance_anomalies "
      "performance_anomalies_share_066 anomaly_report anomaly_list insight_rules"),
-    ("2.14 Streaming", "stream_positions stream_dedupe stream_snapshot stream_region_windows feed_alerts"),
+    ("2.14 Streaming", "stream_feeds stream_positions stream_dedupe stream_snapshot stream_region_windows stream_stale_alerts feed_alerts"),
 ]
 LIB = ("cleaning", "merge", "realtime", "live", "reports", "checks", "anomalies", "ml", "landing", "sinks",
        "sp", "scoring", "testdata", "lw")
