@@ -1215,7 +1215,9 @@ def q_read_csv_lenient(spark, d):
             ntz_text("scheduled_departure"), ntz_text("scheduled_arrival"),
             F.col("aircraft_type"), F.col("status"), F.col("gate")]
     note = F.concat(F.col("status"), F.lit(", "), F.col("aircraft_type"))
-    line = (F.when(F.col("gate").endswith("7"), lw.csv_line(*base, note, F.lit("surplus")))
+    # a surplus field may also be empty
+    line = (F.when(F.col("gate").endswith("17"), F.concat(lw.csv_line(*base, note), F.lit(",")))
+            .when(F.col("gate").endswith("7"), lw.csv_line(*base, note, F.lit("surplus")))
             .when(F.col("gate").endswith("3"), lw.csv_line(*base))
             .otherwise(lw.csv_line(*base, note)))
     path = _scratch(spark, "landing-schedule-csv")
@@ -1256,6 +1258,90 @@ def q_read_report_json(spark, d):
     return rounded(out, "avg_duration_minutes")
 
 
+# ------------------------------------------------------ §2.16 the batch load end to end
+
+_LOADED: dict = {}
+
+
+def _write_extracts(spark, d):
+    """Three CSV extracts with faulty lines: long rows (some with empty surplus), text for numbers, bad times."""
+    from contrail.functions.timefns import ntz_text
+    from contrail.sources import landing_writers as lw
+    p = positions(spark, d)
+    latitude = F.when(F.col("seq") % 13 == 5, "n/a").when(F.col("seq") % 13 == 6, "").otherwise(F.col("latitude").cast("string"))
+    base = lw.csv_line(*(F.col(c) for c in ("icao24", "callsign", "origin_country")), latitude,
+                       *(F.col(c) for c in ("longitude", "altitude", "speed", "heading")))
+    f = flights(spark, d)
+    flight = [F.col(c) for c in ("flight_number", "airline", "origin_airport", "destination_airport")]
+    rest = [ntz_text("scheduled_arrival"), F.concat("aircraft_type", F.lit(", new")), F.col("status"), F.col("gate")]
+    times = F.when(F.col("gate").endswith("9"), "soon").otherwise(ntz_text("scheduled_departure"))
+    flown = lw.csv_line(*flight, times, *rest)
+    a = airports(spark, d)
+    place = lw.csv_line(*(F.col(c) for c in ("code", "name", "city", "country", "latitude", "longitude")))
+    lines = {"realtime_flights": p.select(F.when(F.col("seq") % 11 == 3, F.concat(base, F.lit(","))).otherwise(base).alias("value")),
+             "scheduled_flights": f.select(F.when(F.col("gate").endswith("7"), F.concat(flown, F.lit(',"a, b"'))).otherwise(flown)
+                                           .alias("value")),
+             "airports": a.select(F.when(F.col("code").endswith("3"), F.concat(place, F.lit(",x,,"))).otherwise(place).alias("value"))}
+    paths = {t: _scratch(spark, f"extract-{t}") for t in lines}
+    for t, df in lines.items():
+        df.write.text(paths[t])
+    return paths
+
+
+def _batch_load(spark, d):
+    """(reject and row counts, table name -> catalog name) of the batch load, run once per session."""
+    from contrail.sources import batch_load
+    k = (spark.sparkContext.applicationId, d, warehouse.fingerprint(spark, d, ("events", "lineitem", "supplier")))
+    if k not in _LOADED:
+        suffix = _scratch(spark, "t").rsplit("-", 1)[1]
+        names = {t: f"{t}_{suffix}" for t in batch_load.extracts()}
+        counts = batch_load.load_batch(spark, _write_extracts(spark, d), _scratch(spark, "batch-load"), names).collect()
+        _LOADED[k] = counts, names
+    return _LOADED[k]
+
+
+_API_SQL = """SELECT * REPLACE (CASE WHEN seq % 13 IN (5, 6) THEN NULL ELSE latitude END AS latitude) FROM positions"""
+
+
+@query("batch_load_realtime", sql("""
+SELECT icao24, callsign, origin_country, latitude, longitude, altitude, speed, heading, 'api' AS data_source,
+       'real_time' AS flight_type FROM api
+WHERE seq % 11 <> 3 AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180""", "positions",
+                                  local=(("api", _API_SQL),)))
+def q_batch_load_realtime(spark, d):
+    return spark.table(_batch_load(spark, d)[1]["realtime_flights"])
+
+
+@query("batch_load_scheduled", sql("""
+SELECT flight_number, airline, origin_airport, destination_airport, scheduled_departure, scheduled_arrival,
+       aircraft_type || ', new' AS aircraft_type, status, gate, 'schedule' AS data_source, 'scheduled' AS flight_type,
+       CAST(epoch_us(scheduled_arrival) - epoch_us(scheduled_departure) AS DOUBLE) / 60000000.0 AS flight_duration_minutes
+FROM flights WHERE gate NOT LIKE '%7' AND gate NOT LIKE '%9'""", "flights"))
+def q_batch_load_scheduled(spark, d):
+    return spark.table(_batch_load(spark, d)[1]["scheduled_flights"])
+
+
+@query("batch_load_airports", sql("""
+SELECT code, name, city, country, latitude, longitude FROM airports WHERE code NOT LIKE '%3'""", "airports"))
+def q_batch_load_airports(spark, d):
+    return spark.table(_batch_load(spark, d)[1]["airports"])
+
+
+@query("batch_load_rejects", sql("""
+SELECT 'airports' AS table_name, 'long_row' AS rule, count(*) FILTER (code LIKE '%3') AS n FROM airports
+UNION ALL SELECT 'airports', 'loaded', count(*) FILTER (code NOT LIKE '%3') FROM airports
+UNION ALL SELECT 'scheduled_flights', 'long_row', count(*) FILTER (gate LIKE '%7') FROM flights
+UNION ALL SELECT 'scheduled_flights', 'bad_timestamp', count(*) FILTER (gate LIKE '%9') FROM flights
+UNION ALL SELECT 'scheduled_flights', 'loaded', count(*) FILTER (gate NOT LIKE '%7' AND gate NOT LIKE '%9') FROM flights
+UNION ALL SELECT 'realtime_flights', rule, n FROM (
+  SELECT CASE WHEN seq % 11 = 3 THEN 'long_row' WHEN latitude IS NULL OR longitude IS NULL THEN 'no_coordinates'
+              WHEN NOT (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) THEN 'coordinates_out_of_range'
+              ELSE 'loaded' END AS rule, count(*) AS n FROM api GROUP BY 1)""", "positions", "flights", "airports",
+                                 local=(("api", _API_SQL),)))
+def q_batch_load_rejects(spark, d):
+    return spark.createDataFrame(_batch_load(spark, d)[0], "table_name string, rule string, n long")
+
+
 # ------------------------------------------------------------------ §2.2 sinks
 
 @query("write_csv_export", sql("""

@@ -183,18 +183,39 @@ def flat_live(raw: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
     return _extract_rules(flat)
 
 
-def read_csv_lenient(spark: SparkSession, path: str, schema: T.StructType, header: bool = False,
-                     overflow_col: str = "_overflow") -> DataFrame:
+#: A quoted field: from a quote at the field's start to the next single quote, or to the line's end if none closes it.
+_QUOTED_FIELD = '(^|,)"(?:[^"]++|"")*+(?:"|$)'
+
+
+def csv_fields(line: Column) -> Column:
+    """How many fields a CSV line has; separators inside quoted fields don't count."""
+    bare = F.regexp_replace(line, _QUOTED_FIELD, "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+
+
+def csv_lines(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
+    """(columns of `schema`, long_row): every line that isn't blank, short ones padded with nulls.
+
+    ``long_row`` marks lines with more fields than columns, also when the
+    surplus fields are empty; of these the first fields are given. With
+    ``header`` the lines that repeat the first line of the data are headers.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    if header:
+        first = lines.limit(1).collect()
+        lines = lines.filter(F.col("value") != first[0][0]) if first else lines
+    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), {"mode": "PERMISSIVE"})
+    return lines.select(parsed.alias("of"), (csv_fields(F.col("value")) > len(schema)).alias("long_row")).select("of.*", "long_row")
+
+
+def read_csv_lenient(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
     """CSV where rows with too many fields are skipped and short rows padded.
 
-    Read PERMISSIVE with one extra column: a value in it marks a long row,
-    which is dropped; missing trailing fields are null. Quoted commas are
-    fine (the parser is quote-aware).
+    The fields of the raw line are counted, so a long row goes whatever its
+    surplus fields hold. Quoted commas are fine; a quoted line break ends a
+    row, as the files are read line by line.
     """
-    wide = T.StructType(list(schema.fields) + [T.StructField(overflow_col, T.StringType())])
-    df = (spark.read.schema(wide).option("header", header).option("mode", "PERMISSIVE")
-          .option("encoding", "UTF-8").option("multiLine", False).csv(path))
-    return df.filter(F.col(overflow_col).isNull()).drop(overflow_col)
+    return csv_lines(spark, path, schema, header).filter(~F.col("long_row")).drop("long_row")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -208,8 +229,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
                   **options) -> DataFrame:
     """A missing, unreadable or empty source gives an empty typed frame.
 
-    Columnar files are looked at here (their footers), not first in the
-    caller's action: if one cannot be read, the whole source counts as
+    The files are looked at here, not first in the caller's action: columnar
+    ones by their footers, text ones (which may be compressed) by reading them
+    once without parsing. If one cannot be read, the whole source counts as
     unreadable and a warning names the cause. No bad file is skipped silently.
     """
     empty = spark.createDataFrame([], schema)
@@ -217,8 +239,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return empty
     try:
         df = spark.read.schema(schema).options(**options).format(fmt).load(path)
-        if fmt in ("parquet", "orc"):
-            df.count()
+        (df if fmt in ("parquet", "orc") else spark.read.text(path)).count()
         return df
     except (PySparkException, Py4JJavaError) as e:
         warnings.warn(f"{path} cannot be read as {fmt}: {str(e).splitlines()[0]}", stacklevel=2)
