@@ -186,6 +186,77 @@ def test_lm_learns_from_long_texts(spark):
     docs = documents(spark, [(i, cycle, "en", "a", len(cycle)) for i in range(100)]).coalesce(1)
     rows = lm.score(docs).collect()
     counts = lm.id_counts(lm.word_counts(lm.training_rows(docs)))
-    ids = np.frombuffer(b"".join(map(lm.encoder(lm.TOKENIZER).word, words(cycle))), "<u2")
-    unread = lm.fit([], counts, 85).text_scores([ids])[0]
+    ids = np.frombuffer(b"".join(lm.subwords(lm.TOKENIZER).words(words(cycle))), "<u2")
+    unread = lm.fit([], counts, 85, 0).text_scores([ids])[0]
     assert any(r.held_out for r in rows) and all(r.score > 0.8 * unread for r in rows), (rows[0].score, unread)
+
+
+def test_lm_gradients_by_differences():
+    model, _ = _model()
+    rng = np.random.default_rng(2)
+    # ids read by different rows, and some unused targets
+    ids = rng.integers(0, 60, (5, lm.CONTEXT + lm.STRIDE)).astype(np.int32)
+    targets = rng.integers(0, lm.VOCABULARY + 1, (5, lm.STRIDE))
+    used = rng.random(targets.size) < 0.8
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items() if k != "R"}
+    model.weights["r"] += rng.standard_normal(model.weights["r"].shape) * 0.1
+
+    def loss():
+        now = lm.Attention(model.class_of, model.log_share, model.row_of,
+                           {**model.weights, "R": model.weights["r"][lm.APART]})
+        got = (now.log10(ids, targets) - model.log_share[targets]) * np.log(10)
+        return -(got.ravel() * used).sum() / used.sum()
+
+    grads = lm.Learner(model)._gradients(ids, targets, used)
+    for name, g in grads.items():
+        flat = np.argsort(-np.abs(g), axis=None)[:4]
+        for at in flat:
+            at = np.unravel_index(at, g.shape)
+            keep, e = model.weights[name][at], 3e-3
+            model.weights[name][at] = keep + e
+            up = loss()
+            model.weights[name][at] = keep - e
+            down = loss()
+            model.weights[name][at] = keep
+            assert g[at] == pytest.approx((up - down) / (2 * e), rel=0.08, abs=2e-4), name
+
+
+def test_lm_learning_equals_one_loop_and_does_not_depend_on_the_split(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LEARNER_WINDOWS", 40)
+    model, _ = _model()
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(0, 500, int(k)).astype("<u2") for k in rng.integers(0, 900, 60)]
+    keys = rng.integers(-2**62, 2**62, 60)
+    n_windows, rates, every = sum(len(t) // lm.STRIDE + 1 for t in texts), (0.01, 0.005), 2
+    df = spark.createDataFrame([(int(k), t.tobytes()) for k, t in zip(keys, texts)], "key long, ids binary")
+    got = [lm.fit_all(df.repartition(parts), model, n_windows, every, rates).weights for parts in (1, 7)]
+    assert all(np.array_equal(got[0][k], got[1][k]) for k in got[0])
+
+    # one Python loop: learners one after the other, their weights averaged
+    learners = -(-n_windows // (every * len(rates) * 40))
+    assert learners > 3
+    weights = {k: v for k, v in model.weights.items() if k != "R"}
+    for k, rate in enumerate(rates):
+        h, rows, used = lm.drawn(keys, texts, k, len(rates), every)
+        to = np.array([r[0] for r in spark.createDataFrame([(int(x),) for x in h.view(np.int64)], "h long")
+                      .selectExpr(f"pmod(xxhash64(h), {learners})").collect()])
+        sums, n = {k: 0.0 for k in weights}, 0
+        for j in sorted(set(to.tolist())):
+            own = lm.Attention(model.class_of, model.log_share, model.row_of, {k: v.astype(np.float32).copy() for k, v in weights.items()})
+            lm.learn(own, h[to == j], rows[to == j], used[to == j], rate)
+            sums = {k: sums[k] + own.weights[k].astype(np.float64) * (to == j).sum() for k in sums}
+            n += (to == j).sum()
+        weights = {k: (v / n).astype(np.float32) for k, v in sums.items()}
+    assert all(np.allclose(got[0][k], weights[k], atol=1e-5) for k in weights)
+
+
+def test_lm_words_and_ids_equal_plain_splitting():
+    import pyarrow as pa
+    from contrail.llm.packing import Encoder
+    texts = ["", None, " A b\tB\n", "Ünïcode Ça υπ\x85x \xa0y", "a\x1cb", "x" * 3000, "<|endoftext|> 中文 a  b\x0b\x0cc", "don't 's"]
+    read = lm.words_in(pa.array(["cut off", *texts])[1:])
+    assert read.n.tolist() == [len(words(t)) for t in texts]
+    assert [read.distinct[i] for i in read.at] == [w for t in texts for w in words(t)]
+    whole, one = lm.Subwords(), Encoder()
+    for enc in (whole, lm.Subwords(cache_words=3), whole):
+        assert [x.tobytes() for x in enc.texts(read)] == [b"".join(map(one.word, words(t))) for t in texts]
