@@ -16,7 +16,7 @@ A document is contaminated by an item when consistent windows cover at least
 units is found like a plain one.
 
 The documents' windows are compared with a bitmap of the benchmark's window
-hashes (fixed size, whatever the benchmark's) before they leave the Python
+hashes (sized by their count, of bounded size) before they leave the Python
 task; only the rare hits are joined by Spark, by size: nothing whole is
 broadcast.
 """
@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -34,13 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from contrail.llm.common import map_batches, table
+from contrail.llm.common import map_batches, saved, table
 
 WINDOW = 8
 COVERAGE = 0.6
-#: Items with fewer tokens than this are not looked for; a template needs as many words that are not slots.
+#: A template needs as many words that are not slots; items with fewer tokens are looked for word for word.
 MIN_TOKENS = 4
-BITMAP_BITS = 22
+#: Bits of the bitmap of the benchmark's windows (two for each): 256 for each window, between these powers of two.
+LEAST_BITS, MOST_BITS = 22, 28
 CACHE_WORDS = 200_000
 #: Windows whose readings are worked out at once; one of eight words has at most 256.
 READ_WINDOWS = 1 << 14
@@ -54,6 +56,13 @@ UNITS = frozenset("""
     cent cents dollar dollars euro euros usd eur percent degree degrees c f k w kw v a j kj hz mph kmh
 """.split())
 _EDGES = ".,;:!?\"'()[]{}<>*_`“”‘’«»…-"
+# English number words.
+NUMBER_WORDS = frozenset("""
+    zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen
+    eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion
+""".split())
+#: Letters only, with apostrophes, hyphens and dots between them: McDonald, O'Neil, Jean-Luc, USA, U.S
+_LETTERS = re.compile(r"[^\W\d_](?:['’.-]?[^\W\d_])+\Z")
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d,.]*(?:/\d+)?[%€$£]?(?:st|nd|rd|th)?\Z", re.I)
 _MEASURE = re.compile(r"[+-]?\d[\d,.]*([A-Za-z]+)\Z")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -86,7 +95,10 @@ class Canon:
         elif (measure := _MEASURE.match(bare)) and measure[1].lower() in UNITS:
             inside = start = NUMBER
             of_inside = of_start = _hash("<number><unit>")
-        elif len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+        elif all(part in NUMBER_WORDS for part in bare.lower().split("-")):
+            inside = start = NUMBER
+            of_inside = of_start = _hash("<number>")
+        elif bare[:1].isupper() and _LETTERS.match(bare):
             inside, of_inside = NAME, _hash("<name>")
         ends = word.rstrip("\"')]}”’»")[-1:] in (".", "!", "?")
         return of_inside, of_start, written, inside, start, bare.lower() in UNITS, ends
@@ -98,18 +110,13 @@ class Canon:
         with `every`, any capitalised word has.
         """
         at, kept = self._at, len(self._at)
-        new: list[str] = []
-        passing: dict[str, int] = {}
-        ids = np.empty(len(words), dtype=np.int64)
-        for k, w in enumerate(words):
-            i = at.get(w)
-            if i is None:
-                i = passing.get(w)
-                if i is None:
-                    i = kept + len(new)
-                    (at if i < self._bound else passing)[w] = i
-                    new.append(w)
-            ids[k] = i
+        ids = np.fromiter(map(at.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(ids < 0).tolist()
+        new = list(dict.fromkeys(words[k] for k in unknown))
+        passing = {w: kept + k for k, w in enumerate(new)}
+        ids[unknown] = [passing[words[k]] for k in unknown]
+        at.update(zip(new[:self._bound - kept], range(kept, self._bound)))
+        passing = new[self._bound - kept:]
         table = self._table
         if new:
             rows = list(zip(*map(self._entry, new), strict=True))
@@ -147,6 +154,13 @@ def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[n
 
     left: tokens from here to the text's end; flips: bit d is set where token d is read the other way.
     """
+    if n < MIN_TOKENS:  # word for word
+        at = np.flatnonzero(left[:max(0, len(left) - n + 1)] >= n)
+        total = np.zeros(len(at), np.uint64)
+        for d in range(n):
+            total = total * _BASE + tokens.written[at + d]
+        yield at, total ^ total >> np.uint64(29), np.zeros(len(at), np.int64)
+        return
     plain = tokens.kinds == WORD
     more = tokens.other - tokens.hashes
     gain = (tokens.other_kinds == WORD).astype(np.int64) - plain
@@ -178,8 +192,16 @@ def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[n
 _CANON = Canon()
 
 
+def _has(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the packed bits at the places are set."""
+    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
     """Body for map_batches: (id, text) -> windows; lengths None: each item's own, min(WINDOW, tokens)."""
+    bits = (8 * len(bitmap)).bit_length() - 1 if bitmap is not None else 0
+    shift, low = np.uint64(64 - bits) if bits else None, np.uint64(2**bits - 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, len(whole), 256):
@@ -194,18 +216,21 @@ def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
                     owner = np.repeat(np.arange(len(sizes)), sizes)
                     begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
                     tokens = _CANON.tokens(words, begins == np.arange(len(words)), lengths is None)
-                    for n in lengths or range(MIN_TOKENS, WINDOW + 1):
+                    for n in lengths or range(1, WINDOW + 1):
                         for starts, found, flips in _window_hashes(tokens, left, n):
                             if lengths is None:
                                 pick = np.flatnonzero(np.minimum(sizes[owner[starts]], WINDOW) == n)
                             else:
-                                pick = np.flatnonzero(bitmap[(found >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
+                                pick = np.flatnonzero(_has(bitmap, found >> shift))
+                                pick = pick[_has(bitmap, found[pick] & low)]
+                            if n == 1:  # a word alone is found only if it is the whole text
+                                pick = pick[sizes[owner[starts[pick]]] == 1]
                             at = starts[pick, None] + np.arange(n)
                             flipped = (flips[pick, None] >> np.arange(n) & 1).astype(bool)
                             kinds = np.where(flipped, tokens.other_kinds[at], tokens.kinds[at]).tolist()
                             for s, h, of in zip(starts[pick].tolist(), found[pick].view(np.int64).tolist(), kinds,
                                                 strict=True):
-                                values = [None if k == WORD else f"{k}{w.strip(_EDGES).lower()}"
+                                values = [None if k == WORD or n < MIN_TOKENS else f"{k}{w.strip(_EDGES).lower()}"
                                           for k, w in zip(of, words[s:s + n], strict=True)]
                                 out.append((owner[s], s - begins[s], h, values, sizes[owner[s]]))
                 cols = list(zip(*out, strict=True)) if out else [[]] * 5
@@ -256,30 +281,47 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(changed, pa.bool_())], names=["__key", "item_id", "n_tokens", "tokens", "n", "changed"])
 
 
+def _bitmap(items: DataFrame) -> np.ndarray:
+    """Packed bits: set for the leading and for the trailing bits of every hash of the benchmark.
+
+    The bits are set by an aggregation; at most 2 ** MOST_BITS / 64 pairs of
+    numbers come to the driver, and 2 ** MOST_BITS / 8 bytes (32 MB) are
+    broadcast, whatever the benchmark's size.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, (256 * items.count()).bit_length()))
+    both = F.explode(F.array(F.shiftrightunsigned("hash", 64 - bits), F.col("hash").bitwiseAND(2**bits - 1)))
+    place = F.col("place")
+    words = items.select(both.alias("place")).groupBy(F.shiftright(place, 6).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))).alias("set")).toArrow()
+    out = np.zeros(2 ** (bits - 6), dtype="<i8")
+    out[words["at"].to_numpy()] = words["set"].to_numpy()
+    return out.view(np.uint8)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
                  coverage: float = COVERAGE) -> DataFrame:
     """(key, item_id, coverage, n_windows, reparameterised): one row per document and item it holds.
 
     `key` names the column of `docs` that tells documents apart. Null and
-    empty texts hold nothing; items of fewer than four tokens are not looked
-    for. Rows that repeat a key or item_id count as one. A null key or
-    item_id is kept as such. Empty tables give no rows.
+    empty texts hold nothing. Items of two or three tokens are found wherever
+    they stand word for word, an item of one token only in a text that is
+    nothing else. Texts of any length are read whole, 256 at a time, and only
+    the windows that the benchmark may share leave the task. Rows that repeat
+    a key or item_id count as one. A null key or item_id is kept as such.
+    Empty tables give no rows.
     """
     items = benchmark.select("item_id", "text")
-    items = map_batches(items, _windows(None, None), _schema(items.schema["item_id"]))
-    bits = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
-    # At most 2 ** BITMAP_BITS small numbers and WINDOW lengths come to the driver, whatever the benchmark's size.
-    bitmap = np.zeros(2**BITMAP_BITS, dtype=bool)
-    bitmap[[r[0] for r in items.select(bits).distinct().collect()]] = True
+    items = saved(map_batches(items, _windows(None, None), _schema(items.schema["item_id"])), "benchmark-windows")
+    shipped = docs.sparkSession.sparkContext.broadcast(_bitmap(items))
+    # At most WINDOW lengths come to the driver.
     lengths = sorted(r[0] for r in items.select(F.size("slots")).distinct().collect())
     items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash",
                          F.col("slots").alias("item_slots"), "n_tokens")
     if not lengths:
         lengths = [WINDOW]
-    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
     def hits(batches):
-        yield from _windows(lengths, np.unpackbits(shipped.value).astype(bool))(batches)
+        yield from _windows(lengths, shipped.value)(batches)
 
     found = (map_batches(docs.select(key, "text"), hits, _schema(docs.schema[key]))
              .select(F.col("id").alias("__key"), "pos", "hash", "slots").join(items, "hash"))

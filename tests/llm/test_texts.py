@@ -128,6 +128,30 @@ def test_names_that_open_sentences(spark):
     assert set(got) == {(0, 0), (1, 0), (2, 1), (3, 0)} and got[1, 0].reparameterised
 
 
+def test_other_names_and_written_numbers(spark):
+    item = "We think that Thompson walked 12 miles to the old market and gave away 5 loaves there."
+    names = ["McDonald", "O'Neil", "USA", "Jean-Luc", "Mary Ann"]
+    texts = [item.replace("Thompson", n) for n in names]
+    texts += [item.replace("12", "twelve").replace("5", "five"), item.replace("12", "twenty-one")]
+    assert set(_found(spark, texts, [item])) == {(k, 0) for k in range(len(texts))}
+
+
+def test_short_items_are_found_word_for_word(spark):
+    texts = ["He asked: what is love? Nobody knew.", "What is lost", "Paris", "To Paris and back", "new york!", "love is what"]
+    got = _found(spark, texts, ["What is love", "Paris", "New York", ""])
+    assert set(got) == {(0, 0), (2, 1), (4, 2)} and all(r.coverage == 1 for r in got.values())
+
+
+def test_bitmap_holds_every_window(spark):
+    items = spark.range(5000).selectExpr("xxhash64(id) AS hash")
+    bits = decontamination._bitmap(items)
+    hashes = np.array([r.hash for r in items.collect()]).view(np.uint64)
+    n = (8 * len(bits)).bit_length() - 1
+    assert decontamination._has(bits, hashes >> np.uint64(64 - n)).all()
+    assert decontamination._has(bits, hashes & np.uint64(2**n - 1)).all()
+    assert np.unpackbits(bits).sum() <= 2 * len(hashes)
+
+
 def test_items_with_few_plain_words(spark):
     item = "12 + 7 = 19 and 30 km 4 kg Paris Rome Berlin 8 9 10 11 Oslo 5 6 7 cm"
     got = _found(spark, ["Look: " + item + " and so on.", item.replace("19", "21").replace("Rome", "Bern").replace("9", "3")],
