@@ -28,14 +28,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from contrail.llm.common import fold, map_batches, table
+from contrail.llm.common import fold, map_batches, saved, table
 
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 5, 0
-#: Bound of the training sample: texts per language, bytes per text, languages.
+#: Bound of the training sample: texts per language, bytes of a text (on average, where only long ones are there), texts in
+#: all (but one of each language at least).
 PER_LANGUAGE = 400
 MAX_BYTES = 8192
-MAX_LANGUAGES = 200
+MAX_TEXTS = 80_000
+#: Languages whose counts are sent to all tasks; with more they are joined.
+SENT_LANGUAGES = 100_000
 #: Landmarks per language and in all, n-grams kept, ridge, sharpness of the softmax over the decision values.
 LANDMARKS_PER_LANGUAGE = 24
 MAX_LANDMARKS = 1024
@@ -155,22 +158,34 @@ def fit(texts: list[str], languages: list[str]) -> Model:
     return model
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, max_bytes: int = MAX_BYTES) -> DataFrame:
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, max_bytes: int = MAX_BYTES,
+                    max_texts: int = MAX_TEXTS) -> DataFrame:
     """At most `per_language` labelled texts of each language outside the held-out fold, in a fixed order.
 
-    Texts without a letter or over `max_bytes` bytes are not taken. The ids'
-    hashes choose: a rate from the language's count first, then the lowest
-    ranks, so that no language's whole table meets in one task.
+    Texts without a letter are not taken. Texts over `max_bytes` bytes are
+    taken where a language has too few others, as many as fit in what the
+    others might have had, and at least one. With very many languages each has
+    fewer texts (`max_texts` in all), but none is left out. The ids' hashes
+    choose: a rate from the language's count first, then the lowest ranks, so
+    that no language's whole table meets in one task.
     """
+    size = F.octet_length("text")
     usable = docs.select("doc_id", "text", "lang").filter(
-        F.col("lang").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-        & (F.octet_length("text") <= max_bytes) & F.col("text").rlike("\\p{L}"))
+        F.col("lang").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("text").rlike("\\p{L}")
+    ).withColumn("long", (size > max_bytes).cast("int"))
     draw = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language")), 11).cast("double") / float(2**53))
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    near = (usable.withColumn("draw", draw).join(F.broadcast(counts), "lang")
-            .filter(F.col("draw") * F.col("n") <= 2.0 * per_language + 20.0))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("lang", "rank", "text")
+    counts = saved(usable.groupBy("lang").agg(F.count_if(F.col("long") == 0).alias("short"), F.count(F.lit(1)).alias("n")),
+                   "language-counts")
+    languages = counts.count()
+    each = max(1, min(per_language, max_texts // max(1, languages)))
+    of_kind = F.when(F.col("long") == 0, F.col("short")).when(F.col("short") < each, F.col("n") - F.col("short"))
+    near = (usable.withColumn("draw", draw).join(F.broadcast(counts) if languages <= SENT_LANGUAGES else counts, "lang")
+            .filter(F.col("draw") * of_kind <= 2.0 * each + 20.0))
+    order = Window.partitionBy("lang").orderBy("long", "draw", "doc_id", "text")
+    ranked = (near.withColumn("rank", F.row_number().over(order))
+              .withColumn("bytes", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))))
+    fits = (F.col("bytes") <= each * max_bytes) | (F.col("rank") == 1)
+    return ranked.filter((F.col("rank") <= each) & fits).select("lang", "rank", "text")
 
 
 def train(docs: DataFrame) -> Model | None:

@@ -169,23 +169,41 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
     """(doc_id, text, quality): at most `per_label` texts of each label from outside the held-out fold.
 
     The ids' hashes choose the rows. Ids with labels that disagree, null
-    labels and texts that are null, empty or over `max_bytes` bytes are left out.
+    labels and texts that are null or empty are left out; of an id that
+    repeats, one text is taken. Texts over `max_bytes` bytes are taken where a
+    label has too few others, as many as fit in what the others might have
+    had, and at least one. At most 2 * `per_label` ids come to the driver.
     """
     known = (labels.select("doc_id", "quality").filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)
                                                        & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
              .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("__most"))
              .filter(F.col("quality") == F.col("__most")).drop("__most"))
-    picked = [known.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_label)
-              for q in (0, 1)]
-    usable = docs.select("doc_id", "text").filter(F.octet_length("text").between(1, max_bytes))
-    return usable.join(F.broadcast(picked[0].union(picked[1])), "doc_id")  # at most 4 * per_label rows
+    size = F.octet_length("text")
+    texts = docs.select("doc_id", "text").filter(size >= 1)
+    # One row for each id, without its text: the shortest, then by the hash. Repeats meet in the partial aggregation.
+    sizes = texts.groupBy("doc_id").agg(F.min(F.struct(size.alias("size"), F.xxhash64("text").alias("hash"))).alias("of"))
+    labelled = sizes.join(known, "doc_id").select("doc_id", "quality", "of.*")
+    picked = []
+    for q in (0, 1):
+        first = (labelled.filter(F.col("quality") == q)
+                 .orderBy((F.col("size") > max_bytes).cast("int"), F.xxhash64("doc_id"), "doc_id").limit(per_label).collect())
+        total = 0
+        for r in first:
+            total += r["size"]
+            if total > per_label * max_bytes and r is not first[0]:
+                break
+            picked.append((r["doc_id"], r["hash"], q))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.sparkSession.createDataFrame(picked, f"doc_id {kind}, __hash long, quality int")
+    return (texts.withColumn("__hash", F.xxhash64("text")).join(F.broadcast(rows), ["doc_id", "__hash"])  # 2 * per_label rows
+            .groupBy("doc_id").agg(F.first("text").alias("text"), F.first("quality").alias("quality")))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Field | None:
     """The fitted field, or None if a label has no text to learn from."""
-    rows = training_sample(docs, labels, per_label).select("text", "quality", F.xxhash64("doc_id").alias("h"))
-    rows = sorted(rows.collect(), key=lambda r: (r["h"], r["text"]))
-    rows = [r for q in (0, 1) for r in [r for r in rows if r["quality"] == q][:per_label]]
+    rows = training_sample(docs, labels, per_label).select("text", "quality", F.xxhash64("doc_id").alias("h")).collect()
+    rows = sorted(rows, key=lambda r: (r["h"], r["text"]))
+    rows = [r for q in (0, 1) for r in rows if r["quality"] == q]
     if len({r["quality"] for r in rows}) < 2:
         return None
     return fit([r["text"] for r in rows], [r["quality"] for r in rows])

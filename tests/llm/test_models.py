@@ -260,3 +260,76 @@ def test_lm_words_and_ids_equal_plain_splitting():
     whole, one = lm.Subwords(), Encoder()
     for enc in (whole, lm.Subwords(cache_words=3), whole):
         assert [x.tobytes() for x in enc.texts(read)] == [b"".join(map(one.word, words(t))) for t in texts]
+
+
+# ---------------------------------------------------------------- samples without caps
+
+def test_every_language_is_learned_and_long_texts_where_short_are_missing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    names = [f"l{k:03d}" for k in range(203)]
+    stem = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in names]
+    rows = [(i, f"{stem[i % 203]} " * 6, names[i % 203], "s", 1) for i in range(203 * 3)]
+    docs = documents(spark, rows)
+    assert language.train(docs).languages == names
+    few = {r.lang: 0 for r in language.training_sample(docs, max_texts=250).collect()}
+    assert len(few) == 203
+    long = documents(spark, [(i, ("der hund und die katze " if i % 2 else "the dog and the cat ") * 500, "de" if i % 2 else "en",
+                              "s", 1) for i in range(40)])
+    told = language.identify(long, language.train(long)).collect()
+    assert all(r.lang_pred == r.lang for r in told)
+    sample = language.training_sample(long, per_language=10, max_bytes=2000).collect()
+    assert Counter(r.lang for r in sample) == {"de": 1, "en": 2}  # as many as fit in 20 000 bytes
+
+
+def test_language_prediction_recomputed(spark):
+    """A query row by hand: presence kernels to the landmarks, ridge weights, softmax."""
+    rows = [(i, t, lang, "s", 1) for i, (t, lang) in enumerate(
+        [("the dog and the cat in the house", "en"), ("der hund und die katze im haus", "de"), ("le chien et le chat ici", "fr")] * 8)]
+    docs = documents(spark, rows)
+    model = language.train(docs)
+    asked = "the cat and die katze"
+    codes = [set(g.tolist()) for g in language._grams(asked)]
+    kernel = []
+    for j in range(len(model.landmarks[0])):
+        parts = []
+        for n in range(3):
+            own = codes[n] & set(model.grams[n].tolist())
+            mark = {c for c, x in zip(model.grams[n].tolist(), model.landmarks[n][j]) if x}
+            parts.append(len(own & mark) / math.sqrt(max(1, len(own))) / math.sqrt(max(1, len(mark))))
+        kernel.append(sum(parts) / 3)
+    z = np.array(kernel) @ model.coef * language.SHARPNESS
+    p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    got = language.identify(documents(spark, [(1, asked, None, "s", 1)]), model).first()
+    assert (got.lang_pred, got.score) == (model.languages[p.argmax()], pytest.approx(p.max(), rel=1e-3))
+
+
+def test_quality_sample_long_texts_and_repeated_ids(spark):
+    rows = [(i, ("good prose, well made. " if i % 2 else "zz zz zz 11 ## ") * 1000 + str(i), "en", "s", 1) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    docs = documents(spark, rows)
+    field = quality.train(docs, labels)
+    scores = {r.doc_id: r.score for r in quality.score(docs, field).collect()}
+    assert all((scores[i] > 0.5) == bool(i % 2) for i in scores)
+    sample = quality.training_sample(docs, labels, 5, 30_000).collect()
+    assert len(sample) == len({r.doc_id for r in sample}) == 10
+    assert Counter(r.quality for r in quality.training_sample(docs, labels, 3, 10).collect()) == {0: 1, 1: 1}
+    hot = documents(spark, [(3, "the same text", "en", "s", 1)] * 20_000 + [(3, f"text {i}", "en", "s", 1) for i in range(50)]
+                    + [(4, "other", "en", "s", 1)])
+    assert quality.training_sample(hot, labels).count() == 2
+
+
+def test_quality_score_recomputed(spark):
+    """A query row by hand: all labellings of its lines, weighted by the field, then the mean by length."""
+    from itertools import product
+    rows = [(i, ("Well made prose, good to read.\n" if i % 2 else "zz ## 11 zz\n") * 3 + str(i), "en", "s", 1) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    field = quality.train(documents(spark, rows), labels)
+    asked = "Well made prose.\n## 11 zz\nGood to read."
+    got = quality.score(documents(spark, [(1, asked, None, None, None)]), field).first().score
+    own, length, sizes = quality.line_features([asked])
+    x = np.asarray(quality.with_neighbours(own, sizes), dtype=float)
+    state = x @ field.weights
+    weights = {ys: math.exp(sum(state[k][y] for k, y in enumerate(ys)) + sum(field.moves[a][b] for a, b in zip(ys, ys[1:])))
+               for ys in product((0, 1), repeat=len(state))}
+    good = [sum(w for ys, w in weights.items() if ys[k]) / sum(weights.values()) for k in range(len(state))]
+    assert got == pytest.approx(sum(g * n for g, n in zip(good, length)) / sum(length), rel=1e-4)

@@ -60,3 +60,17 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark):
     rows = corpus_pipeline.drop_near_duplicates(spark, docs, "")
     assert sorted((r.doc_id or 0, r.text) for r in rows.collect()) == [(0, "q r s t"), (1, "a b c d e"), (3, "u v w x y")]
     assert simhash.RADIUS == 2 and simhash.SHINGLE == 3
+
+
+def test_language_stage_acts_on_the_prediction(spark):
+    """Only the classifier can tell these apart: the text of another language goes, whatever its label says."""
+    words = {"en": "the house and the garden with some old trees where children play every day",
+             "it": "la casa e il giardino con alcuni vecchi alberi dove giocano ogni giorno i bambini"}
+    rows = [(k, " ".join((words[lang].split() * 3)[k % 7:]), lang) for k, lang in enumerate(["en", "it"] * 30)]
+    asked = [(100, words["en"], None), (101, words["it"], None), (102, words["it"], "en"), (103, "12 34", "en"), (104, None, "en")]
+    docs = spark.createDataFrame(rows + asked, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert kept & {100, 101, 102, 103, 104} == {100}
+    assert all((k in kept) == (lang == "en") for k, _, lang in rows)
+    both = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "", ("en", "it")).collect()}
+    assert both == {r[0] for r in rows} | {100, 101, 102}
