@@ -38,17 +38,22 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
                                          F.xxhash64("text").alias("row"))), key
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: a null text, or one without a letter.
+#: Languages the corpus is made of; documents that the classifier takes for another one go.
+LANGUAGES = ("de", "en", "es", "fr")
 
-    The classifier learns from the labelled rows of its own input; with none
-    to learn from, the rule is applied by itself.
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+    """Keeps the documents whose predicted language is one of `languages`.
+
+    Without a language are a null text and one without a letter. The
+    classifier learns from the labelled rows of its own input, whatever their
+    language; with none to learn from, every text with a letter is kept.
     """
     model = language.train(docs)
     if model is None:
         return docs.filter(F.col("text").rlike("\\p{L}"))
     told = language.identify(_apart(docs, "text"), model)
-    return _together(told.filter(F.col("lang_pred") != language.UNDETERMINED), docs.columns, "text")
+    return _together(told.filter(F.col("lang_pred").isin(*languages)), docs.columns, "text")
 
 
 def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
