@@ -63,10 +63,15 @@ def attach_route_stats(flights: DataFrame) -> DataFrame:
     return flights.join(route_stats(flights), ["origin_airport", "destination_airport"], "left")
 
 
-def duration_anomalies(recent: DataFrame, z: float = Z_THRESHOLD, z_high: float = Z_HIGH) -> DataFrame:
+def duration_anomalies(recent: DataFrame, z: float = Z_THRESHOLD, z_high: float = Z_HIGH,
+                       stats: DataFrame | None = None) -> DataFrame:
     """|duration - route mean| / route sample std > z (one-flight route: std 1;
-    constant route: std 0 -> undefined -> not flagged)."""
-    j = attach_route_stats(recent)
+    constant route: std 0 -> undefined -> not flagged).
+
+    ``stats``: the routes' statistics if they are at hand, for example folded
+    from stored moments; else they are taken from the flights."""
+    j = (attach_route_stats(recent) if stats is None
+         else recent.join(stats, ["origin_airport", "destination_airport"], "left"))
     std = F.coalesce(F.col("std_duration"), F.lit(1.0))
     zc = F.abs(F.col("flight_duration_minutes") - F.col("avg_duration")) / F.nullif(std, F.lit(0.0))
     j = j.withColumn("deviation", zc).filter(F.col("deviation") > z)
@@ -150,7 +155,9 @@ def anomaly_list(recent: DataFrame, n: int = 20, **params) -> DataFrame:
     """First ``n`` anomalies in type order, then a stable key."""
     rank = F.when(F.col("type") == TYPE_ORDER[0], 0).when(F.col("type") == TYPE_ORDER[1], 1).otherwise(2)
     return (all_anomalies(recent, **params).withColumn("_r", rank)
-            .orderBy("_r", F.col("deviation").desc_nulls_last(), "flight_number", "airline", "route")
+            .orderBy("_r", F.col("deviation").desc_nulls_last(),
+                     *(F.col(c).asc_nulls_last() for c in ("flight_number", "airline", "route", "departure_hour",
+                                                           "actual_duration", "delay_rate")))
             .limit(n).drop("_r"))
 
 

@@ -25,6 +25,10 @@ LIVE_COLUMNS = ("icao24", "callsign", "origin_country", "latitude", "longitude",
                 "extraction_time")
 
 
+#: Partition column of the stored position tables.
+DAY = "extraction_day"
+
+
 def resolve_as_of(hist: DataFrame, ts: str = "extraction_time") -> _dt.datetime:
     """Latest event time in the data: one scalar to the driver."""
     return hist.agg(F.max(ts)).first()[0]
@@ -32,6 +36,8 @@ def resolve_as_of(hist: DataFrame, ts: str = "extraction_time") -> _dt.datetime:
 
 def trailing(hist: DataFrame, as_of, minutes: int, ts: str = "extraction_time") -> DataFrame:
     lo = ts_literal(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    if DAY in hist.columns:  # a table partitioned by day: older days are not even listed
+        hist = hist.filter(F.col(DAY) >= lo.cast("date"))
     return hist.filter(F.col(ts) >= lo)
 
 

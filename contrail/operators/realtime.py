@@ -78,20 +78,20 @@ def _count_distinct_with_null(c: str) -> Column:
     return (F.countDistinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("long")
 
 
-def _counts_of(c: str, names) -> Column:
-    """Map name -> rows with that value of `c`, for the fixed `names` that occur; one pass, no grouping."""
-    counts = F.create_map(*(x for n in names for x in (F.lit(n), F.count_if(F.col(c) == n))))
-    return F.map_filter(counts, lambda _, n: n > 0)
-
+def realtime_summary(snap: DataFrame) -> DataFrame:
+    """The merge summary in one row, with the flights of every source and region that occurs.
 
-REGIONS = tuple(box[0] for box in geo.REGION_BOXES) + (geo.REGION_OTHER, geo.REGION_UNKNOWN)
+    The counts by value come from one grouping by (source, region), whose
+    groups' sums are the groups of either; null values aren't counted.
+    """
+    pairs = snap.groupBy("data_source", "region").agg(F.count(F.lit(1)).alias("n"))
 
+    def counts(c: str) -> DataFrame:
+        entries = F.collect_list(F.struct(c, "n"))
+        return (pairs.filter(F.col(c).isNotNull()).groupBy(c).agg(F.sum("n").alias("n"))
+                .agg(F.map_from_entries(entries).alias("counts")))
 
-def realtime_summary(snap: DataFrame) -> DataFrame:
-    """The merge summary in one row, with the flights of each known source and region."""
-    return snap.agg(
-        _counts_of("data_source", SOURCE_ORDER).alias("by_source"),
-        _counts_of("region", REGIONS).alias("by_region"),
+    whole = snap.agg(
         F.count(F.lit(1)).alias("total_flights"),
         _count_distinct_with_null("origin_country").alias("countries"),
         F.countDistinct("airline").cast("long").alias("airlines"),
@@ -102,6 +102,8 @@ def realtime_summary(snap: DataFrame) -> DataFrame:
         F.count_if(F.col("has_speed")).alias("with_speed"),
         F.count_if(F.col("has_altitude")).alias("with_altitude"),
     )
+    # One row each: scalar subqueries, no join.
+    return whole.select(counts("data_source").scalar().alias("by_source"), counts("region").scalar().alias("by_region"), "*")
 
 
 def rt_global_overview(snap: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from contrail.functions import scoring
 from contrail.functions.numeric import exact_avg_sql as xavg
 from contrail.functions.scoring import pct_half_up_sql
-from contrail.operators import anomalies, checks, cleaning, live, merge, ml, realtime, reports
+from contrail.operators import anomalies, checks, cleaning, live, merge, ml, realtime, reports, rollups
 from contrail.plans import warehouse
 from contrail.plans.oracle import clean_sql, r6, sql
 from contrail.sources import testdata
@@ -59,7 +59,7 @@ def airports(spark, d):
 
 
 def history(spark, d):
-    return warehouse.realtime_history(spark, d)
+    return warehouse.realtime_history(spark, d).drop(live.DAY)
 
 
 def snapshot(spark, d):
@@ -766,6 +766,24 @@ def q_live_metrics(spark, d):
     return rounded(live.live_metrics(hist, as_of), "avg_altitude", "avg_speed", "avg_quality")
 
 
+_REGIONAL_SQL, _METRICS_SQL = REGISTRY["regional_stats"][1], REGISTRY["live_metrics"][1]
+
+
+@query("regional_stats_rollup", _REGIONAL_SQL)
+def q_regional_stats_rollup(spark, d):
+    """The same view from at most four stored 15-minute partials and the rows before the first whole one."""
+    hist, as_of = _live(spark, d)
+    stats = rollups.regional_stats(warehouse.realtime_rollups(spark, d), hist, as_of)
+    return rounded(stats, "avg_altitude", "avg_speed", "avg_quality")
+
+
+@query("live_metrics_rollup", _METRICS_SQL)
+def q_live_metrics_rollup(spark, d):
+    hist, as_of = _live(spark, d)
+    stats = rollups.live_metrics(warehouse.realtime_rollups(spark, d), hist, as_of)
+    return rounded(stats, "avg_altitude", "avg_speed", "avg_quality")
+
+
 @query("altitude_distribution", sql(f"""
 SELECT {ALT_BAND_SQL} AS altitude_range, count(*) AS count FROM live
 WHERE {_trail(30)} AND altitude IS NOT NULL GROUP BY 1 ORDER BY count DESC, altitude_range""", "live"))
@@ -849,6 +867,14 @@ def q_attach_route_stats(spark, d):
     return rounded(anomalies.attach_route_stats(f), "std_duration")
 
 
+@query("attach_route_moments", REGISTRY["attach_route_stats"][1])
+def q_attach_route_moments(spark, d):
+    """Route statistics folded from the stored daily moments, joined to the flights."""
+    f = flights(spark, d).select("flight_number", "origin_airport", "destination_airport",
+                                 "flight_duration_minutes")
+    return rounded(rollups.attach_route_stats(f, warehouse.route_moments(spark, d)), "std_duration")
+
+
 @query("flag_unusual_hours", sql("""
 SELECT flight_number, departure_hour FROM recent WHERE departure_hour IN (
   SELECT departure_hour FROM hc WHERE n < (SELECT quantile_cont(CAST(n AS DOUBLE), 0.1) FROM hc))""",
@@ -864,6 +890,16 @@ def q_duration_anomalies(spark, d):
     return rounded(anomalies.duration_anomalies(_recent(spark, d, 7)), "expected_duration", "deviation")
 
 
+@query("duration_anomalies_moments", _duration_sql(7))
+def q_duration_anomalies_moments(spark, d):
+    """The recent anomalies with route statistics folded from the window's stored days."""
+    f = flights(spark, d)
+    as_of = f.agg(F.max("scheduled_departure").cast("date")).first()[0]
+    days = warehouse.route_moments(spark, d, since=as_of - _dt.timedelta(days=7))
+    found = anomalies.duration_anomalies(anomalies.recent_flights(f, as_of, 7), stats=rollups.route_stats(days))
+    return rounded(found, "expected_duration", "deviation")
+
+
 @query("duration_anomalies_all_dates", _duration_sql(None))
 def q_duration_anomalies_all(spark, d):
     return rounded(anomalies.duration_anomalies(_recent(spark, d, None)), "expected_duration", "deviation")
@@ -1468,17 +1504,17 @@ def _landing(spark, d):
     return _LANDING[k]
 
 
-_SPLIT: dict = {}
+_STREAM_SPLITS: dict = {}
 
 
-def _split(spark, d):
+def _stream_split(spark, d):
     """(folder, schema) of the position stream, split once per session into accepted rows and rejects."""
     from contrail.streaming import positions as sp
     landed = _landing(spark, d)
-    if landed not in _SPLIT:
+    if landed not in _STREAM_SPLITS:
         base = _scratch(spark, "stream-split")
-        _SPLIT[landed] = base, sp.split_history(spark, landed, base, _scratch(spark, "ckpt-split"))
-    return _SPLIT[landed]
+        _STREAM_SPLITS[landed] = base, sp.split_history(spark, landed, base, _scratch(spark, "ckpt-split"))
+    return _STREAM_SPLITS[landed]
 
 
 @query("stream_positions", sql(f"SELECT {HISTORY_COLS} FROM rt", "rt"))
@@ -1496,7 +1532,7 @@ SELECT {HISTORY_COLS}, snapshot_start FROM (
 WHERE _rn = 1""", "rt"))
 def q_stream_dedupe(spark, d):
     from contrail.streaming import positions as sp
-    return sp.stream_dedupe_table(spark, *_split(spark, d), _scratch(spark, "table-dedupe"),
+    return sp.stream_dedupe_table(spark, *_stream_split(spark, d), _scratch(spark, "table-dedupe"),
                                   _scratch(spark, "ckpt-dedupe"))
 
 
@@ -1521,7 +1557,7 @@ FROM (SELECT rt.*, time_bucket(INTERVAL 15 MINUTE, extraction_time) - s.k * INTE
 GROUP BY window_start, region""", "rt"))
 def q_stream_region_windows(spark, d):
     from contrail.streaming import positions as sp
-    stats = sp.stream_region_windows(spark, *_split(spark, d), _scratch(spark, "table-region-windows"),
+    stats = sp.stream_region_windows(spark, *_stream_split(spark, d), _scratch(spark, "table-region-windows"),
                                      _scratch(spark, "ckpt-region-windows"))
     return rounded(stats, "avg_altitude", "avg_speed", "avg_quality")
 
@@ -1536,7 +1572,7 @@ SELECT data_source, extraction_time AS t, max(extraction_time) OVER () AS newest
        lead(extraction_time) OVER (PARTITION BY data_source ORDER BY extraction_time) AS next_t FROM rt"""),)))
 def q_stream_stale_alerts(spark, d):
     from contrail.streaming import alerts, bounded
-    base, schema = _split(spark, d)
+    base, schema = _stream_split(spark, d)
     out = _scratch(spark, "table-alerts")
     told = alerts.stale_alerts(bounded.accepted(spark, base, schema, 1))
     bounded.run_to_table(told, out, _scratch(spark, "ckpt-alerts"))

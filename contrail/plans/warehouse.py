@@ -1,7 +1,8 @@
 """Stage tables: the fact tables the reports read, written once per session.
 
-Files: ``spark.sql.shuffle.partitions`` balanced files per table (size that
-setting to the cluster: ~128-256 MB per partition at the target scale).
+Files: of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, by an AQE
+rebalance. The position tables are partitioned by day, so a trailing window
+lists and reads the days it touches only.
 
 The reference extracts, cleans and loads ``scheduled_flights`` and the
 real-time tables, and every report then reads those tables. Here the same
@@ -21,8 +22,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contrail.operators import realtime
+from contrail.operators import live, realtime, rollups
 from contrail.session import scratch_path
 from contrail.sources import testdata
 
@@ -53,20 +55,23 @@ def fingerprint(spark: SparkSession, sf_dir: str, tables) -> tuple:
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
-          sort_cols: tuple[str, ...]) -> DataFrame:
+          sort_cols: tuple[str, ...], day_of: str | None = None) -> DataFrame:
+    """The table, built if it isn't; with ``day_of``, partitioned by the day of that column (``extraction_day``)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
            fingerprint(spark, sf_dir, SOURCES[name]))
     df = _BUILT.get(key)
     if df is None:
         path = scratch_path(spark, f"stage-{name}")
-        # Round-robin into n files: balanced even when one key value holds a
-        # third of the rows (hash on the key would not be), deterministic on
-        # task retry (Spark sorts before a round-robin repartition), and no
-        # sampling pass over the join (range partitioning would evaluate the
-        # whole join twice). Rows are sorted by the key inside each file, so
-        # range filters skip row groups by their min/max statistics.
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        build().repartition(n).sortWithinPartitions(*sort_cols).write.parquet(path)
+        # Rebalanced by AQE: files of about the advisory size whatever the table's size, a day or key that
+        # holds a third of the rows split over several tasks, small days merged; no round-robin pass and no
+        # sampling of the join. Rows are sorted in each file, so range filters skip row groups.
+        df = build()
+        if day_of:
+            df = (df.withColumn(live.DAY, F.col(day_of).cast("date")).hint("rebalance", live.DAY)
+                  .sortWithinPartitions(live.DAY, *sort_cols))
+            df.write.partitionBy(live.DAY).parquet(path)
+        else:
+            df.hint("rebalance").sortWithinPartitions(*sort_cols).write.parquet(path)
         # one relation per stage table: later reports reuse its file listing
         df = _BUILT[key] = spark.read.parquet(path)
     return df
@@ -78,19 +83,48 @@ def scheduled_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def realtime_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All valid positions, partitioned by day."""
     return stage(spark, sf_dir, "realtime_history",
-                 lambda: realtime.history(testdata.positions(spark, sf_dir)), ("extraction_time",))
+                 lambda: realtime.history(testdata.positions(spark, sf_dir)), ("extraction_time",), "extraction_time")
 
 
 def realtime_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spark, sf_dir, "realtime_snapshot",
-                 lambda: realtime.snapshot(realtime_history(spark, sf_dir)), ("icao24",))
+                 lambda: realtime.snapshot(realtime_history(spark, sf_dir).drop(live.DAY)), ("icao24",))
 
 
 def realtime_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per aircraft and 15-minute snapshot: the table the live views read."""
     return stage(spark, sf_dir, "realtime_latest",
-                 lambda: realtime.latest_snapshots(realtime_history(spark, sf_dir)), ("extraction_time",))
+                 lambda: realtime.latest_snapshots(realtime_history(spark, sf_dir).drop(live.DAY)), ("extraction_time",),
+                 "extraction_time")
+
+
+def realtime_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute partials of the live table, partitioned by day."""
+    rows = realtime_latest(spark, sf_dir)
+    key = (id(rows), "rollups")
+    if key not in _BUILT:
+        path = scratch_path(spark, "stage-realtime-rollups")
+        partials = rollups.period_rollups(rows)
+        rollups.add_days(partials, path)
+        _BUILT[key] = rollups.read_days(spark, path, partials.schema)
+    return _BUILT[key]
+
+
+def route_moments(spark: SparkSession, sf_dir: str, since=None) -> DataFrame:
+    """Daily moments of every route, from a day on. The last day is added by itself, as a daily job would."""
+    rows = scheduled_flights(spark, sf_dir)
+    key = (id(rows), "moments")
+    if key not in _BUILT:
+        path = scratch_path(spark, "stage-route-moments")
+        last = rows.agg(F.max("scheduled_departure").cast("date")).first()[0]
+        day = F.col("scheduled_departure").cast("date")
+        rollups.add_days(rollups.route_moments(rows.filter(day < F.lit(last))), path)
+        added = rollups.route_moments(rows.filter(day == F.lit(last)))
+        rollups.add_days(added, path)
+        _BUILT[key] = path, added.schema
+    return rollups.read_days(spark, *_BUILT[key], since)
 
 
 def as_of(spark: SparkSession, sf_dir: str):
