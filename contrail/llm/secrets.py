@@ -10,9 +10,11 @@ calls and line breaks before a value are passed over; values in triple quotes
 and YAML blocks count line by line. A right side may join several terms with
 ``+``; a
 term that is a name stands for the literals assigned to it before in the
-same text (constants are propagated, also through further names). Literals
-are scored by the words in the target's name and by what they look like;
-those at or over the threshold add a span of kind ``lexed``.
+same text (constants are propagated, also through further names). A call with
+one literal gives its name that value, as setters do (``setPassword("x")``).
+Literals are scored by the words in the target's name and by what they look
+like; a joined value is also scored as a whole, however short its pieces are.
+What is at or over the threshold adds spans of kind ``lexed``, of every piece.
 
 Offsets are code points, ends exclusive.
 """
@@ -32,8 +34,8 @@ from contrail.llm.common import map_batches, table
 
 KINDS = ("assign", "access", "hex", "lexed")
 THRESHOLD = 1.0
-#: Tokens looked back over for a type annotation.
-ANNOTATION = 24
+#: Tokens looked back over for a type annotation; characters of a joined value that are put together to score it.
+ANNOTATION, JOINED = 24, 4096
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -127,7 +129,7 @@ def _statements(text: str) -> Iterator[list[tuple[str, str, int]]]:
     while at < size:
         end = size if (end := text.find("\n", at)) < 0 else end
         line = text[at:end]
-        if "=" in line or ":" in line or "</" in line or '"' in line and "," in line:
+        if ("=" in line or ":" in line or "</" in line or '"' in line and "," in line or '("' in line or "('" in line):
             tokens: list = []
             begin, end = at, lex(at, end, tokens)
             if _BLOCK.search(text, max(begin, end - 64), end):
@@ -187,9 +189,27 @@ def _names(tokens: list, k: int) -> Iterator[str]:
                 return
 
 
-def _right_side(text: str, tokens: list, i: int, constants: dict) -> list:
+class Terms(list):
+    """A right side: literals (text, start, end, quoted), and the right sides of the constants in it.
+
+    value: the terms put together, if they make one value (at most JOINED characters); pieces: how many literals that joins.
+    """
+
+    value: str | None = None
+    pieces = 0
+
+    def settle(self, joined: bool) -> None:
+        if joined or len(self) == 1:
+            parts = [x.value if isinstance(x, Terms) else x[0] for x in self]
+            if None not in parts:
+                self.value = "".join(parts)[:JOINED]
+                self.pieces = min(2, sum(x.pieces if isinstance(x, Terms) else 1 for x in self))
+
+
+def _right_side(text: str, tokens: list, i: int, constants: dict) -> Terms:
     """Literals, and the constants that stand for some, from token i on."""
-    out: list = []
+    out = Terms()
+    joined = True
     opened: list[str] = []  # brackets and wrapper calls around the terms
     after = tokens[i - 1][2]
 
@@ -214,6 +234,7 @@ def _right_side(text: str, tokens: list, i: int, constants: dict) -> list:
             i += 2
             continue
         if own == "block":
+            joined = False
             lo = start
             for line in word.split("\n"):
                 bare = line.strip()
@@ -241,24 +262,36 @@ def _right_side(text: str, tokens: list, i: int, constants: dict) -> list:
             i += 1
         if i < len(tokens) and (tokens[i][1] == "+" or tokens[i][1] == "," and opened and opened[-1] == "["
                                 or opened and tokens[i][0] in ("string", "block")):
+            joined = joined and tokens[i][1] != ","
             i += tokens[i][0] == "op"
         else:
             break
+    out.settle(joined)
     return out
 
 
-def pairs(text: str) -> Iterator[tuple[str, list]]:
-    """(name, right side) of every assignment.
+def _setter(tokens: list, k: int) -> str | None:
+    """The name of the call whose bracket is at k, if it is told one string and nothing else."""
+    own, word, start = tokens[k - 1]
+    if (own == "bare" and k + 2 < len(tokens) and tokens[k + 1][0] == "string" and tokens[k + 2][1] == ")"
+            and tokens[k][2] == start + len(word) and _NAME.match(word) and not _LOOKUP.match(word)):
+        return word
+    return None
 
-    A right side is a list of literals (text, start, end, quoted) and of the right sides of the constants in it.
-    """
-    constants: dict[str, list] = {}
+
+def pairs(text: str) -> Iterator[tuple[str, Terms]]:
+    """(name, right side) of every assignment."""
+    constants: dict[str, Terms] = {}
     for tokens in _statements(text):
         for kind, m, _ in tokens:
             if kind == "tag":
-                yield m["tagname"], [(m["tagtext"], m.start("tagtext"), m.end("tagtext"), True)]
+                right = Terms([(m["tagtext"], m.start("tagtext"), m.end("tagtext"), True)])
+                right.settle(True)
+                yield m["tagname"], right
         tokens = [t for t in tokens if t[0] != "tag"]
         for k in range(1, len(tokens) - 1):
+            if tokens[k][1] == "(" and tokens[k][0] == "op" and (name := _setter(tokens, k)):
+                yield name, _right_side(text, tokens, k + 1, {})
             if tokens[k][0] != "op" or tokens[k][1] not in _SIGNS:
                 continue
             names = list(_names(tokens, k))
@@ -270,22 +303,31 @@ def pairs(text: str) -> Iterator[tuple[str, list]]:
                     yield name, right
 
 
-def literals_of(text: str) -> Iterator[tuple[float, tuple[str, int, int, bool]]]:
-    """(score of the most telling name, literal) of every literal that reaches a sensitive name, once."""
+def literals_of(text: str) -> Iterator[tuple[float, float, tuple[str, int, int, bool]]]:
+    """(score of the most telling name, of the value, literal) of every literal that reaches a sensitive name.
+
+    A literal comes once by what it looks like itself, and once by the best joined value it is a piece of.
+    """
     told = [(of_name, right) for name, right in pairs(text) if (of_name := name_score(name)) > 0]
-    seen: set[int] = set()
-    for of_name, right in sorted(told, key=lambda x: -x[0]):
-        todo = [right]
-        while todo:
-            terms = todo.pop()
-            if id(terms) in seen:
-                continue
-            seen.add(id(terms))
-            for term in terms:
-                if isinstance(term, list):
-                    todo.append(term)
-                else:
-                    yield of_name, term
+
+    def once(told: list, value) -> Iterator:
+        seen: set[int] = set()
+        for of_name, of_whole, right in told:
+            todo = [right]
+            while todo:
+                terms = todo.pop()
+                if id(terms) in seen:
+                    continue
+                seen.add(id(terms))
+                for term in terms:
+                    if isinstance(term, list):
+                        todo.append(term)
+                    else:
+                        yield of_name, value(term, of_whole), term
+
+    yield from once([(n, 0.0, r) for n, r in sorted(told, key=lambda x: -x[0])], lambda t, _: literal_score(t[0], t[3]))
+    whole = [(n, literal_score(r.value, True), r) for n, r in told if r.pieces > 1]
+    yield from once(sorted(whole, key=lambda x: -(0.7 * x[0] + 0.6 * x[1]) * (x[1] > 0.3)), lambda _, of_whole: of_whole)
 
 
 def find(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -300,10 +342,9 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         spans += [("access", *m.span(), 1.0) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     if _HEX_BYTES.search(text.encode("utf-8")):
         spans += [("hex", *m.span(), 1.0) for m in HEX.finditer(text)]
-    if "=" in text or ":" in text or "</" in text or '",' in text:
+    if "=" in text or ":" in text or "</" in text or '",' in text or '("' in text or "('" in text:
         lexed: dict[tuple[int, int], float] = {}
-        for of_name, (literal, start, end, quoted) in literals_of(text):
-            of_literal = literal_score(literal, quoted)
+        for of_name, of_literal, (_, start, end, _) in literals_of(text):
             score = of_name * 0.7 + of_literal * 0.6
             if of_literal > 0.3 and score >= THRESHOLD:
                 lexed[start, end] = max(score, lexed.get((start, end), 0.0))
@@ -335,5 +376,5 @@ def op6_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["kind"] != "lexed")
-    return found.select("doc_id", *(count(k) for k in KINDS), F.sha2(joined(base), 256).alias("base_sha256"),
-                        joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *(count(k) for k in KINDS[:3]), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), count(KINDS[3]))

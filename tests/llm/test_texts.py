@@ -294,3 +294,20 @@ def test_lexer_keeps_every_term_of_a_long_join():
     assert _lexed("password = " + " + ".join(f'"{p}"' for p in parts)) == parts
     chain = 'k0 = "a1b2c3d4-0000"\n' + "".join(f'k{i} = k{i - 1} + "{parts[i]}"\n' for i in range(1, 200)) + "password = k199"
     assert _lexed(chain) == parts
+
+
+def test_joined_values_are_scored_whole():
+    assert _lexed('api_key = "Zx9k" + "k22Q" + "p99a"') == ["Zx9k", "k22Q", "p99a"]
+    assert _lexed('a = "Zx9k"; b = a + "k22Qp"; secret_val = b') == ["Zx9k", "k22Qp"]
+    assert _lexed('password = ("Zx9!" "kk22" "Qp7?")') == ["Zx9!", "kk22", "Qp7?"]
+    assert _lexed('keys = ["Zx9k", "k22Q", "p99a"]') == []  # values of their own
+    assert _lexed('api_key = "aa" + "aa" + "aa"') == []
+    chain = 'v0 = "Zx9kk22Q"\n' + "".join(f"v{k + 1} = v{k} + v{k}\n" for k in range(200)) + "token = v200\n"
+    assert _lexed(chain) == ["Zx9kk22Q"]
+
+
+def test_setters_give_their_name_a_value():
+    assert _lexed('conn.setPassword("Zx9!kk22Qp")') == ["Zx9!kk22Qp"]
+    assert _lexed("x.password('Zx9!kk22Qp');") == ["Zx9!kk22Qp"]
+    assert _lexed('getPassword("Zx9!kk22Qp")') == [] == _lexed('print("Zx9!kk22Qp")')
+    assert _lexed('setPassword("Zx9!kk22Qp", "other")') == []
