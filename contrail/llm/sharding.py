@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from contrail.llm.common import table
+from contrail.llm.common import saved, table
 
 SHARDS = 40
 ROW_OVERHEAD_BYTES = 16
@@ -49,26 +49,27 @@ def shard_rows(df: DataFrame, key: str, weights: Sequence[float], *, grown_weigh
     """`df` with shard, slot and, if `grown_weight` is given, grown_shard.
 
     slot numbers the rows of a shard from 0 without gaps. Rows of one shard
-    are spread over `n_buckets` hash buckets; each bucket is numbered in its
-    own task and starts where the bucket before it ends (prefix sums over the
-    bucket counts, a table of shards x buckets rows). Rows with equal keys
-    are in one shard, ordered by a hash of their other columns. An empty table gives an empty table.
-    Columns named like the new ones are replaced.
+    are spread over `n_buckets` buckets by a hash of all their columns, so a
+    key with very many rows fills all buckets of its shard; each bucket is
+    numbered in its own task and starts where the bucket before it ends
+    (prefix sums over the bucket counts, a table of shards x buckets rows).
+    Inside a bucket rows are ordered by key, then by the hash. An empty table
+    gives an empty table. Columns named like the new ones are replaced.
     """
     k = F.col(key)
+    ties = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
 
     def placed(rows: DataFrame) -> DataFrame:
         return (rows.withColumn("shard", shard_of(k, weights))
-                .withColumn("__bucket", F.pmod(F.xxhash64(k, F.lit("bucket")), F.lit(n_buckets)).cast("int")))
+                .withColumn("__bucket", F.pmod(F.xxhash64(*ties, F.lit("bucket")), F.lit(n_buckets)).cast("int")))
 
     by_bucket = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (placed(df.select(key)).groupBy("shard", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    starts = (placed(df).groupBy("shard", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
               .select("shard", "__bucket", F.coalesce(F.sum("__n").over(by_bucket), F.lit(0)).alias("__start")))
     rows = placed(df)
     if grown_weight is not None:
         grown = shard_of(k, [*weights, grown_weight])
         rows = rows.withColumn("grown_shard", grown)
-    ties = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
     within = Window.partitionBy("shard", "__bucket").orderBy(k, F.xxhash64(*ties))
     out = (rows.join(starts, ["shard", "__bucket"])
            .withColumn("slot", F.col("__start") + F.row_number().over(within).cast("long") - 1))
@@ -81,12 +82,12 @@ def shard_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     size is the UTF-8 length of the text plus 16 (a null text: 16), text_crc32
     its unsigned CRC-32 (a null or empty text: 0).
     """
-    slim = docs.select(
+    slim = saved(docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_OVERHEAD_BYTES).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32")), "shard-digests")
     out = shard_rows(slim, "doc_id", [1.0] * n_shards, grown_weight=1.0,
-                     n_buckets=bucket_count(docs.count(), n_shards))
+                     n_buckets=bucket_count(slim.count(), n_shards))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 

@@ -1,13 +1,16 @@
 """Line windows, decontamination, packing, sharding and secrets against plain-Python versions."""
 
 import hashlib
+import math
 import random
+import struct
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import xxhash
 from tokenizers import Tokenizer
 
 import __spark_entry__
@@ -214,6 +217,35 @@ def test_sharding_moves_rows_only_into_the_new_shard(spark):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
 
 
+def test_winning_shard_recomputed(spark):
+    """Every draw by hand: XXH64 of the id, then of the shard, the lowest -log(u) / weight wins."""
+    def winner(key, weights):
+        costs = []
+        for shard, w in enumerate(weights):
+            seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+            u = ((xxhash.xxh64_intdigest(struct.pack("<i", shard), seed) >> 11) + 0.5) / 2**53
+            costs.append((-math.log(u) / w, shard))
+        return min(costs)[1]
+
+    keys = [None, 0, -5, 2**62, *range(1, 400)]
+    df = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    for weights in ([1.0] * 40, [1.0, 2.0, 0.5], [3.0]):
+        got = sharding.shard_rows(df, "doc_id", weights, grown_weight=2.0).collect()
+        assert all(r.shard == winner(r.doc_id, weights) and r.grown_shard == winner(r.doc_id, [*weights, 2.0]) for r in got)
+
+
+def test_a_hot_key_fills_all_buckets_of_its_shard(spark):
+    rows = [(7, i) for i in range(3000)] + [(None, i) for i in range(1000)] + [(i, 0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, x long")
+    out = sharding.shard_rows(df, "doc_id", [1.0] * 4, n_buckets=10)
+    got = out.collect()
+    for s in range(4):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots)))
+    hot = sorted(r.slot // 200 for r in got if r.doc_id == 7)
+    assert len(set(hot)) > 10  # all over its shard, not in one run of a bucket
+
+
 def test_sharding_follows_the_weights(spark):
     df = spark.range(8000).withColumnRenamed("id", "doc_id")
     n = Counter(r.shard for r in sharding.shard_rows(df, "doc_id", [1.0, 2.0, 5.0]).collect())
