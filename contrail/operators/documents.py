@@ -48,6 +48,15 @@ def anomaly_documents(recent: DataFrame) -> dict[str, Sections]:
     return {"anomalies": {"counts": anomalies.anomaly_report(recent), "first": anomalies.anomaly_list(recent)}}
 
 
+def summary_documents(flights: DataFrame, positions: DataFrame, airports: DataFrame) -> dict[str, Sections]:
+    return {"executive_summary": {"summary": reports.executive_summary(flights, positions, airports)}}
+
+
+#: Columns that name a record; by default those of text.
+RECORD_KEYS = {("flight_patterns", "hours"): ("departure_hour",), ("executive_summary", "summary"): (),
+               ("ml_preparation", "summary"): ()}
+
+
 def write_document(sections: Sections, path: str) -> dict[str, T.StructType]:
     """Write every section under `path`; the schemas to read them back with."""
     for name, df in sections.items():
@@ -69,3 +78,18 @@ def record_counts(documents: dict[str, Sections]) -> DataFrame:
                 F.lit(name).alias("document"), F.lit(section).alias("section"), "n_records")
             out = one if out is None else out.unionByName(one)
     return out
+
+
+def record_values(documents: dict[str, Sections]) -> DataFrame:
+    """(document, section, record, field, value): every number in every record of the documents, nulls left out."""
+    out = None
+    for name, sections in documents.items():
+        for section, df in sections.items():
+            keys = RECORD_KEYS.get((name, section), tuple(f.name for f in df.schema if isinstance(f.dataType, T.StringType)))
+            numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in keys]
+            record = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys)) if keys else F.lit("")
+            fields = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in numbers))
+            one = df.select(F.lit(name).alias("document"), F.lit(section).alias("section"), record.alias("record"),
+                            F.inline(fields)).filter("value IS NOT NULL")
+            out = one if out is None else out.unionByName(one)
+    return out

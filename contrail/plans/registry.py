@@ -1380,20 +1380,14 @@ def q_batch_load_rejects(spark, d):
 
 # ------------------------------------------------------------------ §2.2 sinks
 
-@query("write_csv_export", sql("""
-SELECT flight_number, airline, origin_airport, destination_airport, scheduled_departure, status,
-       flight_duration_minutes FROM flights""", "flights"))
+@query("write_csv_export", sql(f"SELECT {FLIGHT_COLS} FROM flights", "flights"))
 def q_write_csv_export(spark, d):
-    from pyspark.sql import types as T
-
+    """All 13 columns of the schedule table, exported and read back with their types."""
     from contrail.sources import sinks
-    cols = ["flight_number", "airline", "origin_airport", "destination_airport", "scheduled_departure",
-            "status", "flight_duration_minutes"]
-    f = flights(spark, d).select(*cols)
+    f = flights(spark, d)
     path = _scratch(spark, "export-flights")
     sinks.write_csv_export(f, path)
-    schema = T.StructType([T.StructField(c.name, c.dataType) for c in f.schema.fields])
-    return (spark.read.schema(schema).option("header", True).option("timestampNTZFormat", sinks.TS_FORMAT)
+    return (spark.read.schema(f.schema).option("header", True).option("timestampNTZFormat", sinks.TS_FORMAT)
             .csv(path))
 
 
@@ -1473,6 +1467,62 @@ def q_report_documents(spark, d):
     return docs.record_counts(back)
 
 
+#: Document, section, query whose SQL gives the section, columns that name a record, numbers of a record.
+_REPORT_SECTIONS = (
+    ("airport_traffic", "routes", "route_traffic", "origin_airport destination_airport",
+     "flight_count airline_count avg_duration_minutes"),
+    ("airline_performance", "airlines", "airline_performance", "airline",
+     "total_flights on_time_flights delayed_flights cancelled_flights on_time_percentage avg_flight_duration "
+     "airports_served delay_rate cancellation_rate"),
+    ("flight_patterns", "hours", "hourly_patterns", "departure_hour", "flight_count avg_duration airlines_operating"),
+    ("flight_patterns", "aircraft", "aircraft_usage", "aircraft_type", "flight_count avg_duration airlines_using"),
+    ("ml_preparation", "summary", "feature_summary", "", "total_records delay_rate airlines_count routes_count"),
+    ("executive_summary", "summary", "executive_summary", "",
+     "total_scheduled_flights total_realtime_flights total_airports_in_system unique_airlines origin_airports "
+     "destination_airports aircraft_types average_flight_duration_minutes average_flight_duration_hours"),
+    ("realtime_processing", "summary", "realtime_summary", "",
+     "total_flights countries airlines aircraft_types avg_quality_score high_quality_flights with_position with_speed "
+     "with_altitude"),
+    ("realtime_report", "overview", "rt_global_overview", "",
+     "total_flights countries_active airlines_active flights_opensky flights_aviationstack flights_airlabs"),
+    ("realtime_report", "regions", "rt_region_distribution", "region", "flight_count"),
+    ("realtime_report", "altitude", "rt_altitude_stats", "", "avg_altitude max_altitude flights_above_30k"),
+    ("realtime_report", "speed", "rt_speed_stats", "", "avg_speed max_speed supersonic_flights"),
+    ("realtime_report", "quality", "rt_quality_stats", "", "avg_quality_score high_quality_percentage"),
+    ("realtime_report", "top_airlines", "rt_top_airlines", "airline", "flight_count"),
+    ("realtime_report", "top_countries", "rt_top_countries", "origin_country", "flight_count"),
+    ("anomalies", "counts", "anomaly_report", "type", "anomaly_count total_anomalies"),
+    ("anomalies", "first", "anomaly_list", "type flight_number airline route severity",
+     "actual_duration expected_duration deviation departure_hour delay_rate"),
+)
+
+
+def _report_values_sql() -> str:
+    parts = []
+    for document, section, key, names, numbers in _REPORT_SECTIONS:
+        record = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in names.split()) or "''"
+        values = ", ".join(f"{r6(f'CAST({c} AS DOUBLE)')} AS {c}" for c in numbers.split())
+        parts.append(f"SELECT '{document}' AS document, '{section}' AS section, record, field, value FROM (UNPIVOT "
+                     f"(SELECT {record} AS record, {values} FROM ({REGISTRY[key][1]})) ON {', '.join(numbers.split())} "
+                     f"INTO NAME field VALUE value)")
+    parts.append("SELECT 'realtime_processing', 'sources', data_source, 'flight_count', CAST(flights AS DOUBLE) FROM ("
+                 + sql("SELECT data_source, count(*) AS flights FROM snap GROUP BY 1", "snap") + ")")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("report_values", _report_values_sql())
+def q_report_values(spark, d):
+    """Every number of every record of all report documents, after their way through JSON."""
+    from contrail.operators import documents as docs
+    base = _scratch(spark, "documents")
+    made = {**docs.batch_documents(flights(spark, d)), **docs.realtime_documents(snapshot(spark, d)),
+            **docs.summary_documents(flights(spark, d), history(spark, d), airports(spark, d)),
+            **docs.anomaly_documents(_recent(spark, d, 7))}
+    back = {name: docs.read_document(spark, f"{base}/{name}", docs.write_document(sections, f"{base}/{name}"))
+            for name, sections in made.items()}
+    return rounded(docs.record_values(back), "value")
+
+
 @query("export_all", sql("""
 SELECT 'scheduled_flights' AS table_name, count(*) AS rows_exported FROM flights
 UNION ALL SELECT 'airports', count(*) FROM airports
