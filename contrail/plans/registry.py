@@ -1083,6 +1083,62 @@ def q_insight_rules(spark, d):
     return anomalies.insights(*(landing.read_report_json(spark, *doc) for doc in _ml_documents(spark, d)))
 
 
+_INSIGHT_SQL = "\nUNION ALL\n".join(
+    [f"SELECT 'status' AS kind, '{anomalies.PIPELINE_STATUS}' AS message", f"SELECT 'insight', '{anomalies.NO_MODEL}'",
+     "SELECT 'insight', 'Found ' || total_anomalies || ' anomalies in recent flight data' FROM "
+     f"(SELECT max(total_anomalies) AS total_anomalies FROM ({REGISTRY['anomaly_report'][1]})) WHERE total_anomalies > 0"]
+    + [f"SELECT '{kind}', '{message}' FROM ({REGISTRY['anomaly_report'][1]}) WHERE type = '{metric}' AND anomaly_count > {least}"
+       for metric, least, kind, message in anomalies.INSIGHT_RULES if metric.endswith("_anomaly")]
+    + [f"SELECT 'recommendation', '{x}'" for x in anomalies.GENERAL_RECOMMENDATIONS])
+
+
+@query("insight_rules_before_training", _INSIGHT_SQL)
+def q_insight_rules_before_training(spark, d):
+    """The insights when the anomaly document is there and the metrics document is not yet."""
+    from contrail.sources import landing, sinks
+    report = anomalies.anomaly_report(_recent(spark, d, 7))
+    path = sinks.write_report_json(report, _scratch(spark, "ml-document"))
+    metrics = landing.read_report_json(spark, _scratch(spark, "never-written"), spark.createDataFrame(
+        [], "accuracy double, features_used int, top_feature string").schema)
+    return anomalies.insights(metrics, landing.read_report_json(spark, path, report.schema))
+
+
+@query("model_checks", sql("""
+SELECT * FROM (VALUES ('accuracy as recomputed', 1.0), ('importances add up to', 1.0), ('importances after reload differ', 0.0),
+  ('predictions that are no label', 0.0), ('probabilities that contradict', 0.0), ('insight follows accuracy', 1.0),
+  ('better than always the commoner label or as good', 1.0)) c(name, value)
+UNION ALL SELECT 'training samples', sum(floor(n * 0.8 + 0.5)) FROM by_label
+UNION ALL SELECT 'test samples', sum(n - floor(n * 0.8 + 0.5)) FROM by_label
+UNION ALL SELECT 'delayed test samples', sum(n - floor(n * 0.8 + 0.5)) FROM by_label WHERE is_delayed = 1""", "features",
+    local=(("by_label", "SELECT is_delayed, count(*) AS n FROM features GROUP BY 1"),)))
+def q_model_checks(spark, d):
+    """What must hold of the trained model, its predictions, its saved copy and the insights on it."""
+    from pyspark.ml.functions import vector_to_array
+
+    from contrail.sources import landing
+    model, _n, test = _trained(spark, d)
+    path = _scratch(spark, "predictions")
+    ml.score_delays(model, test).select(ml.LABEL, "prediction", vector_to_array("probability").alias("p")).write.parquet(path)
+    saved = spark.read.parquet(path)
+    right = saved.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col(ml.LABEL)).cast("double")).alias("accuracy"),
+                      F.sum(ml.LABEL).alias("delayed"),
+                      F.count_if(~F.col("prediction").isin(0.0, 1.0)).alias("odd"),
+                      F.count_if((F.col("prediction") == 1.0) != (F.col("p")[1] > F.col("p")[0])).alias("contrary")).first()
+    metrics = landing.read_report_json(spark, *_ml_documents(spark, d)[0]).first()
+    own = {r.feature: r.importance for r in ml.feature_importance(model).collect()}
+    back = {r.feature: r.importance for r in q_save_model(spark, d).collect()}
+    told = {r.message for r in q_insight_rules(spark, d).collect()}
+    common = max(right.delayed, right.n - right.delayed) / right.n
+    rows = [("accuracy as recomputed", float(abs(metrics.accuracy - right.accuracy) < 1e-9)),
+            ("importances add up to", round(sum(own.values()), 6)), ("importances after reload differ", float(own != back)),
+            ("predictions that are no label", float(right.odd)), ("probabilities that contradict", float(right.contrary)),
+            ("insight follows accuracy", float((anomalies.INSIGHT_RULES[0][3] in told) == (metrics.accuracy > 0.8))),
+            ("better than always the commoner label or as good", float(right.accuracy >= common - 0.02)),
+            ("training samples", float(metrics.training_samples)), ("test samples", float(right.n)),
+            ("delayed test samples", float(right.delayed))]
+    return spark.createDataFrame(rows, "name string, value double")
+
+
 # ------------------------------------------------------ §2.1 sources (round trips)
 
 def _scratch(spark, name):
