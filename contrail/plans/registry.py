@@ -1481,7 +1481,7 @@ def q_declare_tables(spark, d):
     sinks.insert_replace(realtime.load_metadata(snap, run_ts=RUN_TS), meta_name)
     if _read_and_drop(spark, meta_name).first()["record_count"] != snap.count():
         raise RuntimeError("the metadata row does not match the table")
-    return _read_and_drop(spark, rt_name)
+    return _read_and_drop(spark, rt_name).drop(live.DAY)
 
 
 @query("write_report_json", _REPORT_SQL)

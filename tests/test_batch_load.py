@@ -138,3 +138,25 @@ def test_failed_switch_to_another_schema_keeps_the_old_table(spark, monkeypatch)
     sinks.switch_together(spark, {name: base + "/b"})
     assert spark.table(name).count() == 2 and spark.table(name).columns == ["id", "tag"]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_declared_table_is_partitioned_by_day(spark):
+    from contrail.plans import warehouse
+    from tests.conftest import SMALL
+    base = _folder()
+    name = "declared_" + os.path.basename(base).replace("-", "_")
+    sinks.declare_tables(spark, {name: (sinks.REALTIME_DDL, base + "/t")})
+    rows = warehouse.realtime_latest(spark, SMALL).drop("extraction_day")
+    for n in (1, 2):  # the second load replaces the first
+        sinks.insert_replace(rows if n == 2 else rows.limit(5), name)
+    day = rows.agg(F.max("extraction_time").cast("date")).first()[0]
+    recent = spark.table(name).filter(F.col("extraction_day") == F.lit(day))
+    assert spark.table(name).count() == rows.count()
+    assert recent.count() == rows.filter(F.col("extraction_time").cast("date") == F.lit(day)).count()
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "extraction_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(f"extraction_day={day}" in f for f in recent.inputFiles())
+    with pytest.raises(Exception, match="broken"):
+        sinks.insert_replace(rows.withColumn("region", F.raise_error(F.lit("broken")).cast("string")), name)
+    assert spark.table(name).count() == rows.count()
+    spark.sql(f"DROP TABLE {name}")
