@@ -30,6 +30,10 @@ SIZE = 64
 SPACES = " \t\n\r\x0b\x0c"
 #: Ids of a block, the unit in which a document meets the next one, as a power of two.
 BLOCK_BITS = 7
+#: Rows of one id that make it hot: it is cut into pieces of about so many rows, by the hash of the text.
+HOT_ROWS = 2_000
+#: Blocks with hot ids whose list is sent to all tasks; with more it is joined.
+SENT_BLOCKS = 10_000
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, size: int = SIZE) -> DataFrame:
@@ -110,7 +114,7 @@ def as_text(fingerprint: Column) -> Column:
 
 
 def _successors(keys: DataFrame) -> DataFrame:
-    """(key, next) in ascending order of the distinct longs `key`; after the last comes the first.
+    """(key, next) in ascending order of the distinct `key`; after the last comes the first.
 
     Keys are range-partitioned and linked inside their partition; the last of
     each partition takes the first of the next one from a table of one row
@@ -125,23 +129,48 @@ def _successors(keys: DataFrame) -> DataFrame:
             .select("key", F.coalesce("inside", "after").alias("next")))
 
 
-def with_next(docs: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+def _id() -> Column:
+    return F.coalesce("doc_id", F.lit(-2**63).cast("long"))
+
+
+def _blocked(docs: DataFrame, block_bits: int, hot_rows: int) -> DataFrame:
+    """`docs` with __block, ascending with the id (null: the smallest long), then with the hash of the text.
+
+    A block is a run of neighbouring ids. Where an id has more than `hot_rows`
+    rows, its block is cut before it, after it, and by the hash inside it.
+    """
+    base = F.shiftright(_id(), block_bits)
+    hot = saved(docs.groupBy(_id().alias("__id")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+                .groupBy(F.shiftright("__id", block_bits).alias("__base"))  # at most 2 ** block_bits ids
+                .agg(F.collect_list(F.struct("__id", F.ceil(F.col("n") / hot_rows).cast("long").alias("pieces"))).alias("__hot")),
+                "hot-ids")
+    blocks = hot.count()
+    if not blocks:
+        return docs.withColumn("__block", F.struct(base.alias("base"), F.lit(0).cast("long").alias("step")))
+    rows = docs.withColumn("__base", base).join(F.broadcast(hot) if blocks <= SENT_BLOCKS else hot, "__base", "left")
+    place = (F.xxhash64("text").cast("double") + 2.0**63) / 2.0**64  # 0 to 1, ascending with the hash
+    step = F.aggregate(F.coalesce("__hot", F.array().cast("array<struct<__id: bigint, pieces: bigint>>")), F.lit(0).cast("long"),
+                       lambda s, h: s + F.when(h["__id"] < _id(), h["pieces"] + 1).when(
+                           h["__id"] == _id(), 1 + F.least(F.floor(place * h["pieces"]), h["pieces"] - 1)).otherwise(0))
+    return rows.withColumn("__block", F.struct(F.col("__base").alias("base"), step.alias("step"))).drop("__base", "__hot")
+
+
+def with_next(docs: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """`docs` (doc_id, text, fp) with next_text and next_fp of the next document by doc_id.
 
     The first document follows the last. A null doc_id counts as the smallest;
     rows of equal doc_id follow one another in the order of their texts'
     hashes. Texts are shuffled once, by blocks of neighbouring ids; only the
-    first document of each block is sent to the block before it as well.
+    first document of each block is sent to the block before it as well. An
+    id, or null, with very many rows is several blocks.
     """
-    key = F.coalesce("doc_id", F.lit(-2**63).cast("long"))
-    block = F.shiftright(key, block_bits)
-    blocked = docs.select(block.alias("__block"), "doc_id", "text", "fp").repartition("__block")
-    order = Window.partitionBy("__block").orderBy(key, F.xxhash64("text"))
-    linked = (blocked.withColumn("__at", F.row_number().over(order))
+    blocked = _blocked(docs, block_bits, hot_rows)
+    order = Window.partitionBy("__block").orderBy(_id(), F.xxhash64("text"))
+    linked = (blocked.repartition("__block").withColumn("__at", F.row_number().over(order))
               .withColumn("__text", F.lead("text").over(order)).withColumn("__fp", F.lead("fp").over(order)))
     heads = linked.filter("__at = 1").select(F.col("__block").alias("next"), F.col("text").alias("__head"),
                                              F.col("fp").alias("__head_fp"))
-    turns = _successors(docs.select(block.alias("key")).distinct())
+    turns = _successors(blocked.select(F.col("__block").alias("key")).distinct())
     heads = turns.join(heads, "next").drop("next")
     return (linked.join(heads, (F.col("__block") == F.col("key")) & F.col("__fp").isNull(), "left")
             .select("doc_id", "text", "fp", F.coalesce("__text", "__head").alias("next_text"),

@@ -101,6 +101,22 @@ def test_next_document_across_blocks_and_gaps(spark):
     assert len(one) == 1 and one[0].next_text == one[0].text
 
 
+def test_hot_ids_are_cut_and_keep_their_order(spark):
+    rng = random.Random(2)
+    rows = [(i, f"t{i}") for i in (0, 3, 5, 9, 127, 128, 300)] + [(5, f"hot {k}") for k in range(90)]
+    rows += [(9, f"warm {k}") for k in range(35)] + [(None, f"none {k}") for k in range(60)] + [(5, "hot 1")] * 3
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.array(F.lit(1)))
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (-2**63 if r[0] is None else r[0], hashes[r[1]]))
+    want = sorted((a[0] or 0, a[1], b[1]) for a, b in zip(order, order[1:] + order[:1]))
+    for hot_rows in (10, 1000):
+        got = order_minhash.with_next(df, hot_rows=hot_rows).collect()
+        assert sorted((r.doc_id or 0, r.text, r.next_text) for r in got) == want
+    cut = order_minhash._blocked(df, order_minhash.BLOCK_BITS, 10).groupBy("__block").count()
+    assert cut.agg(F.max("count")).first()[0] < 40 and cut.count() > 15
+
+
 def _fingerprint(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = [w.decode() for w in text.encode().split()]
