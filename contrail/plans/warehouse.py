@@ -1,7 +1,7 @@
 """Stage tables: the fact tables the reports read, written once per session.
 
-Files: of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, by an AQE
-rebalance. The position tables are partitioned by day, so a trailing window
+Files: of the partitions AQE leaves after the last join, or by a rebalance on
+the day. The position tables are partitioned by day, so a trailing window
 lists and reads the days it touches only.
 
 The reference extracts, cleans and loads ``scheduled_flights`` and the
@@ -62,16 +62,16 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     df = _BUILT.get(key)
     if df is None:
         path = scratch_path(spark, f"stage-{name}")
-        # Rebalanced by AQE: files of about the advisory size whatever the table's size, a day or key that
-        # holds a third of the rows split over several tasks, small days merged; no round-robin pass and no
-        # sampling of the join. Rows are sorted in each file, so range filters skip row groups.
+        # Rows are sorted in each file, so range filters skip row groups. A table by day is rebalanced on the day:
+        # AQE splits a day that holds a third of the rows and merges small ones, to files of about the advisory
+        # size. Others are written as the last join or aggregate leaves them, which AQE has sized and unskewed.
         df = build()
         if day_of:
             df = (df.withColumn(live.DAY, F.col(day_of).cast("date")).hint("rebalance", live.DAY)
                   .sortWithinPartitions(live.DAY, *sort_cols))
             df.write.partitionBy(live.DAY).parquet(path)
         else:
-            df.hint("rebalance").sortWithinPartitions(*sort_cols).write.parquet(path)
+            df.sortWithinPartitions(*sort_cols).write.parquet(path)
         # one relation per stage table: later reports reuse its file listing
         df = _BUILT[key] = spark.read.parquet(path)
     return df

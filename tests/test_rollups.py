@@ -117,8 +117,11 @@ def test_live_views_list_the_days_of_their_window_only(spark):
 
 
 def test_stage_tables_take_no_round_robin_pass(spark):
-    build = realtime.history(warehouse.testdata.positions(spark, SMALL)).hint("rebalance")
-    assert "RoundRobin" not in _plan(build) or "REBALANCE" in _plan(build)
+    day = warehouse.realtime.history(warehouse.testdata.positions(spark, SMALL)).withColumn(
+        live.DAY, F.col("extraction_time").cast("date")).hint("rebalance", live.DAY)
+    for df in (warehouse.testdata.flights(spark, SMALL).sortWithinPartitions("scheduled_departure"), day):
+        assert "RoundRobin" not in _plan(df)
+    assert "REBALANCE_PARTITIONS_BY_COL" in _plan(day)
 
 
 def test_summary_counts_every_source_and_region(spark):
