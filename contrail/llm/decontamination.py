@@ -31,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -69,7 +70,6 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _hash(token: str) -> int:
-    import xxhash
     return xxhash.xxh64_intdigest(token.encode("utf-8"), 7)
 
 
@@ -87,21 +87,24 @@ class Canon:
     def _entry(self, word: str) -> tuple:
         """(hash inside a sentence, at its start, as written, kind inside, kind at start, is a unit, ends a sentence)."""
         bare = word.strip(_EDGES)
+        low = bare.lower()
         inside = start = WORD
-        of_inside = of_start = written = _hash(bare.lower())
-        if _NUMBER.match(bare):
+        of_inside = of_start = written = _hash(low)
+        if low == bare and low.isalpha() and low not in NUMBER_WORDS:  # most words
+            pass
+        elif _NUMBER.match(bare):
             inside = start = NUMBER
             of_inside = of_start = _hash("<number>")
         elif (measure := _MEASURE.match(bare)) and measure[1].lower() in UNITS:
             inside = start = NUMBER
             of_inside = of_start = _hash("<number><unit>")
-        elif all(part in NUMBER_WORDS for part in bare.lower().split("-")):
+        elif all(part in NUMBER_WORDS for part in low.split("-")):
             inside = start = NUMBER
             of_inside = of_start = _hash("<number>")
         elif bare[:1].isupper() and _LETTERS.match(bare):
             inside, of_inside = NAME, _hash("<name>")
-        ends = word.rstrip("\"')]}”’»")[-1:] in (".", "!", "?")
-        return of_inside, of_start, written, inside, start, bare.lower() in UNITS, ends
+        ends = word != bare and word.rstrip("\"')]}”’»")[-1:] in (".", "!", "?")
+        return of_inside, of_start, written, inside, start, low in UNITS, ends
 
     def tokens(self, words: list[str], first: np.ndarray, every: bool) -> "Tokens":
         """The tokens of the words; first marks the words that begin a text.
@@ -154,39 +157,49 @@ def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[n
 
     left: tokens from here to the text's end; flips: bit d is set where token d is read the other way.
     """
+    size = max(0, len(left) - n + 1)
+    inside = left[:size] >= n
+    literal = np.zeros(size, np.uint64)
+    for d in range(n):
+        literal *= _BASE
+        literal += tokens.written[d:d + size]
+    nothing = np.zeros(size, np.int64)
     if n < MIN_TOKENS:  # word for word
-        at = np.flatnonzero(left[:max(0, len(left) - n + 1)] >= n)
-        total = np.zeros(len(at), np.uint64)
-        for d in range(n):
-            total = total * _BASE + tokens.written[at + d]
-        yield at, total ^ total >> np.uint64(29), np.zeros(len(at), np.int64)
+        at = np.flatnonzero(inside)
+        yield at, _mixed(literal[at]), nothing[at]
         return
     plain = tokens.kinds == WORD
+    total, words = np.zeros(size, np.uint64), np.zeros(size, np.int8)
+    for d in range(n):
+        total *= _BASE
+        total += tokens.hashes[d:d + size]
+        words += plain[d:d + size]
+    few = words < MIN_TOKENS
+    for at, of in (np.flatnonzero(inside & ((literal != total) | few)), literal), (np.flatnonzero(inside & ~few), total):
+        yield at, _mixed(of[at]), nothing[at]
+    # The other readings, of windows that have any.
+    seen = np.concatenate([[0], np.cumsum(tokens.open)])
+    several = np.flatnonzero(inside & (seen[n:n + size] > seen[:size]))
     more = tokens.other - tokens.hashes
     gain = (tokens.other_kinds == WORD).astype(np.int64) - plain
     power = [np.uint64(pow(int(_BASE), n - 1 - d, 2**64)) for d in range(n)]
-    whole = np.flatnonzero(left[:max(0, len(left) - n + 1)] >= n)
-    for lo in range(0, len(whole), READ_WINDOWS):
-        at = whole[lo:lo + READ_WINDOWS]
-        total, words, flips = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        literal = np.zeros(len(at), np.uint64)
-        for d in range(n):
-            total = total * _BASE + tokens.hashes[at + d]
-            literal = literal * _BASE + tokens.written[at + d]
-            words += plain[at + d]
-        as_is = np.flatnonzero((literal != total) | (words < MIN_TOKENS))
-        literal, written = literal[as_is], at[as_is]
+    for lo in range(0, len(several), READ_WINDOWS):
+        at = several[lo:lo + READ_WINDOWS]
+        own, count, flips = total[at], words[at].astype(np.int64), nothing[at]
         for d in range(n):
             two = np.flatnonzero(tokens.open[at + d])
             if len(two):
                 of = at[two] + d
-                total = np.concatenate([total, total[two] + more[of] * power[d]])
-                words = np.concatenate([words, words[two] + gain[of]])
+                own = np.concatenate([own, own[two] + more[of] * power[d]])
+                count = np.concatenate([count, count[two] + gain[of]])
                 flips = np.concatenate([flips, flips[two] | 1 << d])
                 at = np.concatenate([at, at[two]])
-        good = words >= MIN_TOKENS
-        at, total = np.concatenate([at[good], written]), np.concatenate([total[good], literal])
-        yield at, total ^ total >> np.uint64(29), np.concatenate([flips[good], np.zeros(len(written), np.int64)])
+        good = np.flatnonzero((count >= MIN_TOKENS) & (flips > 0))
+        yield at[good], _mixed(own[good]), flips[good]
+
+
+def _mixed(total: np.ndarray) -> np.ndarray:
+    return total ^ total >> np.uint64(29)
 
 
 _CANON = Canon()
