@@ -152,50 +152,48 @@ class Tokens(NamedTuple):
     written: np.ndarray
 
 
-def _window_hashes(tokens: Tokens, left: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _window_hashes(tokens: Tokens, left: np.ndarray, n: int, shared: np.ndarray | None
+                   ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(starts, hashes, flips) of the windows of n tokens that lie in one text, in all their readings.
 
-    left: tokens from here to the text's end; flips: bit d is set where token d is read the other way.
+    left: tokens from here to the text's end; flips: bit d is set where token d is read the other way. With `shared`
+    only windows in which it is true for every token but the last.
     """
     size = max(0, len(left) - n + 1)
     inside = left[:size] >= n
-    literal = np.zeros(size, np.uint64)
-    for d in range(n):
-        literal *= _BASE
-        literal += tokens.written[d:d + size]
-    nothing = np.zeros(size, np.int64)
-    if n < MIN_TOKENS:  # word for word
-        at = np.flatnonzero(inside)
-        yield at, _mixed(literal[at]), nothing[at]
-        return
+    if shared is not None:
+        seen = np.concatenate([[0], np.cumsum(shared, dtype=np.int32)])
+        inside &= seen[n - 1:n - 1 + size] - seen[:size] == n - 1
+    begin = np.flatnonzero(inside)
     plain = tokens.kinds == WORD
-    total, words = np.zeros(size, np.uint64), np.zeros(size, np.int8)
-    for d in range(n):
-        total *= _BASE
-        total += tokens.hashes[d:d + size]
-        words += plain[d:d + size]
-    few = words < MIN_TOKENS
-    for at, of in (np.flatnonzero(inside & ((literal != total) | few)), literal), (np.flatnonzero(inside & ~few), total):
-        yield at, _mixed(of[at]), nothing[at]
-    # The other readings, of windows that have any.
-    seen = np.concatenate([[0], np.cumsum(tokens.open)])
-    several = np.flatnonzero(inside & (seen[n:n + size] > seen[:size]))
     more = tokens.other - tokens.hashes
     gain = (tokens.other_kinds == WORD).astype(np.int64) - plain
     power = [np.uint64(pow(int(_BASE), n - 1 - d, 2**64)) for d in range(n)]
-    for lo in range(0, len(several), READ_WINDOWS):
-        at = several[lo:lo + READ_WINDOWS]
-        own, count, flips = total[at], words[at].astype(np.int64), nothing[at]
+    for lo in range(0, len(begin), READ_WINDOWS):
+        at = begin[lo:lo + READ_WINDOWS]
+        total, words, flips = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        literal = np.zeros(len(at), np.uint64)
+        for d in range(n):
+            literal = literal * _BASE + tokens.written[at + d]
+        if n < MIN_TOKENS:  # word for word
+            yield at, _mixed(literal), flips
+            continue
+        for d in range(n):
+            total = total * _BASE + tokens.hashes[at + d]
+            words += plain[at + d]
+        as_is = np.flatnonzero((literal != total) | (words < MIN_TOKENS))
+        literal, written = literal[as_is], at[as_is]
         for d in range(n):
             two = np.flatnonzero(tokens.open[at + d])
             if len(two):
                 of = at[two] + d
-                own = np.concatenate([own, own[two] + more[of] * power[d]])
-                count = np.concatenate([count, count[two] + gain[of]])
+                total = np.concatenate([total, total[two] + more[of] * power[d]])
+                words = np.concatenate([words, words[two] + gain[of]])
                 flips = np.concatenate([flips, flips[two] | 1 << d])
                 at = np.concatenate([at, at[two]])
-        good = np.flatnonzero((count >= MIN_TOKENS) & (flips > 0))
-        yield at[good], _mixed(own[good]), flips[good]
+        good = words >= MIN_TOKENS
+        at, total = np.concatenate([at[good], written]), np.concatenate([total[good], literal])
+        yield at, _mixed(total), np.concatenate([flips[good], np.zeros(len(written), np.int64)])
 
 
 def _mixed(total: np.ndarray) -> np.ndarray:
@@ -210,10 +208,33 @@ def _has(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
-    """Body for map_batches: (id, text) -> windows; lengths None: each item's own, min(WINDOW, tokens)."""
-    bits = (8 * len(bitmap)).bit_length() - 1 if bitmap is not None else 0
-    shift, low = np.uint64(64 - bits) if bits else None, np.uint64(2**bits - 1)
+def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return _mixed(first * _BASE + second)
+
+
+def _word_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Body for map_batches: (text) -> hash of every word, and of every two neighbouring ones, as they are written."""
+    for batch in batches:
+        out = [np.empty(0, np.uint64)]
+        for text in batch.column(0).to_pylist():
+            words = np.array([_hash(w.strip(_EDGES).lower()) for w in (text or "").split()], np.uint64)
+            out += [words, _pairs(words[:-1], words[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], names=["hash"])
+
+
+def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether a bitmap of :func:`_bitmap` may hold the hashes."""
+    bits = (8 * len(bitmap)).bit_length() - 1
+    return _has(bitmap, hashes >> np.uint64(64 - bits)) & _has(bitmap, hashes & np.uint64(2**bits - 1))
+
+
+def _windows(lengths: list[int] | None, bitmap: np.ndarray | None, pairs: np.ndarray | None = None):
+    """Body for map_batches: (id, text) -> windows; lengths None: each item's own, min(WINDOW, tokens).
+
+    A window of a document can be the benchmark's only if any two neighbouring words in it, where neither can be read as
+    a placeholder, are neighbours in the benchmark, too; no other window is hashed. A word that isn't in the benchmark
+    and may be a placeholder has no second reading.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -229,13 +250,20 @@ def _windows(lengths: list[int] | None, bitmap: np.ndarray | None):
                     owner = np.repeat(np.arange(len(sizes)), sizes)
                     begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
                     tokens = _CANON.tokens(words, begins == np.arange(len(words)), lengths is None)
+                    shared = None
+                    if pairs is not None:
+                        sure = tokens.open & ~_held(pairs, tokens.written)
+                        tokens = tokens._replace(hashes=np.where(sure, tokens.other, tokens.hashes), open=tokens.open & ~sure,
+                                                 kinds=np.where(sure, tokens.other_kinds, tokens.kinds))
+                        either = (tokens.kinds != WORD) | tokens.open
+                        shared = np.append(either[:-1] | either[1:] | _held(pairs, _pairs(tokens.written[:-1], tokens.written[1:])),
+                                           True)
                     for n in lengths or range(1, WINDOW + 1):
-                        for starts, found, flips in _window_hashes(tokens, left, n):
+                        for starts, found, flips in _window_hashes(tokens, left, n, shared):
                             if lengths is None:
                                 pick = np.flatnonzero(np.minimum(sizes[owner[starts]], WINDOW) == n)
                             else:
-                                pick = np.flatnonzero(_has(bitmap, found >> shift))
-                                pick = pick[_has(bitmap, found[pick] & low)]
+                                pick = np.flatnonzero(_held(bitmap, found))
                             if n == 1:  # a word alone is found only if it is the whole text
                                 pick = pick[sizes[owner[starts[pick]]] == 1]
                             at = starts[pick, None] + np.arange(n)
@@ -295,7 +323,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
-    """Packed bits: set for the leading and for the trailing bits of every hash of the benchmark.
+    """Packed bits: set for the leading and for the trailing bits of every `hash` of windows, or of words and pairs.
 
     The bits are set by an aggregation; at most 2 ** MOST_BITS / 64 pairs of
     numbers come to the driver, and 2 ** MOST_BITS / 8 bytes (32 MB) are
@@ -325,7 +353,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     """
     items = benchmark.select("item_id", "text")
     items = saved(map_batches(items, _windows(None, None), _schema(items.schema["item_id"])), "benchmark-windows")
-    shipped = docs.sparkSession.sparkContext.broadcast(_bitmap(items))
+    pairs = saved(map_batches(benchmark.select("text"), _word_pairs, "hash long"), "benchmark-pairs")
+    shipped = docs.sparkSession.sparkContext.broadcast((_bitmap(items), _bitmap(pairs)))
     # At most WINDOW lengths come to the driver.
     lengths = sorted(r[0] for r in items.select(F.size("slots")).distinct().collect())
     items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash",
@@ -334,7 +363,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
         lengths = [WINDOW]
 
     def hits(batches):
-        yield from _windows(lengths, shipped.value)(batches)
+        yield from _windows(lengths, *shipped.value)(batches)
 
     found = (map_batches(docs.select(key, "text"), hits, _schema(docs.schema[key]))
              .select(F.col("id").alias("__key"), "pos", "hash", "slots").join(items, "hash"))
