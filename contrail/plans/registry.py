@@ -1353,6 +1353,8 @@ def q_read_report_json(spark, d):
 # ------------------------------------------------------ §2.16 the batch load end to end
 
 _LOADED: dict = {}
+#: Lines of one file of an extract.
+EXTRACT_LINES = 1 << 19
 
 
 def _write_extracts(spark, d):
@@ -1376,7 +1378,8 @@ def _write_extracts(spark, d):
              "airports": a.select(F.when(F.col("code").endswith("3"), F.concat(place, F.lit(",x,,"))).otherwise(place).alias("value"))}
     paths = {t: _scratch(spark, f"extract-{t}") for t in lines}
     for t, df in lines.items():
-        df.write.text(paths[t])
+        # A gzip file is read by one task, so each has a bounded number of lines.
+        df.write.option("compression", "gzip").option("maxRecordsPerFile", EXTRACT_LINES).text(paths[t])
     return paths
 
 

@@ -42,3 +42,32 @@ def test_few_codes_are_sent_and_many_are_joined(spark, no_automatic_broadcast, m
     many = ml.encode_labels(df, codes, ("p",), unseen=-1)
     assert "SortMergeJoin" in _plan(many)
     assert sorted(r.p for r in few.collect()) == sorted(r.p for r in many.collect()) == [-1, 0, 1, 2]
+
+
+def test_join_partitions_follow_the_source_files(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k, None) for k in names]
+    with pytest.raises(KeyError), warehouse._join_partitions(spark, 1000 * warehouse.SOURCE_BYTES):
+        assert [spark.conf.get(k) for k in names] == ["1000", warehouse.JOINED_SIZE]
+        raise KeyError
+    assert [spark.conf.get(k, None) for k in names] == before
+    with warehouse._join_partitions(spark, 1):
+        assert spark.conf.get(names[0]) == before[0]
+
+
+def test_suppliers_meet_the_flights_without_a_shuffle(spark, no_automatic_broadcast, monkeypatch):
+    sent = testdata.flights(spark, SMALL)
+    assert "BroadcastHashJoin [l_suppkey" in _plan(sent)
+    monkeypatch.setattr(testdata, "SENT_SUPPLIERS", 0)
+    joined = testdata.flights(spark, SMALL)
+    assert "SortMergeJoin [l_suppkey" in _plan(joined)
+    assert sent.exceptAll(joined).count() == joined.exceptAll(sent).count() == 0
+
+
+def test_extracts_are_compressed_files_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(registry, "EXTRACT_LINES", 500, raising=False)
+    paths = registry._write_extracts(spark, SMALL)
+    for table, rows in (("scheduled_flights", registry.flights(spark, SMALL)), ("realtime_flights", registry.positions(spark, SMALL))):
+        files = spark.read.text(paths[table]).groupBy(F.input_file_name().alias("f")).count().collect()
+        assert all(r.f.endswith(".gz") and r["count"] <= 500 for r in files)
+        assert sum(r["count"] for r in files) == rows.count()
