@@ -133,6 +133,11 @@ def _id() -> Column:
     return F.coalesce("doc_id", F.lit(-2**63).cast("long"))
 
 
+def _block(base: Column, step: Column) -> Column:
+    """A block, of the type it has when it is read back from a file: a join with those needs no cast, nor a shuffle for it."""
+    return F.struct(base.alias("base"), step.alias("step")).cast("struct<base: bigint, step: bigint>")
+
+
 def _blocked(docs: DataFrame, block_bits: int, hot_rows: int) -> DataFrame:
     """`docs` with __block, ascending with the id (null: the smallest long), then with the hash of the text.
 
@@ -146,13 +151,13 @@ def _blocked(docs: DataFrame, block_bits: int, hot_rows: int) -> DataFrame:
                 "hot-ids")
     blocks = hot.count()
     if not blocks:
-        return docs.withColumn("__block", F.struct(base.alias("base"), F.lit(0).cast("long").alias("step")))
+        return docs.withColumn("__block", _block(base, F.lit(0)))
     rows = docs.withColumn("__base", base).join(F.broadcast(hot) if blocks <= SENT_BLOCKS else hot, "__base", "left")
     place = (F.xxhash64("text").cast("double") + 2.0**63) / 2.0**64  # 0 to 1, ascending with the hash
     step = F.aggregate(F.coalesce("__hot", F.array().cast("array<struct<__id: bigint, pieces: bigint>>")), F.lit(0).cast("long"),
                        lambda s, h: s + F.when(h["__id"] < _id(), h["pieces"] + 1).when(
                            h["__id"] == _id(), 1 + F.least(F.floor(place * h["pieces"]), h["pieces"] - 1)).otherwise(0))
-    return rows.withColumn("__block", F.struct(F.col("__base").alias("base"), step.alias("step"))).drop("__base", "__hot")
+    return rows.withColumn("__block", _block(F.col("__base"), step)).drop("__base", "__hot")
 
 
 def with_next(docs: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -166,8 +171,8 @@ def with_next(docs: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT
     """
     blocked = _blocked(docs, block_bits, hot_rows)
     order = Window.partitionBy("__block").orderBy(_id(), F.xxhash64("text"))
-    linked = (blocked.repartition("__block").withColumn("__at", F.row_number().over(order))
-              .withColumn("__text", F.lead("text").over(order)).withColumn("__fp", F.lead("fp").over(order)))
+    linked = blocked.repartition("__block").withColumns({
+        "__at": F.row_number().over(order), "__text": F.lead("text").over(order), "__fp": F.lead("fp").over(order)})
     heads = linked.filter("__at = 1").select(F.col("__block").alias("next"), F.col("text").alias("__head"),
                                              F.col("fp").alias("__head_fp"))
     turns = _successors(blocked.select(F.col("__block").alias("key")).distinct())

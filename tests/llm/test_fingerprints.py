@@ -197,3 +197,16 @@ def test_simhash_groups_by_smallest_id(spark):
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, rows)).collect()}
     assert got == {9: 3, 3: 3, 5: 4, 4: 4, 7: 7}
     assert DOC_SCHEMA.names[0] == "doc_id"
+
+
+def test_texts_are_shuffled_once(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        docs = spark.createDataFrame([(i, f"text {i}") for i in range(300)], "doc_id long, text string").withColumn("fp", F.array(F.lit(1)))
+        plan = order_minhash.with_next(docs)._jdf.queryExecution().executedPlan().toString()
+        # the rows meet the next block's head by the very column they were dealt by
+        assert "SortMergeJoin [__block" in plan and "cast(__block" not in plan
+    finally:
+        spark.conf.set(key, before)
