@@ -15,10 +15,11 @@ training texts. Word counts are a shuffle of per-batch counts; the id counts
 follow from tokenising every distinct word once. Texts are tokenised once,
 into a saved table of ids that learning and scoring read. The network's
 weights start from a fit on about SAMPLE_WINDOWS windows in one task and then
-learn from windows of all training texts, of any length: of every text one
-window in WINDOW_EVERY. Windows are drawn by a hash. The windows are dealt by their hashes to learners, whose number grows
-with the windows, and the learners' weights are averaged between the rounds;
-nothing depends on how the input is split into tasks.
+learn from every window of all training texts, of any length, once: each is in
+one of the rounds, by a hash. The windows are dealt by their hashes to
+learners, whose number grows with the windows, and the learners' weights are
+averaged between the rounds; nothing depends on how the input is split into
+tasks.
 
 Beside the model there is a plain add-one unigram score of the words. The
 counts of the most frequent words (FREQUENT of them at most) are sent to the
@@ -56,8 +57,8 @@ FREQUENT = 1 << 18
 #: Windows, about, the weights are first fitted on in one task, before they learn from all training texts.
 SAMPLE_WINDOWS = 50_000
 STEPS, BATCH_WINDOWS, RATE = 1200, 128, 0.01
-#: Learning from all texts: one window in so many, windows of a step, windows of a learner and round, rate of every round.
-WINDOW_EVERY, PASS_WINDOWS, LEARNER_WINDOWS, PASS_RATES = 8, 256, 1 << 16, (0.01, 0.003)
+#: Learning from all texts: windows of a step, windows of a learner and round, rate of every round.
+PASS_WINDOWS, LEARNER_WINDOWS, PASS_RATES = 256, 1 << 16, (0.01, 0.003)
 #: Distinct words a task counts before it hands them on, words whose ids a worker keeps; windows scored at once; texts at once.
 COUNT_WORDS, CACHE_WORDS = 400_000, 200_000
 SCORE_WINDOWS = 1024
@@ -542,11 +543,12 @@ def fit_sample(ids: DataFrame, counts: np.ndarray, ends: int, n_windows: int, n:
     return pickle.loads(fitted[0]["model"]) if fitted else fit([], counts, ends, 0)
 
 
-def fit_all(ids: DataFrame, network: Attention, n_windows: int, every: int = WINDOW_EVERY,
+def fit_all(ids: DataFrame, network: Attention, n_windows: int, every: int = 1,
             rates: tuple[float, ...] = PASS_RATES) -> Attention:
-    """`network` fitted further on drawn windows of every row of `ids` (key: long, ids: binary), whatever its length.
+    """`network` fitted further on all windows of all rows of `ids` (key: long, ids: binary), whatever their length.
 
-    In each round the windows drawn for it are dealt by hash to learners of
+    Each window is learnt from in one of the rounds (with `every` over 1 only
+    one in so many is). The windows of a round are dealt by hash to learners of
     about LEARNER_WINDOWS windows, which start from the same weights; the next
     round starts from the mean of theirs, weighted by the windows. The results
     are added up by some tasks first, so the driver gets about the square root

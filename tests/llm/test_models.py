@@ -333,3 +333,24 @@ def test_quality_score_recomputed(spark):
                for ys in product((0, 1), repeat=len(state))}
     good = [sum(w for ys, w in weights.items() if ys[k]) / sum(weights.values()) for k in range(len(state))]
     assert got == pytest.approx(sum(g * n for g, n in zip(good, length)) / sum(length), rel=1e-4)
+
+
+def test_lm_learns_from_every_window(spark, monkeypatch):
+    """Each window of each text is learnt from in just one round, unless fewer are asked for."""
+    monkeypatch.setattr(lm, "LEARNER_WINDOWS", 1 << 20)
+    model, _ = _model()
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 500, int(k)).astype("<u2") for k in rng.integers(0, 300, 40)]
+    keys = rng.integers(-2**62, 2**62, 40)
+    n_windows = sum(len(t) // lm.STRIDE + 1 for t in texts)
+    df = spark.createDataFrame([(int(k), t.tobytes()) for k, t in zip(keys, texts)], "key long, ids binary")
+    weights = {k: v.copy() for k, v in model.weights.items() if k != "R"}
+    own = lm.Attention(model.class_of, model.log_share, model.row_of, weights)
+    seen = 0
+    for k, rate in enumerate(lm.PASS_RATES):
+        drawn = lm.drawn(keys, texts, k, len(lm.PASS_RATES), 1)
+        seen += len(drawn[0])
+        lm.learn(own, *drawn, rate)
+    assert seen == n_windows
+    got = lm.fit_all(df, model, n_windows).weights
+    assert all(np.allclose(got[k], weights[k], atol=1e-5) for k in weights)
