@@ -63,6 +63,8 @@ PASS_WINDOWS, LEARNER_WINDOWS, PASS_RATES = 256, 1 << 16, (0.01, 0.003)
 COUNT_WORDS, CACHE_WORDS = 400_000, 200_000
 SCORE_WINDOWS = 1024
 SCORE_TEXTS = 500
+#: Windows a task gathers, about, before it hands them on in one block for each learner.
+BLOCK_WINDOWS = 1 << 17
 
 
 #: Every byte as it counts for words: A-Z in lower case, white space as a space.
@@ -197,6 +199,8 @@ def id_counts(words: DataFrame, tokenizer: str = TOKENIZER) -> np.ndarray:
 
 #: Scores and logits are cut here, so that their exponentials can be added without looking for the largest one.
 LIMIT = np.float32(60)
+#: What is smaller is taken as zero, as products with denormal numbers are several times slower.
+TINY, LEAST_LOGIT = np.float32(1e-30), np.float32(-80)
 #: Adds up the groups' and the members' columns of a row.
 BOTH = np.repeat(np.eye(2, dtype=np.float32), [GROUPS, MEMBERS], axis=0)
 
@@ -218,6 +222,13 @@ class Attention:
     def __post_init__(self):
         self._tables = None
 
+    def class_of_row(self) -> np.ndarray:
+        """The class of a target, from its embedding row: ids that share a row are of one class. PAD is never used."""
+        out = np.zeros(INPUTS, dtype=np.uint8)
+        out[self.row_of[:END + 1]] = self.class_of
+        out[self.row_of[PAD]] = self.class_of[END]
+        return out
+
     def _prepared(self):
         if self._tables is None:
             w = self.weights
@@ -258,6 +269,7 @@ class Attention:
             logits += both_bias[g]
             np.minimum(logits, LIMIT, out=logits)
             picked = logits[:, g] + logits[np.arange(hi - lo), member[lo:hi] + GROUPS]
+            np.maximum(logits, LEAST_LOGIT, out=logits)
             totals = np.exp(logits, out=logits) @ BOTH
             out[order[lo:hi]] = picked - np.log(totals[:, 0] * totals[:, 1])
         return (out * np.float32(1 / np.log(10)) + self.log_share[flat]).reshape(targets.shape)
@@ -368,6 +380,7 @@ def _softmax_error(logits: np.ndarray, at: np.ndarray, part: np.ndarray) -> np.n
     """Gradient of the weighted cross-entropy by the logits."""
     raised = _exp(logits)
     raised *= (part / (raised @ np.ones(raised.shape[1], np.float32)))[:, None]
+    raised *= raised > TINY
     raised[np.arange(len(raised)), at] -= part
     return raised
 
@@ -379,59 +392,92 @@ class Learner:
         self._network, self.steps = network, 0
         self._m1, self._m2 = ({k: np.zeros_like(v) for k, v in network.weights.items()} for _ in range(2))
 
-    def step(self, ids: np.ndarray, targets: np.ndarray, used: np.ndarray, rate: float) -> None:
+    def step(self, rows: np.ndarray, classes: np.ndarray, used: np.ndarray, rate: float) -> None:
+        """One batch: embedding rows (n, CONTEXT + STRIDE) and classes of the n * STRIDE targets."""
         self.steps += 1
-        g = self._gradients(ids, targets, used)
-        m1, m2 = self._m1, self._m2
+        g = self._gradients_of(rows, classes, used)
         for name, value in self._network.weights.items():
-            m1[name] += 0.1 * (g[name] - m1[name])
-            m2[name] += 0.01 * (g[name] ** 2 - m2[name])
-            value -= (rate * m1[name] / (1 - 0.9**self.steps)
-                      / (np.sqrt(m2[name] / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
+            m1, m2, own = self._m1[name], self._m2[name], g[name]
+            by = own - m1
+            by *= 0.1
+            m1 += by
+            np.multiply(own, own, out=by)
+            by -= m2
+            by *= 0.01
+            m2 += by
+            np.divide(m2, 1 - 0.99**self.steps, out=by)
+            np.sqrt(by, out=by)
+            by += 1e-8
+            up = rate * m1
+            up /= 1 - 0.9**self.steps
+            up /= by
+            value -= up
 
     def _gradients(self, ids: np.ndarray, targets: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
-        w, class_of = self._network.weights, self._network.class_of
+        network = self._network
+        return self._gradients_of(network.row_of[ids], network.class_of[np.minimum(targets, END).ravel()], used)
+
+    def _gradients_of(self, rows: np.ndarray, classes: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
+        w = self._network.weights
         scale = np.float32(1 / np.sqrt(WIDTH))
-        rows = self._network.row_of[ids]
         x = w["E"][rows]
         q, k, v = x[:, CONTEXT:] @ w["Q"], x @ w["K"], x @ w["V"]
-        s = np.exp(np.minimum(q @ k.transpose(0, 2, 1) * scale + w["r"][APART[CONTEXT:]], 60)) * MASK[CONTEXT:]
+        s = q @ k.transpose(0, 2, 1)
+        s *= scale
+        s += w["r"][APART[CONTEXT:]]
+        np.minimum(s, 60, out=s)
+        np.exp(s, out=s)
+        s *= MASK[CONTEXT:]
         s /= s.sum(axis=2, keepdims=True)
         c = s @ v
-        h = x[:, CONTEXT:] + c @ w["O"]
-        hf = h.reshape(-1, WIDTH)
-        z = np.maximum(hf @ w["A"] + w["a"], 0)
-        part = used / np.float32(max(1, used.sum()))
-        classes = class_of[np.minimum(targets, END).ravel()]
+        h = c @ w["O"]
+        h += x[:, CONTEXT:]
+        # Targets in the order of their groups, so that a group's are next to each other.
+        order = np.argsort((classes // MEMBERS).astype(np.uint8), kind="stable")
+        classes, part = classes[order], (used / np.float32(max(1, used.sum())))[order]
         group, member = classes // MEMBERS, classes % MEMBERS
-        p = _softmax_error(z @ w["U"] + w["u"], group, part)
+        ends = np.searchsorted(group, np.arange(GROUPS + 1))
+        hf = h.reshape(-1, WIDTH)[order]
+        z = hf @ w["A"]
+        z += w["a"]
+        np.maximum(z, 0, out=z)
+        logits = z @ w["U"]
+        logits += w["u"]
+        p = _softmax_error(logits, group, part)
         g = {"U": z.T @ p, "u": p.sum(axis=0), "W": np.empty_like(w["W"]), "w": np.empty_like(w["w"])}
         dz = p @ w["U"].T
-        order = np.argsort(group.astype(np.uint8), kind="stable")
-        ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
         for j in range(GROUPS):
-            own = order[ends[j]:ends[j + 1]]
-            p = _softmax_error(z[own] @ w["W"][j] + w["w"][j], member[own], part[own])
+            own = slice(ends[j], ends[j + 1])
+            logits = z[own] @ w["W"][j]
+            logits += w["w"][j]
+            p = _softmax_error(logits, member[own], part[own])
             g["W"][j], g["w"][j] = z[own].T @ p, p.sum(axis=0)
             dz[own] += p @ w["W"][j].T
         dz *= z > 0
         g["A"], g["a"] = hf.T @ dz, dz.sum(axis=0)
-        dh = (dz @ w["A"].T).reshape(h.shape)
-        g["O"] = c.reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
+        dh = np.empty_like(hf)
+        dh[order] = dz @ w["A"].T
+        g["O"] = c.reshape(-1, WIDTH).T @ dh
+        dh = dh.reshape(h.shape)
         dc = dh @ w["O"].T
         ds = dc @ v.transpose(0, 2, 1)
         dv = s.transpose(0, 2, 1) @ dc
-        ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
+        ds -= (ds * s).sum(axis=2, keepdims=True)
+        ds *= s
         g["r"] = np.bincount(APART[CONTEXT:].ravel(), weights=ds.sum(axis=0).ravel(),
                              minlength=CONTEXT + STRIDE).astype(np.float32)
-        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q * scale
+        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+        dq *= scale
+        dk *= scale
         late, every = x[:, CONTEXT:].reshape(-1, WIDTH), x.reshape(-1, WIDTH)
         g["Q"], g["K"], g["V"] = (late.T @ dq.reshape(-1, WIDTH), every.T @ dk.reshape(-1, WIDTH),
                                   every.T @ dv.reshape(-1, WIDTH))
-        dx = dk @ w["K"].T + dv @ w["V"].T
-        dx[:, CONTEXT:] += dh + dq @ w["Q"].T
-        at, by = rows.ravel(), np.ascontiguousarray(dx.reshape(-1, WIDTH).T)
-        g["E"] = np.stack([np.bincount(at, weights=x, minlength=INPUTS) for x in by], axis=1).astype(np.float32)
+        dx = dk @ w["K"].T
+        dx += dv @ w["V"].T
+        dh += dq @ w["Q"].T
+        dx[:, CONTEXT:] += dh
+        cells = rows.reshape(-1, 1).astype(np.intp) * WIDTH + np.arange(WIDTH)
+        g["E"] = np.bincount(cells.ravel(), weights=dx.ravel(), minlength=INPUTS * WIDTH).reshape(INPUTS, WIDTH).astype(w["E"].dtype)
         return g
 
 
@@ -439,10 +485,10 @@ def fit_windows(rows: np.ndarray, used: np.ndarray, counts: np.ndarray, ends: in
     """The network after `steps` batches of windows picked at random from `rows`; fixed seed, fixed order."""
     rng = np.random.default_rng(7)
     network = _beginning(counts, ends, rng)
-    learner = Learner(network)
+    learner, class_of_row, rows = Learner(network), network.class_of_row(), network.row_of[rows].astype(np.uint16)
     for step in range(1, steps + 1 if len(rows) else 1):
         pick = rng.integers(0, len(rows), BATCH_WINDOWS)
-        learner.step(*_parts(rows[pick], used[pick]), RATE * min(1.0, step / 50) * (1 - 0.9 * step / steps))
+        learner.step(*_parts(rows[pick], used[pick], class_of_row), RATE * min(1.0, step / 50) * (1 - 0.9 * step / steps))
     network.weights["R"] = network.weights["r"][APART].astype(np.float32)
     return network
 
@@ -453,10 +499,9 @@ def fit(texts: list[np.ndarray], counts: np.ndarray, ends: int, steps: int) -> A
     return fit_windows(rows, used, counts, ends, steps)
 
 
-def _parts(rows: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, targets, which targets belong to the text) of drawn windows."""
-    rows = rows.astype(np.int32)
-    return rows[:, :-1], rows[:, CONTEXT + 1:], (np.arange(STRIDE) < used[:, None]).ravel()
+def _parts(rows: np.ndarray, used: np.ndarray, class_of_row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(embedding rows, classes of the targets, which targets belong to the text) of drawn windows, given as embedding rows."""
+    return rows[:, :-1], class_of_row[rows[:, CONTEXT + 1:]].ravel(), (np.arange(STRIDE) < used[:, None]).ravel()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -482,11 +527,16 @@ def drawn(keys: np.ndarray, texts: list[np.ndarray], round_: int, rounds: int, e
 
 def learn(network: Attention, h: np.ndarray, rows: np.ndarray, used: np.ndarray, rate: float) -> None:
     """Goes once over drawn windows, in the order of their hashes."""
-    learner = Learner(network)
+    learn_rows(network, h, network.row_of[rows].astype(np.uint16), used, rate)
+
+
+def learn_rows(network: Attention, h: np.ndarray, rows: np.ndarray, used: np.ndarray, rate: float) -> None:
+    """:func:`learn` for windows given as embedding rows."""
+    learner, class_of_row = Learner(network), network.class_of_row()
     order = np.lexsort((used, h))
     for lo in range(0, len(order), PASS_WINDOWS):
         own = order[lo:lo + PASS_WINDOWS]
-        learner.step(*_parts(rows[own], used[own]), rate * min(1.0, (learner.steps + 1) / 50))
+        learner.step(*_parts(rows[own], used[own], class_of_row), rate * min(1.0, (learner.steps + 1) / 50))
 
 
 # ---------------------------------------------------------------- scoring
@@ -495,33 +545,77 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return docs.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
 
 
-WINDOW = "h long, window binary, used int"
+BLOCKS = "learner int, n int, block binary"
+#: Bytes of a window in a block: hash, used targets, ids.
+WINDOW_BYTES = 8 + 1 + 2 * (CONTEXT + STRIDE + 1)
+
+
+def learner_of(h: np.ndarray, learners: int) -> np.ndarray:
+    """``pmod(xxhash64(h), learners)`` as Spark has it, of unsigned 64-bit hashes."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x, by):
+        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 
+    x = turned(turned(h * p2, 31) * p1 ^ (p5 + np.uint64(42 + 8)), 27) * p1 + p4
+    x = (x ^ (x >> np.uint64(33))) * p2
+    x = (x ^ (x >> np.uint64(29))) * p3
+    return (x ^ (x >> np.uint64(32))).view(np.int64) % learners
+
+
+def packed(h: np.ndarray, rows: np.ndarray, used: np.ndarray) -> bytes:
+    """Windows as compressed bytes, column by column; the low and the high bytes of the ids apart, as these are alike."""
+    ids = np.ascontiguousarray(rows, "<u2").view(np.uint8).reshape(-1, 2)
+    return pa.compress(h.astype("<u8").tobytes() + used.astype(np.uint8).tobytes() + ids.T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(n: int, block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, rows, used) of the n windows of a block."""
+    raw = np.frombuffer(pa.decompress(block, n * WINDOW_BYTES, "zstd", asbytes=True), np.uint8)
+    ids = np.ascontiguousarray(raw[9 * n:].reshape(2, -1).T).view("<u2")
+    return raw[:8 * n].view("<u8"), ids.reshape(n, CONTEXT + STRIDE + 1), raw[8 * n:9 * n]
+
+
+def draw_windows(ids: DataFrame, round_: int, rounds: int, every: int, learners: int = 1,
+                 row_of: np.ndarray | None = None) -> DataFrame:
+    """The windows of (key: long, ids: binary) drawn for a round, in no order: blocks of windows of one learner.
+
+    With `row_of` their ids are turned into embedding rows.
+    """
+    def blocks(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        h, rows, used = (np.concatenate(x) for x in zip(*parts, strict=True))
+        to = learner_of(h, learners)
+        order = np.argsort(to, kind="stable")
+        which, begin = np.unique(to[order], return_index=True)
+        own = np.split(order, begin[1:]) if len(which) else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array(which.astype(np.int32)), pa.array([len(x) for x in own], pa.int32()),
+             pa.array([packed(h[x], rows[x], used[x]) for x in own], pa.binary())], names=["learner", "n", "block"])
 
-def draw_windows(ids: DataFrame, round_: int, rounds: int, every: int) -> DataFrame:
-    """The windows of (key: long, ids: binary) drawn for a round, in no order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
         for whole in batches:
             for lo in range(0, len(whole), SCORE_TEXTS):
                 batch = whole.slice(lo, SCORE_TEXTS)
                 texts = [np.frombuffer(x, "<u2") for x in batch.column(1).to_pylist()]
                 h, rows, used = drawn(batch.column(0).to_numpy(), texts, round_, rounds, every)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array([x.tobytes() for x in rows], pa.binary()),
-                     pa.array(used.astype(np.int32))], names=["h", "window", "used"])
+                parts.append((h, rows if row_of is None else row_of[rows].astype(np.uint16), used))
+                n += len(h)
+                if n > BLOCK_WINDOWS:
+                    yield blocks(parts)
+                    parts, n = [], 0
+        if parts:
+            yield blocks(parts)
 
-    return map_batches(ids.select("key", "ids"), run, WINDOW)
+    return map_batches(ids.select("key", "ids"), run, BLOCKS)
 
 
 def _collected(batches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, rows, used) of drawn windows, in the order of their hashes."""
-    h, raw, used = [np.empty(0, np.int64)], [], [np.empty(0, np.int32)]
-    for b in batches:
-        h.append(b.column("h").to_numpy())
-        raw += b.column("window").to_pylist()
-        used.append(b.column("used").to_numpy())
-    rows = np.frombuffer(b"".join(raw), "<u2").reshape(-1, CONTEXT + STRIDE + 1)
-    h, used = np.concatenate(h).view(np.uint64), np.concatenate(used)
+    """(hash, rows, used) of the windows of blocks, in the order of their hashes."""
+    parts = [(np.empty(0, "<u8"), np.empty((0, CONTEXT + STRIDE + 1), "<u2"), np.empty(0, np.uint8))]
+    parts += [unpacked(n, x) for b in batches for n, x in zip(b.column("n").to_pylist(), b.column("block").to_pylist(), strict=True)]
+    h, rows, used = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((used, h))
     return h[order], rows[order], used[order]
 
@@ -568,42 +662,42 @@ def fit_all(ids: DataFrame, network: Attention, n_windows: int, every: int = 1,
         return Attention(network.class_of, network.log_share, network.row_of,
                          {k: x.reshape(shape).copy() for k, x, shape in zip(names, parts, shapes, strict=True)})
 
-    def row(learner: int, n: int, sums: np.ndarray) -> pa.RecordBatch:
+    def row(learner: int, n: int, name: str, numbers: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([learner], pa.int32()), pa.array([n], pa.int64()),
-                                           pa.array([sums.tobytes()], pa.binary())], names=["learner", "n", "sums"])
+                                           pa.array([numbers.tobytes()], pa.binary())], names=["learner", "n", name])
 
     def total(rows) -> tuple[int, int, np.ndarray]:
         """In the order of the learners, so that the sum of doubles is always the same."""
         first, n, sums = 2**31 - 1, 0, np.zeros(ends[-1])
-        for learner, k, raw in sorted(rows, key=lambda r: r[0]):
+        for learner, k, own in sorted(rows, key=lambda r: r[0]):
             first, n = min(first, learner), n + k
-            sums += np.frombuffer(raw)
+            sums += own
         return first, n, sums
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows = [(learner, n, np.frombuffer(raw, np.float32).astype(np.float64) * n)
+                for batch in batches for learner, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         if rows:
-            yield row(*total(rows))
+            first, n, sums = total(rows)
+            yield row(first, n, "sums", sums)
 
     def one(shipped, rate: float):
         def run(group: pa.Table) -> pa.Table:
             own = back(shipped.value)
             h, rows, used = _collected([group])
-            learn(own, h, rows, used, rate)
-            return pa.Table.from_batches([row(group["learner"][0].as_py(), len(rows),
-                                              flat(own.weights).astype(np.float64) * len(rows))])
+            learn_rows(own, h, rows, used, rate)
+            return pa.Table.from_batches([row(group["learner"][0].as_py(), len(rows), "weights", flat(own.weights).astype(np.float32))])
         return run
 
     values = flat(network.weights)
     for k, rate in enumerate(rates):
         shipped = spark.sparkContext.broadcast(values)
 
-        to = F.pmod(F.xxhash64("h"), F.lit(learners)).cast("int")
-        windows = draw_windows(ids, k, len(rates), every).withColumn("learner", to)
-        learnt = windows.groupBy("learner").applyInArrow(one(shipped, rate), "learner int, n long, sums binary")
+        windows = draw_windows(ids, k, len(rates), every, learners, network.row_of)
+        learnt = windows.groupBy("learner").applyInArrow(one(shipped, rate), "learner int, n long, weights binary")
         parts = max(1, round(learners**0.5))
         sums = map_batches(learnt.repartition(parts, "learner"), add_up, "learner int, n long, sums binary").collect()
-        _, n, summed = total([tuple(r) for r in sums])
+        _, n, summed = total([(r["learner"], r["n"], np.frombuffer(r["sums"])) for r in sums])
         if n:
             values = summed / n
         shipped.unpersist()
@@ -691,15 +785,14 @@ def score(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(shipped.value.text_scores(texts))],
                                                  names=[*kept, "score"])
 
-    scored = saved(map_batches(ids.drop("key"), run, "doc_id long, held_out boolean, part int, row long, n long, found long, "
-                                                     "base double, rare array<struct<word: binary, n: bigint>>, score double"),
-                   "lm-scored")
-    odd = scored.filter(F.size("rare") > 0).select("part", "row", F.inline("rare"))
+    scored = saved(map_batches(ids.drop("key", "rare"), run, "doc_id long, held_out boolean, part int, row long, n long, found long, "
+                                                             "base double, score double"), "lm-scored")
+    odd = ids.filter(F.size("rare") > 0).select("part", "row", F.inline("rare"))
     joined = odd.join(words, "word", "left")
     of_odd = joined.groupBy("part", "row").agg(
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("odd_found"),
         F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(out_of)))).alias("odd_base"))
-    out = scored.drop("rare").join(of_odd, ["part", "row"], "left")
+    out = scored.join(of_odd, ["part", "row"], "left")
     return out.select(
         "doc_id", "held_out", F.col("n").alias("n_tokens"),
         (F.col("found") + F.coalesce("odd_found", F.lit(0)) + F.lit(int(n_texts > 0))).alias("n_known"),

@@ -250,6 +250,32 @@ def test_lm_learning_equals_one_loop_and_does_not_depend_on_the_split(spark, mon
     assert all(np.allclose(got[0][k], weights[k], atol=1e-5) for k in weights)
 
 
+def test_lm_windows_travel_whole_and_in_few_bytes(spark, monkeypatch):
+    """A window was a row of 62 shuffled bytes; all of a task's windows for one learner are one compressed block now."""
+    monkeypatch.setattr(lm, "BLOCK_WINDOWS", 700)
+    rng = np.random.default_rng(11)
+    texts = [(rng.zipf(1.3, int(k)) % 3000).astype("<u2") for k in rng.integers(0, 900, 80)]
+    keys = rng.integers(-2**62, 2**62, 80)
+    model = lm.fit([], np.bincount(np.concatenate(texts), minlength=lm.VOCABULARY), 80, 0)
+    df = spark.createDataFrame([(int(k), t.tobytes()) for k, t in zip(keys, texts)], "key long, ids binary").coalesce(1)
+    n, size = 0, 0
+    for round_ in (0, 1):
+        blocks = lm.draw_windows(df, round_, 2, 1, 3, model.row_of).collect()
+        h, rows, used = lm.drawn(keys, texts, round_, 2, 1)
+        to = [r[0] for r in spark.createDataFrame([(int(x),) for x in h.view(np.int64)], "h long")
+              .selectExpr("pmod(xxhash64(h), 3)").collect()]
+        got = [(int(x), b.learner, r.tolist(), int(u)) for b in blocks for x, r, u in zip(*lm.unpacked(b.n, b.block))]
+        assert sorted(got) == sorted(zip(h.tolist(), to, model.row_of[rows].tolist(), used.tolist()))
+        n, size = n + len(got), size + sum(len(b.block) for b in blocks)
+    assert n == sum(len(t) // lm.STRIDE + 1 for t in texts) and size < 45 * n
+
+
+def test_lm_class_of_a_target_follows_from_its_row():
+    model, _ = _model()
+    ids = np.arange(lm.VOCABULARY + 1)
+    assert (model.class_of_row()[model.row_of[ids]] == model.class_of[ids]).all()
+
+
 def test_lm_words_and_ids_equal_plain_splitting():
     import pyarrow as pa
     from contrail.llm.packing import Encoder
