@@ -432,12 +432,9 @@ class Learner:
         c = s @ v
         h = c @ w["O"]
         h += x[:, CONTEXT:]
-        # Targets in the order of their groups, so that a group's are next to each other.
-        order = np.argsort((classes // MEMBERS).astype(np.uint8), kind="stable")
-        classes, part = classes[order], (used / np.float32(max(1, used.sum())))[order]
+        part = used / np.float32(max(1, used.sum()))
         group, member = classes // MEMBERS, classes % MEMBERS
-        ends = np.searchsorted(group, np.arange(GROUPS + 1))
-        hf = h.reshape(-1, WIDTH)[order]
+        hf = h.reshape(-1, WIDTH)
         z = hf @ w["A"]
         z += w["a"]
         np.maximum(z, 0, out=z)
@@ -446,17 +443,22 @@ class Learner:
         p = _softmax_error(logits, group, part)
         g = {"U": z.T @ p, "u": p.sum(axis=0), "W": np.empty_like(w["W"]), "w": np.empty_like(w["w"])}
         dz = p @ w["U"].T
+        # Targets in the order of their groups, so that a group's are next to each other.
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        by_group, member, part = z[order], member[order], part[order]
+        of_members = np.empty_like(by_group)
         for j in range(GROUPS):
             own = slice(ends[j], ends[j + 1])
-            logits = z[own] @ w["W"][j]
+            logits = by_group[own] @ w["W"][j]
             logits += w["w"][j]
             p = _softmax_error(logits, member[own], part[own])
-            g["W"][j], g["w"][j] = z[own].T @ p, p.sum(axis=0)
-            dz[own] += p @ w["W"][j].T
+            g["W"][j], g["w"][j] = by_group[own].T @ p, p.sum(axis=0)
+            of_members[own] = p @ w["W"][j].T
+        dz[order] += of_members
         dz *= z > 0
         g["A"], g["a"] = hf.T @ dz, dz.sum(axis=0)
-        dh = np.empty_like(hf)
-        dh[order] = dz @ w["A"].T
+        dh = dz @ w["A"].T
         g["O"] = c.reshape(-1, WIDTH).T @ dh
         dh = dh.reshape(h.shape)
         dc = dh @ w["O"].T
