@@ -3,6 +3,7 @@
 import tempfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from contrail.operators import anomalies, ml
@@ -43,6 +44,14 @@ def test_save_and_load(spark, parts, model):
     assert ml.feature_importance(back).collect() == ml.feature_importance(model).collect()
 
 
+def test_predictions_in_a_session_that_observes(parts, model):
+    seen = Observation()
+    n = parts[1].observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get["n"] == n  # from here on Spark cannot send the session to tasks
+    assert not model.model.stages[-1].hasSummary
+    assert len(ml.score_delays(model, parts[1]).select("prediction").collect()) == n
+
+
 def test_unseen_and_missing_categories_are_scored(parts, model):
     odd = parts[1].limit(5).withColumn("airline", F.lit("never seen")).withColumn("aircraft_type", F.lit(None).cast("string"))
     assert ml.score_delays(model, odd).filter("prediction IS NOT NULL").count() == 5
