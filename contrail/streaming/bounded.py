@@ -10,6 +10,7 @@ delay never drops a row, and its state store holds open windows only.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,12 @@ from pyspark.sql.streaming import StreamingQuery
 from contrail.functions.numeric import exact_units
 from contrail.functions.timefns import instant_of, ntz_of_instant, ts_literal
 from contrail.streaming.positions import REGION_WINDOW_KEYS, run_available_now
-from contrail.streaming.upsert import complete, exists, forget
+from contrail.streaming.upsert import complete, exists, file_system, forget
 
 TIME = "extraction_time"
 DELAY = "1 hour"
+#: Rows of a file of accepted rows, about; so many tasks can read a batch.
+FILE_ROWS = 1 << 15
 
 
 def _microseconds(interval: str) -> Column:
@@ -46,23 +49,49 @@ def split_late(stream: DataFrame, base: str, checkpoint: str, delay: str = DELAY
         us = F.unix_micros(instant_of(TIME))
         late = F.lit(False) if before is None else F.coalesce(us <= F.lit(before) - _microseconds(delay), F.lit(False))
         rows = batch.withColumn("__late", late).persist()
-        for name, some in (("accepted", ~F.col("__late")), ("rejects", F.col("__late"))):
-            folder = f"{base}/{name}/epoch={epoch_id:010d}"
-            if not complete(spark, folder):
-                rows.filter(some).drop("__late").write.mode("overwrite").parquet(folder)
-        top = rows.agg(F.greatest(F.max(us), F.lit(before).cast("long")).alias("us"))
-        top.write.mode("overwrite").parquet(f"{base}/newest/epoch={epoch_id}")
+        seen = rows.agg(F.greatest(F.max(us), F.lit(before).cast("long")).alias("us"),
+                        F.count_if(~F.col("__late")).alias("accepted"), F.count_if("__late").alias("late")).first()
+        folder = f"{base}/accepted/epoch={epoch_id:010d}"
+        if not complete(spark, folder):
+            (rows.filter(~F.col("__late")).drop("__late").repartitionByRange(max(1, -(-seen["accepted"] // FILE_ROWS)), TIME)
+             .write.mode("overwrite").parquet(folder))
+        _in_order(spark, folder)
+        folder = f"{base}/rejects/epoch={epoch_id:010d}"
+        if seen["late"] and not complete(spark, folder):
+            rows.filter("__late").drop("__late").write.mode("overwrite").parquet(folder)
+        (spark.range(1).select(F.lit(seen["us"]).cast("long").alias("us")).coalesce(1)
+         .write.mode("overwrite").parquet(f"{base}/newest/epoch={epoch_id}"))
         forget(spark, f"{base}/newest/epoch={epoch_id - 2}")
         rows.unpersist()
 
     return run_available_now(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint))
 
 
+def _in_order(spark: SparkSession, folder: str) -> None:
+    """Modification times of the files of one batch a millisecond apart, in the order of their names."""
+    fs, p = file_system(spark, folder)
+    now = int(time.time() * 1000)
+    files = (s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-"))
+    for k, f in enumerate(sorted(files, key=lambda f: f.getName())):
+        fs.setTimes(f, now + k, -1)
+
+
+def _most_files(spark: SparkSession, base: str) -> int:
+    """Files of the batch that has most of them."""
+    fs, p = file_system(spark, f"{base}/accepted/epoch=*/part-*")
+    folders = [str(s.getPath().getParent()) for s in fs.globStatus(p) or []]
+    return max(map(folders.count, set(folders)), default=1)
+
+
 def accepted(spark: SparkSession, base: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The accepted rows as a stream, in the order of their batches."""
+    """The accepted rows as a stream, in the order of their batches.
+
+    ``max_files_per_trigger`` counts batches of the split, which has one for
+    each file or so of the feed; a batch may be several files here.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger * _most_files(spark, base))
     return reader.parquet(f"{base}/accepted/epoch=*")
 
 

@@ -24,7 +24,7 @@ from contrail.functions.numeric import exact_units, mean_of_units
 from contrail.functions.timefns import instant_of, ntz_of_instant, seconds_between, ts_literal
 from contrail.operators import realtime
 from contrail.operators.merge import dedupe_first
-from contrail.streaming.upsert import BUCKETS, file_system, touched_upsert
+from contrail.streaming.upsert import BUCKETS, exists, file_system, touched_upsert
 
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -136,8 +136,11 @@ def stream_dedupe_table(spark: SparkSession, base: str, schema: T.StructType, ou
     rows = bounded.accepted(spark, base, schema, max_files_per_trigger)
     emitted = bounded.first_per_period(rows, delay, period)
     bounded.run_to_table(emitted, out, checkpoint)
+    first = spark.read.schema(emitted.schema).parquet(out)
+    if not exists(spark, f"{base}/rejects"):
+        return first  # each period has been emitted once, and nothing is to be added
     late = with_event_time(bounded.rejected(spark, base, schema)).withColumn("snapshot_start", snapshot_start(period))
-    return first_per_snapshot(spark.read.schema(emitted.schema).parquet(out).unionByName(late.drop("event_time")))
+    return first_per_snapshot(first.unionByName(late.drop("event_time")))
 
 
 def stream_dedupe(stream: DataFrame, period: str = "15 minutes", delay: str = "15 minutes",

@@ -92,6 +92,38 @@ def test_state_of_bounded_streams_expires(spark, feed):
         assert max(sizes) < 0.6 * spark.read.parquet(f"{base}/{name}").count()
 
 
+@pytest.mark.parametrize("order", ORDERS[::2])
+def test_batches_of_many_files_lose_nothing(spark, feed, order, monkeypatch):
+    """A landing file read by many tasks stays one batch of the streams, and its files come in the order of time."""
+    texts, hist = feed
+    base = _folder()
+    monkeypatch.setattr(bounded, "FILE_ROWS", 17)
+    settings = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "0"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        schema = sp.split_history(spark, _landing(texts, order), base + "/split", base + "/ckpt-split")
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    batches = sorted(x for x in os.listdir(base + "/split/accepted") if not x.startswith("epoch=heartbeat"))
+    assert max(len([x for x in os.listdir(f"{base}/split/accepted/{b}") if x.startswith("part-")]) for b in batches) > 2
+    for b in batches:
+        parts = sorted((os.stat(f"{base}/split/accepted/{b}/{x}").st_mtime_ns, f"{base}/split/accepted/{b}/{x}")
+                       for x in os.listdir(f"{base}/split/accepted/{b}") if x.startswith("part-"))
+        times = [spark.read.parquet(x).agg(F.min("extraction_time"), F.max("extraction_time")).first() for _at, x in parts]
+        assert len({at for at, _x in parts}) == len(parts)
+        assert all(a[1] <= z[0] for a, z in zip(times, times[1:], strict=False))
+
+    rows = bounded.accepted(spark, base + "/split", schema, 1)
+    q = bounded.run_to_table(bounded.first_per_period(rows), base + "/count", base + "/ckpt-count")
+    assert _dropped(q) == 0 and len({p["batchId"] for p in q.recentProgress}) <= len(texts) + 2
+    want = sp.first_per_snapshot(sp.with_event_time(hist).withColumn("snapshot_start", sp.snapshot_start()).drop("event_time"))
+    got = sp.stream_dedupe_table(spark, base + "/split", schema, base + "/first", base + "/ckpt-first")
+    assert got.columns == spark.read.parquet(base + "/first").columns
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def _failing(spark, n=100):
     return spark.range(n).select(F.when(F.col("id") == n - 1, F.raise_error(F.lit("broken")).cast("long"))
                                  .otherwise(F.col("id")).alias("id"))
